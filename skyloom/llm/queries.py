@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licenses, packing, sharding, token_counts
+from . import exact_dedup, licenses, near_dedup, packing, sharding, token_counts
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
-SQL = {"op9_license_scan": licenses.SQL, "op10_exact_dedup": exact_dedup.SQL}
+SQL = {"op3_minhash_near_dedup": near_dedup.SQL, "op9_license_scan": licenses.SQL, "op10_exact_dedup": exact_dedup.SQL}
