@@ -16,6 +16,7 @@ U64 = np.uint64
 BLANKS = " \t\n\x0b\x0c\r"
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
+_SOLID = (~_SEPARATOR).astype(np.uint8)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240229)
@@ -95,19 +96,27 @@ class Steps:
 
 def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case: (64-bit hash, document, start, end) of each, in order."""
+    start, end = spans(data, bounds, _SOLID)
+    return span_hash(data, start, end), np.searchsorted(bounds, start, "right") - 1, start, end
+
+
+def spans(data: np.ndarray, bounds: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes of one kind (``kinds[byte]``; 0: between runs) within documents."""
     if not len(data):
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, U64), none, none, none
-    solid = ~_SEPARATOR[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[bounds] = True
-    start = np.flatnonzero(solid & np.concatenate(([True], ~solid[:-1])) | solid & first[:-1])
-    end = np.flatnonzero(solid & np.concatenate((~solid[1:], [True])) | solid & first[1:]) + 1
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = kinds[data]
+    change = np.concatenate(([True], kind[1:] != kind[:-1], [True]))
+    change[bounds] = True
+    solid = kind > 0
+    return np.flatnonzero(change[:-1] & solid), np.flatnonzero(change[1:] & solid) + 1
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span with A-Z in lower case."""
     sums = np.zeros(len(data) + 1, U64)
     np.cumsum(_BYTE[_LOWER[data]] * _power("up", len(data)), out=sums[1:])
     value = (sums[end] - sums[start]) * _power("down", len(data) + 1)[start]
-    doc = np.searchsorted(bounds, start, "right") - 1
-    return mix(value + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93)), doc, start, end
+    return mix(value + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
 def shingles(word: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
