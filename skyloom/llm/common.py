@@ -17,13 +17,16 @@ BLANKS = " \t\n\x0b\x0c\r"
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
 _SOLID = (~_SEPARATOR).astype(np.uint8)
+#: Letters, digits and bytes of other letters.
+WORD_BYTES = np.zeros(256, np.uint8)
+WORD_BYTES[48:58] = WORD_BYTES[65:91] = WORD_BYTES[97:123] = WORD_BYTES[128:] = 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 2**64, 256, dtype=U64)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 2**64)
-_TERM = _RNG.integers(0, 2**64, 64, dtype=U64) | U64(1)
+TERM = _RNG.integers(0, 2**64, 64, dtype=U64) | U64(1)
 #: Bytes of text that one numpy step works on; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
 
@@ -130,12 +133,12 @@ def shingles(word: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.
     at = np.flatnonzero(doc[: max(0, n - k + 1)] == doc[k - 1 :]) if n >= k else np.zeros(0, np.int64)
     value = np.zeros(len(at), U64)
     for j in range(k):
-        value += word[at + j] * _TERM[j]
+        value += word[at + j] * TERM[j]
     short = np.flatnonzero((count > 0) & (count < k))
     extra = np.zeros(len(short), U64)
     for j in range(k - 1):
         has = count[short] > j
-        extra[has] += word[begin[short[has]] + j] * _TERM[j]
+        extra[has] += word[begin[short[has]] + j] * TERM[j]
     extra += (count[short].astype(U64) + U64(1)) * U64(0xA0761D6478BD642F)
     owner, value = np.concatenate((doc[at], short)), mix(np.concatenate((value, extra)))
     order = np.lexsort((value, owner))

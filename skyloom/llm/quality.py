@@ -10,13 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _SEPARATOR, U64, Steps, mix, span_hash, spans, text_of
+from .common import _SEPARATOR, U64, WORD_BYTES, Steps, mix, span_hash, spans, text_of
 from .learning import share_of_ones, training_ids
 from .toxicity import scored
 
 #: Letters, digits and bytes of other letters are one kind of run, other marks another.
-_KIND = np.where(_SEPARATOR, 0, 2).astype(np.uint8)
-_KIND[48:58] = _KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
+_KIND = np.where(_SEPARATOR, 0, 2 - WORD_BYTES).astype(np.uint8)
 _UPPER, _DIGIT = np.zeros(256, np.int64), np.zeros(256, np.int64)
 _UPPER[65:91] = 1
 _DIGIT[48:58] = 1

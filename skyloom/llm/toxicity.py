@@ -115,11 +115,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remaind
     def bags(batches):
         for batch in batches:
             b, c = features(batch.column(2), s)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(b, pa.list_(pa.int32())), pa.array(c, pa.list_(pa.float32()))], ["doc_id", "y", "b", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in b], pa.binary()), pa.array([x.tobytes() for x in c], pa.binary())], ["doc_id", "y", "b", "c"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")  # 2 * per_class ids at most
-    return rows.mapInArrow(bags, "doc_id long, y int, b array<int>, c array<float>").toPandas().sort_values("doc_id", kind="stable")
+    return rows.mapInArrow(bags, "doc_id long, y int, b binary, c binary").toPandas().sort_values("doc_id", kind="stable")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, modulus: int = 3, remainder: int = 1, threshold: float = 0.7) -> DataFrame:
@@ -132,7 +132,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None
     """
     s = settings or Settings()
     rows = sample(docs, labels, "toxic", modulus, remainder, s)
-    weights, bias = train(list(rows["b"]), list(rows["c"]), rows["y"].to_numpy(np.int64), s)
+    weights, bias = train([np.frombuffer(b, np.int32) for b in rows["b"]], [np.frombuffer(c, np.float32) for c in rows["c"]], rows["y"].to_numpy(np.int64), s)
     return scored(docs, lambda texts: score(texts, weights, bias, s), modulus, remainder, threshold)
 
 
