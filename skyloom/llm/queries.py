@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, licenses, near_dedup, packing, quality, sharding, token_counts, toxicity
+from . import decontaminate, exact_dedup, language_model, licenses, near_dedup, packing, quality, sharding, token_counts, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op5_lm_scoring": language_model.op5_lm_scoring,
     "op6_quality": quality.op6_quality,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
-SQL = {"op3_minhash_near_dedup": near_dedup.SQL, "op9_license_scan": licenses.SQL, "op10_exact_dedup": exact_dedup.SQL}
+SQL = {"op5_lm_scoring": language_model.SQL, "op3_minhash_near_dedup": near_dedup.SQL, "op9_license_scan": licenses.SQL, "op10_exact_dedup": exact_dedup.SQL}
