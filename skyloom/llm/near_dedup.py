@@ -8,7 +8,9 @@ agree in enough coordinates, and confirmed on their full shingle sets.
 
 Within a list only links matter, not all pairs: every member meets the list's hub (the member whose values are most
 widely shared), links are confirmed and contracted to components, and then only members of different components
-meet. A group of near copies so costs one pair per member.
+meet. A group of near copies so costs one pair per member. For the last step the members of lists that still hold
+several components are joined on the rarest of their shingles, with the bounds that a common shingle's place in both
+orders sets on the overlap: sets that are near a hub but not near enough for a link then meet almost none.
 """
 
 from __future__ import annotations
@@ -126,8 +128,7 @@ def near_duplicates(
     links = staged(_confirmed(tried, docs, k, percent), "star-links")
     labels = connected_components(links)
 
-    rest = _across(posted, labels).join(tried, ["a", "b"], "left_anti")
-    more = staged(_agreeing(rest, reps, need), "cross-pairs")
+    more = staged(_across(posted, labels, docs, k, percent).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
     links = links.union(_confirmed(more, docs, k, percent))
     labels = connected_components(links)
 
@@ -172,13 +173,44 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return both.select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
 
 
-def _across(posted: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of members of one list that are in different components so far."""
+def _across(posted: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs in different components so far that may be similar enough, of the sets in lists that hold several.
+
+    Sets of the wanted similarity share a shingle within the first n - ceil(percent n / 100) + 1 of each in any common
+    order; the order is by how many of these sets have the shingle, rarest first. Shingles of one set alone come first
+    and are not posted. Where the first common shingle has p and q shingles before it, the overlap is at most
+    min(n - p, m - q).
+    """
     known = posted.join(labels, posted.rep == labels.id, "left").select("tok", "rep", F.coalesce("component", "rep").alias("c"))
     mixed = known.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("tok")
-    known = staged(known.join(mixed, "tok"), "mixed")
-    other = known.select("tok", F.col("rep").alias("b"), F.col("c").alias("d"))
-    return known.withColumnRenamed("rep", "a").join(other, "tok").where("a < b and c <> d").select("a", "b").distinct()
+    open_ = staged(known.join(mixed, "tok").select("rep", "c").distinct(), "open")
+    few = open_.count() <= BROADCAST_IDS
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text")).join(F.broadcast(open_) if few else open_, "rep")
+
+    def sets(batches):
+        for batch in batches:
+            ids, labels_ = (batch.column(n).to_numpy(zero_copy_only=False) for n in (0, 1))
+            for first, _, data, bounds in Steps(batch.column(2)):
+                word, doc, _, _ = words(data, bounds)
+                owner, value = shingles(word, doc, k)
+                start, size = runs(owner)
+                own = owner[start] + first
+                lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate((start, [len(value)]))), pa.array(value.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(labels_[own]), pa.array(size), lists.cast(pa.list_(pa.int64()))], ["rep", "c", "n", "s"])
+
+    rows = texts.select("rep", "c", "text").mapInArrow(sets, "rep long, c long, n long, s array<long>").dropDuplicates(["rep"])
+    rows = staged(rows.select("rep", "c", "n", F.explode("s").alias("s")), "open-sets")
+    common = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    ordered = rows.join(common, "s").groupBy("rep", "c", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("t"))  # a text's length
+    alone = F.col("n") - F.size("t")
+    posts = ordered.withColumn("alone", alone).select("rep", "c", "n", "alone", F.posexplode("t").alias("j", "t"))
+    place = F.col("alone") + F.col("j")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    posts = posts.where(place < prefix).select(F.col("t.s").alias("s"), "rep", "c", "n", place.alias("p"))
+    one, two = (posts.select("s", *[F.col(x).alias(y) for x, y in zip(("rep", "c", "n", "p"), names)]) for names in (("a", "ca", "na", "pa"), ("b", "cb", "nb", "pb")))
+    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    may = (100 + percent) * most >= percent * (F.col("na") + F.col("nb"))
+    return one.join(two, "s").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may).select("a", "b").distinct()
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
