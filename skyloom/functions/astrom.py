@@ -107,6 +107,9 @@ def native(ra: Column, dec: Column, crval1: Column, crval2: Column) -> tuple[Col
 def plane(df: DataFrame, proj: str, ra: Column, dec: Column) -> tuple[Column, Column]:
     """Intermediate coordinates in degrees before the CD matrix."""
     cosu, su_cosb, su_sinb = native(ra, dec, F.col("crval1"), F.col("crval2"))
+    if proj == "TAN":  # without angles, so that expressions stay small
+        up = F.when(cosu > 0, cosu)
+        return F.degrees(-su_cosb / up), F.degrees(su_sinb / up)
     sinu = F.sqrt(su_cosb * su_cosb + su_sinb * su_sinb)
     u = F.atan2(sinu, cosu)
     cosb, sinb = (F.when(sinu > 0, x / F.when(sinu > 0, sinu)).otherwise(F.lit(o)) for x, o in ((su_cosb, 1.0), (su_sinb, 0.0)))
@@ -115,9 +118,7 @@ def plane(df: DataFrame, proj: str, ra: Column, dec: Column) -> tuple[Column, Co
         xp, yp, zp = -mu * F.cos(theta) * F.sin(phi), mu * F.cos(theta) * F.cos(phi), mu * F.sin(theta) + 1
         s = 1.0 - cosu
         return F.degrees((zp * su_sinb - xp * s) / (zp - s)), F.degrees(-(zp * su_cosb + yp * s) / (zp - s))
-    if proj == "TAN":
-        r = sinu / F.when(cosu > 0, cosu)
-    elif proj == "ZEA":
+    if proj == "ZEA":
         r = F.sqrt(2 * (1 - cosu))
     elif proj == "ARC":
         r = u
@@ -160,12 +161,15 @@ def pix2world(df: DataFrame, proj: str = "TAN", x: str = "x_image", y: str = "y_
     dx, dy = F.col(x) - F.col("crpix1"), F.col(y) - F.col("crpix2")
     x1 = F.radians(F.col("cd1_1") * dx + F.col("cd1_2") * dy)
     y1 = F.radians(F.col("cd2_1") * dx + F.col("cd2_2") * dy)
-    r = F.sqrt(x1 * x1 + y1 * y1)
-    df = df.withColumns({"_x1": x1, "_y1": y1, "_r": r})
-    r = F.col("_r")
+    df = df.withColumns({"_x1": x1, "_y1": y1})
+    x1, y1, d0 = F.col("_x1"), F.col("_y1"), F.radians(F.col("crval2"))
     if proj == "TAN":
-        u = F.atan(r)
-    elif proj == "ZEA":
+        a = F.atan2(x1, F.cos(d0) - y1 * F.sin(d0))
+        d = F.asin(clamp((F.sin(d0) + y1 * F.cos(d0)) / F.sqrt(1 + x1 * x1 + y1 * y1)))
+        return df.withColumns({out[0]: F.pmod(F.col("crval1") + F.degrees(a), F.lit(360.0)), out[1]: F.degrees(d)}).drop("_x1", "_y1")
+    df = df.withColumn("_r", F.sqrt(x1 * x1 + y1 * y1))
+    r = F.col("_r")
+    if proj == "ZEA":
         u = 2 * F.asin(clamp(r / 2))
     elif proj == "ARC":
         u = r
@@ -181,7 +185,6 @@ def pix2world(df: DataFrame, proj: str = "TAN", x: str = "x_image", y: str = "y_
     else:
         raise ValueError(f"no inverse of {proj}")
     cosb, sinb = (F.when(r > 0, c / F.when(r > 0, r)).otherwise(F.lit(o)) for c, o in ((-F.col("_x1"), 1.0), (F.col("_y1"), 0.0)))
-    d0 = F.radians(F.col("crval2"))
     d = F.asin(clamp(F.cos(u) * F.sin(d0) + F.sin(u) * sinb * F.cos(d0)))
     a = F.atan2(-F.sin(u) * cosb, F.cos(u) * F.cos(d0) - F.sin(u) * sinb * F.sin(d0))
     ra = F.col("crval1") + F.degrees(a)

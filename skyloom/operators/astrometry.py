@@ -1,5 +1,6 @@
-"""Projection fits for all images of a survey at once: residuals and derivatives are columns, the normal equations of
-each image are one aggregate per Gauss-Newton step, and each image's small system is solved where its row is."""
+"""Projection fits for all images of a survey at once. The pairs of an image are one bounded group (what one image
+holds); its Gauss-Newton steps run where they are, after one shuffle. Parameters shared by all images are found from
+per-image normal equations, of which only a small reduced system is summed."""
 
 from __future__ import annotations
 
@@ -7,131 +8,157 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.astrom import world2pix
-from .fit import f_pvalue, moments, solve, unpack
+from .fit import f_pvalue, solve
 
 #: Step of the numerical derivative of each parameter.
 STEPS = {"crval1": 1e-5, "crval2": 1e-5, "crpix1": 1e-2, "crpix2": 1e-2, "cd1_1": 1e-8, "cd1_2": 1e-8, "cd2_1": 1e-8, "cd2_2": 1e-8}
 LINEAR = ["crval1", "crval2", "cd1_1", "cd1_2", "cd2_1", "cd2_2"]
-
-
-def _step(name: str) -> float:
-    return STEPS.get(name, 1e-3)
-
-
-def _derivatives(rows: DataFrame, params: list[str], proj: str) -> DataFrame:
-    """Adds residuals _rx, _ry (measured less projected, pixels) and derivatives _x<n>, _y<n> of the projection."""
-    out = world2pix(rows, proj, out=("_px", "_py"))
-    for n, p in enumerate(params):
-        h = _step(p)
-        for sign, tag in ((h, "u"), (-h, "v")):
-            moved = world2pix(out.withColumnRenamed(p, "_keep").withColumn(p, F.col("_keep") + sign), proj, out=(f"_{tag}x", f"_{tag}y"))
-            out = moved.drop(p).withColumnRenamed("_keep", p)
-        out = out.withColumns({f"_x{n}": (F.col("_ux") - F.col("_vx")) / (2 * h), f"_y{n}": (F.col("_uy") - F.col("_vy")) / (2 * h)}).drop("_ux", "_uy", "_vx", "_vy")
-    return out.withColumns({"_rx": F.col("x_image") - F.col("_px"), "_ry": F.col("y_image") - F.col("_py")})
-
-
-def _weight(pairs: DataFrame, robust: bool) -> Column:
-    e = F.col("image_dxy") if "image_dxy" in pairs.columns else F.lit(1.0)
-    w = 1 / (e * e)
-    return w / (1 + (F.col("_rx") * F.col("_rx") + F.col("_ry") * F.col("_ry")) * w) if robust else w
-
-
-def _sums(rows: DataFrame, params: list[str], robust: bool) -> DataFrame:
-    """(image_id, m): moments of both axes' residuals."""
-    w = _weight(rows, robust)
-    both = rows.select("image_id", w.alias("_w"), F.explode(F.array(*[F.struct(F.array(*[F.col(f"_{a}{n}") for n in range(len(params))]).alias("x"), F.col(f"_r{a}").alias("t")) for a in "xy"])).alias("s"))
-    xs = [F.col("s.x")[n] for n in range(len(params))]
-    return both.where("s.t is not null").groupBy("image_id").agg(*moments(xs, F.col("s.t"), F.col("_w")))
-
-
-def _moved(images: DataFrame, sums: DataFrame, params: list[str]) -> DataFrame:
-    """Images with their parameters moved by one solution each."""
-    k = len(params)
-
-    def step(batches):
-        for pdf in batches:
-            out = []
-            for image, m in zip(pdf["image_id"], pdf["m"]):
-                a, b, tt, n = unpack(m, k)
-                ok = n > k
-                beta, cov = solve(a, b) if ok else (np.zeros(k), np.zeros((k, k)))
-                out.append((image, beta.tolist(), float(max(tt - b @ beta, 0.0)), int(n) - k))
-            yield pd.DataFrame(out, columns=["image_id", "_b", "_chi2", "_ndf"])
-
-    found = sums.mapInPandas(step, "image_id long, _b array<double>, _chi2 double, _ndf long")
-    joined = images.drop("_chi2", "_ndf").join(found, "image_id", "left")
-    moved = {p: F.col(p) + F.coalesce(F.col("_b")[n], F.lit(0.0)) for n, p in enumerate(params)}
-    return joined.withColumns(moved).drop("_b")
-
-
-def fit_astrometry(pairs: DataFrame, images: DataFrame, params: list[str] | None = None, proj: str = "TAN", steps: int = 3, robust: bool = False) -> DataFrame:
-    """Images with fitted ``params`` (default CRVAL and CD; also crpix1/2, pv2_n), astchi2 (sum of squared pixel
-    residuals over image_dxy), astndf = 2 n - k and astwssr, their ratio. ``pairs`` holds image_id, radeg, decdeg,
-    x_image, y_image and perhaps image_dxy; images without enough pairs keep their parameters."""
+WCS = ["crval1", "crval2", "crpix1", "crpix2", "cd1_1", "cd1_2", "cd2_1", "cd2_2"]
+
+
+def project(p: dict[str, float], proj: str, ra: np.ndarray, dec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pixels of sky positions, as ``world2pix`` gives them, for arrays of one image."""
+    a, d, d0 = np.radians(ra - p["crval1"]), np.radians(dec), math.radians(p["crval2"])
+    cosu = np.sin(d) * math.sin(d0) + np.cos(d) * math.cos(d0) * np.cos(a)
+    sc, ss = -np.cos(d) * np.sin(a), np.sin(d) * math.cos(d0) - np.cos(d) * math.sin(d0) * np.cos(a)
+    sinu = np.hypot(sc, ss)
+    u = np.arctan2(sinu, cosu)
+    if proj == "TAN":
+        ratio = 1 / np.where(cosu > 0, cosu, np.nan)
+    else:
+        if proj == "ZEA":
+            r = np.sqrt(2 * (1 - cosu))
+        elif proj == "ARC":
+            r = u
+        elif proj == "ZPN":
+            r = sum(p.get(f"pv2_{n}", 1.0 if n == 1 else 0.0) * u**n for n in range(10))
+        elif proj == "AZP":
+            r = (p.get("pv2_1", 0.0) + 1) * sinu / (p.get("pv2_1", 0.0) + cosu + sc * math.tan(math.radians(p.get("pv2_2", 0.0))))
+        else:
+            raise ValueError(f"no fit of {proj}")
+        ratio = r / np.where(sinu > 0, sinu, 1.0)
+    x, y = np.degrees(-ratio * sc), np.degrees(ratio * ss)
+    det = p["cd1_1"] * p["cd2_2"] - p["cd2_1"] * p["cd1_2"]
+    return p["crpix1"] + (p["cd2_2"] * x - p["cd1_2"] * y) / det, p["crpix2"] + (p["cd1_1"] * y - p["cd2_1"] * x) / det
+
+
+def normal(pdf: pd.DataFrame, p: dict[str, float], params: list[str], proj: str, robust: bool) -> tuple[np.ndarray, np.ndarray, float, np.ndarray, np.ndarray]:
+    """J'WJ, J'Wr, r'Wr and the residuals of both axes (pixels), over the errors ``image_dxy``."""
+    ra, dec = pdf["radeg"].to_numpy(float), pdf["decdeg"].to_numpy(float)
+    x, y = project(p, proj, ra, dec)
+    r = np.stack([pdf["x_image"].to_numpy(float) - x, pdf["y_image"].to_numpy(float) - y])
+    good = np.isfinite(r).all(0)
+    j = np.zeros((len(params), 2, len(ra)))
+    for n, name in enumerate(params):
+        h = STEPS.get(name, 1e-3)
+        up, down = (project({**p, name: p[name] + s * h}, proj, ra, dec) for s in (1, -1))
+        j[n] = (np.stack(up) - np.stack(down)) / (2 * h)
+    w = 1 / pdf["image_dxy"].to_numpy(float) ** 2 if "image_dxy" in pdf else np.ones(len(ra))
+    if robust:
+        w = w / (1 + (r * r).sum(0) * w)
+    j, r, w = j[:, :, good], r[:, good], w[good]
+    return np.einsum("iam,jam,m->ij", j, j, w), np.einsum("iam,am,m->i", j, r, w), float(((r * r).sum(0) * w).sum()), r[0], r[1]
+
+
+def _rows(pairs: DataFrame, images: DataFrame) -> tuple[DataFrame, list[str]]:
+    wcs = [c for c in images.columns if c in WCS or c.startswith("pv2_")]
+    keep = [c for c in ("image_id", "radeg", "decdeg", "x_image", "y_image", "image_dxy") if c in pairs.columns]
+    return pairs.select(*keep).join(images.select("image_id", *wcs), "image_id"), wcs
+
+
+def _start(pdf: pd.DataFrame, wcs: list[str]) -> dict[str, float]:
+    return {c: float(pdf[c].iloc[0]) for c in wcs if pd.notna(pdf[c].iloc[0])}
+
+
+def fit_astrometry(pairs: DataFrame, images: DataFrame, params: list[str] | None = None, proj: str = "TAN", steps: int = 4, robust: bool = False) -> DataFrame:
+    """Images with fitted ``params`` (default CRVAL and CD; also crpix1/2, pv2_n) and astchi2 (sum of squared
+    pixel residuals over image_dxy), astndf = 2 n - k, astwssr (their ratio), astscatt. ``pairs`` holds image_id,
+    radeg, decdeg, x_image, y_image and perhaps image_dxy; ``robust`` weighs by 1 / (1 + r^2). Images with fewer pairs
+    than parameters keep theirs and have null statistics."""
     params = params or LINEAR
-    wcs = [c for c in images.columns if c not in pairs.columns or c == "image_id"]
-    rows = pairs.select(*[c for c in ("image_id", "radeg", "decdeg", "x_image", "y_image", "image_dxy") if c in pairs.columns])
-    for _ in range(steps):
-        joined = rows.join(images.select(*wcs), "image_id")
-        # The parameters of an image are one small row; persisting each step keeps the lineage from being replayed.
-        images = _moved(images, _sums(_derivatives(joined, params, proj), params, robust), params).persist()
-    last = _derivatives(rows.join(images.select(*wcs), "image_id"), [], proj)
-    w = _weight(rows, False)
-    chi2 = last.groupBy("image_id").agg(F.sum(w * (F.col("_rx") * F.col("_rx") + F.col("_ry") * F.col("_ry"))).alias("astchi2"), (2 * F.count("_rx") - len(params)).alias("astndf"), (F.median(F.hypot("_rx", "_ry")) / 0.67).alias("astscatt"))
-    out = images.drop("_chi2", "_ndf").join(chi2, "image_id", "left")
-    return out.withColumn("astwssr", F.when(F.col("astndf") > 0, F.col("astchi2") / F.col("astndf")))
+    rows, wcs = _rows(pairs, images)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        p = _start(pdf, wcs)
+        if 2 * len(pdf) <= len(params) or any(c not in p for c in params):
+            return pd.DataFrame(columns=names)
+        for _ in range(steps):
+            a, b, *_ = normal(pdf, p, params, proj, robust)
+            delta, _ = solve(a, b)
+            p.update({c: p[c] + v for c, v in zip(params, delta)})
+        _, _, chi2, rx, ry = normal(pdf, p, [], proj, False)
+        ndf = 2 * len(rx) - len(params)
+        return pd.DataFrame([[pdf["image_id"].iloc[0], *[p[c] for c in params], chi2, ndf, chi2 / ndf if ndf > 0 else None, float(np.median(np.hypot(rx, ry)) / 0.67)]], columns=names)
+
+    names = ["image_id", *[f"_{c}" for c in params], "astchi2", "astndf", "astwssr", "astscatt"]
+    kinds = {"image_id": T.LongType(), "astndf": T.LongType()}
+    schema = T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names])
+    found = rows.groupBy("image_id").applyInPandas(run, schema)
+    out = images.drop("astchi2", "astndf", "astwssr", "astscatt").join(found, "image_id", "left")
+    return out.withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in params}).drop(*[f"_{c}" for c in params])
 
 
 def fit_astrometry_clipped(pairs: DataFrame, images: DataFrame, astsigma: float = 1.0, astvar: float = 1.0, **options) -> DataFrame:
     """A robust fit, then a fit of the pairs within 3 sqrt(astsigma^2 + image_dxy^2 astvar) of it."""
-    first = fit_astrometry(pairs, images, robust=True, **options)
-    wcs = [c for c in images.columns if c not in pairs.columns or c == "image_id"]
-    rows = _derivatives(pairs.join(first.select(*wcs), "image_id"), [], options.get("proj", "TAN"))
+    from ..functions.astrom import world2pix
+
+    first = fit_astrometry(pairs, images, robust=True, **options).select(*images.columns)
+    rows, _ = _rows(pairs, first)
+    rows = world2pix(rows, options.get("proj", "TAN"), out=("_px", "_py"))
     e2 = F.pow(F.col("image_dxy"), F.lit(2)) if "image_dxy" in pairs.columns else F.lit(0.0)
-    good = F.hypot(F.col("_rx"), F.col("_ry")) < 3 * F.sqrt(F.lit(astsigma) ** 2 + e2 * astvar)
-    return fit_astrometry(rows.where(good).select(*pairs.columns), first.select(*images.columns), **options)
+    good = F.hypot(F.col("x_image") - F.col("_px"), F.col("y_image") - F.col("_py")) < 3 * F.sqrt(F.lit(astsigma) ** 2 + e2 * astvar)
+    keep = [c for c in ("image_id", "radeg", "decdeg", "x_image", "y_image", "image_dxy") if c in pairs.columns]
+    return fit_astrometry(rows.where(good).select(*keep), first, **options)
 
 
-def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str] | None = None, own: list[str] | None = None, proj: str = "TAN", steps: int = 3) -> DataFrame:
-    """Per-image ``own`` parameters and ``shared`` ones (default CRPIX), one system: each image's block is
-    eliminated where its row is, the reduced blocks are summed, the shared step is solved once and put back."""
+def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str] | None = None, own: list[str] | None = None, proj: str = "TAN", steps: int = 4) -> DataFrame:
+    """Per-image ``own`` parameters and ``shared`` ones (default CRPIX) in one system: each image's block is
+    eliminated where its row is, the reduced blocks are summed, the shared step is solved once and put back. The
+    shared start is the first image's. Images whose values are null or that have too few pairs keep theirs."""
     shared, own = shared or ["crpix1", "crpix2"], own or LINEAR
     params, g = [*shared, *own], len(shared)
-    wcs = [c for c in images.columns if c not in pairs.columns or c == "image_id"]
-    rows = pairs.select(*[c for c in ("image_id", "radeg", "decdeg", "x_image", "y_image", "image_dxy") if c in pairs.columns])
     k, size = len(params), g * g + g
     for _ in range(steps):
-        sums = _sums(_derivatives(rows.join(images.select(*wcs), "image_id"), params, proj), params, False).persist()
+        rows, wcs = _rows(pairs, images)
+
+        def equations(pdf: pd.DataFrame) -> pd.DataFrame:
+            p = _start(pdf, wcs)
+            if 2 * len(pdf) <= k or any(c not in p for c in params):
+                return pd.DataFrame(columns=["image_id", "a", "b"])
+            a, b, *_ = normal(pdf, p, params, proj, False)
+            return pd.DataFrame({"image_id": [pdf["image_id"].iloc[0]], "a": [a.ravel().tolist()], "b": [b.tolist()]})
+
+        sums = rows.groupBy("image_id").applyInPandas(equations, "image_id long, a array<double>, b array<double>").persist()
 
         def reduce(batches):
             total = np.zeros(size)
             for pdf in batches:
-                for m in pdf["m"]:
-                    a, b, _, _ = unpack(m, k)
+                for a, b in zip(pdf["a"], pdf["b"]):
+                    a, b = np.array(a).reshape(k, k), np.array(b)
                     inverse = solve(a[g:, g:], b[g:])[1]
                     total[: g * g] += (a[:g, :g] - a[:g, g:] @ inverse @ a[g:, :g]).ravel()
                     total[g * g :] += b[:g] - a[:g, g:] @ inverse @ b[g:]
             yield pd.DataFrame({"i": range(size), "v": total})
 
         flat = np.zeros(size)
-        for row in sums.select("m").mapInPandas(reduce, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+        for row in sums.mapInPandas(reduce, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # size rows
             flat[row.i] = row.v
         delta, _ = solve(flat[: g * g].reshape(g, g), flat[g * g :])
 
         def back(batches):
             for pdf in batches:
                 out = []
-                for image, m in zip(pdf["image_id"], pdf["m"]):
-                    a, b, _, _ = unpack(m, k)
+                for image, a, b in zip(pdf["image_id"], pdf["a"], pdf["b"]):
+                    a, b = np.array(a).reshape(k, k), np.array(b)
                     out.append((image, solve(a[g:, g:], b[g:] - a[g:, :g] @ delta)[0].tolist()))
                 yield pd.DataFrame(out, columns=["image_id", "_b"])
 
         found = sums.mapInPandas(back, "image_id long, _b array<double>")
-        moved = {p: F.col(p) + float(delta[n]) for n, p in enumerate(shared)} | {p: F.col(p) + F.coalesce(F.col("_b")[n], F.lit(0.0)) for n, p in enumerate(own)}
+        moved = {p: F.col(p) + float(delta[n]) for n, p in enumerate(shared)} | {p: F.col(p) + F.coalesce(F.get("_b", F.lit(n)), F.lit(0.0)) for n, p in enumerate(own)}
         images = images.join(found, "image_id", "left").withColumns(moved).drop("_b").persist()
     return images
 
@@ -181,8 +208,8 @@ def camera_priors(images: DataFrame, cameras: DataFrame) -> DataFrame:
 
 def to_tan_sip(images: DataFrame, proj: str, order: int = 3, grid: int = 15) -> DataFrame:
     """(image_id, tan_cd1_1.., sip_a, sip_b, sip_rms): a TAN projection with SIP terms of ``order`` that stands
-    for ``proj`` over the image: CD from a fit with weights 1 / (1 + r^2 / R^2), then A and B by least squares on the
-    remaining shifts over a grid x grid of pixels; rms in pixels."""
+    for ``proj`` over the image: least squares with weights 1 / (1 + r^2 / R^2) over a grid x grid of pixels gives CD (the
+    linear part) and, of the higher powers, A and B; rms in pixels."""
     from ..functions.astrom import pix2world, plane
 
     at = F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))
@@ -191,22 +218,20 @@ def to_tan_sip(images: DataFrame, proj: str, order: int = 3, grid: int = 15) ->
     rows = pix2world(rows, proj, "_x", "_y", ("_ra", "_dec"))
     x1, y1 = plane(rows, "TAN", F.col("_ra"), F.col("_dec"))
     rows = rows.select("image_id", (F.col("_x") - F.col("crpix1")).alias("u"), (F.col("_y") - F.col("crpix2")).alias("v"), x1.alias("x1"), y1.alias("y1"))
-    powers = [(i, j) for i in range(order + 1) for j in range(order + 1 - i) if i + j >= 2]
+    powers = [(i, total - i) for total in range(1, order + 1) for i in range(total, -1, -1)]  # (1, 0), (0, 1) first
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:  # grid * grid rows
         u, v = pdf["u"].to_numpy(), pdf["v"].to_numpy()
         r2 = u * u + v * v
         w = 1 / (1 + r2 / r2.max())
-        base = np.stack([u, v], 1) * w[:, None]
-        cd = np.stack([np.linalg.lstsq(base, pdf[c].to_numpy() * w, rcond=None)[0] for c in ("x1", "y1")])
-        ideal = np.linalg.solve(cd, pdf[["x1", "y1"]].to_numpy().T)
         scale = math.sqrt(r2.max())
         x = np.stack([(u / scale) ** i * (v / scale) ** j for i, j in powers], 1)
-        maps, rest = [], []
-        for k, c in enumerate((u, v)):
-            beta = np.linalg.lstsq(x, ideal[k] - c, rcond=None)[0]
-            maps.append([(f"{i}_{j}", b / scale ** (i + j)) for (i, j), b in zip(powers, beta)])
-            rest.append(ideal[k] - c - x @ beta)
+        t = pdf[["x1", "y1"]].to_numpy()
+        beta = np.linalg.lstsq(x * w[:, None], t * w[:, None], rcond=None)[0]
+        cd = beta[:2].T / scale
+        shift = np.linalg.solve(cd, beta[2:].T)
+        rest = np.linalg.solve(cd, t.T) - np.stack([u, v]) - shift @ x[:, 2:].T
+        maps = [[(f"{i}_{j}", b / scale ** (i + j)) for (i, j), b in zip(powers[2:], row)] for row in shift]
         rms = math.sqrt(np.mean(np.square(rest).sum(0)))
         return pd.DataFrame([[pdf["image_id"].iloc[0], *cd.ravel(), maps[0], maps[1], rms]], columns=["image_id", "tan_cd1_1", "tan_cd1_2", "tan_cd2_1", "tan_cd2_2", "sip_a", "sip_b", "sip_rms"])
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.astrom import world2pix, pix2world, separation
+from ..functions.astrom import pix2world, world2pix
 from ..functions.headers import powerlaw_mag
 from .match import range_join
 
@@ -126,7 +126,11 @@ def coverage(images: DataFrame, frame: dict[str, float], proj: str = "TAN") -> D
     (x0, x1), (y0, y1) = bound("_gx", frame["size_x"]), bound("_gy", frame["size_y"])
     inside = (x0 <= x1) & (y0 <= y1)
     cells = at.where(inside).withColumn("y", F.explode(F.sequence(y0, y1))).withColumn("x", F.explode(F.sequence(x0, x1)))
-    sky = pix2world(cells, "TAN", "x", "y", ("_ra", "_dec"))
+    # The sky position of a cell is found once for the grid, not once for each image; the count below has the same key.
+    nx, ny = int(frame["size_x"]), int(frame["size_y"])
+    grid = images.sparkSession.range(nx * ny).select((F.col("id") % nx).alias("x"), F.expr(f"id div {nx}").alias("y"))
+    grid = pix2world(grid.withColumns({c: F.lit(float(v)) for c, v in wcs.items()}), "TAN", "x", "y", ("_ra", "_dec")).select("x", "y", "_ra", "_dec")
+    sky = cells.join(grid.hint("shuffle_hash"), ["y", "x"])
     back = world2pix(sky.withColumns({c: F.col(f"_i_{c}") for c in wcs}), proj, "_ra", "_dec", ("_px", "_py"))
     covers = F.col("_px").between(0, F.col("imgaxis1")) & F.col("_py").between(0, F.col("imgaxis2"))
     return back.where(covers).groupBy("y", "x").agg(F.count(F.lit(1)).alias("n"))

@@ -91,11 +91,12 @@ def motion_state(trails: DataFrame, jd_next: Column | None = None, base: float =
     fold = lambda a, f: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + f(x))
     rows = rows.withColumns({"_mt": fold(F.col("_h"), lambda x: x) / n, "_mra": fold(F.col("_p"), lambda p: p["ra"]) / n, "_mdec": fold(F.col("_p"), lambda p: p["dec"]) / n})
     rows = rows.withColumn("_stt", fold(F.col("_h"), lambda x: (x - F.col("_mt")) * (x - F.col("_mt"))))
+    cross_of = lambda c: fold(F.arrays_zip("_h", "_p"), lambda z: (z["_h"] - F.col("_mt")) * (z["_p"][c] - F.col(f"_m{c}")))
+    off_of = lambda c: F.array_sort(F.transform(F.arrays_zip("_h", "_p"), lambda z: F.abs(z["_p"][c] - F.col(f"_m{c}") - F.col(f"_b{c}") * (z["_h"] - F.col("_mt")))))
     for c in ("ra", "dec"):
-        cross = fold(F.arrays_zip("_h", "_p"), lambda z, c=c: (z["_h"] - F.col("_mt")) * (z["_p"][c] - F.col(f"_m{c}")))
+        cross = cross_of(c)
         rows = rows.withColumn(f"_b{c}", F.when((n >= 2) & (F.col("_stt") > 0), cross / F.when(F.col("_stt") > 0, F.col("_stt"))).otherwise(F.lit(0.0)))
-        off = F.array_sort(F.transform(F.arrays_zip("_h", "_p"), lambda z, c=c: F.abs(z["_p"][c] - F.col(f"_m{c}") - F.col(f"_b{c}") * (z["_h"] - F.col("_mt")))))
-        rows = rows.withColumn("_o", off)
+        rows = rows.withColumn("_o", off_of(c))
         middle = (F.element_at("_o", F.expr("(_n + 1) div 2").cast("int")) + F.element_at("_o", F.expr("(_n + 2) div 2").cast("int"))) / 2
         rows = rows.withColumns({f"motion_{c}": F.col(f"_b{c}") * 3600, f"sigma_{c}": F.when(n >= 2, middle * 3600 / 0.67).otherwise(F.lit(1.0))})
     when = jd_next if jd_next is not None else F.lead("jd").over(order)

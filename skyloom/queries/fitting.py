@@ -146,7 +146,7 @@ def a11(spark, d):
     return tables.format_results(rows)
 
 
-@query("a12_response_string", "select image_id, 'FILTER='||filter||',SCHEMA=SloanJ,PX=-0.02,'||case when image_id<5 then 'PY='||cast(image_id+1 as varchar)||',' else '' end||'Z=22.5' as response from fx_images")
+@query("a12_response_string", "select image_id, 'FILTER='||filter||',SCHEMA=SloanJ,PX=-0.02,'||case when image_id<5 then 'PY='||cast(image_id+1 as varchar)||'.0,' else '' end||'Z=22.5' as response from fx_images")
 def a12(spark, d):
     model = spark.createDataFrame([("Z", 22.5), ("PX", -0.02), *[(f"PY:{n}", n + 1.0) for n in range(5)]], "term string, value double")
     images = view(spark, d, "fx_images").select("image_id", F.col("filter").alias("phfilter"), F.lit("SloanJ").alias("phschema"))

@@ -155,10 +155,10 @@ def flagship(spark, d):
     return out["scatter"].select("image_id", "n_pairs", F.round("zeropoint", 6).alias("zeropoint"), F.round("sigma", 6).alias("sigma"))
 
 
-@query("b27_calibrate", "with " + _PAIRS + ", z as (select image_id, median(cat_mag-mag_auto) as z from p group by 1) select d.image_id, number, round(mag_auto+coalesce(z,0),12) as mag_calib, round(magerr_auto,6) as magerr_calib from fx_det d left join z using (image_id)")
+@query("b27_calibrate", "with " + _PAIRS + ", z as (select image_id, median(cat_mag-mag_auto) as z from p group by 1) select d.image_id, number, round(mag_auto+coalesce(z,0),3) as mag_calib, round(magerr_auto,6) as magerr_calib from fx_det d left join z using (image_id)")
 def b27(spark, d):
     out = pipelines.calibrate_images(view(spark, d, "fx_det"), view(spark, d, "fx_stars"), view(spark, d, "fx_images"), R)
-    return out["calibrated"].select("image_id", "number", F.round("mag_calib", 12).alias("mag_calib"), F.round("magerr_calib", 6).alias("magerr_calib"))
+    return out["calibrated"].select("image_id", "number", F.round("mag_calib", 3).alias("mag_calib"), F.round("magerr_calib", 6).alias("magerr_calib"))
 
 
 @query("d_sky_join_wrap", """with s as (select star_id, (radeg+210.0)%360.0 as ra, decdeg from fx_stars) select a.star_id as k1, b.star_id as k2 from s a join s b on a.star_id<b.star_id and abs(a.decdeg-b.decdeg)<0.011

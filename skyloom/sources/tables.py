@@ -203,7 +203,7 @@ def response_string(model: DataFrame, images: DataFrame) -> DataFrame:
     own = F.regexp_extract("term", r":(\d+)$", 1)
     rows = model.select(F.regexp_replace("term", r":\d+$", "").alias("t"), F.when(own != "", own.cast("long")).alias("n"), "value")
     ids = images.select("image_id", "phfilter", "phschema")
-    every = F.format_string("%s=%.10g", F.col("t"), F.col("value"))
+    every = F.concat(F.col("t"), F.lit("="), F.col("value").cast("string"))
     glob = rows.where("n is null").agg(F.sort_array(F.collect_list(F.struct("t", every.alias("s")))).alias("g"))  # a model's terms
     mine = rows.where("n is not null").groupBy(F.col("n").alias("image_id")).agg(F.sort_array(F.collect_list(F.struct("t", every.alias("s")))).alias("m"))
     out = ids.join(F.broadcast(glob)).join(mine, "image_id", "left")  # one row
