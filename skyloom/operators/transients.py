@@ -114,49 +114,66 @@ def motion_state(trails: DataFrame, jd_next: Column | None = None, base: float =
     return rows.drop(*[c for c in rows.columns if c.startswith("_")])
 
 
+class _Trails:
+    """Trails of one field as arrays: last position and time, motion (degrees per hour), its scatter (arcsec), number
+    of detections; a trail's last five detections renew its motion when one is added."""
+
+    def __init__(self, last: dict[int, list[tuple]]):
+        self.points = {k: list(v) for k, v in last.items()}
+        self.a = np.zeros((max(64, 2 * len(last)), 7))  # jd, ra, dec, motion ra, motion dec, scatter, detections
+        for k in self.points:
+            self._renew(k)
+
+    def _renew(self, k: int) -> None:
+        if k >= len(self.a):
+            self.a = np.concatenate((self.a, np.zeros((max(len(self.a), k + 1 - len(self.a)), 7))))
+        p = self.points[k]
+        row = self.a[k]
+        row[:] = p[-1][0], p[-1][1], p[-1][2], 0.0, 0.0, 0.0, len(p)
+        if len(p) >= 2 and p[-1][0] > p[0][0]:
+            v = np.array(p)
+            t = (v[:, 0] - v[0, 0]) * 24
+            t -= t.mean()
+            off = v[:, 1:] - v[:, 1:].mean(0)
+            slope = t @ off / (t @ t)
+            scatter = np.median(np.abs(off - t[:, None] * slope), axis=0) * 3600 / 0.67
+            row[3], row[4], row[5] = slope[0], slope[1], math.hypot(*scatter)
+
+    def add(self, k: int, point: tuple) -> None:
+        self.points[k] = [*self.points.get(k, []), point][-5:]
+        self._renew(k)
+
+
 def link_rows(pdf: pd.DataFrame, state: dict | None = None, base: float = 3.6, widest: float = 30.0) -> tuple[pd.DataFrame, dict]:
     """Links one field's candidates, in order of (jd, image_id, number), to trails; see ``link_trails``. ``state`` is
-    what an earlier call returned: next trail number, and per trail its detections so far (the last five)."""
+    what an earlier call returned: next trail number, newest jd, and the last five detections of each trail."""
     state = state or {"next": 0, "trails": {}, "jd": -math.inf}
     pdf = pdf.sort_values(["jd", "image_id", "number"], kind="stable")
+    trails, n = _Trails(state["trails"]), state["next"]
+    jd, image, ra, dec = (pdf[c].to_numpy() for c in ("jd", "image_id", "ra", "dec"))
     ids = np.zeros(len(pdf), np.int64)
-    at = 0
-    for (jd, _), image in pdf.groupby(["jd", "image_id"], sort=True):
-        trails = state["trails"]
-        keys = np.array(sorted(trails), np.int64)
-        ra, dec, radius = (np.zeros(len(keys)) for _ in range(3))
-        for i, k in enumerate(keys):  # predictions are made before any candidate of the image is assigned
-            last = trails[int(k)]
-            ra[i], dec[i], radius[i] = last[-1][1], last[-1][2], base
-            if len(last) >= 2:
-                t = (np.array([p[0] for p in last]) - last[0][0]) * 24
-                if np.ptp(t) > 0:
-                    gap, sigma = (jd - last[-1][0]) * 24, []
-                    for target, n in ((ra, 1), (dec, 2)):
-                        v = np.array([p[n] for p in last])
-                        slope = ((t - t.mean()) * (v - v.mean())).sum() / ((t - t.mean()) ** 2).sum()
-                        target[i] += slope * gap
-                        sigma.append(np.median(np.abs(v - v.mean() - slope * (t - t.mean()))) * 3600 / 0.67)
-                    radius[i] = min(base + math.hypot(*sigma) * gap, widest)
-        free = np.ones(len(keys), bool)
-        for x, y in zip(image["ra"], image["dec"]):
-            best = -1
-            if len(keys):
-                d = np.hypot((x - ra) * math.cos(math.radians(y)), y - dec) * 3600
-                d[~free | ~(d < radius)] = math.inf
-                best = int(np.argmin(d))
-                best = best if math.isfinite(d[best]) else -1
-            if best >= 0:
-                free[best], k = False, int(keys[best])
+    starts = np.flatnonzero(np.concatenate(([True], (jd[1:] != jd[:-1]) | (image[1:] != image[:-1])))) if len(pdf) else []
+    for first, end in zip(starts, [*starts[1:], len(pdf)]):
+        known = n  # predictions are made before any candidate of the image is assigned
+        a = trails.a[:known].copy()
+        gap = (jd[first] - a[:, 0]) * 24
+        x, y = a[:, 1] + a[:, 3] * gap, a[:, 2] + a[:, 4] * gap
+        radius = np.where(a[:, 6] >= 2, np.minimum(base + a[:, 5] * gap, widest), base)
+        for at in range(first, end):
+            k = -1
+            if known:
+                d = np.hypot((ra[at] - x) * math.cos(math.radians(dec[at])), dec[at] - y) * 3600
+                d[~(d < radius)] = math.inf
+                k = int(np.argmin(d))
+                k = k if math.isfinite(d[k]) else -1
+            if k >= 0:
+                radius[k] = -1.0  # taken
             else:
-                k = state["next"]
-                state["next"] += 1
-                trails[k] = []
-            trails[k] = [*trails[k], (jd, x, y)][-5:]
+                k, n = n, n + 1
+            trails.add(k, (float(jd[at]), float(ra[at]), float(dec[at])))
             ids[at] = k
-            at += 1
-        state["jd"] = jd
-    return pdf.assign(trail_id=ids), state
+    newest = float(jd[-1]) if len(pdf) else state["jd"]
+    return pdf.assign(trail_id=ids), {"next": n, "trails": trails.points, "jd": newest}
 
 
 def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0) -> DataFrame:
