@@ -1,7 +1,7 @@
 """Stupid-backoff scores of every document under the n-grams of all other documents, computed by joins.
 
 N-grams are hashed to 64 bits; the count table is partitioned by hash range. Rows of the exchanges are packed: one row
-holds the distinct n-grams that a chunk of documents (about ``chunk_bytes`` of text, dealt by a hash of the id) has in
+holds the distinct n-grams that a chunk of documents (about ``chunk_bytes`` of text, dealt by a hash of id and text) has in
 one range, sorted. So a frequent n-gram is one entry per chunk and not one per occurrence, no range is hot, and the
 rows are never more than the distinct n-grams of the chunks. Counts return to the chunk in the same order, and are
 summed per document there.
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import TERM, U64, Steps, mix, text_of, words
 
+#: Partitions that chunks are dealt to at most; a task works on its chunks one after another.
+MOST_PARTITIONS = 32_768
 _ORDER = [U64(i * 0xD1342543DE82EF95 % 2**64) for i in range(1, 9)]
 
 
@@ -73,13 +75,17 @@ def backoff_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, chunk_by
     Returns per row: doc_id, n_words, log_score (sum of natural logs), mean_log (null without words). Nulls: a null
     text has no words, log_score 0; a null id is scored as others are. Repeated rows are rows of their own (each sees
     its copies). Other columns are ignored. An empty table gives no rows.
+
+    Chunks are dealt by a hash of id and text, so that rows of a null or repeated id spread. Memory of a task is that
+    of one chunk or range (about ``chunk_bytes`` of text each), whatever the input. Exchanges have at most one row per
+    chunk and range: raise ``chunk_bytes`` with the input to keep those rows long (256 MB for 100 TB).
     """
     size, total = _size(docs)
     chunks = max(1, -(-size // chunk_bytes))
     ranges = chunks
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
-    rows = rows.repartition(chunks, "chunk")  # both uses below read this one exchange
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+    rows = rows.repartition(min(chunks, MOST_PARTITIONS), "chunk")  # both uses below read this one exchange
 
     def gather(table: pa.Table) -> pa.Table:
         hashes, _ = _grams(*_words(table["text"].combine_chunks()), order)
