@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TERM, U64, Steps, mix, text_of, words
+from .common import TERM, U64, Steps, mix, runs, text_of, words
 
 #: Partitions that chunks are dealt to at most; a task works on its chunks one after another.
 MOST_PARTITIONS = 32_768
+#: Words that scoring works on at once.
+BLOCK_WORDS = 1 << 18
 _ORDER = [U64(i * 0xD1342543DE82EF95 % 2**64) for i in range(1, 9)]
 
 
@@ -44,6 +46,45 @@ def _grams(word: np.ndarray, doc: np.ndarray, order: int) -> tuple[list[np.ndarr
     return hashes, ends
 
 
+def _distinct(word: np.ndarray, doc: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams' distinct hashes, sorted, and how often each occurs."""
+    value = np.concatenate(_grams(word, doc, order)[0])
+    value.sort()
+    start, count = runs(value)
+    return value[start], count
+
+
+def _others(hashes: np.ndarray, doc: np.ndarray, value: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of each occurrence of an n-gram: its count in all rows (``counts`` of the sorted ``value``) less that in its own.
+    Occurrences of one n-gram come in order of their documents."""
+    by = np.argsort(hashes, kind="stable")
+    h, d = hashes[by], doc[by]
+    gram = np.concatenate(([True], h[1:] != h[:-1]))
+    own = np.cumsum(gram | np.concatenate(([True], d[1:] != d[:-1]))) - 1
+    out = np.empty(len(h), np.int64)
+    out[by] = counts[np.searchsorted(value, h[gram])][np.cumsum(gram) - 1] - np.bincount(own)[own]
+    return out
+
+
+def _log_scores(word: np.ndarray, doc: np.ndarray, n_words: np.ndarray, total: int, value: np.ndarray, counts: np.ndarray, order: int, alpha: float) -> np.ndarray:
+    """Sum of the words' log scores of each document of a block."""
+    if not len(word):
+        return np.zeros(len(n_words))
+    hashes, ends = _grams(word, doc, order)
+    others = _others(np.concatenate(hashes), np.concatenate([doc[e] for e in ends]), value, counts)
+    c = np.split(others, np.cumsum([len(h) for h in hashes])[:-1])
+    rest = total - n_words[doc]
+    best = np.where(c[0] > 0, c[0] / np.maximum(rest, 1), alpha / (rest + 1.0))
+    for n in range(2, order + 1):
+        context, mine, has = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), np.zeros(len(word), bool)
+        context[ends[n - 2]] = c[n - 2]
+        mine[ends[n - 1]] = c[n - 1]
+        has[ends[n - 1]] = True
+        before = np.concatenate(([0], context[:-1]))
+        best = np.where(mine > 0, mine / np.maximum(before, 1), np.where(has, alpha * best, best))
+    return np.bincount(doc, weights=np.log(best), minlength=len(n_words))
+
+
 def _cuts(sorted_hashes: np.ndarray, ranges: int) -> np.ndarray:
     """Bounds of the hash ranges in the sorted hashes."""
     firsts = np.array([-(-(i << 32) // ranges) << 32 for i in range(1, ranges)], U64)
@@ -88,8 +129,7 @@ def backoff_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, chunk_by
     rows = rows.repartition(min(chunks, MOST_PARTITIONS), "chunk")  # both uses below read this one exchange
 
     def gather(table: pa.Table) -> pa.Table:
-        hashes, _ = _grams(*_words(table["text"].combine_chunks()), order)
-        value, count = np.unique(np.concatenate(hashes), return_counts=True)
+        value, count = _distinct(*_words(table["text"].combine_chunks()), order)
         cut = _cuts(value, ranges)
         own = [i for i in range(ranges) if cut[i] < cut[i + 1]]
         chunk = table["chunk"][0].as_py()
@@ -109,33 +149,21 @@ def backoff_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, chunk_by
         return pa.table({"chunk": table["chunk"], "range": table["range"], "c": pa.array(back, pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        n_docs = left.num_rows
         word, doc = _words(left["text"].combine_chunks())
-        out = np.zeros(n_docs)
-        n_words = np.bincount(doc, minlength=n_docs)
+        n_words = np.bincount(doc, minlength=left.num_rows)
+        out = np.zeros(len(n_words))
         if len(word):
-            hashes, ends = _grams(word, doc, order)
-            value, at = np.unique(np.concatenate(hashes), return_inverse=True)
-            parts = sorted(zip(right["range"].to_pylist(), right["c"].to_pylist()))
-            counts = np.concatenate([np.frombuffer(c, np.int64) for _, c in parts])
+            value, _ = _distinct(word, doc, order)
+            counts = np.concatenate([np.frombuffer(c, np.int64) for _, c in sorted(zip(right["range"].to_pylist(), right["c"].to_pylist()))])
             if len(counts) != len(value):
                 raise RuntimeError("counts of a chunk do not fit its n-grams")
-            owner = np.concatenate([doc[e] for e in ends])
-            _, pair, own = np.unique(owner * len(value) + at, return_inverse=True, return_counts=True)
-            others = counts[at] - own[pair]  # of each occurrence, in the rows that are not this one
-            c = np.split(others, np.cumsum([len(h) for h in hashes])[:-1])
-            rest = total - n_words[doc]
-            best = np.where(c[0] > 0, c[0] / np.maximum(rest, 1), alpha / (rest + 1.0))
-            for n in range(2, order + 1):
-                context = np.zeros(len(word), np.int64)
-                context[ends[n - 2]] = c[n - 2]
-                mine = np.zeros(len(word), np.int64)
-                mine[ends[n - 1]] = c[n - 1]
-                before = np.concatenate(([0], context[:-1]))
-                has = np.zeros(len(word), bool)
-                has[ends[n - 1]] = True
-                best = np.where(mine > 0, mine / np.maximum(before, 1), np.where(has, alpha * best, best))
-            out = np.bincount(doc, weights=np.log(best), minlength=n_docs)
+            begin = np.concatenate(([0], np.cumsum(n_words)))
+            first = 0
+            while first < len(n_words):  # blocks of documents; a longer document is a block of its own
+                end = max(first + 1, int(np.searchsorted(begin, begin[first] + BLOCK_WORDS, "right")) - 1)
+                own = slice(begin[first], begin[end])
+                out[first:end] = _log_scores(word[own], doc[own] - first, n_words[first:end], total, value, counts, order, alpha)
+                first = end
         mean = pa.array(out / np.maximum(n_words, 1), mask=n_words == 0)
         return pa.table({"doc_id": left["doc_id"], "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(out), "mean_log": mean})
 
