@@ -33,6 +33,28 @@ SENTENCES = {
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products": "bsd-names",
     "this source code form is subject to the terms of the mozilla public license v #": "mpl-line",
 }
+#: Whole sentences of the standard texts and their variants, as further keys of the same identifiers; ``*``
+#: stands for a name of up to ten words.
+WHOLE = {
+    "the asf licenses this file to you under the apache license version # the license": "apache-line",
+    "you may obtain a copy of the license at http www apache org licenses license #": "apache-copy",
+    "you may obtain a copy of the license at https www apache org licenses license #": "apache-copy",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction": "mit-grant",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": "mit-notice",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as-is",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and non infringement": "as-is",
+    "the software is provided as is without warranty of any kind": "as-is",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
+    "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "neither the name of * nor the names of its contributors may be used to endorse or promote products": "bsd-names",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version # of the license or at your option any later version": "gpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version # of the license": "gpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version # as published by the free software foundation": "gpl-terms",
+    "this source code form is subject to the terms of the mozilla public license version #": "mpl-line",
+}
 #: In order, the first rules win; (licence, identifiers that follow each other, takes a version).
 RULES = [
     ("Apache", ["apache-line", "apache-use", "apache-copy"], True),
@@ -51,31 +73,51 @@ RULES = [
     ("CC-BY", ["cc-by-line"], True),
     ("MPL", ["mpl-line"], True),
 ]
-#: A sentence without one of these is none of SENTENCES; it saves normalising all others.
+#: A sentence without one of these is none of SENTENCES or WHOLE; it saves normalising all other texts.
 CUE = "(?i)licen[sc]|copyright|permi|redistribut|software|cc by|cc-by"
 END = r"[.!?;:]+(\s|$)"
 NUMBER = "[0-9]+([.][0-9]+)*"
+#: A normalised text's number and name; its words are parted by a space or, where a line ends, by ``~``.
+_PART = {"#": "[0-9]+(?:_[0-9]+)*", "*": "[a-z0-9_]+(?:[ ~|][a-z0-9_]+){0,9}?[|]?"}
+#: The known sentences, longest first, so that a line that ends within one cuts nothing off it.
+_KNOWN = "|".join("[ ~]".join(_PART.get(w, w) for w in k.split()).replace("[|]?[ ~]", "[ ~|]") for k in sorted(SENTENCES | WHOLE, key=len, reverse=True))
+_NAME = "^neither the name of .+? nor "
+
+
+def _marked(text: Column) -> Column:
+    """Words and numbers (``2_0`` for 2.0) of a text in lower case, ``|`` between sentences and paragraphs and ``~``
+    where another line of a paragraph begins."""
+    t = F.translate(F.lower(text), "_|~#", "    ")
+    t = F.regexp_replace(t, r"\bv[.]\s+(?=[0-9])", "v ")
+    t = F.regexp_replace(t, "([0-9])[.](?=[0-9])", "$1_")
+    t = F.translate(F.regexp_replace(t, END, "|"), "\n", "~")
+    t = F.concat(F.lit("|"), F.regexp_replace(t, "[^a-z0-9_|~]+", " "), F.lit("|"))
+    t = F.regexp_replace(t, "[ ~|]*(?:[|]|~ ?~)[ ~|]*", "|")
+    return F.regexp_replace(t, " ?~ ?", "~")
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """Licences that each document states.
 
-    A sentence ends at a line's end or at one of ``. ! ? ; :`` before white space. Known sentences become identifiers
-    with their version; rules are tried in order on the sequence of a document's identifiers (other sentences may lie
-    between). Returns one row per document: doc_id, n_sentences (known ones, repeats included), identifiers and
-    licenses (comma-separated; licences in order of their rules, with the versions that their sentences state), or
-    null where there are none. Nulls: a null text has none. Repeated rows give a row each. Other columns are ignored.
-    An empty table gives no rows. It is one projection: no join and no shuffle.
+    A sentence ends at one of ``. ! ? ; :`` before white space (not in ``v. 2.0``) or at an empty line; it may end at
+    any other line's end, but a longer known one that goes on over the line's end counts first. Known sentences become
+    identifiers with their version; rules are tried in order on the sequence of a document's identifiers (other
+    sentences may lie between), and BSD-2-Clause only where a name clause does not follow. Returns one row per document:
+    doc_id, n_sentences (known ones, repeats included), identifiers and licenses (comma-separated; licences in order of
+    their rules, with the versions that their sentences state), or null where there are none. Nulls: a null text has
+    none. Repeated rows give a row each. Other columns are ignored. An empty table gives no rows. It is one projection:
+    no join and no shuffle.
     """
-    lookup = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    sentences = F.split(F.regexp_replace(text_of(), END, "\n"), "\n")
+    keys = {k.replace("neither the name of the copyright holder nor", "neither the name of * nor"): v for k, v in (SENTENCES | WHOLE).items()}
+    lookup = F.create_map(*[F.lit(x) for pair in keys.items() for x in pair])
+    sentences = F.regexp_extract_all(_marked(text_of()), F.lit(f"(?<=[|~])({_KNOWN})(?=[|~])"), F.lit(1))
 
     def known(s: Column) -> Column:
-        clean = F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), NUMBER, "#"), "[^a-z#]+", " "))
-        return F.struct(F.try_element_at(lookup, clean).alias("id"), F.regexp_extract(s, NUMBER, 0).alias("version"))
+        clean = F.regexp_replace(F.regexp_replace(F.translate(s, "~|", "  "), "[0-9]+(_[0-9]+)*", "#"), _NAME, "neither the name of * nor ")
+        return F.struct(F.try_element_at(lookup, clean).alias("id"), F.translate(F.regexp_extract(s, "[0-9]+(_[0-9]+)*", 0), "_", ".").alias("version"))
 
-    found = F.transform(F.filter(sentences, lambda s: s.rlike(CUE)), known)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(text_of().rlike(CUE), F.filter(found, lambda x: x["id"].isNotNull())).alias("found"))
+    found = F.filter(F.transform(sentences, known), lambda x: x["id"].isNotNull())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(text_of().rlike(CUE), found).alias("found"))
     rows = rows.withColumn("found", F.when(F.size("found") > 0, F.col("found")))
     ids = F.concat(F.lit(","), F.array_join(F.transform("found", lambda x: x["id"]), ","), F.lit(","))
 
@@ -84,7 +126,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         if versioned:
             first = F.filter("found", lambda x: x["id"] == sequence[0])
             plain = F.transform(first, lambda x: F.concat(F.lit(f"{name}-"), x["version"]))
-        return F.when(F.col("ids").contains(f",{','.join(sequence)},"), plain).otherwise(F.array().cast("array<string>"))
+        longer = [r[1][len(sequence)] for r in RULES if r[1][: len(sequence)] == sequence and len(r[1]) > len(sequence)] if len(sequence) > 1 else []
+        stop = "".join(f"(?!{x},)" for x in longer)
+        return F.when(F.col("ids").rlike(f",{','.join(sequence)},{stop}"), plain).otherwise(F.array().cast("array<string>"))
 
     rows = rows.withColumn("ids", ids)
     licenses = F.array_distinct(F.flatten(F.array(*[matched(*r) for r in RULES])))

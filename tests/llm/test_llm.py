@@ -228,6 +228,74 @@ def test_licenses(spark, odd):
     assert licenses.scan_licenses(odd).count() == odd.count() and licenses.scan_licenses(odd.limit(0)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_whole_license_texts(spark):
+    notices = {"MIT": MIT, "BSD-2-Clause": BSD2 + BSD_END, "GPL": GPL, "Apache-2.0": APACHE, "MPL-2.0": MPL}
+    cases = [*notices.items(), ("BSD-3-Clause", BSD2 + BSD_NAMES.format("the copyright holder") + BSD_END), ("BSD-3-Clause", BSD2 + BSD_NAMES.format("Google Inc.") + BSD_END)]
+    flat = lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n"))
+    forms = [lambda t: t, flat, lambda t: "".join(f"# {x}\n" for x in t.split("\n")), lambda t: "".join(f" * {x}\r\n" for x in t.split("\n")), lambda t: "A line without a stop\n" + t + "\nanother"]
+    want = [name for name, _ in cases for _ in forms] + ["MIT"]
+    texts = [f(t) for _, t in cases for f in forms] + ["no stop here\nReleased under the MIT License\nnor here"]
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs_of(spark, texts)).collect()}
+    assert [got[n] for n in range(len(texts))] == want
+
+
 def test_backoff_scores(spark, odd):
     texts = ["a b a b", "b a c", "", None, "d", "A  b a b"]
     got = {r.doc_id: r for r in language_model.backoff_scores(docs_of(spark, texts), order=3, chunk_bytes=6).collect()}
