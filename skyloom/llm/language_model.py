@@ -3,8 +3,9 @@
 N-grams are hashed to 64 bits; the count table is partitioned by hash range. Rows of the exchanges are packed: one row
 holds the distinct n-grams that a chunk of documents (about ``chunk_bytes`` of text, dealt by a hash of id and text) has in
 one range, sorted. So a frequent n-gram is one entry per chunk and not one per occurrence, no range is hot, and the
-rows are never more than the distinct n-grams of the chunks. Counts return to the chunk in the same order, and are
-summed per document there.
+rows are never more than the distinct n-grams of the chunks. What other chunks count returns to the chunk in the same
+order, and is added to its own counts there. Hashes travel as differences and all numbers as byte planes, so that high
+bytes, and the counts of n-grams that only one chunk has, are runs of zeros that the exchange's compression removes.
 """
 
 from __future__ import annotations
@@ -91,6 +92,16 @@ def _cuts(sorted_hashes: np.ndarray, ranges: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(sorted_hashes, firsts), [len(sorted_hashes)]))
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """The bytes of all numbers, first bytes first."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
 def _size(docs: DataFrame) -> tuple[int, int]:
     """Bytes and words of all texts."""
 
@@ -105,7 +116,7 @@ def _size(docs: DataFrame) -> tuple[int, int]:
     return row[0] or 0, row[1] or 0
 
 
-def backoff_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, chunk_bytes: int = 16 << 20) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_bytes: int = 16 << 20) -> DataFrame:
     """Stupid-backoff log score of each document, its own n-grams left out of the counts.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. With c the count in all rows less the count in this
@@ -133,19 +144,22 @@ def backoff_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, chunk_by
         cut = _cuts(value, ranges)
         own = [i for i in range(ranges) if cut[i] < cut[i + 1]]
         chunk = table["chunk"][0].as_py()
-        part = lambda x: pa.array([x[cut[i] : cut[i + 1]].tobytes() for i in own], pa.binary())
-        return pa.table({"range": pa.array(own, pa.int64()), "chunk": pa.array([chunk] * len(own), pa.int64()), "h": part(value), "n": part(count.astype(np.uint32))})
+        part = lambda x, f: pa.array([_pack(f(x[cut[i] : cut[i + 1]])) for i in own], pa.binary())
+        steps = lambda x: np.diff(x, prepend=U64(0))
+        h, n = part(value, steps), part(count.astype(np.uint32), lambda x: x)
+        return pa.table({"range": pa.array(own, pa.int64()), "chunk": pa.array([chunk] * len(own), pa.int64()), "h": h, "n": n})
 
     def count(table: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(h, U64) for h in table["h"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(n, np.uint32) for n in table["n"].to_pylist()])
+        lists = [np.cumsum(_unpack(h, U64), dtype=U64) for h in table["h"].to_pylist()]
+        own = [_unpack(n, np.uint32) for n in table["n"].to_pylist()]
+        counts = np.concatenate(own)
         every = np.concatenate(lists)
         order_ = np.argsort(every, kind="stable")
         value = every[order_]
         start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
         sums = np.add.reduceat(counts[order_].astype(np.int64), start)
         value = value[start]
-        back = [sums[np.searchsorted(value, x)].tobytes() for x in lists]
+        back = [_pack(sums[np.searchsorted(value, x)] - n) for x, n in zip(lists, own)]
         return pa.table({"chunk": table["chunk"], "range": table["range"], "c": pa.array(back, pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -153,10 +167,11 @@ def backoff_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, chunk_by
         n_words = np.bincount(doc, minlength=left.num_rows)
         out = np.zeros(len(n_words))
         if len(word):
-            value, _ = _distinct(word, doc, order)
-            counts = np.concatenate([np.frombuffer(c, np.int64) for _, c in sorted(zip(right["range"].to_pylist(), right["c"].to_pylist()))])
+            value, own_counts = _distinct(word, doc, order)
+            counts = np.concatenate([_unpack(c, np.int64) for _, c in sorted(zip(right["range"].to_pylist(), right["c"].to_pylist()))])
             if len(counts) != len(value):
                 raise RuntimeError("counts of a chunk do not fit its n-grams")
+            counts += own_counts
             begin = np.concatenate(([0], np.cumsum(n_words)))
             first = 0
             while first < len(n_words):  # blocks of documents; a longer document is a block of its own
@@ -172,8 +187,18 @@ def backoff_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, chunk_by
     return rows.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log double")
 
 
+def op5_lm_scoring_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: two levels of backing off. The SQL below is of order 2, so tests hold this against brute force."""
+    return _scores(spark, sf_dir, 3)
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = backoff_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=2)
+    """The form of order 2 that the SQL below expresses."""
+    return _scores(spark, sf_dir, 2)
+
+
+def _scores(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
+    scores = backoff_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=order)
     return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log", 6).alias("mean_log"))
 
 

@@ -321,6 +321,20 @@ def test_backoff_scores(spark, odd):
     assert language_model.backoff_scores(odd).count() == odd.count() and language_model.backoff_scores(odd.limit(0)).count() == 0
 
 
+def test_first_lm_query_uses_two_words_of_context(spark, tmp_path):
+    from skyloom.llm import queries
+
+    docs_of(spark, ["a b c", "a b c x", "z b d", "q b d"]).write.parquet(f"{tmp_path}/documents.parquet")
+    first = next(f for name, f in queries.QUERIES.items() if name.startswith("op5_"))
+    got = {r.doc_id: r.log_score for r in first(spark, str(tmp_path)).collect()}
+    assert got[0] == pytest.approx(math.log(1 / 10) + math.log(1 / 1) + math.log(1 / 1), abs=1e-3)  # after b alone, c is 1 of 3
+
+
+def test_packed_numbers_come_back():
+    x = np.array([0, 1, 255, 256, 2**63, 2**64 - 1], np.uint64)
+    assert (language_model._unpack(language_model._pack(x), np.uint64) == x).all()
+
+
 def test_classifiers(spark, odd):
     r = random.Random(8)
     texts, rows = [], []
