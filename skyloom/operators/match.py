@@ -3,6 +3,8 @@ the catalogue side is posted in its 3 x 3 neighbourhood, and the equi-join on th
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,32 +146,32 @@ def close_pairs(df: DataFrame, r: float, key: str, rd: tuple[str, str], by: tupl
     return sky_join(a, b, r, ("_ra1", "_dec1"), ("_ra2", "_dec2"), by, strict=True).where("k1 < k2").select(*by, "k1", "k2")
 
 
-def dedupe_sky(df: DataFrame, r: float, keep: str = "last", key: str = "number", rd: tuple[str, str] = ("alpha_j2000", "delta_j2000"), by: tuple[str, ...] = (), rounds: int = 50) -> DataFrame:
+def dedupe_sky(df: DataFrame, r: float, keep: str = "last", key: str = "number", rd: tuple[str, str] = ("alpha_j2000", "delta_j2000"), by: tuple[str, ...] = ()) -> DataFrame:
     """Of rows of one group nearer than r degrees, ``keep='last'`` drops each that has a later one (by the key)
     nearby; ``keep='first'`` keeps, in order of the key, each that has no kept one nearby.
 
     The greedy form is a fix-point on the close pairs alone: a row without undecided earlier neighbours stays and its
-    later neighbours go. It takes as many rounds as the longest chain of rows that decide each other.
+    later neighbours go, until no pair is undecided. It takes as many rounds as the longest chain of rows that decide
+    each other; each ends in a checkpoint.
     """
     pairs = close_pairs(df, r, key, rd, by)
     on = lambda k: [F.col(f"_d.{c}") == df[c] for c in by] + [F.col(f"_d.{k}") == df[key]]
     if keep == "last":
         return df.join(pairs.select(*by, "k1").distinct().alias("_d"), on("k1"), "left_anti")
-    left, gone = pairs.checkpoint() if _has_checkpoint(df) else pairs.persist(), None
-    for _ in range(rounds):
-        if left.isEmpty():
-            break
+    left, gone = _cut(pairs), []
+    while not left.isEmpty():
         undecided = left.select(*by, F.col("k2").alias("k1")).distinct()
-        sure = left.join(undecided, [*by, "k1"], "left_anti")
-        out = sure.select(*by, "k2").distinct()
-        gone = out if gone is None else gone.union(out)
-        left = left.join(out, [*by, "k2"], "left_anti").join(out.withColumnRenamed("k2", "k1"), [*by, "k1"], "left_anti")
-        left = left.checkpoint() if _has_checkpoint(df) else left.persist()
-    return df if gone is None else df.join(gone.distinct().alias("_d"), on("k2"), "left_anti")
+        out = _cut(left.join(undecided, [*by, "k1"], "left_anti").select(*by, "k2").distinct())
+        gone.append(out)
+        if len(gone) == 20:
+            gone = [_cut(reduce(DataFrame.union, gone))]
+        left = _cut(left.join(out, [*by, "k2"], "left_anti").join(out.withColumnRenamed("k2", "k1"), [*by, "k1"], "left_anti"))
+    return df.join(reduce(DataFrame.union, gone).distinct().alias("_d"), on("k2"), "left_anti") if gone else df
 
 
-def _has_checkpoint(df: DataFrame) -> bool:
-    return df.sparkSession.sparkContext.getCheckpointDir() is not None
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` without its plan: in the session's checkpoint folder, else on the executors."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() is not None else df.localCheckpoint()
 
 
 def find_target(det: DataFrame, targets: DataFrame, r: float) -> DataFrame:

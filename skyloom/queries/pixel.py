@@ -95,10 +95,20 @@ def e34(spark, d):
 @query("e35_bright_catalog", """with k as (select a.star_id as k1, b.star_id as k2 from fx_stars a join fx_stars b on a.star_id<b.star_id and abs(a.decdeg-b.decdeg)<0.0101 and a.sloan_r<60.003 and b.sloan_r<60.003 where 2*degrees(asin(sqrt(power(sin(radians(b.decdeg-a.decdeg)/2),2)+cos(radians(a.decdeg))*cos(radians(b.decdeg))*power(sin(radians(b.radeg-a.radeg)/2),2))))<0.01)
  select count(*) as n, round(min(sloan_r),6) as brightest from fx_stars where sloan_r<60.003 and star_id not in (select k1 from k)""")
 def e35(spark, d):
+    return _bright(spark, d, "last")
+
+
+@query("e35_bright_catalog_first")
+def e35_first(spark, d):
+    """E35 as it is: the first of close stars stays. SQL has no form of the greedy choice."""
+    return _bright(spark, d, "first")
+
+
+def _bright(spark, d, keep):
     from ..operators.catalog import bright_catalog
 
     stars = sql(spark, d, "select star_id, radeg, decdeg, sloan_r as g, sloan_g as bp, sloan_i as rp, 1.0e0 as ruwe, 9 as visibility_periods_used, 1 as g_snr, 1 as bp_snr, 1 as rp_snr from fx_stars")
-    return bright_catalog(stars, 60.003, 0.01, keep="last").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("g"), 6).alias("brightest"))
+    return bright_catalog(stars, 60.003, 0.01, keep=keep).agg(F.count(F.lit(1)).alias("n"), F.round(F.min("g"), 6).alias("brightest"))
 
 
 @query("stack_images")

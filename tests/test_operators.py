@@ -149,3 +149,30 @@ def test_powerlaw_and_filter_modes(spark):
     assert calib.decide_filter(scores, "a", "discover") == "b" and calib.decide_filter(scores, "a", "warn") == "a"
     with pytest.raises(ValueError):
         calib.decide_filter(scores, "a", "strict")
+
+
+def test_dedupe_first_decides_long_chains(spark):
+    from skyloom.operators.match import dedupe_sky
+
+    n, step = 240, 0.006  # each star is near the next one only, in order of the key
+    stars = spark.createDataFrame([(i, 10.0 + i * step, 0.0) for i in range(n)], "number long, alpha_j2000 double, delta_j2000 double")
+    kept = dedupe_sky(stars, 0.01, keep="first").collect()
+    assert sorted(r.number for r in kept) == list(range(0, n, 2))
+
+
+def test_bright_catalog_first_against_brute_force(spark):
+    import math
+
+    from skyloom.fixtures import view
+    from skyloom.queries import QUERIES, load
+
+    load()
+    sf, r = "/root/testdata/sf0.001", math.radians(0.01)
+    stars = sorted((s.star_id, math.radians(s.radeg), math.radians(s.decdeg), s.sloan_r) for s in view(spark, sf, "fx_stars").collect() if s.sloan_r < 60.003)
+    kept = []
+    for s in stars:
+        apart = lambda k: math.sin((s[2] - k[2]) / 2) ** 2 + math.cos(s[2]) * math.cos(k[2]) * math.sin((s[1] - k[1]) / 2) ** 2
+        if all(2 * math.asin(math.sqrt(apart(k))) >= r for k in kept):
+            kept.append(s)
+    got = QUERIES["e35_bright_catalog_first"](spark, sf).first()
+    assert (got.n, got.brightest) == (len(kept), round(min(s[3] for s in kept), 6))
