@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's result as Parquet and reads
 it again as the next one's docs. All but the last return the columns of ``documents``. Each stage keeps rows of null
-text (as empty texts) and rows of null id where its operator does not drop them by its decision.
+text (as empty texts) and rows of null id where its operator does not drop them by its decision. Decisions are of rows:
+those of a null or repeated id each have a key of their own.
 """
 
 from __future__ import annotations
@@ -23,28 +24,61 @@ QUALITY = 0.5
 BROADCAST_IDS = 4_000_000
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose ids are in ``dropped(doc_id)``."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of its own for each row as doc_id and the row's id as ``_own_id``.
+
+    The key is the id where that names one row. Of the rows of a repeated id one keeps it; the others, and rows of null
+    id, are staged and get new numbers beyond all ids, so that every row goes or stays by its own decision.
+    """
+    docs = docs.withColumns({"_own_id": F.col("doc_id"), "doc_id": F.col("doc_id").cast("long")})
+    counts = docs.where("doc_id is not null").groupBy("doc_id").count()
+    repeated = staged(counts.where("count > 1").select("doc_id"), "repeated")
+    n_repeated = repeated.count()
+    low, high, nulls = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    if not n_repeated and not nulls:
+        return docs
+    number = F.monotonically_increasing_id()
+    if high is not None and high >= 1 << 62 and low <= -(1 << 62):  # no room on either side of the ids
+        return staged(docs.withColumn("doc_id", number), "keyed")
+    repeated = F.broadcast(repeated) if n_repeated <= BROADCAST_IDS else repeated
+    odd = docs.where("doc_id is null").unionByName(docs.join(repeated, "doc_id", "left_semi"))
+    odd = staged(odd.withColumn("_number", number), "odd-ids")
+    first = odd.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "_number")).alias("m"))
+    odd = odd.join(first.select(F.col("m._number").alias("_number"), F.lit(True).alias("_first")), "_number", "left")
+    new = F.lit(high + 1 if high is not None else 0) + F.col("_number") if high is None or high < 1 << 62 else F.lit(low - 1) - F.col("_number")
+    odd = odd.withColumn("doc_id", F.when(F.col("_first"), F.col("doc_id")).otherwise(new))
+    rest = docs.where("doc_id is not null").join(repeated, "doc_id", "left_anti")
+    return rest.select(docs.columns).unionByName(odd.select(docs.columns))
+
+
+def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``_keyed`` whose keys are not in ``dropped(doc_id)``, with their own ids."""
     dropped = staged(dropped.select("doc_id").distinct(), "dropped")
     few = dropped.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti").select(docs.columns)
+    columns = [c for c in keyed.columns if c != "_own_id"]
+    left = keyed.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti")
+    return left.withColumn("doc_id", F.col("_own_id")).select(columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scores = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, scores.where(F.col("score") < QUALITY))
+    keyed = _keyed(docs)
+    scores = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), rows=keyed)
+    return _without(keyed, scores.where(F.col("score") < QUALITY))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_dedup(docs).where("not kept"))
+    keyed = _keyed(docs)
+    return _without(keyed, exact_dedup(keyed).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_duplicates(docs, k=5, percent=80).where("not kept"))
+    keyed = _keyed(docs)
+    return _without(keyed, near_duplicates(keyed, k=5, percent=80).where("not kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    keyed = _keyed(docs)
+    return _without(keyed, contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

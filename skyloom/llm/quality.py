@@ -186,8 +186,8 @@ def sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, s:
     return rows.mapInArrow(read, "doc_id long, y int, h binary, s binary").toPandas().sort_values("doc_id", kind="stable")
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, modulus: int = 4, remainder: int = 2, threshold: float = 0.7) -> DataFrame:
-    """Score every whole text; learn from labelled rows that are not held out.
+def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, modulus: int = 4, remainder: int = 2, threshold: float = 0.7, rows: DataFrame | None = None) -> DataFrame:
+    """Score every whole text (of ``rows`` where given); learn from labelled rows of ``docs`` that are not held out.
 
     Returns per row: doc_id, held_out, score, predicted (1 if score >= ``threshold``). The sample of labelled rows is
     bounded by ``Settings.per_class`` and ``longest``. Nulls: a null text is empty; an empty text is scored as one of
@@ -195,10 +195,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None
     scored each. Other columns are ignored. An empty table gives no rows.
     """
     s = settings or Settings()
-    rows = sample(docs, labels, modulus, remainder, s)
-    read = [(np.frombuffer(h, U64), np.frombuffer(k, np.uint8).astype(np.int64)) for h, k in zip(rows["h"], rows["s"])]
-    vectors, network = fit(read, rows["y"].to_numpy(np.int64), share_of_ones(labels, "quality", modulus, remainder), s)
-    return scored(docs, lambda texts: score(texts, vectors, network), modulus, remainder, threshold)
+    train = sample(docs, labels, modulus, remainder, s)
+    read = [(np.frombuffer(h, U64), np.frombuffer(k, np.uint8).astype(np.int64)) for h, k in zip(train["h"], train["s"])]
+    vectors, network = fit(read, train["y"].to_numpy(np.int64), share_of_ones(labels, "quality", modulus, remainder), s)
+    return scored(docs if rows is None else rows, lambda texts: score(texts, vectors, network), modulus, remainder, threshold)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
