@@ -159,6 +159,15 @@ def largest_rectangle(cov: DataFrame, mode: str = "in") -> DataFrame:
     return one.select(F.col("m.x").alias("x"), (F.col("m.y") + F.col("m.h") + 1).alias("y"), F.col("m.w").alias("w"), (-F.col("m.h")).alias("h"), (-F.col("m.a")).alias("area"))
 
 
+def cropped_frame(box: DataFrame, frame: dict[str, float], sampling: int = 8) -> DataFrame:
+    """Adds to the rectangle the header of its frame at full resolution: cells are ``sampling`` pixels wide."""
+    at = lambda c, n: (F.lit(float(frame[n])) - F.col(c)) * sampling
+    return box.withColumns({
+        "crval1": F.lit(float(frame["crval1"])), "crval2": F.lit(float(frame["crval2"])), "scale": F.lit(float(frame["scale"]) / sampling),
+        "crpix1": at("x", "crpix1"), "crpix2": at("y", "crpix2"), "size_x": F.col("w") * sampling, "size_y": F.col("h") * sampling,
+    })
+
+
 def cluster_images(images: DataFrame, size: str = "field") -> DataFrame:
     """Adds nn (distance to the nearest other centre, degrees), threshold and valid = nn < threshold. The
     threshold is the value before the first gap of more than a tenth of the median size between sorted distances, else

@@ -69,6 +69,13 @@ def b09(spark, d):
     return rounded(astrom.apply_pm(rows), "radeg", "decdeg", n=9, keep=("image_id", "star_id"))
 
 
+@query("b09_apply_pm_all")
+def b09_all(spark, d):
+    """B09 with the stars dealt to all images."""
+    rows = sql(spark, d, "select * from fx_stars join (select image_id, jd from fx_images) i on star_id%(select count(*) from fx_images)=image_id")
+    return rounded(astrom.apply_pm(rows), "radeg", "decdeg", n=9, keep=("image_id", "star_id"))
+
+
 _EARTH = """e as (select *, -r*cos(lon) as ex, -r*sin(lon)*cos(tilt) as ey, -r*sin(lon)*sin(tilt) as ez from (select *, radians(280.459+0.98564736*n)+radians(1.915*sin(g)+0.020*sin(2*g)) as lon,
  1.00014-0.01671*cos(g)-0.00014*cos(2*g) as r, radians(23.439-0.00000036*n) as tilt from (select *, radians(357.529+0.98560028*n) as g from (select *, jd-2451545.0 as n from fx_images))))"""
 

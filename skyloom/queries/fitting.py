@@ -64,6 +64,12 @@ def e15(spark, d):
     return _values(fit.fit_clipped(pairs(spark, d), TERMS, rounds=1)[0], spark)
 
 
+@query("e15_fit_clipped_rounds")
+def e15_rounds(spark, d):
+    """E15 at its default rounds."""
+    return _values(fit.fit_clipped(pairs(spark, d), TERMS)[0], spark)
+
+
 @query("e17_stepwise")
 def e17(spark, d):
     terms = parse_terms("&Z,.p2,.r2", stepwise=True)
@@ -133,6 +139,12 @@ def b30(spark, d):
     return out.select("image_id", "y", "x", F.round("flat", 6).alias("flat"), F.round("weight", 6).alias("weight"))
 
 
+@query("b30_flat_surface_all")
+def b30_all(spark, d):
+    """B30 at every pixel."""
+    return stack.flat_surface(view(spark, d, "fx_images"), {"Z": 22.0, "PX": -0.02, "PY": 0.03}, 1)
+
+
 @query("a10_report_json")
 def a10(spark, d):
     rows = view(spark, d, "fx_det").withColumns({"mag_calib": F.col("mag_auto") + 22, "type": F.when(F.col("flags") == 1, "brighter").otherwise("normal")})

@@ -85,6 +85,13 @@ def e33(spark, d):
     return stack.largest_rectangle(sql(spark, d, _COV), "in").select("area")
 
 
+@query("e33_largest_rectangle_all")
+def e33_all(spark, d):
+    """E33 on E31's coverage by all images: the rectangle and the frame cropped to it. SQL is too slow for the grid."""
+    box = stack.largest_rectangle(stack.coverage(sql(spark, d, _GEOM), FRAME), "in")
+    return stack.cropped_frame(box, FRAME)
+
+
 @query("e34_cluster_images", """with p as (select a.image_id, min(sqrt(power((a.ctrra-b.ctrra)*cos(radians(case when a.image_id<b.image_id then a.ctrdec else b.ctrdec end)),2)+power(a.ctrdec-b.ctrdec,2))) as nn from fx_images a join fx_images b on a.image_id<>b.image_id group by 1),
  m as (select median(field) as m from fx_images), g as (select nn, lead(nn) over (order by nn)-nn as g from p), t as (select coalesce(min(nn),(select 2*m from m)) as t from g, m where g.g>m/10)
  select image_id, round(nn,6) as nn, nn<t as valid from p, t""")

@@ -176,3 +176,35 @@ def test_bright_catalog_first_against_brute_force(spark):
             kept.append(s)
     got = QUERIES["e35_bright_catalog_first"](spark, sf).first()
     assert (got.n, got.brightest) == (len(kept), round(min(s[3] for s in kept), 6))
+
+
+def test_whole_job_queries_against_brute_force(spark):
+    from skyloom.fixtures import view
+    from skyloom.operators import stack
+    from skyloom.queries import QUERIES, load
+    from skyloom.queries import pixel
+
+    load()
+    sf = "/root/testdata/sf0.001"
+    images = {r.image_id: r for r in view(spark, sf, "fx_images").collect()}
+    stars = {r.star_id: r for r in view(spark, sf, "fx_stars").collect()}
+    got = {r.star_id: r for r in QUERIES["b09_apply_pm_all"](spark, sf).collect()}
+    assert got.keys() == stars.keys() and {r.image_id for r in got.values()} == set(images)
+    for i, r in got.items():
+        years = (images[i % len(images)].jd - 2457204.5) / 365.2425
+        assert r.image_id == i % len(images) and abs(r.radeg - stars[i].radeg - stars[i].pmra * years) < 2e-9
+
+    cover = {(r.y, r.x): r.n for r in stack.coverage(pixel.sql(spark, sf, pixel._GEOM), pixel.FRAME).collect()}
+    top, size = max(cover.values()), pixel.FRAME["size_x"]
+    heights, best = [0] * size, 0
+    for y in range(size):
+        heights = [h + 1 if cover.get((y, x)) == top else 0 for x, h in enumerate(heights)]
+        for a in range(size):
+            low = heights[a]
+            for b in range(a, size):
+                low = min(low, heights[b])
+                best = max(best, low * (b - a + 1))
+    box = QUERIES["e33_largest_rectangle_all"](spark, sf).first()
+    assert box.area == best and all(cover[y, x] == top for y in range(box.y, box.y + box.h) for x in range(box.x, box.x + box.w))
+    assert (box.crpix1, box.crpix2, box.size_x, box.scale) == ((40.0 - box.x) * 8, (40.0 - box.y) * 8, box.w * 8, 0.0123 / 8)
+    assert QUERIES["b30_flat_surface_all"](spark, sf).count() == len(images) * 2002 * 2003
