@@ -7,27 +7,31 @@ rarest such prefix is posted, and the long lists of the rest are skipped. Pairs
 agree in enough coordinates, and confirmed on their full shingle sets.
 
 Within a list only links matter, not all pairs: every member meets the list's hub (the member whose values are most
-widely shared), links are confirmed and contracted to components, and then only members of different components
-meet. A group of near copies so costs one pair per member. For the last step the members of lists that still hold
-several components are joined on the rarest of their shingles, with the bounds that a common shingle's place in both
-orders sets on the overlap: sets that are near a hub but not near enough for a link then meet almost none.
+widely shared), collisions are counted, links are confirmed and contracted to components. A group of near copies so
+costs one pair per member. Links between members other than the hub come from a last step: the sets of lists that
+still hold several components are joined on the rarest of their shingles, with the bounds that a common shingle's
+place in both orders sets on the overlap. Classes of both lengths are part of that join's key, so that sets which share
+a long passage, but differ too much for a link, do not meet.
 """
 
 from __future__ import annotations
 
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import STEP_BYTES, U64, Steps, mix, runs, shingles, staged, text_of, words
+from .common import U64, Steps, discard, mix, runs, shingles, staged, text_of, words
 from .components import connected_components
 
 #: Ids beyond which candidates are joined by shuffle: 4 M ids are about 64 MB as a broadcast table.
 BROADCAST_IDS = 4_000_000
+#: Members of a hub that are confirmed in one run; the hub's text travels once for each run.
+RUN_MEMBERS = 256
+#: Ratio of neighbouring length classes of the last join.
+CLASS_RATIO = 1.05
 
 
 def least_matches(coordinates: int, similarity: float, miss: float) -> int:
@@ -78,27 +82,13 @@ def signatures(docs: DataFrame, k: int, coordinates: int, seed: int = 5) -> Data
     return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, sig array<int>")
 
 
-def pair_counts(left: pa.Array, right: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes of the intersections and unions of the texts' full shingle sets, pair by pair."""
-    n = len(left)
-    inter, union = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    size = np.cumsum(np.asarray(pc.add(pc.binary_length(left), pc.binary_length(right)), np.int64))
-    at = 0
-    while at < n:
-        done = size[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(size, done + STEP_BYTES, "right")))
-        both = [x for pair in zip(left[at:end].to_pylist(), right[at:end].to_pylist()) for x in (p.encode() for p in pair)]
-        bounds = np.concatenate(([0], np.cumsum([len(x) for x in both]))).astype(np.int64)
-        word, doc, _, _ = words(np.frombuffer(b"".join(both), np.uint8), bounds)
-        owner, value = shingles(word, doc, k)
-        pair = owner // 2
-        order = np.lexsort((value, pair))
-        pair, value = pair[order], value[order]
-        same = (pair[1:] == pair[:-1]) & (value[1:] == value[:-1])
-        inter[at:end] = np.bincount(pair[1:][same], minlength=end - at)[: end - at]
-        union[at:end] = np.bincount(pair, minlength=end - at)[: end - at] - inter[at:end]
-        at = end
-    return inter, union
+def similar(hub: np.ndarray, owner: np.ndarray, value: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """Which of ``n`` documents have a shingle set (``owner``, ``value``) that is similar enough to the sorted ``hub``."""
+    size = np.bincount(owner, minlength=n)
+    at = np.searchsorted(hub, value)
+    at[at == len(hub)] = 0
+    inter = np.bincount(owner[hub[at] == value] if len(hub) else owner[:0], minlength=n)
+    return 100 * inter >= percent * (size + len(hub) - inter)
 
 
 def near_duplicates(
@@ -115,22 +105,24 @@ def near_duplicates(
     need = least_matches(coordinates, percent / 100, miss)
     signed = staged(signatures(docs, k, coordinates, seed), "signatures")
     linked = signed.where("doc_id is not null and n_shingles > 0")
-    classes = linked.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = staged(linked.select("doc_id", "n_shingles", "digest").join(classes, "digest").drop("digest"), "members")
-    reps = linked.join(classes.where("rep is not null").withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"]).groupBy("doc_id").agg(F.first("sig").alias("sig"))
-    reps = staged(reps.withColumnRenamed("doc_id", "rep"), "reps")
+    # One row per distinct set, combined before the exchange, so that a text that fills a third of the rows is one row.
+    reps = staged(linked.groupBy("digest").agg(F.min(F.struct("doc_id", "sig")).alias("m")).select("digest", F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")), "reps")
+    members = staged(linked.select("doc_id", "n_shingles", "digest").join(reps.select("digest", "rep"), "digest").drop("digest"), "members")
+    sets = reps.groupBy("rep").agg(F.first("sig").alias("sig"))  # of a repeated id with several texts any one
 
-    posted = staged(_posted(reps, coordinates, need), "postings")
+    posted = staged(_posted(sets, coordinates, need), "postings")
     hubs = posted.groupBy("tok").agg(F.max(F.struct("central", (-F.col("rep")).alias("r"))).alias("h"), F.count(F.lit(1)).alias("n"))
     hubs = hubs.where("n > 1").select("tok", (-F.col("h.r")).alias("hub"))
     star = posted.join(hubs, "tok").where("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    tried = staged(_agreeing(star, reps, need), "star-pairs")
+    tried = staged(_agreeing(star, sets, need), "star-pairs")
     links = staged(_confirmed(tried, docs, k, percent), "star-links")
     labels = connected_components(links)
 
     more = staged(_across(posted, labels, docs, k, percent).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
-    links = links.union(_confirmed(more, docs, k, percent))
-    labels = connected_components(links)
+    found = staged(_confirmed(more, docs, k, percent), "cross-links")
+    discard(reps, posted, tried, more, labels)
+    labels = connected_components(links.union(found))
+    discard(links, found)
 
     joined = members.join(labels, members.rep == labels.id, "left")
     found = joined.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
@@ -157,20 +149,56 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, need: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(equal >= need).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidates")
+def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``ids(doc_id, ...)``, one row per id, with the id's text (of a repeated id with several texts each of them)."""
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    texts = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    return texts.join(F.broadcast(ids) if few else ids, "doc_id")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough.
+
+    Of a pair, the id that is in more pairs is its hub. A hub's pairs are split into runs of about RUN_MEMBERS; a run
+    is sorted, the hub's text first and then its members', and read as a stream: so a text travels once for each
+    pair that it is a member in and once for each run that it is the hub of, and no task holds a group.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    ids = staged(ids, "candidates")
+    texts = staged(_texts(ids.select(F.col("id").alias("doc_id")), docs).select("doc_id", "text").distinct(), "candidate-texts")
+    one, two = ids.select(F.col("id").alias("a"), F.col("n").alias("na")), ids.select(F.col("id").alias("b"), F.col("n").alias("nb"))
+    first = F.col("na") >= F.col("nb")
+    of = pairs.join(one, "a").join(two, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("doc_id"), F.greatest("na", "nb").alias("n"))
+    of = of.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / RUN_MEMBERS)))
+    both = of.select("hub", "run", "doc_id", F.lit(1).alias("kind")).union(of.select("hub", "run", F.col("hub").alias("doc_id"), F.lit(0).alias("kind")).distinct())
+    both = both.join(texts, "doc_id").repartition("hub", "run").sortWithinPartitions("hub", "run", "kind")
 
     def confirm(batches):
+        run, hub = None, []
         for batch in batches:
-            inter, union = pair_counts(batch.column(2), batch.column(3), k)
-            yield batch.select([0, 1]).filter(pa.array(100 * inter >= percent * union))
-
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
+            hubs, order, ids, kinds = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            keep = np.zeros(len(ids), bool)
+            for at, end, data, bounds in Steps(batch.column(4)):
+                word, doc, _, _ = words(data, bounds)
+                owner, value = shingles(word, doc, k)
+                cut = np.searchsorted(owner, np.arange(end - at + 1))
+                key = np.stack((hubs[at:end], order[at:end], kinds[at:end]))
+                for lo in np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(0)))).tolist():
+                    hi = lo + int(np.argmax(np.append((key[:, lo:] != key[:, lo : lo + 1]).any(0), True)))
+                    if run != tuple(key[:2, lo]):
+                        run, hub = tuple(key[:2, lo]), []
+                    if not key[2, lo]:
+                        hub += [value[cut[i] : cut[i + 1]].copy() for i in range(lo, hi)]
+                        continue
+                    mine = slice(cut[lo], cut[hi])
+                    for own in hub:
+                        keep[at + lo : at + hi] |= similar(own, owner[mine] - lo, value[mine], hi - lo, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hubs, ids)[keep]), pa.array(np.maximum(hubs, ids)[keep])], ["a", "b"])
+
+    found = both.select("hub", "run", "doc_id", "kind", "text").mapInArrow(confirm, "a long, b long").distinct()
+    found = staged(found, "confirmed")
+    discard(ids, texts)
+    return found
 
 
 def _across(posted: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -184,8 +212,7 @@ def _across(posted: DataFrame, labels: DataFrame, docs: DataFrame, k: int, perce
     known = posted.join(labels, posted.rep == labels.id, "left").select("tok", "rep", F.coalesce("component", "rep").alias("c"))
     mixed = known.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("tok")
     open_ = staged(known.join(mixed, "tok").select("rep", "c").distinct(), "open")
-    few = open_.count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text")).join(F.broadcast(open_) if few else open_, "rep")
+    texts = _texts(open_.withColumnRenamed("rep", "doc_id"), docs).withColumnRenamed("doc_id", "rep")
 
     def sets(batches):
         for batch in batches:
@@ -205,12 +232,21 @@ def _across(posted: DataFrame, labels: DataFrame, docs: DataFrame, k: int, perce
     alone = F.col("n") - F.size("t")
     posts = ordered.withColumn("alone", alone).select("rep", "c", "n", "alone", F.posexplode("t").alias("j", "t"))
     place = F.col("alone") + F.col("j")
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    posts = posts.where(place < prefix).select(F.col("t.s").alias("s"), "rep", "c", "n", place.alias("p"))
-    one, two = (posts.select("s", *[F.col(x).alias(y) for x, y in zip(("rep", "c", "n", "p"), names)]) for names in (("a", "ca", "na", "pa"), ("b", "cb", "nb", "pb")))
-    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    may = (100 + percent) * most >= percent * (F.col("na") + F.col("nb"))
-    return one.join(two, "s").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may).select("a", "b").distinct()
+    posts = posts.select(F.col("t.s").alias("s"), "rep", "c", "n", place.alias("p"))
+    # The overlap x = n - p allows partners of up to ``most`` shingles; a pair meets where the shorter one's posts for
+    # the classes of the longer one's lengths meet those of the longer one for the classes of the shorter one's.
+    n, least = F.col("n"), F.ceil(F.col("n") * percent / 100)
+    most = F.floor(F.least(((100 + percent) * (n - F.col("p")) - percent * n) / percent, 100 * n / percent))
+    cls = lambda x: F.floor(F.log(x) / log(CLASS_RATIO))
+    short = posts.withColumn("most", most).where(F.col("most") >= n).withColumns({"cs": cls(n), "cl": F.explode(F.sequence(cls(n), cls(F.col("most"))))})
+    long = posts.withColumn("most", F.least(most, n)).where(F.col("most") >= least).withColumns({"cl": cls(n), "cs": F.explode(F.sequence(cls(least), cls(F.col("most"))))})
+    one, two = (x.select("s", "cs", "cl", *[F.col(y).alias(y + e) for y in ("rep", "c", "n", "p")]) for x, e in ((short, "a"), (long, "b")))
+    overlap = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    may = (F.col("na") <= F.col("nb")) & ((100 + percent) * overlap >= percent * (F.col("na") + F.col("nb")))
+    pairs = one.join(two, ["s", "cs", "cl"]).where((F.col("repa") != F.col("repb")) & (F.col("ca") != F.col("cb")) & may)
+    pairs = staged(pairs.select(F.least("repa", "repb").alias("a"), F.greatest("repa", "repb").alias("b")).distinct(), "across")
+    discard(rows, open_)
+    return pairs
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
