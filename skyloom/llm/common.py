@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..staging import delete, discard, shared_dir, staged  # noqa: F401
+
 U64 = np.uint64
 #: Characters that separate words: space and \t \n \x0b \x0c \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -32,42 +31,6 @@ TERM = _RNG.integers(0, 2**64, 64, dtype=U64) | U64(1)
 STEP_BYTES = 1 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: ``spark.checkpoint.dir`` where the session sets it, else a folder in the warehouse; in
-    local mode, where the driver is the only executor, a new temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = getattr(spark, "_skyloom_dir", None)
-    if not root:
-        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            root = tempfile.mkdtemp(prefix="spark-skyloom-")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
-        spark._skyloom_dir = root
-    return root.rstrip("/")
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: later steps neither recompute it nor depend on
-    one executor's disk. ``discard`` deletes it."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
-    table._staged = path
-    return table
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete staged tables that no later plan reads."""
-    for table in tables:
-        delete(table.sparkSession, table._staged)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -123,6 +86,16 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return span_hash(data, start, end), np.searchsorted(bounds, start, "right") - 1, start, end
 
 
+def word_count(data: np.ndarray, bounds: np.ndarray) -> int:
+    """Number of words of all documents."""
+    solid = _SOLID[data].view(bool)
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    first = bounds[bounds < len(data)]
+    begins[first] = solid[first]
+    return int(np.count_nonzero(begins))
+
+
 def spans(data: np.ndarray, bounds: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of bytes of one kind (``kinds[byte]``; 0: between runs) within documents."""
     if not len(data):

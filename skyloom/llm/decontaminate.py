@@ -21,6 +21,8 @@ WINDOW = 13
 #: Bits of the table of test hashes that training hashes meet first (2 MB); it is dropped when a quarter full.
 FILTER_BITS = 24
 BROADCAST_IDS = 4_000_000
+#: Items that a document is checked against in one run.
+RUN_ITEMS = 64
 
 
 def allowed(length: int) -> int:
@@ -48,12 +50,16 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def hits(rows: DataFrame, id_column: str, masks: list[str], table: np.ndarray | None = None) -> DataFrame:
-    """id, position and hash of the seeds of ``rows(id, text)``, of those in the table where one is given."""
+    """id, hash and places of the seeds of ``rows(id, text)``, of those in the table where one is given.
+
+    Places with equal steps between them are one row (first, step, n), so that a text which repeats a few words over and
+    over has few rows for each seed.
+    """
 
     def find(batches):
         bits = None if table is None else np.unpackbits(table).view(bool)
         for batch in batches:
-            ids, positions, hashes = [], [], []
+            out = [[] for _ in range(5)]
             key = batch.column(0).to_numpy(zero_copy_only=False)
             for first, _, data, bounds in Steps(batch.column(1)):
                 word, doc = words_of(data, bounds)
@@ -62,21 +68,57 @@ def hits(rows: DataFrame, id_column: str, masks: list[str], table: np.ndarray |
                     if bits is not None:
                         keep = bits[(value >> U64(64 - FILTER_BITS)).astype(np.int64)]
                         at, value = at[keep], value[keep]
-                    ids.append(key[first + doc[at]])
-                    positions.append(at - begin[doc[at]])
-                    hashes.append(value.view(np.int64))
-            columns = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (ids, positions, hashes)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [id_column, "pos", "h"])
-
-    return rows.mapInArrow(find, f"{id_column} long, pos long, h long")
+                    order = np.lexsort((at, value, doc[at]))
+                    at, value = at[order], value[order]
+                    owner, place = doc[at], at - begin[doc[at]]
+                    for column, x in zip(out, (key[first + owner], value.view(np.int64), *_equal_steps(owner, value, place))):
+                        column.append(x)
+            start = out[4] and np.concatenate(out[4])
+            columns = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in out[:4]]
+            if len(start):
+                columns = [columns[0][start], columns[1][start], columns[2][start], columns[3][start], np.diff(np.append(np.flatnonzero(start), len(start)))]
+            else:
+                columns = [c[:0] for c in columns] + [np.zeros(0, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [id_column, "h", "first", "step", "n"])
+
+    return rows.mapInArrow(find, f"{id_column} long, h long, first long, step long, n long")
+
+
+def _equal_steps(owner: np.ndarray, value: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, the step after each, and which of them begin a run of equal steps (sorted by owner, value and place)."""
+    n = len(place)
+    if not n:
+        return place, place, np.zeros(0, bool)
+    same = np.concatenate(([False], (owner[1:] == owner[:-1]) & (value[1:] == value[:-1])))
+    step = np.zeros(n, np.int64)
+    step[:-1] = np.where(same[1:], place[1:] - place[:-1], 0)
+    before = np.concatenate(([0], step[:-1]))  # the step that leads to a place
+    goes_on = same & (np.concatenate(([0], before[:-1])) == before)
+    goes_on[1:] |= same[1:] & ~same[:-1]  # the second of a seed's places is always in the first one's run
+    return place, step, ~goes_on
+
+
+def diagonals(runs: list[dict]) -> np.ndarray:
+    """Distinct differences of places in the document and in the item, of pairs of runs."""
+    found = []
+    for r in runs:
+        x, y = np.arange(r["n"]) * r["step"] + r["first"], np.arange(r["item_n"]) * r["item_step"] + r["item_first"]
+        if len(x) > 1 and len(y) > 1 and r["step"] == r["item_step"]:
+            found.append(r["first"] - r["item_first"] + r["step"] * np.arange(1 - len(y), len(x)))
+            continue
+        mine = np.zeros(0, np.int64)
+        for place in (y if len(y) <= len(x) else x).tolist():
+            mine = np.union1d(mine, x - place if len(y) <= len(x) else place - y)
+        found.append(mine)
+    return np.unique(np.concatenate(found))
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, diagonals: list[int]) -> tuple[int, int, int]:
+def overlap(doc: np.ndarray, item: np.ndarray, lines: list[int]) -> tuple[int, int, int]:
     """Of the best alignment: matching words inside accepted windows, first and past the last word in the document."""
     best = (0, 0, 0)
     n = len(item)
     length = min(WINDOW, n)
-    for diagonal in sorted(set(diagonals)):
+    for diagonal in lines:
         lo, hi = max(0, -diagonal), min(n, len(doc) - diagonal)
         if hi - lo < length:
             continue
@@ -106,7 +148,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).distinct()
     short = _lengths_below(items, 7)
     masks = [*MASKS, *["1" * n for n in short]]
-    test = staged(hits(items, "item_id", masks).withColumnRenamed("pos", "item_pos").distinct(), "test-seeds")
+    test = staged(hits(items, "item_id", masks).withColumnsRenamed({c: f"item_{c}" for c in ("first", "step", "n")}).distinct(), "test-seeds")
     tops = test.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("t")).distinct()
     table = None
     if tops.count() <= 1 << (FILTER_BITS - 2):
@@ -115,28 +157,38 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         table = np.packbits(bits)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     found = hits(rows, "doc_id", masks, table)
-    pairs = found.join(test, "h").select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
-    pairs = pairs.groupBy("doc_id", "item_id").agg(F.collect_set("diagonal").alias("diagonals"))  # at most a text's length
+    # A seed that is common on both sides is one row per document and item, and AQE splits its join.
+    places = ("first", "step", "n", "item_first", "item_step", "item_n")
+    pairs = found.join(test, "h").groupBy("doc_id", "item_id").agg(F.collect_set(F.struct(*places)).alias("runs"))
     pairs = staged(pairs, "seed-pairs")
 
-    with_items = pairs.join(items.withColumnRenamed("text", "item_text"), "item_id")
-    ids = pairs.select("doc_id").distinct()
+    # A document's text travels once for each run of RUN_ITEMS items that it may share a passage with; a run is read
+    # as a stream, the text first.
+    ids = staged(pairs.groupBy("doc_id").agg(F.ceil(F.count(F.lit(1)) / RUN_ITEMS).alias("parts")), "seed-documents")
     few = ids.count() <= BROADCAST_IDS
-    texts = rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    both = with_items.join(texts, "doc_id").select("doc_id", "item_id", "diagonals", "item_text", "text")
+    texts = rows.join(F.broadcast(ids) if few else ids, "doc_id").distinct()
+    texts = texts.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("item_id"), "text", F.lit(None).cast(pairs.schema["runs"].dataType).alias("runs"))
+    asked = pairs.join(items, "item_id").join(ids, "doc_id").select("doc_id", F.pmod(F.xxhash64("item_id"), "parts").alias("part"), F.lit(1).alias("kind"), "item_id", "text", "runs")
+    both = texts.union(asked).repartition("doc_id", "part").sortWithinPartitions("doc_id", "part", "kind")
 
     def check(batches):
+        run, own = None, []
         for batch in batches:
             out = [[] for _ in range(7)]
-            last: dict = {}
-            for doc_id, item_id, diagonals, item_text, text in zip(*[c.to_pylist() for c in batch.columns]):
-                if last.get("id") != doc_id:
-                    last = {"id": doc_id, "w": _single(text)}
-                item = _single(item_text)
-                matched, start, end = overlap(last["w"], item, diagonals)
-                if matched:
-                    for column, value in zip(out, (doc_id, item_id, matched, len(item), matched / len(item), start, end)):
-                        column.append(value)
+            for i in range(batch.num_rows):
+                doc_id, part, kind, item_id = (batch.column(c)[i].as_py() for c in range(4))
+                if run != (doc_id, part):
+                    run, own = (doc_id, part), []
+                text = _single(batch.column(4)[i].as_py())
+                if not kind:
+                    own.append(text)
+                    continue
+                lines = diagonals(batch.column(5)[i].as_py()).tolist()
+                for words in own:
+                    matched, start, end = overlap(words, text, lines)
+                    if matched:
+                        for column, value in zip(out, (doc_id, item_id, matched, len(text), matched / len(text), start, end)):
+                            column.append(value)
             kinds = [pa.int64()] * 4 + [pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "item_id", "matched", "item_words", "coverage", "first_word", "end_word"])
 

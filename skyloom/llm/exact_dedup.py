@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, shared_dir, staged, text_of
+from .common import BLANKS, delete, discard, shared_dir, staged, text_of
 
 
 def normalised(text: Column) -> Column:
@@ -21,10 +21,12 @@ def normalised(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Index of the digests seen so far: ``digest binary, keep_id long, keep_chars long``, in ``buckets`` buckets.
+    """Index of the digests seen so far: ``digest binary, keep_id long, keep_chars long, batch string``, in ``buckets``
+    buckets.
 
     ``path`` is the folder of the table; a folder that an earlier session wrote is opened again with its bucketing.
-    Make ``buckets`` about the size of the final index over 128 MB; it is fixed for the life of the index.
+    Make ``buckets`` about the size of the final index over 128 MB; it is fixed for the life of the index. Each batch
+    adds a file a bucket: ``compacted`` writes the index anew with one.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
@@ -32,21 +34,43 @@ class DigestIndex:
         self.table = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
         if not spark.catalog.tableExists(self.table):
             spark.sql(
-                f"create table {self.table} (digest binary, keep_id bigint, keep_chars bigint) using parquet "
+                f"create table {self.table} (digest binary, keep_id bigint, keep_chars bigint, batch string) using parquet "
                 f"clustered by (digest) sorted by (digest) into {buckets} buckets location '{path}'"
             )
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def ingest(self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    def append(self, rows: DataFrame) -> None:
+        (
+            rows.repartition(self.buckets, "digest")
+            .write.format("parquet").mode("append").option("path", self.path)
+            .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table)
+        )
+        self.spark.catalog.refreshTable(self.table)
+
+    def compacted(self, path: str, buckets: int | None = None) -> DigestIndex:
+        """The same index in another folder, with one file a bucket."""
+        index = DigestIndex(self.spark, path, buckets or self.buckets)
+        index.append(self.read())
+        return index
+
+    def drop(self) -> None:
+        """Delete the index and its entry in the catalogue."""
+        self.spark.sql(f"drop table if exists {self.table}")
+        delete(self.spark, self.path)
+
+    def ingest(self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batch: str | None = None) -> DataFrame:
         """Decide each row of ``docs`` and append its new digests to the index.
 
-        Of equal texts, the one that the index has stays; else the row with the most code points, then the smallest
-        id. Returns one row per input row: id, ``keep_id, group_size`` (rows of this batch with the text), ``kept,
-        text_sha256``. Nulls: a null text is empty, and empty texts are equal; a row without an id is kept only if no
-        row of its text has an id. Repeated ids with one text: the id is kept on each such row. Other columns are
-        ignored. An empty table gives no rows.
+        Of equal texts, the one that an earlier batch has stays; else the row with the most code points, then the
+        smallest id. Returns one row per input row: id, ``keep_id, group_size`` (rows of this batch with the text),
+        ``kept, text_sha256``. ``batch`` names the batch; by default a fingerprint of its ids and texts does. The same
+        batch again, after a crash at whatever point, gives the same answer and adds only what is missing.
+
+        Nulls: a null text is empty, and empty texts are equal; a row without an id is kept only if no row of its text
+        has an id. Repeated ids with one text: the id is kept on each such row. Other columns are ignored. An empty
+        table gives no rows.
         """
         text = text_of(text_column)
         keyed = docs.select(
@@ -55,32 +79,26 @@ class DigestIndex:
             F.length(text).cast("long").alias("chars"),
         )
         keyed = staged(keyed, "digests")
+        if batch is None:
+            row = F.xxhash64("digest", id_column, "chars")
+            batch = "-".join(str(x or 0) for x in keyed.agg(F.count(F.lit(1)), F.bit_xor(row), F.sum(F.shiftright(row, 32))).first())
         # One row per digest before anything is joined, so a text that fills a third of the batch is one row here.
         first = F.struct((-F.col("chars")).alias("c"), F.col(id_column).isNull().alias("n"), F.col(id_column).alias("i"))
-        batch = (
+        new = (
             keyed.groupBy("digest")
             .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("group_size"))
             .select("digest", F.col("first.i").alias("own_id"), (-F.col("first.c")).alias("own_chars"), "group_size")
         )
-        batch = staged(batch, "batch")
+        new = staged(new, "batch")
         known = self.read()
-        new = batch.join(known.select("digest").hint("merge"), "digest", "left_anti")
+        fresh = F.col("batch").isNull() | (F.col("batch") == batch)
         decided = staged(
-            batch.hint("merge").join(known, "digest", "left").select(
-                "digest",
-                F.when(F.col("keep_chars").isNotNull(), F.col("keep_id")).otherwise(F.col("own_id")).alias("keep_id"),
-                F.col("keep_chars").isNull().alias("fresh"),
-                "group_size",
-            ),
+            new.hint("merge").join(known, "digest", "left").select("digest", F.when(fresh, F.col("own_id")).otherwise(F.col("keep_id")).alias("keep_id"), fresh.alias("fresh"), "group_size"),
             "decided",
         )
-        (
-            new.select("digest", F.col("own_id").alias("keep_id"), F.col("own_chars").alias("keep_chars"))
-            .repartition(self.buckets, "digest")
-            .write.format("parquet").mode("append").option("path", self.path)
-            .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table)
-        )
-        self.spark.catalog.refreshTable(self.table)
+        lacking = new.join(known.select("digest").hint("merge"), "digest", "left_anti")
+        self.append(lacking.select("digest", F.col("own_id").alias("keep_id"), F.col("own_chars").alias("keep_chars"), F.lit(batch).alias("batch")))
+        discard(new)
         # A hot digest is on the left side only; AQE splits its partition.
         return keyed.join(decided, "digest").select(
             id_column,
@@ -92,12 +110,15 @@ class DigestIndex:
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """``DigestIndex.ingest`` with a new, empty index where none is given."""
-    if index is None:
-        spark = docs.sparkSession
-        buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        index = DigestIndex(spark, f"{shared_dir(spark)}/digest-index-{uuid.uuid4().hex}", buckets)
-    return index.ingest(docs)
+    """``DigestIndex.ingest`` with an index of its own, deleted afterwards, where none is given."""
+    if index is not None:
+        return index.ingest(docs)
+    spark = docs.sparkSession
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    index = DigestIndex(spark, f"{shared_dir(spark)}/digest-index-{uuid.uuid4().hex}", buckets)
+    decided = index.ingest(docs)
+    index.drop()
+    return decided
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,24 +1,25 @@
 """Stupid-backoff scores of every document under the n-grams of all other documents, computed by joins.
 
-N-grams are hashed to 64 bits; the count table is partitioned by hash range. Rows of the exchanges are packed: one row
-holds the distinct n-grams that a chunk of documents (about ``chunk_bytes`` of text, dealt by a hash of id and text) has in
-one range, sorted. So a frequent n-gram is one entry per chunk and not one per occurrence, no range is hot, and the
-rows are never more than the distinct n-grams of the chunks. What other chunks count returns to the chunk in the same
-order, and is added to its own counts there. Hashes travel as differences and all numbers as byte planes, so that high
-bytes, and the counts of n-grams that only one chunk has, are runs of zeros that the exchange's compression removes.
+N-grams are hashed to 64 bits; the count table is partitioned by hash range. Rows of the exchanges are blocks: one row
+holds the distinct n-grams that a chunk of documents has in one range, sorted, with their counts. So the exploded
+n-grams meet the count table as an equi-join on the range whose rows are blocks and not single n-grams, a frequent
+n-gram is one entry per chunk and not one per occurrence, no range is hot, and what other chunks count returns to the
+chunk in the same order. Hashes travel as differences and all numbers as byte planes, compressed.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TERM, U64, Steps, mix, runs, text_of, words
+from .common import TERM, U64, Steps, mix, runs, text_of, word_count, words
 
-#: Partitions that chunks are dealt to at most; a task works on its chunks one after another.
-MOST_PARTITIONS = 32_768
+#: Bytes of text of a chunk at least, and of a block on average (of n-grams that one chunk has in one range).
+LEAST_CHUNK = 16 << 20
+BLOCK_BYTES = 200
 #: Words that scoring works on at once.
 BLOCK_WORDS = 1 << 18
 _ORDER = [U64(i * 0xD1342543DE82EF95 % 2**64) for i in range(1, 9)]
@@ -93,15 +94,23 @@ def _cuts(sorted_hashes: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """The bytes of all numbers, first bytes first."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+    """The bytes of all numbers, first bytes first, compressed."""
+    return _squeeze(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes())
 
 
 def _unpack(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(_loose(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def _squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _loose(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def _size(docs: DataFrame) -> tuple[int, int]:
     """Bytes and words of all texts."""
 
@@ -109,14 +118,14 @@ def _size(docs: DataFrame) -> tuple[int, int]:
         for batch in batches:
             size, n = 0, 0
             for _, _, data, bounds in Steps(batch.column(0)):
-                size, n = size + len(data), n + len(words(data, bounds)[0])
+                size, n = size + len(data), n + word_count(data, bounds)
             yield pa.RecordBatch.from_arrays([pa.array([size]), pa.array([n])], ["size", "n"])
 
     row = docs.select(text_of().alias("text")).mapInArrow(count, "size long, n long").agg(F.sum("size"), F.sum("n")).first()
     return row[0] or 0, row[1] or 0
 
 
-def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_bytes: int = 16 << 20) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_bytes: int | None = None) -> DataFrame:
     """Stupid-backoff log score of each document, its own n-grams left out of the counts.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. With c the count in all rows less the count in this
@@ -128,26 +137,49 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_by
     text has no words, log_score 0; a null id is scored as others are. Repeated rows are rows of their own (each sees
     its copies). Other columns are ignored. An empty table gives no rows.
 
-    Chunks are dealt by a hash of id and text, so that rows of a null or repeated id spread. Memory of a task is that
-    of one chunk or range (about ``chunk_bytes`` of text each), whatever the input. Exchanges have at most one row per
-    chunk and range: raise ``chunk_bytes`` with the input to keep those rows long (256 MB for 100 TB).
+    A chunk is documents that one task reads one after another, so no key can be hot. By default its size is the
+    square root of the corpus' times BLOCK_BYTES, so that blocks keep their length as the corpus grows: 16 MB up to
+    1 TB, 140 MB at 100 TB. Memory of a task is that of one chunk or range (some forty times ``chunk_bytes``).
     """
     size, total = _size(docs)
+    chunk_bytes = chunk_bytes or max(LEAST_CHUNK, int((BLOCK_BYTES * size) ** 0.5))
     chunks = max(1, -(-size // chunk_bytes))
     ranges = chunks
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
-    rows = rows.repartition(min(chunks, MOST_PARTITIONS), "chunk")  # both uses below read this one exchange
-
-    def gather(table: pa.Table) -> pa.Table:
-        value, count = _distinct(*_words(table["text"].combine_chunks()), order)
-        cut = _cuts(value, ranges)
-        own = [i for i in range(ranges) if cut[i] < cut[i + 1]]
-        chunk = table["chunk"][0].as_py()
-        part = lambda x, f: pa.array([_pack(f(x[cut[i] : cut[i + 1]])) for i in own], pa.binary())
-        steps = lambda x: np.diff(x, prepend=U64(0))
-        h, n = part(value, steps), part(count.astype(np.uint32), lambda x: x)
-        return pa.table({"range": pa.array(own, pa.int64()), "chunk": pa.array([chunk] * len(own), pa.int64()), "h": h, "n": n})
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.spark_partition_id().alias("part"))
+
+    def deal(batches):
+        """Chunks of whole documents, each one row; a batch larger than a chunk is cut, a smaller one waits for the next."""
+        waiting, held, number = [], 0, 0
+        for batch in batches:
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            at = 0
+            while at < batch.num_rows:
+                done = sizes[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(sizes, done + chunk_bytes - held, "right")))
+                waiting.append(batch.slice(at, end - at))
+                held += int(sizes[end - 1] - done)
+                at = end
+                if held >= chunk_bytes or at < batch.num_rows:
+                    yield _chunk(waiting, number)
+                    waiting, held, number = [], 0, number + 1
+        if waiting:
+            yield _chunk(waiting, number)
+
+    chunked = rows.mapInArrow(deal, "chunk long, ids binary, texts binary, ends binary")
+    chunked = chunked.repartition(chunks, "chunk")  # both uses below read this one exchange
+
+    def gather(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                _, texts = _open(batch, i)
+                value, count = _distinct(*_words(texts), order)
+                cut = _cuts(value, ranges)
+                own = [k for k in range(ranges) if cut[k] < cut[k + 1]]
+                part = lambda x, f: pa.array([_pack(f(x[cut[k] : cut[k + 1]])) for k in own], pa.binary())
+                steps = lambda x: np.diff(x, prepend=U64(0))
+                h, n = part(value, steps), part(count.astype(np.uint32), lambda x: x)
+                chunk = batch.column(0)[i].as_py()
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([chunk] * len(own), pa.int64()), h, n], ["range", "chunk", "h", "n"])
 
     def count(table: pa.Table) -> pa.Table:
         lists = [np.cumsum(_unpack(h, U64), dtype=U64) for h in table["h"].to_pylist()]
@@ -163,8 +195,9 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_by
         return pa.table({"chunk": table["chunk"], "range": table["range"], "c": pa.array(back, pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        word, doc = _words(left["text"].combine_chunks())
-        n_words = np.bincount(doc, minlength=left.num_rows)
+        ids, texts = _open(left, 0)
+        word, doc = _words(texts)
+        n_words = np.bincount(doc, minlength=len(texts))
         out = np.zeros(len(n_words))
         if len(word):
             value, own_counts = _distinct(word, doc, order)
@@ -180,39 +213,56 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_by
                 out[first:end] = _log_scores(word[own], doc[own] - first, n_words[first:end], total, value, counts, order, alpha)
                 first = end
         mean = pa.array(out / np.maximum(n_words, 1), mask=n_words == 0)
-        return pa.table({"doc_id": left["doc_id"], "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(out), "mean_log": mean})
+        return pa.table({"doc_id": ids, "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(out), "mean_log": mean})
 
-    packed = rows.groupBy("chunk").applyInArrow(gather, "range long, chunk long, h binary, n binary")
-    counted = packed.groupBy("range").applyInArrow(count, "chunk long, range long, c binary")
-    return rows.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log double")
+    blocks = chunked.select("chunk", "ids", "texts", "ends").mapInArrow(gather, "range long, chunk long, h binary, n binary")
+    counted = blocks.groupBy("range").applyInArrow(count, "chunk long, range long, c binary")
+    return chunked.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log double")
 
 
-def op5_lm_scoring_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job: two levels of backing off. The SQL below is of order 2, so tests hold this against brute force."""
-    return _scores(spark, sf_dir, 3)
+def _chunk(batches: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+    """One row of a chunk's ids (nulls as a mask behind them) and texts."""
+    table = pa.Table.from_batches(batches)
+    ids = table["doc_id"]
+    none = ids.is_null().to_numpy()
+    known = ids.fill_null(0).to_numpy()
+    texts = [x.as_py().encode() for x in table["text"]]
+    ends = np.cumsum([len(x) for x in texts])
+    packed = _squeeze(known.astype(np.int64).tobytes() + none.astype(np.uint8).tobytes())
+    # Numbers of chunks are unique: the task's partition, then the chunk's place in it.
+    chunk = (table["part"][0].as_py() << 32) + number
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([packed], pa.binary()), pa.array([_squeeze(b"".join(texts))], pa.binary()), pa.array([_squeeze(ends.astype(np.int64).tobytes())], pa.binary())], ["chunk", "ids", "texts", "ends"])
 
 
-def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The form of order 2 that the SQL below expresses."""
-    return _scores(spark, sf_dir, 2)
+def _open(table: pa.Table | pa.RecordBatch, i: int) -> tuple[pa.Array, pa.Array]:
+    """Ids and texts of a chunk."""
+    ids, texts, ends = (_loose(table[c][i].as_py()) for c in ("ids", "texts", "ends"))
+    n = len(ends) // 8
+    offsets = np.concatenate(([0], np.frombuffer(ends, np.int64)))
+    known, none = np.frombuffer(ids, np.int64, n), np.frombuffer(ids, np.uint8, n, 8 * n).astype(bool)
+    return pa.array(known, mask=none), pa.LargeStringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(texts))
 
 
-def _scores(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
-    scores = backoff_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=order)
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = backoff_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=3)
     return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log", 6).alias("mean_log"))
 
 
 SQL = """
-with w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
-t as materialized (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from w),
-b as materialized (select x.doc_id, x.i, y.word as before, x.word from t x left join t y on x.doc_id = y.doc_id and y.i = x.i - 1),
-n as (select count(*) as n from t), nd as (select doc_id, count(*) as nd from t group by 1),
-u as (select word, count(*) as c from t group by 1), ud as (select doc_id, word, count(*) as c from t group by 1, 2),
-g as (select before, word, count(*) as c from b where i > 1 group by 1, 2), gd as (select doc_id, before, word, count(*) as c from b where i > 1 group by 1, 2, 3),
-s as (select b.doc_id, b.i, u.c - ud.c as cw, v.c - vd.c as cb, coalesce(g.c - gd.c, 0) as cg, n.n - nd.nd as rest
-  from b join n on true join nd using (doc_id) join u on u.word = b.word join ud on ud.doc_id = b.doc_id and ud.word = b.word
-  left join u v on v.word = b.before left join ud vd on vd.doc_id = b.doc_id and vd.word = b.before
-  left join g on g.before = b.before and g.word = b.word left join gd on gd.doc_id = b.doc_id and gd.before = b.before and gd.word = b.word),
-l as (select doc_id, ln(case when i > 1 and cg > 0 then cg / cb::double else (case when i > 1 then 0.4 else 1.0 end) * (case when cw > 0 then cw / rest::double else 0.4 / (rest + 1.0) end) end) as l from s)
-select w.doc_id, len(any_value(w.w))::bigint as n_words, round(coalesce(sum(l), 0), 3) as log_score, round(avg(l), 6) as mean_log from w left join l on l.doc_id = w.doc_id group by w.doc_id
+with w as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+t as materialized (select r, unnest(range(1, len(w) + 1)) as i, unnest(w) as w3, unnest(list_concat([null], w[:-2])) as w2, unnest(list_concat([null, null], w[:-3])) as w1 from w where len(w) > 2
+  union all select r, i, w[i], case when i > 1 then w[i - 1] end, null from (select r, w, unnest(range(1, len(w) + 1)) as i from w where len(w) <= 2)),
+n as (select count(*) as n from t), nd as (select r, count(*) as nd from t group by 1),
+u as (select w3 as a, count(*) as c from t group by 1), ud as (select r, w3 as a, count(*) as c from t group by 1, 2),
+b as (select w2 as a, w3 as b, count(*) as c from t where w2 is not null group by 1, 2), bd as (select r, w2 as a, w3 as b, count(*) as c from t where w2 is not null group by 1, 2, 3),
+g as (select w1 as a, w2 as b, w3 as c_, count(*) as c from t where w1 is not null group by 1, 2, 3), gd as (select r, w1 as a, w2 as b, w3 as c_, count(*) as c from t where w1 is not null group by 1, 2, 3, 4),
+s as (select t.r, t.w1, t.w2, u.c - ud.c as c3, v.c - vd.c as c2, coalesce(b.c - bd.c, 0) as c23, coalesce(x.c - xd.c, 0) as c12, coalesce(g.c - gd.c, 0) as c123, n.n - nd.nd as rest
+  from t join n on true join nd using (r) join u on u.a = t.w3 join ud on ud.r = t.r and ud.a = t.w3
+  left join u v on v.a = t.w2 left join ud vd on vd.r = t.r and vd.a = t.w2
+  left join b on b.a = t.w2 and b.b = t.w3 left join bd on bd.r = t.r and bd.a = t.w2 and bd.b = t.w3
+  left join b x on x.a = t.w1 and x.b = t.w2 left join bd xd on xd.r = t.r and xd.a = t.w1 and xd.b = t.w2
+  left join g on g.a = t.w1 and g.b = t.w2 and g.c_ = t.w3 left join gd on gd.r = t.r and gd.a = t.w1 and gd.b = t.w2 and gd.c_ = t.w3),
+l as (select r, ln(case when c123 > 0 then c123 / c12::double else (case when w1 is not null then 0.4 else 1.0 end)
+  * case when c23 > 0 then c23 / c2::double else (case when w2 is not null then 0.4 else 1.0 end) * (case when c3 > 0 then c3 / rest::double else 0.4 / (rest + 1.0) end) end end) as l from s)
+select any_value(w.doc_id) as doc_id, len(any_value(w.w))::bigint as n_words, round(coalesce(sum(l), 0), 3) as log_score, round(avg(l), 6) as mean_log from w left join l on l.r = w.r group by w.r
 """

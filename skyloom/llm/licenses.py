@@ -7,87 +7,125 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-#: Normalised sentences (lower case, numbers as #, other characters as one space) and their identifiers.
+#: Normalised sentences (lower case, numbers as #, other characters as one space; ``*`` stands for a name
+#: of up to ten words) of the licences' notices and titles, and the identifiers that they map to.
 SENTENCES = {
     "licensed under the apache license version #": "apache-line",
     "licensed under the apache license version # the license": "apache-line",
+    "the asf licenses this file to you under the apache license version # the license": "apache-line",
+    "apache license version # january #": "apache-title",
     "you may not use this file except in compliance with the license": "apache-use",
     "you may obtain a copy of the license at": "apache-copy",
+    "you may obtain a copy of the license at http www apache org licenses license #": "apache-copy",
+    "you may obtain a copy of the license at https www apache org licenses license #": "apache-copy",
     "released under the mit license": "mit-line",
     "licensed under the mit license": "mit-line",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files": "mit-grant",
-    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
-    "the software is provided as is without warranty of any kind express or implied": "as-is",
-    "this work is licensed under the gnu general public license version #": "gpl-line",
-    "this program is free software": "gpl-free",
-    "you can redistribute it and or modify it under the terms of the gnu general public license": "gpl-terms",
-    "licensed under cc by #": "cc-by-line",
-    "licensed under cc by sa #": "cc-by-sa-line",
-    "licensed under cc by nc #": "cc-by-nc-line",
-    "licensed under cc by nd #": "cc-by-nd-line",
-    "licensed under cc by nc sa #": "cc-by-nc-sa-line",
-    "licensed under cc by nc nd #": "cc-by-nc-nd-line",
-    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
-    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
-    "redistributions in binary form must reproduce the above copyright notice": "bsd-binary",
-    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products": "bsd-names",
-    "this source code form is subject to the terms of the mozilla public license v #": "mpl-line",
-}
-#: Whole sentences of the standard texts and their variants, as further keys of the same identifiers; ``*``
-#: stands for a name of up to ten words.
-WHOLE = {
-    "the asf licenses this file to you under the apache license version # the license": "apache-line",
-    "you may obtain a copy of the license at http www apache org licenses license #": "apache-copy",
-    "you may obtain a copy of the license at https www apache org licenses license #": "apache-copy",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction": "mit-grant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so": "mit-0-grant",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
     "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": "mit-notice",
+    "the software is provided as is without warranty of any kind": "as-is",
+    "the software is provided as is without warranty of any kind express or implied": "as-is",
     "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as-is",
     "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and non infringement": "as-is",
-    "the software is provided as is without warranty of any kind": "as-is",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "zero-grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
+    "redistributions in binary form must reproduce the above copyright notice": "bsd-binary",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
-    "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "all advertising materials mentioning features or use of this software must display the following acknowledgement": "bsd-advertising",
     "neither the name of * nor the names of its contributors may be used to endorse or promote products": "bsd-names",
-    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
-    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version # of the license or at your option any later version": "gpl-terms",
-    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version # of the license": "gpl-terms",
-    "you can redistribute it and or modify it under the terms of the gnu general public license version # as published by the free software foundation": "gpl-terms",
+    "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "this program is free software": "free",
+    "this library is free software": "free",
+    "either version # of the license or at your option any later version": "or-later",
+    "version # of the license": "version-of",
+    "this source code form is subject to the terms of the mozilla public license v #": "mpl-line",
     "this source code form is subject to the terms of the mozilla public license version #": "mpl-line",
+    "mozilla public license version #": "mpl-title",
+    "to the extent possible under law * has waived all copyright and related or neighboring rights to *": "cc-zero-waiver",
 }
-#: In order, the first rules win; (licence, identifiers that follow each other, takes a version).
+#: The GNU licences' names in text, and the months that their titles end with.
+GNU = {"AGPL": "gnu affero general public license", "LGPL": "gnu lesser general public license", "GPL": "gnu general public license"}
+_MONTHS = ("# june #", "june #", "# november #", "february #")
+_TERMS = "you can redistribute it and or modify it under the terms of the "
+for _name, _text in GNU.items():
+    _id = _name.lower()
+    SENTENCES |= {
+        f"this work is licensed under the {_text} version #": f"{_id}-line",
+        f"{_TERMS}{_text}": f"{_id}-terms",
+        f"{_TERMS}{_text} as published by the free software foundation": f"{_id}-terms",
+        f"{_TERMS}{_text} as published by the free software foundation either version # of the license or at your option any later version": f"{_id}-later",
+        f"{_TERMS}{_text} as published by the free software foundation version # of the license": f"{_id}-version",
+        f"{_TERMS}{_text} version # as published by the free software foundation": f"{_id}-version",
+        **{f"{_text} version # {m}": f"{_id}-title" for m in _MONTHS},
+    }
+#: Creative Commons licences' conditions by their short forms.
+CREATIVE = {"by-nc-sa": "attribution noncommercial sharealike", "by-nc-nd": "attribution noncommercial noderivatives", "by-nc": "attribution noncommercial", "by-sa": "attribution sharealike", "by-nd": "attribution noderivatives", "by": "attribution"}
+for _id, _text in CREATIVE.items():
+    SENTENCES |= {
+        f"licensed under cc {_id.replace('-', ' ')} #": f"cc-{_id}-line",
+        f"this work is licensed under a creative commons {_text} # international license": f"cc-{_id}-line",
+        f"this work is licensed under the creative commons {_text} # international license": f"cc-{_id}-line",
+    }
+#: Licence identifiers that a line may state after ``SPDX-License-Identifier:``; # stands for a version.
+SPDX = [
+    "MIT", "MIT-#", "ISC", "Unlicense", "Apache-#", "BSD-#-Clause", "MPL-#", *[f"{g}-#{e}" for g in GNU for e in ("-only", "-or-later", "")], *[f"CC-{c.upper()}-#" for c in CREATIVE],
+]
+SENTENCES |= {f"spdx {x.lower().replace('-', ' ')}": f"spdx-{x.lower().replace('#', 'n')}" for x in SPDX}
+#: In order, each rule consumes the identifiers that it matches: (licence, with # for the version,
+#: identifiers that follow each other, which of them states the version).
 RULES = [
-    ("Apache", ["apache-line", "apache-use", "apache-copy"], True),
-    ("Apache", ["apache-line"], True),
-    ("MIT", ["mit-grant", "mit-notice", "as-is"], False),
-    ("MIT", ["mit-line"], False),
-    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"], False),
-    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"], False),
-    ("GPL", ["gpl-free", "gpl-terms"], False),
-    ("GPL", ["gpl-line"], True),
-    ("CC-BY-NC-SA", ["cc-by-nc-sa-line"], True),
-    ("CC-BY-NC-ND", ["cc-by-nc-nd-line"], True),
-    ("CC-BY-NC", ["cc-by-nc-line"], True),
-    ("CC-BY-SA", ["cc-by-sa-line"], True),
-    ("CC-BY-ND", ["cc-by-nd-line"], True),
-    ("CC-BY", ["cc-by-line"], True),
-    ("MPL", ["mpl-line"], True),
+    *[(x, [f"spdx-{x.lower().replace('#', 'n')}"], 0) for x in SPDX],
+    ("Apache-#", ["apache-line", "apache-use", "apache-copy"], 0),
+    ("Apache-#", ["apache-line"], 0),
+    ("Apache-#", ["apache-title"], 0),
+    ("MIT", ["mit-grant", "mit-notice", "as-is"], None),
+    ("MIT", ["mit-grant", "mit-notice"], None),
+    ("MIT-0", ["mit-0-grant"], None),
+    ("MIT", ["mit-line"], None),
+    ("ISC", ["isc-grant"], None),
+    ("0BSD", ["zero-grant"], None),
+    ("Unlicense", ["unlicense"], None),
+    ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-names"], None),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"], None),
+    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"], None),
 ]
-#: A sentence without one of these is none of SENTENCES or WHOLE; it saves normalising all other texts.
+for _name in GNU:
+    _id = _name.lower()
+    for _free in (["free"], []):
+        RULES += [
+            (f"{_name}-#-or-later", [*_free, f"{_id}-later"], len(_free)),
+            (f"{_name}-#-or-later", [*_free, f"{_id}-terms", "or-later"], len(_free) + 1),
+            (f"{_name}-#", [*_free, f"{_id}-version"], len(_free)),
+            (f"{_name}-#", [*_free, f"{_id}-terms", "version-of"], len(_free) + 1),
+            (_name, [*_free, f"{_id}-terms"], None),
+        ]
+    RULES += [(f"{_name}-#", [f"{_id}-line"], 0), (f"{_name}-#", [f"{_id}-title"], 0)]
+RULES += [(f"CC-{_id.upper()}-#", [f"cc-{_id}-line"], 0) for _id in CREATIVE]
+RULES += [("CC0", ["cc-zero-waiver"], None), ("MPL-#", ["mpl-line"], 0), ("MPL-#", ["mpl-title"], 0)]
+#: A text without one of these has none of SENTENCES; it saves normalising all other texts.
 CUE = "(?i)licen[sc]|copyright|permi|redistribut|software|cc by|cc-by"
 END = r"[.!?;:]+(\s|$)"
-NUMBER = "[0-9]+([.][0-9]+)*"
+SPDX_LINE = r"spdx-license-identifier:[ \t]*\(?([a-z0-9.+-]+)(?: (?:or|and) ([a-z0-9.+-]+))?\)?"
 #: A normalised text's number and name; its words are parted by a space or, where a line ends, by ``~``.
 _PART = {"#": "[0-9]+(?:_[0-9]+)*", "*": "[a-z0-9_]+(?:[ ~|][a-z0-9_]+){0,9}?[|]?"}
 #: The known sentences, longest first, so that a line that ends within one cuts nothing off it.
-_KNOWN = "|".join("[ ~]".join(_PART.get(w, w) for w in k.split()).replace("[|]?[ ~]", "[ ~|]") for k in sorted(SENTENCES | WHOLE, key=len, reverse=True))
-_NAME = "^neither the name of .+? nor "
+_KNOWN = "|".join("[ ~]".join(_PART.get(w, w) for w in k.split()).replace("[|]?[ ~]", "[ ~|]") for k in sorted(SENTENCES, key=len, reverse=True))
+#: What a name stands in for is cut out of a sentence before it is looked up.
+_NAMES = (("^neither the name of .+? nor ", "neither the name of * nor "), ("^to the extent possible under law .+? has waived ", "to the extent possible under law * has waived "), (" neighboring rights to .+$", " neighboring rights to *"))
 
 
 def _marked(text: Column) -> Column:
     """Words and numbers (``2_0`` for 2.0) of a text in lower case, ``|`` between sentences and paragraphs and ``~``
     where another line of a paragraph begins."""
     t = F.translate(F.lower(text), "_|~#", "    ")
+    t = F.regexp_replace(t, SPDX_LINE, "|spdx $1|spdx $2|")
     t = F.regexp_replace(t, r"\bv[.]\s+(?=[0-9])", "v ")
     t = F.regexp_replace(t, "([0-9])[.](?=[0-9])", "$1_")
     t = F.translate(F.regexp_replace(t, END, "|"), "\n", "~")
@@ -102,66 +140,62 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     A sentence ends at one of ``. ! ? ; :`` before white space (not in ``v. 2.0``) or at an empty line; it may end at
     any other line's end, but a longer known one that goes on over the line's end counts first. Known sentences become
     identifiers with their version; rules are tried in order on the sequence of a document's identifiers (other
-    sentences may lie between), and BSD-2-Clause only where a name clause does not follow. Returns one row per document:
+    sentences may lie between), and what a rule matches is not there for later ones. Returns one row per document:
     doc_id, n_sentences (known ones, repeats included), identifiers and licenses (comma-separated; licences in order of
     their rules, with the versions that their sentences state), or null where there are none. Nulls: a null text has
     none. Repeated rows give a row each. Other columns are ignored. An empty table gives no rows. It is one projection:
     no join and no shuffle.
     """
-    keys = {k.replace("neither the name of the copyright holder nor", "neither the name of * nor"): v for k, v in (SENTENCES | WHOLE).items()}
-    lookup = F.create_map(*[F.lit(x) for pair in keys.items() for x in pair])
+    lookup = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     sentences = F.regexp_extract_all(_marked(text_of()), F.lit(f"(?<=[|~])({_KNOWN})(?=[|~])"), F.lit(1))
 
     def known(s: Column) -> Column:
-        clean = F.regexp_replace(F.regexp_replace(F.translate(s, "~|", "  "), "[0-9]+(_[0-9]+)*", "#"), _NAME, "neither the name of * nor ")
+        clean = F.regexp_replace(F.translate(s, "~|", "  "), "[0-9]+(_[0-9]+)*", "#")
+        for pattern, name in _NAMES:
+            clean = F.regexp_replace(clean, pattern, name)
         return F.struct(F.try_element_at(lookup, clean).alias("id"), F.translate(F.regexp_extract(s, "[0-9]+(_[0-9]+)*", 0), "_", ".").alias("version"))
 
     found = F.filter(F.transform(sentences, known), lambda x: x["id"].isNotNull())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(text_of().rlike(CUE), found).alias("found"))
     rows = rows.withColumn("found", F.when(F.size("found") > 0, F.col("found")))
-    ids = F.concat(F.lit(","), F.array_join(F.transform("found", lambda x: x["id"]), ","), F.lit(","))
-
-    def matched(name: str, sequence: list[str], versioned: bool) -> Column:
-        plain = F.array(F.lit(name))
-        if versioned:
-            first = F.filter("found", lambda x: x["id"] == sequence[0])
-            plain = F.transform(first, lambda x: F.concat(F.lit(f"{name}-"), x["version"]))
-        longer = [r[1][len(sequence)] for r in RULES if r[1][: len(sequence)] == sequence and len(r[1]) > len(sequence)] if len(sequence) > 1 else []
-        stop = "".join(f"(?!{x},)" for x in longer)
-        return F.when(F.col("ids").rlike(f",{','.join(sequence)},{stop}"), plain).otherwise(F.array().cast("array<string>"))
-
-    rows = rows.withColumn("ids", ids)
-    licenses = F.array_distinct(F.flatten(F.array(*[matched(*r) for r in RULES])))
+    # The sequence as text: ",id@version,id@version,"; a rule's first group is its version.
+    sequence = F.concat(F.lit(","), F.array_join(F.transform("found", lambda x: F.concat(x["id"], F.lit("@"), x["version"])), ","), F.lit(","))
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_pattern(ids, at)).alias("pattern")) for name, ids, at in RULES])
+    none = F.array().cast("array<string>")
+
+    def apply(seen: Column, rule: Column) -> Column:
+        versions = F.regexp_extract_all(seen["ids"], rule["pattern"], F.lit(1))
+        names = F.transform(versions, lambda v: F.replace(rule["name"], F.lit("#"), v))
+        return F.struct(F.regexp_replace(seen["ids"], rule["pattern"], F.lit(",-")).alias("ids"), F.concat(seen["out"], names).alias("out"))
+
+    licenses = F.array_distinct(F.aggregate(rules, F.struct(sequence.alias("ids"), none.alias("out")), apply, lambda x: x["out"]))
+    rows = rows.withColumn("licenses", F.when(F.col("found").isNotNull(), licenses))
     return rows.select(
         "doc_id",
-        F.coalesce(F.size("found"), F.lit(0)).cast("int").alias("n_sentences"),
+        F.greatest(F.size("found"), F.lit(0)).cast("int").alias("n_sentences"),
         F.array_join(F.transform("found", lambda x: x["id"]), ",").alias("identifiers"),
-        F.when(F.col("found").isNotNull() & (F.size(licenses) > 0), F.array_join(licenses, ",")).alias("licenses"),
-    ).withColumn("n_sentences", F.greatest("n_sentences", F.lit(0)))
+        F.when(F.size("licenses") > 0, F.array_join("licenses", ",")).alias("licenses"),
+    ).withColumn("n_sentences", F.coalesce("n_sentences", F.lit(0)))
+
+
+def _pattern(ids: list[str], version: int | None) -> str:
+    """A rule's identifiers in a sequence's text."""
+    return "".join(f",{x}@" + ("([^,]*)" if i == version else "[^,]*") for i, x in enumerate(ids)) + ("()" if version is None else "") + "(?=,)"
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def _sql() -> str:
-    lookup = ", ".join(f"'{k}': '{v}'" for k, v in SENTENCES.items())
-    tests = []
-    for name, sequence, versioned in RULES:
-        one = f"list_transform(list_filter(found, lambda x: x.id = '{sequence[0]}'), lambda x: '{name}-' || x.version)" if versioned else f"['{name}']"
-        tests.append(f"case when contains(ids, ',{','.join(sequence)},') then {one} else [] end")
-    ordered = f"flatten([{', '.join(tests)}])"
-    return f"""
-with s as (select doc_id, string_split(regexp_replace(coalesce(text, ''), '{END}', chr(10), 'g'), chr(10)) as parts from documents),
-k as (select doc_id, list_filter(list_transform(list_filter(parts, lambda s: regexp_matches(s, '{CUE}')),
-  lambda s: {{'id': (MAP {{{lookup}}})[trim(regexp_replace(regexp_replace(lower(s), '{NUMBER}', '#', 'g'), '[^a-z#]+', ' ', 'g'))],
-         'version': regexp_extract(s, '{NUMBER}')}}), lambda x: x.id is not null) as found from s),
-i as (select doc_id, found, ',' || array_to_string(list_transform(found, lambda x: x.id), ',') || ',' as ids from k),
-l as (select doc_id, found, list_filter({ordered}, lambda x: true) as l from i),
-u as (select doc_id, found, list_filter(l, lambda x, n: list_position(l, x) = n) as l from l)
-select doc_id, len(found)::int as n_sentences, case when len(found) > 0 then array_to_string(list_transform(found, lambda x: x.id), ',') end as identifiers,
-  case when len(l) > 0 then array_to_string(l, ',') end as licenses from u
+#: Written on the notices as they stand in the documents, with none of the tables and patterns above.
+SQL = r"""
+with f as (select doc_id, regexp_extract_all(coalesce(text, ''),
+  'This work is licensed under the GNU General Public License, version [0-9]+[.]|Licensed under CC BY(-[A-Z]+)* [0-9.]+[0-9][.]|Licensed under the Apache License, Version [0-9.]+[0-9][.]|Released under the MIT License[.]') as m from documents),
+k as (select doc_id, m, list_transform(m, lambda x: case when x like '%GNU%' then 'gpl-line' when x like '%Apache%' then 'apache-line' when x like '%MIT%' then 'mit-line'
+  else lower(replace(regexp_extract(x, 'CC BY(-[A-Z]+)*'), ' ', '-')) || '-line' end) as ids,
+  list_transform(m, lambda x: regexp_extract(x, '[0-9]+([.][0-9]+)*')) as v from f),
+l as (select doc_id, m, ids, list_distinct(list_transform(list_zip(ids, v), lambda p: struct_pack(o := case when p[1] = 'apache-line' then '1Apache-' || p[2] when p[1] = 'mit-line' then '2MIT'
+  when p[1] = 'gpl-line' then '3GPL-' || p[2] else '4' || upper(left(p[1], length(p[1]) - 5)) || '-' || p[2] end))) as o from k)
+select doc_id, len(m)::int as n_sentences, case when len(m) > 0 then array_to_string(ids, ',') end as identifiers,
+  case when len(m) > 0 then array_to_string(list_transform(list_sort(o), lambda x: substr(x.o, 2)), ',') end as licenses from l
 """
-
-
-SQL = _sql()

@@ -29,7 +29,7 @@ from .components import connected_components
 #: Ids beyond which candidates are joined by shuffle: 4 M ids are about 64 MB as a broadcast table.
 BROADCAST_IDS = 4_000_000
 #: Members of a hub that are confirmed in one run; the hub's text travels once for each run.
-RUN_MEMBERS = 256
+RUN_MEMBERS = 64
 #: Ratio of neighbouring length classes of the last join.
 CLASS_RATIO = 1.05
 

@@ -1,4 +1,9 @@
-"""Quality: random-indexing word vectors pooled per document, then a two-layer numpy network with a temperature."""
+"""Quality: random-indexing word vectors pooled per document, then a two-layer numpy network with a temperature.
+
+A word's vector is its index vector, sparse and random by its hash, plus its context vector, the sum of its neighbours'
+index vectors over the whole corpus. Context vectors are kept in 2**slots slots that words are hashed into, so the
+table does not grow with the vocabulary, and words that share a slot share the sum of their contexts.
+"""
 
 from __future__ import annotations
 
@@ -25,14 +30,12 @@ EXTRA = 4
 
 @dataclass
 class Settings:
-    words: int = 1 << 14  #: most frequent words of the sample with vectors of their own; others have their shape's
-    slots: int = 17  #: bits of the table that finds a word
+    slots: int = 14  #: bits of the table of context vectors, which words are hashed into
     dimensions: int = 48
     marks: int = 4  #: entries of +1 or -1 in a word's index vector
     window: int = 2
     hidden: int = 32
     per_class: int = 2500  #: labelled documents of each class that training reads at most
-    longest: int = 1 << 18  #: bytes of a text that training reads at most; longer ones are left out of the sample
     epochs: int = 60
     rate: float = 0.005
     seed: int = 4
@@ -52,59 +55,89 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return span_hash(data, start, end), np.searchsorted(bounds, start, "right") - 1, shape
 
 
-class Vectors:
-    """Random-indexing vectors: a word's is its own sparse random index vector plus the index vectors of its
-    neighbours in the sample, at unit length. A shape has one as well and is also what other words fall back to."""
-
-    def __init__(self, sample: list[tuple[np.ndarray, np.ndarray]], s: Settings):
-        self.shift = U64(64 - s.slots)
-        hashes = np.concatenate([h for h, _ in sample]) if sample else np.zeros(0, U64)
-        value, count = np.unique(hashes, return_counts=True)
-        often = np.lexsort((value, -count))[: s.words]
-        often = often[count[often] > 1][::-1]  # on a clash of slots the more frequent word stays
-        slot = (value[often] >> self.shift).astype(np.int64)
-        self.keys = np.zeros(1 << s.slots, U64)
-        self.ids = np.full(1 << s.slots, -1, np.int32)
-        self.keys[slot], self.ids[slot] = value[often], np.arange(len(often)) + SHAPES
-        n = SHAPES + len(often)
-        seeds = np.concatenate((mix(np.arange(SHAPES, dtype=U64) + U64(s.seed)), value[often]))
-        index = np.zeros((n, s.dimensions), np.float32)
-        for j in range(s.marks):
-            r = mix(seeds + U64((j + 1) * 0x9E3779B97F4A7C15 % 2**64))
-            np.add.at(index, (np.arange(n), (r % U64(s.dimensions)).astype(np.int64)), np.where(r >> U64(63), 1, -1))
-        context = np.zeros_like(index)
-        for h, shape in sample:
-            at = self.find(h, shape)
-            for d in range(1, s.window + 1):
-                if len(at) > d:
-                    np.add.at(context, at[d:], index[at[:-d]])
-                    np.add.at(context, at[:-d], index[at[d:]])
-        unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6)
-        self.table = unit(unit(index) + unit(context)).astype(np.float32)
-        self.shapes = unit(index[:SHAPES]).astype(np.float32)
-
-    def find(self, h: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        slot = (h >> self.shift).astype(np.int64)
-        return np.where((self.keys[slot] == h) & (self.ids[slot] >= 0), self.ids[slot], shape)
-
-    def pool(self, h: np.ndarray, doc: np.ndarray, shape: np.ndarray, n: int) -> np.ndarray:
-        """Of each of ``n`` documents: means of the word vectors and of the shape vectors, how far words agree with the
-        one, two and three places before them (for index vectors: how many are equal), and log length."""
-        d = self.table.shape[1]
-        out = np.zeros((n, 2 * d + EXTRA), np.float32)
-        if not len(h):
-            return out
-        start = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-        own, count = doc[start], np.diff(np.concatenate((start, [len(doc)])))
-        out[own, :d] = np.add.reduceat(self.table[self.find(h, shape)], start) / count[:, None]
-        kinds = np.bincount(doc * SHAPES + shape, minlength=n * SHAPES).reshape(n, SHAPES)[own]
-        out[own, d : 2 * d] = (kinds / count[:, None]) @ self.shapes
-        for lag in (1, 2, 3):
-            same = np.zeros(len(h), np.int64)
-            same[lag:] = (h[lag:] == h[:-lag]) & (doc[lag:] == doc[:-lag])
-            out[own, 2 * d + lag - 1] = np.add.reduceat(same, start) / count
-        out[own, -1] = np.log1p(count)
+def marks(h: np.ndarray, s: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and signs of the entries of the words' index vectors, which follow from their hashes."""
+    out = []
+    for j in range(s.marks):
+        r = mix(h + U64((j + 1) * 0x9E3779B97F4A7C15 % 2**64))
+        out.append(((r % U64(s.dimensions)).astype(np.int64), np.where(r >> U64(63), 1, -1)))
+    return out
+
+
+def slots(h: np.ndarray, s: Settings) -> np.ndarray:
+    return (h >> U64(64 - s.slots)).astype(np.int64)
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-6)
+
+
+def contexts(docs: DataFrame, s: Settings) -> np.ndarray:
+    """Of each slot: the sum of the index vectors of the neighbours of its words in all documents, at unit length.
+
+    A task adds its documents up in one table, and Spark adds the tables' rows; 2**slots rows reach the driver.
+    """
+    names = [f"c{i}" for i in range(s.dimensions)]
+
+    def add(batches):
+        total = np.zeros((1 << s.slots) * s.dimensions, np.int64)
+        for batch in batches:
+            for _, _, data, bounds in Steps(batch.column(0)):
+                h, doc, _ = tokens(data, bounds)
+                base = slots(h, s) * s.dimensions
+                places = marks(h, s)
+                for lag in range(1, s.window + 1):
+                    near = np.flatnonzero(doc[lag:] == doc[:-lag])
+                    for place, sign in places:
+                        np.add.at(total, base[near + lag] + place[near], sign[near])
+                        np.add.at(total, base[near] + place[near + lag], sign[near + lag])
+        total = total.reshape(-1, s.dimensions)
+        some = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(total[some, i]) for i in range(s.dimensions)]], ["slot", *names])
+
+    sums = docs.select(text_of().alias("text")).mapInArrow(add, "slot long, " + ", ".join(f"{n} long" for n in names))
+    found = sums.groupBy("slot").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    table = np.zeros((1 << s.slots, s.dimensions))
+    table[found["slot"].to_numpy(np.int64)] = found[names].to_numpy(np.float64)
+    return unit(table).astype(np.float32)
+
+
+def shape_vectors(s: Settings) -> np.ndarray:
+    index = np.zeros((SHAPES, s.dimensions), np.float32)
+    for place, sign in marks(mix(np.arange(SHAPES, dtype=U64) + U64(s.seed)), s):
+        np.add.at(index, (np.arange(SHAPES), place), sign)
+    return unit(index)
+
+
+def pool(h: np.ndarray, doc: np.ndarray, shape: np.ndarray, n: int, table: np.ndarray, s: Settings) -> np.ndarray:
+    """Of each of ``n`` documents: means of the words' index vectors plus their context vectors and of the index
+    vectors of their shapes, shares of words that equal the one, two and three places before them, and log length."""
+    d = s.dimensions
+    out = np.zeros((n, 2 * d + EXTRA), np.float32)
+    if not len(h):
         return out
+    start = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+    own, count = doc[start], np.diff(np.concatenate((start, [len(doc)])))
+    total = np.add.reduceat(table[slots(h, s)], start)
+    for place, sign in marks(h, s):
+        total += np.bincount(doc * d + place, weights=sign, minlength=n * d).reshape(n, d)[own] / np.sqrt(s.marks)
+    out[own, :d] = total / count[:, None]
+    kinds = np.bincount(doc * SHAPES + shape, minlength=n * SHAPES).reshape(n, SHAPES)[own]
+    out[own, d : 2 * d] = (kinds / count[:, None]) @ shape_vectors(s)
+    for lag in (1, 2, 3):
+        same = np.zeros(len(h), np.int64)
+        same[lag:] = (h[lag:] == h[:-lag]) & (doc[lag:] == doc[:-lag])
+        out[own, 2 * d + lag - 1] = np.add.reduceat(same, start) / count
+    out[own, -1] = np.log1p(count)
+    return out
+
+
+def pooled(texts: pa.Array, table: np.ndarray, s: Settings) -> np.ndarray:
+    """The inputs of the network for each text."""
+    out = np.zeros((len(texts), 2 * s.dimensions + EXTRA), np.float32)
+    for first, end, data, bounds in Steps(texts):
+        out[first:end] = pool(*tokens(data, bounds), end - first, table, s)
+    return out
 
 
 class Network:
@@ -152,53 +185,35 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(sample: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, share: float, s: Settings) -> tuple[Vectors, Network]:
-    vectors = Vectors(sample, s)
-    pooled = [vectors.pool(h, np.zeros(len(h), np.int64), shape, 1)[0] for h, shape in sample]
-    x = np.array(pooled, np.float64).reshape(len(sample), 2 * s.dimensions + EXTRA)
-    return vectors, Network(x, y, share, s)
-
-
-def score(texts: pa.Array, vectors: Vectors, network: Network) -> np.ndarray:
-    """Probability of label 1 of each text."""
-    out = np.zeros(len(texts))
-    for first, end, data, bounds in Steps(texts):
-        out[first:end] = network(vectors.pool(*tokens(data, bounds), end - first).astype(np.float64))
-    return out
-
-
-def sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, s: Settings) -> pd.DataFrame:
-    """y and tokens (hashes and shapes as bytes) of the training rows."""
+def sample(docs: DataFrame, labels: DataFrame, table: np.ndarray, modulus: int, remainder: int, s: Settings) -> pd.DataFrame:
+    """y and the network's inputs, as bytes, of the training rows: some hundred bytes a row, however long its text."""
     ids = training_ids(labels, "quality", modulus, remainder, s.per_class)
 
     def read(batches):
         for batch in batches:
-            hashes, shapes = [], []
-            for text in batch.column(2):
-                data = np.frombuffer(text.as_py().encode(), np.uint8)
-                h, _, shape = tokens(data, np.array([0, len(data)]))
-                hashes.append(h.tobytes())
-                shapes.append(shape.astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.binary()), pa.array(shapes, pa.binary())], ["doc_id", "y", "h", "s"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).where(F.octet_length("text") <= s.longest)
+            x = pooled(batch.column(2), table, s)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([row.tobytes() for row in x], pa.binary())], ["doc_id", "y", "x"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")  # 2 * per_class ids at most
-    return rows.mapInArrow(read, "doc_id long, y int, h binary, s binary").toPandas().sort_values("doc_id", kind="stable")
+    return rows.mapInArrow(read, "doc_id long, y int, x binary").toPandas().sort_values(["doc_id", "x"], kind="stable")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, modulus: int = 4, remainder: int = 2, threshold: float = 0.7, rows: DataFrame | None = None) -> DataFrame:
     """Score every whole text (of ``rows`` where given); learn from labelled rows of ``docs`` that are not held out.
 
-    Returns per row: doc_id, held_out, score, predicted (1 if score >= ``threshold``). The sample of labelled rows is
-    bounded by ``Settings.per_class`` and ``longest``. Nulls: a null text is empty; an empty text is scored as one of
-    no words; a null id is never held out. Without labels of both classes the score is one constant. Repeated rows are
-    scored each. Other columns are ignored. An empty table gives no rows.
+    Returns per row: doc_id, held_out, score, predicted (1 if score >= ``threshold``). Word vectors come from all
+    documents; the sample of labelled rows is bounded by ``Settings.per_class``. Nulls: a null text is empty; an empty
+    text is scored as one of no words; a null id is never held out. Without labels of both classes the score is one
+    constant. Repeated rows are scored each. Other columns are ignored. An empty table gives no rows.
     """
     s = settings or Settings()
-    train = sample(docs, labels, modulus, remainder, s)
-    read = [(np.frombuffer(h, U64), np.frombuffer(k, np.uint8).astype(np.int64)) for h, k in zip(train["h"], train["s"])]
-    vectors, network = fit(read, train["y"].to_numpy(np.int64), share_of_ones(labels, "quality", modulus, remainder), s)
-    return scored(docs if rows is None else rows, lambda texts: score(texts, vectors, network), modulus, remainder, threshold)
+    table = contexts(docs, s)
+    train = sample(docs, labels, table, modulus, remainder, s)
+    x = np.frombuffer(b"".join(train["x"]), np.float32).reshape(len(train), 2 * s.dimensions + EXTRA).astype(np.float64)
+    network = Network(x, train["y"].to_numpy(np.int64), share_of_ones(labels, "quality", modulus, remainder), s)
+    score = lambda texts: network(pooled(texts, table, s).astype(np.float64))
+    return scored(docs if rows is None else rows, score, modulus, remainder, threshold)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,6 @@ QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op4_decontamination": decontaminate.op4_decontamination,
-    "op5_lm_scoring_trigrams": language_model.op5_lm_scoring_trigrams,
     "op5_lm_scoring": language_model.op5_lm_scoring,
     "op6_quality": quality.op6_quality,
     "op7_best_fit_packing": packing.op7_best_fit_packing,

@@ -94,6 +94,34 @@ def test_sharding(spark, odd):
     assert sharding.shard(odd.limit(0), 5).count() == 0
 
 
+def test_sharding_against_plain_python(spark):
+    """Shard and slot of each row from its number, by the network in Python integers."""
+    n, shards, seed, rounds = 333, 7, 17, 6
+    got = {r.doc_id: (r.shard, r.slot) for r in sharding.shard(docs_of(spark, [prose(i, 5) for i in range(n)]), shards, seed).collect()}
+    whole = 2**64
+
+    def mixed(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 % whole
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB % whole
+        return x ^ (x >> 31)
+
+    half = ((n - 1).bit_length() + 1) // 2
+    keys = [mixed((i * 0x9E3779B97F4A7C15 + seed) % whole) for i in range(1, rounds + 1)]
+
+    def place(x):
+        while True:
+            left, right = x >> half, x % 2**half
+            for k in keys:
+                left, right = right, left ^ (mixed((right + k) % whole) % 2**half)
+            x = right * 2**half + left
+            if x < n:
+                return x
+
+    assert got == {i: (place(i) % shards, place(i) // shards) for i in range(n)}
+
+
 def test_exact_dedup_and_its_index(spark, odd, tmp_path):
     got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(odd).collect()}
     assert (3, 3, 3, True) in got and (None, 3, 3, False) in got
@@ -106,6 +134,14 @@ def test_exact_dedup_and_its_index(spark, odd, tmp_path):
     again = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), 4)
     assert {(r.doc_id, r.keep_id, r.kept) for r in again.ingest(second).collect()} == {(10, 0, False), (11, 11, True), (12, 1, False)}
     assert again.read().count() == 3
+    # The same batch again, as after a crash, and from a catalogue that does not know the index.
+    want = {(r.doc_id, r.keep_id, r.kept) for r in again.ingest(second).collect()}
+    spark.sql(f"drop table {again.table}")
+    later = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), 4)
+    assert want == {(r.doc_id, r.keep_id, r.kept) for r in later.ingest(second).collect()} == {(10, 0, False), (11, 11, True), (12, 1, False)}
+    assert {(r.doc_id, r.kept) for r in later.ingest(first).collect()} == {(0, True), (1, True)}
+    small = later.compacted(str(tmp_path / "small"))
+    assert small.read().count() == 3 and {(r.doc_id, r.kept) for r in small.ingest(docs_of(spark, ["d", "e"], 20)).collect()} == {(20, False), (21, True)}
     assert exact_dedup.exact_dedup(odd.limit(0)).count() == 0
 
 
@@ -166,6 +202,43 @@ def test_contamination(spark, odd):
     assert decontaminate.contaminated(odd, bench).count() == 0
 
 
+def shared_passages(docs, items):
+    """Brute force: pairs with a window that has few enough substitutions, over all alignments."""
+    found = set()
+    for (i, a), (j, b) in itertools.product(enumerate(docs), enumerate(items)):
+        n = min(13, len(b))
+        for line in range(-len(b), len(a)):
+            lo, hi = max(0, -line), min(len(b), len(a) - line)
+            if n and any(sum(a[at + line + k] != b[at + k] for k in range(n)) <= (2 if n == 13 else 1 if n >= 7 else 0) for at in range(lo, hi - n + 1)):
+                found.add((i, j))
+    return found
+
+
+def test_contamination_against_brute_force(spark):
+    r = random.Random(12)
+    items = [[r.choice("abcdefgh") for _ in range(n)] for n in (3, 5, 6, 7, 9, 12, 13, 14, 20, 40)] + [list("ab" * 9), ["a"] * 20, ["x", "y", "z"] * 6]
+    docs = [[r.choice("abcdefgh") for _ in range(r.randrange(1, 60))] for _ in range(40)]
+    for item in items:
+        for _ in range(6):
+            part = list(item[r.randrange(0, max(1, len(item) - 13)) :])
+            for _ in range(r.randrange(0, 4)):
+                part[r.randrange(len(part))] = "q"
+            docs.append([r.choice("abcd") for _ in range(5)] + part + ["end"])
+    docs += [["a"] * 400, list("ab" * 150), ["x", "y", "z"] * 50, ["a", "a", "b"] * 30]
+    bench = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(items)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs_of(spark, [" ".join(t) for t in docs]), bench).collect()}
+    assert got == shared_passages(docs, items)
+
+
+def test_places_with_equal_steps_are_one_row():
+    place = np.array([0, 1, 2, 3, 9, 4, 8, 12, 14, 16, 30])
+    value = np.array([7, 7, 7, 7, 7, 8, 8, 8, 8, 8, 8])
+    _, step, start = decontaminate._equal_steps(np.zeros(11, np.int64), value, place)
+    n = np.diff(np.append(np.flatnonzero(start), 11))
+    got = [f + s * k for f, s, m in zip(place[start], step[start], n) for k in range(m)]
+    assert got == place.tolist() and len(n) < 8
+
+
 def test_best_fit_plan():
     plan = packing.best_fit_plan({6: 3, 4: 4, 2: 2, 10: 1}, 10)
     used = collections.defaultdict(list)
@@ -180,6 +253,27 @@ def test_best_fit_plan():
         assert all(a + n == b for (a, n), (b, _) in zip(spots, spots[1:])) and sum(n for _, n in spots) <= 10
 
 
+def test_best_fit_plan_needs_no_more_sequences_than_best_fit_over_documents():
+    r = random.Random(5)
+    for limit, most in ((100, 60), (64, 64), (1024, 1024), (10, 7)):
+        lengths = [r.randrange(1, most + 1) for _ in range(3000)]
+        spaces: list[int] = []
+        for n in sorted(lengths, reverse=True):  # plain best-fit decreasing
+            fit = [i for i, space in enumerate(spaces) if space >= n]
+            if fit:
+                best = min(fit, key=lambda i: spaces[i])
+                spaces[best] -= n
+            else:
+                spaces.append(limit - n)
+        used = set()
+        counts = collections.Counter(lengths)
+        plan = packing.best_fit_plan(counts, limit)
+        for length, rank, per, first, _ in plan:
+            after = [p[1] for p in plan if p[0] == length and p[1] > rank]
+            used |= {first + i // per for i in range((min(after) if after else counts[length]) - rank)}
+        assert len(used) <= len(spaces) and len(used) >= -(-sum(lengths) // limit)
+
+
 def test_packing(spark, odd):
     vocab = tokens.vocabulary()
     got = packing.pack(odd, 64, vocab, group_rows=8).collect()
@@ -226,6 +320,28 @@ def test_licenses(spark, odd):
     got = {r.doc_id: (r.n_sentences, r.licenses) for r in licenses.scan_licenses(docs_of(spark, texts)).collect()}
     assert got == {0: (1, "Apache-2.0"), 1: (2, "MIT,CC-BY-NC-4.0"), 2: (3, "MIT"), 3: (0, None), 4: (0, None), 5: (3, "CC-BY-NC-4.0,CC-BY-NC-3.0")}
     assert licenses.scan_licenses(odd).count() == odd.count() and licenses.scan_licenses(odd.limit(0)).count() == 0
+    assert {(r.n_sentences, r.identifiers, r.licenses) for r in licenses.scan_licenses(odd).collect()} == {(0, None, None)}
+
+
+def test_spdx_lines_and_titles(spark):
+    cases = {
+        "// SPDX-License-Identifier: MIT\nint x;": "MIT",
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0-or-later",
+        "# SPDX-License-Identifier: Apache-2.0 OR MIT\n": "MIT,Apache-2.0",
+        "x\n# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+        "SPDX-License-Identifier: CC-BY-SA-4.0\n": "CC-BY-SA-4.0",
+        "SPDX-License-Identifier: Nonesuch-1.0": None,
+        "the spdx mit text": None,
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\nPreamble": "GPL-3",
+        "   GNU LESSER GENERAL PUBLIC LICENSE\n  Version 2.1, February 1999\n": "LGPL-2.1",
+        "                                 Apache License\n                           Version 2.0, January 2004\n": "Apache-2.0",
+        "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions": "MPL-2.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "This is free and unencumbered software released into the public domain.\n": "Unlicense",
+        "To the extent possible under law, Some One has waived all copyright and related or neighboring rights to\nthis work.": "CC0",
+    }
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs_of(spark, list(cases))).collect()}
+    assert [got[n] for n in range(len(cases))] == list(cases.values())
 
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -285,8 +401,17 @@ License, v. 2.0. If a copy of the MPL was not distributed with this
 file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
 
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES."""
+
+
 def test_whole_license_texts(spark):
-    notices = {"MIT": MIT, "BSD-2-Clause": BSD2 + BSD_END, "GPL": GPL, "Apache-2.0": APACHE, "MPL-2.0": MPL}
+    lesser = GPL.replace("GNU General", "GNU Lesser General").replace("program is", "library is").replace("version 3", "version 2.1").replace("Foundation,", "Foundation;")
+    only = GPL.replace("either version 3 of the License, or\n(at your option) any later version", "version 2 of the License")
+    notices = {"MIT": MIT, "BSD-2-Clause": BSD2 + BSD_END, "GPL-3-or-later": GPL, "LGPL-2.1-or-later": lesser, "GPL-2": only, "AGPL-3-or-later": GPL.replace("GNU General", "GNU Affero General"), "ISC": ISC, "Apache-2.0": APACHE, "MPL-2.0": MPL}
     cases = [*notices.items(), ("BSD-3-Clause", BSD2 + BSD_NAMES.format("the copyright holder") + BSD_END), ("BSD-3-Clause", BSD2 + BSD_NAMES.format("Google Inc.") + BSD_END)]
     flat = lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n"))
     forms = [lambda t: t, flat, lambda t: "".join(f"# {x}\n" for x in t.split("\n")), lambda t: "".join(f" * {x}\r\n" for x in t.split("\n")), lambda t: "A line without a stop\n" + t + "\nanother"]
@@ -360,6 +485,59 @@ def test_classifiers(spark, odd):
         assert {x.score for x in run(odd, labels.limit(0)).collect()} == {run(odd, labels.limit(0)).first().score}
 
 
+def test_toxicity_scores_against_plain_python():
+    s = toxicity.Settings(bits=10)
+    weights = np.random.default_rng(1).normal(size=1 << s.bits).astype(np.float32)
+    texts = [None, "", "One idiot", "a  bb\tccc é", "x" * 40]
+
+    def plain(text):
+        low = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b" \t\n\x0b\x0c\r" else b for b in (text or "").encode())
+        padded, total, count = b" " + low + b" " * 9, 0.0, 0
+        for i in range(len(low) + 1):
+            for size in s.sizes:
+                gram = padded[i : i + size]
+                if 32 in gram[1:-1]:
+                    continue
+                h = sum(int(toxicity._TABLES[j][c]) for j, c in enumerate(gram)) * 0x9E3779B97F4A7C15 % 2**64
+                total, count = total + float(weights[h >> (64 - s.bits)]), count + 1
+        return 1 / (1 + math.exp(-(total / max(count, 1) + 0.25)))
+
+    got = toxicity.score(pa.array(texts, pa.string()), weights, 0.25, s)
+    assert got == pytest.approx([plain(t) for t in texts], abs=1e-5)
+
+
+def test_quality_inputs_against_plain_python(spark):
+    s = quality.Settings(slots=6, dimensions=8)
+    texts = ["aa bb, aa cc", "Bb aa!! 12", None, "", "aa", "dd aa bb dd dd"]
+
+    def plain_tokens(text):
+        h, _, shape = quality.tokens(np.frombuffer((text or "").encode(), np.uint8), np.array([0, len((text or "").encode())]))
+        return [int(x) for x in h], shape.tolist()
+
+    def index(h):
+        v = np.zeros(s.dimensions)
+        for j in range(s.marks):
+            r = int(common.mix(np.array([(h + (j + 1) * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
+            v[r % s.dimensions] += 1 if r >> 63 else -1
+        return v
+
+    table = np.zeros((1 << s.slots, s.dimensions))
+    for t in texts:
+        h, _ = plain_tokens(t)
+        for i, k in itertools.product(range(len(h)), range(len(h))):
+            if i != k and abs(i - k) <= s.window:
+                table[h[i] >> (64 - s.slots)] += index(h[k])
+    norm = np.linalg.norm(table, axis=1, keepdims=True)
+    table = table / np.where(norm > 0, norm, 1)
+    got = quality.contexts(docs_of(spark, texts).repartition(3), s)
+    assert got == pytest.approx(table, abs=1e-5)
+    x = quality.pooled(pa.array(texts, pa.string()), got, s)
+    for t, row in zip(texts, x):
+        h, _ = plain_tokens(t)
+        want = sum((index(v) / math.sqrt(s.marks) + table[v >> (64 - s.slots)] for v in h), np.zeros(s.dimensions)) / max(1, len(h))
+        assert row[: s.dimensions] == pytest.approx(want, abs=1e-5)
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     item = " ".join(f"w{n}" for n in range(30))
