@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import staged
+from skyloom.llm.common import discard, staged
 from skyloom.llm.decontaminate import contaminated
 from skyloom.llm.exact_dedup import exact_dedup
 from skyloom.llm.near_dedup import near_duplicates
@@ -61,27 +61,37 @@ def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier scores at QUALITY or more. A null or empty text is scored as one of no words; each row
+    of a repeated or null id is scored by its own text; other columns, whatever their names, are kept as they are; an
+    empty table stays empty."""
     keyed = _keyed(docs)
     scores = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), rows=keyed)
     return _without(keyed, scores.where(F.col("score") < QUALITY))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text (blanks aside): the longest, then that of smallest key. Null and empty texts are one text.
+    Rows of a repeated or null id are rows of their own, so wholly repeated rows leave one; an empty table stays empty."""
     keyed = _keyed(docs)
     return _without(keyed, exact_dedup(keyed).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of near duplicates, that of smallest key. Texts without words are all kept; rows of a
+    repeated or null id are rows of their own; an empty table stays empty."""
     keyed = _keyed(docs)
     return _without(keyed, near_duplicates(keyed, k=5, percent=80).where("not kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that share no passage with the benchmark. Null and empty texts share none; each row of a repeated or null
+    id is decided by its own text; an empty table, or an empty benchmark, drops nothing."""
     keyed = _keyed(docs)
     return _without(keyed, contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all rows with their places in sequences of 1024 tokens; see ``pack`` for nulls, repeats and ties."""
     return pack(docs, limit=1024)
 
 
@@ -89,9 +99,12 @@ STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; a stage's table is deleted when the next one is written."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(*last)
+        last = [docs]
     return docs
 
 
