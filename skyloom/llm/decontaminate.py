@@ -213,4 +213,5 @@ def _lengths_below(items: DataFrame, limit: int) -> list[int]:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that share a passage."""
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -122,6 +122,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of exact dedup over all documents, with an index of its own."""
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

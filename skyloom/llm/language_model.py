@@ -244,6 +244,7 @@ def _open(table: pa.Table | pa.RecordBatch, i: int) -> tuple[pa.Array, pa.Array]
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document with two words of context, rounded."""
     scores = backoff_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=3)
     return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log", 6).alias("mean_log"))
 

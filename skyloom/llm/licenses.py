@@ -184,6 +184,7 @@ def _pattern(ids: list[str], version: int | None) -> str:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that each document states."""
     return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

@@ -250,6 +250,7 @@ def _across(posted: DataFrame, labels: DataFrame, docs: DataFrame, k: int, perce
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with 85 % of their 3-word shingles in common."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=3, percent=85)
 
 

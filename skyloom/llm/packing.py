@@ -132,4 +132,5 @@ def pack(docs: DataFrame, limit: int = 1024, vocab: tuple[str, str | None] | Non
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), limit=1024)

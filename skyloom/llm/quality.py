@@ -217,4 +217,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the rows that are not held out."""
     return score_quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -96,4 +96,5 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 17) -> DataFrame:
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards under the law ``rows``."""
     return shard(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=40)

@@ -71,4 +71,5 @@ def token_counts(docs: DataFrame, vocab: tuple[str, str | None] | None = None, b
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents for every context limit that is some length."""
     return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -164,4 +164,5 @@ def scored(docs: DataFrame, model, modulus: int, remainder: int, threshold: floa
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the rows that are not held out."""
     return score_toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -573,3 +573,33 @@ def test_pipeline_decides_rows_of_null_and_repeated_ids(spark, tmp_path):
     got = collections.Counter((r.doc_id, r.text) for r in docs.collect())
     # The shorter text of doc 4 has the smaller key, so the null row goes; copies of one text leave one row.
     assert got == collections.Counter(rows[:40] + [odd[4], odd[5], odd[8]])
+
+
+def test_pipeline_stages_on_odd_tables(spark, odd, tmp_path):
+    """Nulls, empty and long texts, ties, repeats, an empty table and columns with the stages' own names."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame([(i, 1, 0) for i in range(9)] + [(None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "no such passage in any of these texts"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = odd.withColumns({c: F.lit(1) for c in ("run", "part", "kind", "hub", "score", "kept", "keep_id", "component_id", "_number", "batch", "g", "piece")})
+    texts = [r.text for r in odd.collect()]
+    key = lambda t: "".join(t.split()) if t else ""
+    want = {"quality": len(texts), "exact_dedup": len({key(t) for t in texts}), "decontamination": len(texts)}
+    # Of the texts with words: the pairs of near copies are (A b C, a b c), (80 words, with a line's end) and (long, long + end).
+    sets = components(dict(enumerate(texts)), 5, 80)
+    want["near_dedup"] = sum(i == c for i, c in sets[0].items())
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, more, str(tmp_path))
+        if name != "packing":
+            assert got.columns == more.columns, name
+            assert got.count() == want[name], name
+        else:
+            assert got.select("doc_id", "piece").distinct().count() <= got.count() and got.count() >= len(texts)
+        assert stage(spark, more.limit(0), str(tmp_path)).count() == 0, name
+
+
+def test_language_model_on_repeated_rows(spark):
+    same = spark.createDataFrame([(None, "a b c d")] * 40 + [(1, "a b x")], "doc_id long, text string")
+    got = language_model.backoff_scores(same, order=3, chunk_bytes=20).collect()
+    scores = {round(r.log_score, 9) for r in got if r.doc_id is None}
+    n = 39 * 4 + 3
+    assert len(got) == 41 and scores == {round(math.log(40 / n) + math.log(40 / 40) + math.log(39 / 40) + math.log(39 / 39), 9)}
