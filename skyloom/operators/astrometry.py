@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..staging import discard, staged
 from .fit import f_pvalue, solve
 
 #: Step of the numerical derivative of each parameter.
@@ -20,6 +21,12 @@ LINEAR = ["crval1", "crval2", "cd1_1", "cd1_2", "cd2_1", "cd2_2"]
 WCS = ["crval1", "crval2", "crpix1", "crpix2", "cd1_1", "cd1_2", "cd2_1", "cd2_2"]
 
 
+def _pv_step(name: str, proj: str) -> float:
+    """Higher terms of a polynomial need larger steps to be seen; they are linear, so that the step's size is no error."""
+    n = int(name.rsplit("_", 1)[1])
+    return 10.0 ** (n - 2) if proj == "ZPN" and n > 1 else 1e-3
+
+
 def project(p: dict[str, float], proj: str, ra: np.ndarray, dec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pixels of sky positions, as ``world2pix`` gives them, for arrays of one image."""
     a, d, d0 = np.radians(ra - p["crval1"]), np.radians(dec), math.radians(p["crval2"])
@@ -54,7 +61,7 @@ def normal(pdf: pd.DataFrame, p: dict[str, float], params: list[str], proj: str,
     good = np.isfinite(r).all(0)
     j = np.zeros((len(params), 2, len(ra)))
     for n, name in enumerate(params):
-        h = STEPS.get(name, 1e-3)
+        h = STEPS.get(name) or _pv_step(name, proj)
         up, down = (project({**p, name: p[name] + s * h}, proj, ra, dec) for s in (1, -1))
         j[n] = (np.stack(up) - np.stack(down)) / (2 * h)
     w = 1 / pdf["image_dxy"].to_numpy(float) ** 2 if "image_dxy" in pdf else np.ones(len(ra))
@@ -120,7 +127,7 @@ def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str]
     eliminated where its row is, the reduced blocks are summed, the shared step is solved once and put back. The
     shared start is the first image's. Images whose values are null or that have too few pairs keep theirs."""
     shared, own = shared or ["crpix1", "crpix2"], own or LINEAR
-    params, g = [*shared, *own], len(shared)
+    params, g, start = [*shared, *own], len(shared), images
     k, size = len(params), g * g + g
     for _ in range(steps):
         rows, wcs = _rows(pairs, images)
@@ -132,7 +139,8 @@ def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str]
             a, b, *_ = normal(pdf, p, params, proj, False)
             return pd.DataFrame({"image_id": [pdf["image_id"].iloc[0]], "a": [a.ravel().tolist()], "b": [b.tolist()]})
 
-        sums = rows.groupBy("image_id").applyInPandas(equations, "image_id long, a array<double>, b array<double>").persist()
+        sums = rows.groupBy("image_id").applyInPandas(equations, "image_id long, a array<double>, b array<double>")
+        sums = staged(sums, "equations")
 
         def reduce(batches):
             total = np.zeros(size)
@@ -159,32 +167,106 @@ def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str]
 
         found = sums.mapInPandas(back, "image_id long, _b array<double>")
         moved = {p: F.col(p) + float(delta[n]) for n, p in enumerate(shared)} | {p: F.col(p) + F.coalesce(F.get("_b", F.lit(n)), F.lit(0.0)) for n, p in enumerate(own)}
-        images = images.join(found, "image_id", "left").withColumns(moved).drop("_b").persist()
+        before, images = images, staged(images.join(found, "image_id", "left").withColumns(moved).drop("_b"), "projections")
+        discard(sums, *([before] if hasattr(before, "_staged") and before is not start else []))
     return images
 
 
-def select_projection(pairs: DataFrame, images: DataFrame, projections: tuple[str, ...] = ("TAN", "ZEA", "ARC"), params: list[str] | None = None, alpha: float = 0.05) -> DataFrame:
-    """Per image the projection of least chi2 per degree of freedom (ties: first in the list), with its fit and
-    column proj. ``ARC`` is a ZPN without terms. CRPIX is fitted where ``params`` says so; ``crpix_needed`` tests that."""
-    fits = [fit_astrometry(pairs, images, params, proj).withColumns({"proj": F.lit(proj), "_n": F.lit(n)}) for n, proj in enumerate(projections)]
-    every = fits[0]
-    for f in fits[1:]:
-        every = every.unionByName(f)
-    best = every.groupBy("image_id").agg(F.min(F.struct(F.round("astwssr", 9), "_n")).alias("_best")).select("image_id", F.col("_best._n").alias("_n"))
-    return every.join(best, ["image_id", "_n"]).drop("_n")
-
-
-def crpix_needed(pairs: DataFrame, images: DataFrame, proj: str = "TAN", alpha: float = 0.05) -> DataFrame:
-    """(image_id, crpix_needed): F test of fitting CRPIX beside CRVAL and CD."""
-    small, large = fit_astrometry(pairs, images, LINEAR, proj), fit_astrometry(pairs, images, [*LINEAR, "crpix1", "crpix2"], proj)
+#: Terms that a polynomial projection may have beside PV2_1 = 1.
+PV_TERMS = [f"pv2_{n}" for n in range(2, 8)]
+#: A fit of a smaller chi2 per degree of freedom is exact; no test says anything about it.
+EXACT = 1e-12
+
+
+class _Image:
+    """Fits of one image's pairs. A model is (parameters, chi2, degrees of freedom)."""
+
+    def __init__(self, pdf: pd.DataFrame, steps: int, alpha: float):
+        self.pdf, self.steps, self.alpha = pdf, steps, alpha
+
+    def fit(self, start: dict[str, float], params: list[str], proj: str) -> tuple[dict[str, float], float, int]:
+        p, last = dict(start), math.inf
+        for _ in range(self.steps):
+            a, b, chi2, *_ = normal(self.pdf, p, params, proj, False)
+            if abs(last - chi2) <= 1e-9 * chi2:
+                break
+            last = chi2
+            p.update({c: p[c] + v for c, v in zip(params, solve(a, b)[0])})
+        _, _, chi2, rx, _ = normal(self.pdf, p, [], proj, False)
+        return p, chi2 if np.isfinite(rx).all() else math.inf, 2 * len(rx) - len(params)
+
+    def better(self, small: tuple, large: tuple, k: int) -> bool:
+        """F test: do the ``k`` further parameters of the larger model pay?"""
+        (_, c1, _), (_, c2, n) = small, large
+        if n <= 0 or not math.isfinite(c2):
+            return False
+        return c1 > EXACT * n and f_pvalue((c1 - c2) / k / max(c2 / n, 1e-300), k, n) < self.alpha
+
+    def polynomial(self, start: dict[str, float], params: list[str]) -> tuple[tuple, list[str]]:
+        """Terms of ZPN, added and dropped one at a time while the F test says so."""
+        chosen: list[str] = []
+        best = self.fit(start, params, "ZPN")
+        # Each trial starts from the best model so far, with new terms at 0.
+        model = lambda terms: self.fit({**{k: v for k, v in best[0].items() if k not in PV_TERMS or k in terms}, **{t: 0.0 for t in terms if t not in best[0]}}, [*params, *terms], "ZPN")
+        for _ in range(2 * len(PV_TERMS)):
+            more = [(t, model([*chosen, t])) for t in PV_TERMS if t not in chosen]
+            more = [(t, m) for t, m in more if self.better(best, m, 1)]
+            if more:
+                term, best = min(more, key=lambda x: x[1][1])
+                chosen.append(term)
+            less = [(t, model([c for c in chosen if c != t])) for t in chosen]
+            less = [(t, m) for t, m in less if not self.better(m, best, 1)]
+            if less and best[1] > EXACT * best[2]:
+                term, best = min(less, key=lambda x: x[1][1])
+                chosen.remove(term)
+            elif not more:
+                break
+        return best, chosen
+
+    def projection(self, start: dict[str, float], params: list[str], proj: str) -> tuple[tuple, str]:
+        """Best model of a projection and its name; CRPIX, where it is to be fitted, is held if a test says it may."""
+
+        def fitted(names: list[str]) -> tuple[tuple, list[str]]:
+            if proj == "ZPN":
+                return self.polynomial({**start, "pv2_1": 1.0}, names)
+            if proj == "AZP":
+                return self.fit({**start, "pv2_1": 0.1, "pv2_2": 0.0}, [*names, "pv2_1"], proj), ["pv2_1"]
+            return self.fit(start, names, proj), []
+
+        best, terms = fitted(params)
+        if "crpix1" in params and "crpix2" in params:
+            held = fitted([c for c in params if c not in ("crpix1", "crpix2")])
+            if not self.better(held[0], best, 2):
+                best, terms = held
+        return best, "ARC" if proj == "ZPN" and not terms else proj
+
+
+def select_projection(pairs: DataFrame, images: DataFrame, projections: tuple[str, ...] = ("TAN", "ZEA", "AZP", "ZPN"), params: list[str] | None = None, alpha: float = 0.05, steps: int = 8) -> DataFrame:
+    """Images with the projection of least chi2 per degree of freedom (ties: first in the list) as ``proj``, its
+    fitted ``params`` (default CRVAL and CD), pv2_1 .. pv2_7 (null where it has none), astchi2, astndf, astwssr.
+
+    AZP fits mu (pv2_1, from 0.1; no tilt). ZPN chooses its terms stepwise by F tests of one parameter; without terms it
+    is ARC. CRPIX, where ``params`` has it, is fitted only if an F test of both together says so, else it keeps its
+    value. All of an image's fits run where its pairs are, after one shuffle. Images with fewer pairs than parameters
+    keep theirs, with null ``proj``.
+    """
+    params = params or LINEAR
+    rows, wcs = _rows(pairs, images.drop(*[c for c in images.columns if c.startswith("pv2_")]))
+    terms = ["pv2_1", *PV_TERMS]
+    names = ["image_id", "proj", *[f"_{c}" for c in params], *terms, "astchi2", "astndf", "astwssr"]
 
-    @F.pandas_udf("boolean")
-    def test(c1: pd.Series, c2: pd.Series, ndf: pd.Series) -> pd.Series:
-        return pd.Series([n > 0 and f_pvalue((a - b) / 2 / max(b / n, 1e-300), 2, n) < alpha for a, b, n in zip(c1, c2, ndf)])
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        start, image = _start(pdf, wcs), _Image(pdf, steps, alpha)
+        if 2 * len(pdf) <= len(params) + 1 or any(c not in start for c in params):
+            return pd.DataFrame(columns=names)
+        models = [image.projection(start, params, proj) for proj in projections]
+        (p, chi2, ndf), proj = min(models, key=lambda m: round(m[0][1] / m[0][2], 9) if m[0][2] > 0 else math.inf)
+        return pd.DataFrame([[pdf["image_id"].iloc[0], proj, *[p[c] for c in params], *[p.get(c) for c in terms], chi2, ndf, chi2 / ndf if ndf > 0 else None]], columns=names)
 
-    a = small.select("image_id", F.col("astchi2").alias("c1"))
-    b = large.select("image_id", F.col("astchi2").alias("c2"), "astndf")
-    return a.join(b, "image_id").where("astndf is not null").select("image_id", test("c1", "c2", "astndf").alias("crpix_needed"))
+    kinds = {"image_id": T.LongType(), "astndf": T.LongType(), "proj": T.StringType()}
+    found = rows.groupBy("image_id").applyInPandas(run, T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names]))
+    out = images.drop("proj", *terms, "astchi2", "astndf", "astwssr").join(found, "image_id", "left")
+    return out.withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in params}).drop(*[f"_{c}" for c in params])
 
 
 def camera_priors(images: DataFrame, cameras: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.response import eval_response, factor, is_linear, split_term
+from ..staging import discard, staged
 
 
 @dataclass
@@ -151,7 +152,8 @@ def fit_per_image(pairs: DataFrame, common: list[str], per_image: list[str], y:
     names, g = [*common, *per_image], len(common)
     k = len(names)
     xs = [factor(pairs, t, mag) for t in names]
-    sums = pairs.groupBy("image_id").agg(*moments(xs, F.col(y) - F.col(mag), _weight(err))).persist()
+    sums = pairs.groupBy("image_id").agg(*moments(xs, F.col(y) - F.col(mag), _weight(err)))
+    sums = staged(sums, "moments")
     size = g * g + g
 
     def reduce(batches):
@@ -196,6 +198,7 @@ def fit_clipped(pairs: DataFrame, terms: list[str], rounds: int = 3, mask: Colum
     """Refits at most ``rounds`` times on rows with abs(residual) < 3 sqrt(WSSR/NDF) * err, a mask that is
     recomputed on all rows each time; stops when chi2 per degree of freedom is not better. Returns fit and mask."""
     y, mag, err = options.get("y", "cat_mag"), options.get("mag", "mag_auto"), options.get("err", "dy")
+    pairs = staged(pairs, "pairs")  # each round reads them twice
     best = fit_photometry(pairs, terms, mask=mask, **options)
     kept = mask if mask is not None else F.lit(True)
     for _ in range(rounds):
@@ -205,6 +208,7 @@ def fit_clipped(pairs: DataFrame, terms: list[str], rounds: int = 3, mask: Colum
         if not fit.wssrndf < best.wssrndf:
             break
         best, kept = fit, new
+    discard(pairs)
     return best, kept
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.astrom import separation
+from ..staging import discard, staged
 
 
 def finite(c: Column) -> Column:
@@ -152,26 +153,27 @@ def dedupe_sky(df: DataFrame, r: float, keep: str = "last", key: str = "number",
 
     The greedy form is a fix-point on the close pairs alone: a row without undecided earlier neighbours stays and its
     later neighbours go, until no pair is undecided. It takes as many rounds as the longest chain of rows that decide
-    each other; each ends in a checkpoint.
+    each other; each ends in a staged table.
     """
     pairs = close_pairs(df, r, key, rd, by)
     on = lambda k: [F.col(f"_d.{c}") == df[c] for c in by] + [F.col(f"_d.{k}") == df[key]]
     if keep == "last":
         return df.join(pairs.select(*by, "k1").distinct().alias("_d"), on("k1"), "left_anti")
-    left, gone = _cut(pairs), []
-    while not left.isEmpty():
+    rounds = [staged(pairs.withColumn("gone", F.lit(False)), "close-pairs")]
+    while True:
+        left = rounds[-1].where("not gone").drop("gone")
         undecided = left.select(*by, F.col("k2").alias("k1")).distinct()
-        out = _cut(left.join(undecided, [*by, "k1"], "left_anti").select(*by, "k2").distinct())
-        gone.append(out)
-        if len(gone) == 20:
-            gone = [_cut(reduce(DataFrame.union, gone))]
-        left = _cut(left.join(out, [*by, "k2"], "left_anti").join(out.withColumnRenamed("k2", "k1"), [*by, "k1"], "left_anti"))
-    return df.join(reduce(DataFrame.union, gone).distinct().alias("_d"), on("k2"), "left_anti") if gone else df
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """``df`` without its plan: in the session's checkpoint folder, else on the executors."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() is not None else df.localCheckpoint()
+        out = left.join(undecided, [*by, "k1"], "left_anti").select(*by, "k2").distinct()
+        if left.isEmpty():
+            break
+        rest = left.join(out, [*by, "k2"], "left_anti").join(out.withColumnRenamed("k2", "k1"), [*by, "k1"], "left_anti")
+        rounds.append(staged(rest.withColumn("gone", F.lit(False)).unionByName(out.withColumns({"k1": F.col("k2"), "gone": F.lit(True)})), "close-pairs"))
+        if len(rounds) == 20:  # what is gone in all of them, and what is left in the last
+            many = staged(reduce(DataFrame.unionByName, [x.where("gone") for x in rounds]).unionByName(rounds[-1].where("not gone")), "close-pairs")
+            discard(*rounds)
+            rounds = [many]
+    gone = reduce(DataFrame.unionByName, [x.where("gone") for x in rounds])
+    return df.join(gone.select(*by, "k2").distinct().alias("_d"), on("k2"), "left_anti")
 
 
 def find_target(det: DataFrame, targets: DataFrame, r: float) -> DataFrame:

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.astrom import pix2world, world2pix
 from ..functions.headers import powerlaw_mag
+from ..staging import staged
 from .match import range_join
 
 
@@ -126,11 +130,10 @@ def coverage(images: DataFrame, frame: dict[str, float], proj: str = "TAN") -> D
     (x0, x1), (y0, y1) = bound("_gx", frame["size_x"]), bound("_gy", frame["size_y"])
     inside = (x0 <= x1) & (y0 <= y1)
     cells = at.where(inside).withColumn("y", F.explode(F.sequence(y0, y1))).withColumn("x", F.explode(F.sequence(x0, x1)))
-    # The sky position of a cell is found once for the grid, not once for each image; the count below has the same key.
-    nx, ny = int(frame["size_x"]), int(frame["size_y"])
-    grid = images.sparkSession.range(nx * ny).select((F.col("id") % nx).alias("x"), F.expr(f"id div {nx}").alias("y"))
-    grid = pix2world(grid.withColumns({c: F.lit(float(v)) for c, v in wcs.items()}), "TAN", "x", "y", ("_ra", "_dec")).select("x", "y", "_ra", "_dec")
-    sky = cells.join(grid.hint("shuffle_hash"), ["y", "x"])
+    # A cell's sky position follows from its place, so nothing is joined and counts combine before the one exchange.
+    sky = pix2world(cells.withColumns({c: F.lit(float(v)) for c, v in wcs.items()}), "TAN", "x", "y", ("_ra", "_dec"))
+    # An explode of one element keeps the two projections apart: as one expression they are too large to be compiled.
+    sky = sky.withColumn("_at", F.explode(F.array(F.struct("_ra", "_dec")))).withColumns({"_ra": F.col("_at._ra"), "_dec": F.col("_at._dec")})
     back = world2pix(sky.withColumns({c: F.col(f"_i_{c}") for c in wcs}), proj, "_ra", "_dec", ("_px", "_py"))
     covers = F.col("_px").between(0, F.col("imgaxis1")) & F.col("_py").between(0, F.col("imgaxis2"))
     return back.where(covers).groupBy("y", "x").agg(F.count(F.lit(1)).alias("n"))
@@ -141,24 +144,47 @@ def largest_rectangle(cov: DataFrame, mode: str = "in") -> DataFrame:
     ties: smallest bottom row, then left column, then greatest height.
 
     Heights of filled cells above each cell are run lengths per column (gaps and islands). In a row, a rectangle of the
-    height of cell j reaches to the nearest lower cells on both sides; rows are arrays of the grid's width.
+    height of cell j reaches to the nearest lower cells on both sides; rows are arrays of the grid's width, each of
+    which one pass with a stack of open rectangles goes through.
     """
     top = cov.agg(F.max("n").alias("_max"))
     filled = cov.join(F.broadcast(top)).where(F.col("n") == F.col("_max") if mode == "in" else F.col("n") > 0)  # one row
     island = F.col("y") - F.row_number().over(Window.partitionBy("x").orderBy("y"))
     runs = filled.withColumn("_g", island).withColumn("h", F.row_number().over(Window.partitionBy("x", "_g").orderBy("y")))
     rows = runs.groupBy("y").agg(F.sort_array(F.collect_list(F.struct("x", "h"))).alias("c"))
-
-    # For each cell: columns run on to both sides while they are filled and at least as high.
-    side = F.expr("""transform(c, (p, i) -> struct(p.x as x, p.h as h,
-      aggregate(reverse(slice(c, 1, i)), struct(p.x as at, true as on), (s, q) -> if(s.on and q.x = s.at - 1 and q.h >= p.h, struct(q.x as at, true as on), struct(s.at as at, false as on)), s -> s.at) as l,
-      aggregate(slice(c, i + 2, size(c)), struct(p.x as at, true as on), (s, q) -> if(s.on and q.x = s.at + 1 and q.h >= p.h, struct(q.x as at, true as on), struct(s.at as at, false as on)), s -> s.at) as r))""")
-    best = rows.select("y", F.explode(side).alias("s")).select("y", F.col("s.l").alias("x"), (F.col("s.r") - F.col("s.l") + 1).alias("w"), F.col("s.h").cast("long").alias("h"))
+    rows = rows.select("y", F.transform("c", lambda p: p["x"].cast("long")).alias("x"), F.transform("c", lambda p: p["h"].cast("long")).alias("h"))
+
+    def reach(batches):
+        for batch in batches:
+            out = [[], [], [], []]
+            for y, x, h in zip(batch["y"], batch["x"], batch["h"]):
+                for left, right, high in widest_spans(x, h):
+                    for column, value in zip(out, (y, left, right - left + 1, high)):
+                        column.append(value)
+            yield pd.DataFrame(dict(zip(("y", "x", "w", "h"), out)), dtype="int64")
+
+    best = rows.mapInPandas(reach, "y long, x long, w long, h long")
     best = best.withColumn("area", F.col("w") * F.col("h"))
     one = best.agg(F.min(F.struct((-F.col("area")).alias("a"), "y", "x", (-F.col("h")).alias("h"), "w")).alias("m"))
     return one.select(F.col("m.x").alias("x"), (F.col("m.y") + F.col("m.h") + 1).alias("y"), F.col("m.w").alias("w"), (-F.col("m.h")).alias("h"), (-F.col("m.a")).alias("area"))
 
 
+def widest_spans(x: np.ndarray, h: np.ndarray) -> list[tuple[int, int, int]]:
+    """(first column, last column, height) of each cell's widest rectangle of its height, over sorted columns ``x``."""
+    out, open_ = [], []  # open rectangles: (first column, height), heights rise
+    for i in range(len(x)):
+        start = int(x[i])
+        if i and x[i] != x[i - 1] + 1:
+            out += [(a, int(x[i - 1]), high) for a, high in open_]
+            open_ = []
+        while open_ and open_[-1][1] >= h[i]:
+            start, high = open_.pop()
+            if high > h[i]:
+                out.append((start, int(x[i - 1]), high))
+        open_.append((start, int(h[i])))
+    return out + [(a, int(x[-1]), high) for a, high in open_]
+
+
 def cropped_frame(box: DataFrame, frame: dict[str, float], sampling: int = 8) -> DataFrame:
     """Adds to the rectangle the header of its frame at full resolution: cells are ``sampling`` pixels wide."""
     at = lambda c, n: (F.lit(float(frame[n])) - F.col(c)) * sampling
@@ -173,8 +199,8 @@ def cluster_images(images: DataFrame, size: str = "field") -> DataFrame:
     threshold is the value before the first gap of more than a tenth of the median size between sorted distances, else
     twice the median size; the value itself is rejected. A single image is valid.
 
-    Distances use cos dec of the image of smaller image_id. Neighbours within a median size are found by cells; only
-    images that have none (outliers, few) are compared with all others.
+    Distances use cos dec of the image of smaller image_id. Neighbours are looked for in cells of the median size; the
+    images without one look on in cells four times as wide, and so on, until each has one.
     """
     typical = images.agg(F.median(size)).first()[0]
     n = images.count()
@@ -188,12 +214,19 @@ def cluster_images(images: DataFrame, size: str = "field") -> DataFrame:
     least = one.agg(F.min(F.cos(F.radians("ctrdec")))).first()[0]
     scaled = one.withColumns({"_sx": F.col("ctrra") * F.lit(max(least, 1e-3)), "_sy": F.col("ctrdec")})
     other = two.withColumns({"_tx": F.col("_ra") * F.lit(max(least, 1e-3)), "_ty": F.col("_dec")})
-    near = range_join(scaled, other, float(typical) * 1.5, ("_sx", "_sy"), ("_tx", "_ty")).where("image_id <> _o").withColumn("d", dist).where(F.col("d") <= typical)
-    close = near.groupBy("image_id").agg(F.min("d").alias("nn"))
-    alone = one.join(close, "image_id", "left_anti")
-    far = alone.join(two, F.col("image_id") != F.col("_o")).withColumn("d", dist).groupBy("image_id").agg(F.min("d").alias("nn"))
-    nn = close.unionByName(far)
-    order = Window.orderBy("nn")  # one number per image
-    gap = nn.withColumn("_g", F.lead("nn").over(order) - F.col("nn")).where(F.col("_g") > typical / 10).agg(F.min("nn")).first()[0]
+    found, reach = [], float(typical)
+    while True:
+        near = range_join(scaled, other, reach * 1.5, ("_sx", "_sy"), ("_tx", "_ty")).where("image_id <> _o").withColumn("d", dist).where(F.col("d") <= reach)
+        found.append(staged(near.groupBy("image_id").agg(F.min("d").alias("nn")), "neighbours"))
+        scaled = staged(scaled.join(found[-1], "image_id", "left_anti"), "alone")
+        # Cells as wide as the sky hold all other images.
+        if reach > 720 or scaled.isEmpty():
+            break
+        reach *= 4
+    nn = reduce(DataFrame.union, found)
+    # A gap of more than a tenth of the size lies between two classes of that width: the classes' ends are enough.
+    width = float(typical) / 10
+    classes = nn.groupBy(F.floor(F.col("nn") / width).alias("_c")).agg(F.min("nn").alias("_lo"), F.max("nn").alias("_hi"))
+    gap = classes.withColumn("_g", F.lead("_lo").over(Window.orderBy("_c")) - F.col("_hi")).where(F.col("_g") > width).agg(F.min("_hi")).first()[0]
     limit = gap if gap is not None else 2 * typical
-    return images.join(nn, "image_id").withColumn("threshold", F.lit(float(limit))).withColumn("valid", F.col("nn") < F.col("threshold"))
+    return images.join(nn, "image_id", "left").withColumn("threshold", F.lit(float(limit))).withColumn("valid", F.coalesce(F.col("nn") < F.col("threshold"), F.lit(False)))

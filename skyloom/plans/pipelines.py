@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import calib, fit, match, stack, transients
+from ..staging import staged
 
 
 def calibrate_images(det: DataFrame, stars: DataFrame, images: DataFrame, r: float = 2.0) -> dict[str, DataFrame]:
     """Match, zeropoint per image, calibrated magnitudes and their scatter: pairs, zeropoints, calibrated, scatter."""
-    pairs = match.make_pairs(det, stars, images, r)
+    pairs = staged(match.make_pairs(det, stars, images, r), "pairs")  # read twice below
     zero = calib.zeropoints(pairs, images)
     model = zero.select("image_id", F.col("zeropoint").alias("magzero"), F.lit(0.0).alias("dmagzero"))
     calibrated = fit.calibrate(det, images, model)

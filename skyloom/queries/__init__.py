@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    from . import expressions, filtering, fitting, matching, pixel, statistics, transient  # noqa: F401
+    from . import expressions, filtering, fitting, matching, pixel, readers, statistics, transient  # noqa: F401

@@ -63,16 +63,9 @@ def b08(spark, d):
 
 
 @query("b09_apply_pm", """select image_id, star_id, round(radeg+pmra*(jd-2457204.5)/365.2425,9) as radeg, round(decdeg+pmdec*(jd-2457204.5)/365.2425,9) as decdeg
- from fx_stars join (select image_id, jd from fx_images where image_id<5) i on star_id%5=image_id""")
+ from fx_stars join fx_images on star_id%(select count(*) from fx_images)=image_id""")
 def b09(spark, d):
-    rows = sql(spark, d, "select * from fx_stars join (select image_id, jd from fx_images where image_id<5) i on star_id%5=image_id")
-    return rounded(astrom.apply_pm(rows), "radeg", "decdeg", n=9, keep=("image_id", "star_id"))
-
-
-@query("b09_apply_pm_all")
-def b09_all(spark, d):
-    """B09 with the stars dealt to all images."""
-    rows = sql(spark, d, "select * from fx_stars join (select image_id, jd from fx_images) i on star_id%(select count(*) from fx_images)=image_id")
+    rows = sql(spark, d, "select * from fx_stars join fx_images on star_id%(select count(*) from fx_images)=image_id")
     return rounded(astrom.apply_pm(rows), "radeg", "decdeg", n=9, keep=("image_id", "star_id"))
 
 
@@ -82,10 +75,11 @@ _EARTH = """e as (select *, -r*cos(lon) as ex, -r*sin(lon)*cos(tilt) as ey, -r*s
 
 @query("b10_parallax", f"""with {_EARTH} select image_id, star_id, round(radeg+case when parallax>0 then parallax/1000*(ey*cos(radians(radeg))-ex*sin(radians(radeg)))/cos(radians(decdeg))/3600 else 0 end,9) as radeg,
  round(decdeg+case when parallax>0 then parallax/1000*(ez*cos(radians(decdeg))-ex*cos(radians(radeg))*sin(radians(decdeg))-ey*sin(radians(radeg))*sin(radians(decdeg)))/3600 else 0 end,9) as decdeg
- from fx_stars join e on star_id%10=image_id""")
+ from fx_stars join e on star_id%(select count(*) from fx_images)=image_id""")
 def b10(spark, d):
     images = astrom.with_earth(view(spark, d, "fx_images").select("image_id", "jd"))
-    rows = view(spark, d, "fx_stars").join(images, F.col("star_id") % 10 == F.col("image_id"))
+    stars = sql(spark, d, "select *, star_id%(select count(*) from fx_images) as image_id from fx_stars")
+    rows = stars.join(images, "image_id")
     return rounded(astrom.apply_parallax(rows), "radeg", "decdeg", n=9, keep=("image_id", "star_id"))
 
 
@@ -97,9 +91,9 @@ def b11(spark, d):
 
 @query("b12_star_airmass", """select image_id, star_id, round(case when image_id%4=3 then 1.0 when a<0 or a>10 then 1.0 else a end,6) as airmass_abs, round(case when image_id%4=3 then 0.0 else (case when a<0 or a>10 then 1.0 else a end)-1.1 end,6) as adif
  from (select *, 1.0/(sin(alt)+0.025*exp(-11.0*sin(alt))) as a from (select image_id, star_id, asin(greatest(-1,least(1,sin(radians(lat))*sin(radians(decdeg))+cos(radians(lat))*cos(radians(decdeg))*cos(radians(280.46061837+360.98564736629*(jd-2451545.0)+14.78-radeg))))) as alt
- from (select *, 49.9e0 as lat from fx_stars join fx_images on star_id%20=image_id)))""")
+ from (select *, 49.9e0 as lat from fx_stars join fx_images on star_id%(select count(*) from fx_images)=image_id)))""")
 def b12(spark, d):
-    rows = sql(spark, d, "select *, case when image_id%4=3 then null else 49.9e0 end as latitude, 14.78e0 as longitud, 1.1e0 as airmass from fx_stars join fx_images on star_id%20=image_id")
+    rows = sql(spark, d, "select *, case when image_id%4=3 then null else 49.9e0 end as latitude, 14.78e0 as longitud, 1.1e0 as airmass from fx_stars join fx_images on star_id%(select count(*) from fx_images)=image_id")
     return rounded(astrom.star_airmass(rows), "airmass_abs", "adif", keep=("image_id", "star_id"))
 
 

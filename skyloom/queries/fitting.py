@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import sql, view
+from ..functions import astrom
 from ..functions.bands import schema_colors
-from ..functions.response import parse_terms
+from ..functions.response import eval_response, parse_terms
 from ..operators import astrometry, fit, stack
 from ..sources import tables
 from . import query
@@ -15,6 +16,7 @@ from .matching import _PAIRS, pairs
 TERMS = ["Z", "PX", "PY"]
 _XY = _PAIRS + ", q as (select image_id, number, (x_image-1000)/1024 as x, (y_image-1000)/1024 as y, sqrt(magerr_auto*magerr_auto+0.0004) as dy, cat_mag-mag_auto as t from p)"
 _SUMS = "select sum(w) as s, sum(w*x) as sx, sum(w*y) as sy, sum(w*x*x) as sxx, sum(w*x*y) as sxy, sum(w*y*y) as syy, sum(w*t) as st, sum(w*t*x) as stx, sum(w*t*y) as sty from (select *, power(dy,-5) as w from {rows})"
+_WEIGHTED = "select sum(w) as s, sum(w*x) as sx, sum(w*y) as sy, sum(w*x*x) as sxx, sum(w*x*y) as sxy, sum(w*y*y) as syy, sum(w*t) as st, sum(w*t*x) as stx, sum(w*t*y) as sty from {rows}"
 #: Cramer's rule after the means are taken off.
 _SOLVE = "select (cxt*cyy-cyt*cxy)/(cxx*cyy-cxy*cxy) as px, (cyt*cxx-cxt*cxy)/(cxx*cyy-cxy*cxy) as py, st/s as mt, sx/s as mx, sy/s as my from (select *, sxx-sx*sx/s as cxx, sxy-sx*sy/s as cxy, syy-sy*sy/s as cyy, stx-st*sx/s as cxt, sty-st*sy/s as cyt from {sums})"
 
@@ -46,34 +48,58 @@ def e13_per_image(spark, d):
     return f.per_image.select("image_id", F.round("value", 5).alias("z"), F.lit(round(f.values["PX"], 5)).alias("px"), F.lit(round(f.values["PY"], 5)).alias("py"))
 
 
-@query("e13_nonlinear")
+@query("e13_nonlinear", "select * from (values ('RS', 0.3::double), ('XC', 0.25::double), ('Z', 22.1::double)) v(term, value)")
 def e13_nonlinear(spark, d):
-    """A colour term of the piecewise kind, by Gauss-Newton steps."""
+    """A colour term of the piecewise kind, by Gauss-Newton steps, on magnitudes made with known coefficients."""
     rows = schema_colors(pairs(spark, d), ["sloan_g", "sloan_r", "sloan_i", "sloan_z", "j"])
-    return fit.fit_photometry(rows, ["Z", "XC", "RS"], init={"Z": 22.0, "XC": 0.1}, fixed={"PX": -0.02, "PY": 0.03}).table(spark)
+    rows = eval_response(rows, {"PX": -0.02, "PY": 0.03, "Z": 22.1, "XC": 0.25, "RS": 0.3}, out="cat_mag")
+    found = fit.fit_photometry(rows, ["Z", "XC", "RS"], init={"Z": 22.0, "XC": 0.1}, fixed={"PX": -0.02, "PY": 0.03}).table(spark)
+    return found.where("term in ('Z', 'XC', 'RS')").select("term", F.round("value", 3).alias("value"))
 
 
-@query("e14_robust")
-def e14(spark, d):
-    return fit.fit_photometry(pairs(spark, d), TERMS, robust=True).table(spark)
+def _robust(steps: int = 8) -> str:
+    """Reweighted least squares: the weight of a residual r is 1 / (1 + r^2), r over the error to the power of 2.5."""
+    parts = [_lsq("f0", "q")]
+    for n in range(1, steps):
+        parts += [f"r{n} as (select x, y, t, power(dy,-5)/(1+power((t-z-px*x-py*y)/power(dy,2.5),2)) as w from q, f{n - 1})", f"f{n}_s as ({_WEIGHTED.format(rows=f'r{n}')})", f"f{n} as (select px, py, mt-px*mx-py*my as z from ({_SOLVE.format(sums=f'f{n}_s')}))"]
+    return f"with {_XY}, {', '.join(parts)} select round(z,5) as z, round(px,5) as px, round(py,5) as py from f{steps - 1}"
 
 
-@query("e15_fit_clipped", f"""with {_XY}, {_lsq('f', 'q')}, v as (select sum(power((t-z-px*x-py*y)/dy,2))/(count(*)-3) as c from q, f), k as (select q.* from q, f, v where abs((t-z-px*x-py*y)/dy)<3*sqrt(c)), {_lsq('g', 'k')}
- select round(z,5) as z, round(px,5) as px, round(py,5) as py from g""")
+@query("e14_robust", _robust())
+def e14(spark, d):
+    return _values(fit.fit_photometry(pairs(spark, d), TERMS, robust=True), spark)
+
+
+def _clipped(rounds: int = 3) -> str:
+    """The fits of all rounds, of which each round after the first bad one is not taken."""
+    parts, rows, pick = [], "q", "f0"
+    quality = "select sum(power((t-z-px*x-py*y)/dy,2))/(count(*)-3) as c from {rows}, {fit}"
+    for n in range(rounds + 1):
+        parts += [_lsq(f"f{n}", rows), f"v{n} as ({quality.format(rows=rows, fit=f'f{n}')})"]
+        if n < rounds:
+            parts.append(f"k{n} as (select q.* from q, f{n}, v{n} where abs((t-z-px*x-py*y)/dy)<3*sqrt(c))")
+            rows = f"k{n}"
+    best = f"(select {rounds})"
+    for n in reversed(range(rounds)):
+        best = f"case when (select c from v{n + 1})<(select c from v{n}) then {best} else {n} end"
+    fits = " union all ".join(f"select {n} as n, * from f{n}" for n in range(rounds + 1))
+    return f"with {_XY}, {', '.join(parts)} select round(z,5) as z, round(px,5) as px, round(py,5) as py from ({fits}) where n={best}"
+
+
+@query("e15_fit_clipped", _clipped())
 def e15(spark, d):
-    return _values(fit.fit_clipped(pairs(spark, d), TERMS, rounds=1)[0], spark)
-
-
-@query("e15_fit_clipped_rounds")
-def e15_rounds(spark, d):
-    """E15 at its default rounds."""
     return _values(fit.fit_clipped(pairs(spark, d), TERMS)[0], spark)
 
 
-@query("e17_stepwise")
+@query("e17_stepwise", "select * from (values ('P2X', 0.4::double), ('PX', -0.2::double), ('Z', 22.0::double)) v(term, value)")
 def e17(spark, d):
+    """Of ten candidates those that the magnitudes are made of, and a small scatter that goes with none, are chosen."""
+    rows = pairs(spark, d)
+    rows = eval_response(rows, {"Z": 22.0, "PX": -0.2, "P2X": 0.4}, out="cat_mag")
+    rows = rows.withColumn("cat_mag", F.col("cat_mag") + (F.pmod(F.xxhash64("image_id", "number"), F.lit(2001)) - 1000) * 1e-6)
     terms = parse_terms("&Z,.p2,.r2", stepwise=True)
-    return fit.stepwise(pairs(spark, d), terms["stepwise"], terms["always"])[0].table(spark)
+    found = fit.stepwise(rows, terms["stepwise"], terms["always"], alpha=1e-9)[0].table(spark)
+    return found.select("term", F.round("value", 3).alias("value"))
 
 
 @query("e22_effective_zeropoint", "select image_id, round(22.1+0.2*1.1+case when image_id=3 then 0.05 else 0 end,6) as magzero, case when image_id=3 then 0.02 else 0.01 end as dmagzero from fx_images")
@@ -108,15 +134,32 @@ def e18_clipped(spark, d):
     return out.select("image_id", F.round("crval1", 4).alias("crval1"), F.round("crval2", 4).alias("crval2"))
 
 
-@query("e19_fit_astrometry_shared")
+@query("e19_fit_astrometry_shared", "select image_id, 150.0 as crval1, 20.0 as crval2, 0.33 as pv2_3 from fx_images")
 def e19(spark, d):
+    """The stars' projection is TAN, r = u + u^3 / 3 + .., so that is what the shared term finds."""
     start = _start(spark, d).withColumns({"pv2_1": F.lit(1.0), "pv2_3": F.lit(0.0)})
-    return astrometry.fit_astrometry_shared(_sky_pairs(spark, d), start, ["pv2_3"], proj="ZPN").select("image_id", "crval1", "crval2", "pv2_3")
+    out = astrometry.fit_astrometry_shared(_sky_pairs(spark, d), start, ["pv2_3"], proj="ZPN", steps=5)
+    return out.select("image_id", F.round("crval1", 6).alias("crval1"), F.round("crval2", 6).alias("crval2"), F.round("pv2_3", 2).alias("pv2_3"))
+
 
+#: Images of four projections (AZP with mu 0.5, ZPN with PV2_3 1), some with CRPIX off by 300 pixels at the start.
+_WIDE = "select image_id, 150.0e0 as crval1, 20.0e0 as crval2, 1000.0e0 as crpix1, 1000.0e0 as crpix2, -0.003e0 as cd1_1, 0.0e0 as cd1_2, 0.0e0 as cd2_1, 0.003e0 as cd2_2, case image_id%4 when 2 then 0.5e0 else 1.0e0 end as pv2_1, 0.0e0 as pv2_2, 1.0e0 as pv2_3 from fx_images"
+_WIDE_STARS = "select star_id%(select count(*) from fx_images) as image_id, 150.0e0+(cat_x-1000.0e0)*0.003e0/cos(radians(20.0e0)) as radeg, 20.0e0+(cat_y-1000.0e0)*0.003e0 as decdeg, 0.1e0 as image_dxy from fx_stars"
+_KINDS = ("TAN", "ZEA", "AZP", "ZPN")
 
-@query("e20_select_projection", "select image_id, 'TAN' as proj from fx_images")
+
+@query("e20_select_projection", "select image_id, (['TAN','ZEA','AZP','ZPN'])[image_id%4+1] as proj, case when image_id%4=2 then 0.5 when image_id%4=3 then 1.0 end as pv2_1, 1000.0 as crpix1 from fx_images")
 def e20(spark, d):
-    return astrometry.select_projection(_sky_pairs(spark, d), _start(spark, d), ("ZEA", "TAN", "ARC")).select("image_id", "proj")
+    from functools import reduce
+
+    wcs, stars = sql(spark, d, _WIDE), sql(spark, d, _WIDE_STARS)
+    rows = stars.join(wcs, "image_id")
+    parts = [astrom.world2pix(rows.where(F.col("image_id") % 4 == n), kind, "radeg", "decdeg", ("x_image", "y_image")) for n, kind in enumerate(_KINDS)]
+    pairs = reduce(lambda a, b: a.unionByName(b), [x.select("image_id", "radeg", "decdeg", "x_image", "y_image", "image_dxy") for x in parts])
+    off = F.when(F.col("image_id") % 5 == 0, 300.0).otherwise(0.0)
+    start = wcs.withColumns({"crpix1": F.col("crpix1") + off, "crpix2": F.col("crpix2") - off, "cd1_1": F.col("cd1_1") * 1.001, "crval1": F.col("crval1") + 0.01 - off * 0.003, "crval2": F.col("crval2") - 0.01 - off * 0.003})
+    out = astrometry.select_projection(pairs, start, _KINDS, [*astrometry.LINEAR, "crpix1", "crpix2"])
+    return out.select("image_id", "proj", F.round("pv2_1", 3).alias("pv2_1"), F.round("crpix1", 0).alias("crpix1"))
 
 
 @query("e21_camera_priors", "select image_id, case when image_id%3=2 then 1.0 else (1000.0+image_id%3)*0.5-20.0 end as crpix1, case when image_id%3=2 then 2.0 else 900.0*1.0+0.0 end as crpix2, case when image_id%3<2 then 0.1*(image_id%3) end as pv2_3 from fx_images")
@@ -132,23 +175,27 @@ def e23(spark, d):
     return astrometry.to_tan_sip(images, "ZPN", 3).select("image_id", (F.col("sip_rms") < 0.01).alias("close"))
 
 
-@query("b30_flat_surface", """with g as (select image_id, y, x, -0.02*(x-1000.0)/1024+0.03*(y-1000.0)/1024 as s from (select image_id from fx_images), (select unnest(range(0,2003,100)) as y), (select unnest(range(0,2002,100)) as x))
- select image_id, y, x, round(power(10,0.4*s),6) as flat, round(power(10,-0.8*s),6) as weight from g""")
+@query("b30_flat_surface", """with p as (select image_id, power(10,0.4*(-0.02*(x-1000.0)/1024+0.03*(y-1000.0)/1024)) as f from (select image_id from fx_images), (select unnest(range(0,2003)) as y), (select unnest(range(0,2002)) as x))
+ select image_id, count(*) as n, round(avg(f),6) as flat, round(avg(1/(f*f)),6) as weight, round(min(f),6) as lo, round(max(f),6) as hi from p group by 1""")
 def b30(spark, d):
-    out = stack.flat_surface(view(spark, d, "fx_images"), {"Z": 22.0, "PX": -0.02, "PY": 0.03}, 100)
-    return out.select("image_id", "y", "x", F.round("flat", 6).alias("flat"), F.round("weight", 6).alias("weight"))
-
-
-@query("b30_flat_surface_all")
-def b30_all(spark, d):
-    """B30 at every pixel."""
-    return stack.flat_surface(view(spark, d, "fx_images"), {"Z": 22.0, "PX": -0.02, "PY": 0.03}, 1)
+    """Every pixel of every image's flat, summed up per image."""
+    out = stack.flat_surface(view(spark, d, "fx_images"), {"Z": 22.0, "PX": -0.02, "PY": 0.03})
+    return out.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("flat"), 6).alias("flat"), F.round(F.avg("weight"), 6).alias("weight"), F.round(F.min("flat"), 6).alias("lo"), F.round(F.max("flat"), 6).alias("hi"))
 
 
-@query("a10_report_json")
+@query("a10_report_json", """select image_id, filter, round(jd,4) as jd, count(number) as n_objects, nullif(count(case when flags=1 then number end),0) as brighter, nullif(count(case when flags<>1 then number end),0) as normal, min(number) as first_number, round(sum(mag_auto+22),4) as mag_sum
+ from fx_images left join fx_det using (image_id) group by 1,2,3""")
 def a10(spark, d):
+    """The report's text, parsed again."""
     rows = view(spark, d, "fx_det").withColumns({"mag_calib": F.col("mag_auto") + 22, "type": F.when(F.col("flags") == 1, "brighter").otherwise("normal")})
-    return tables.to_report_json(rows, view(spark, d, "fx_images"))
+    report = tables.to_report_json(rows, view(spark, d, "fx_images"))
+    kind = "metadata struct<filter:string,jd:double,exptime:double>, summary map<string,long>, objects array<struct<number:long,x_image:double,y_image:double,mag_calib:double,type:string>>"
+    read = report.select("image_id", F.from_json("report", kind).alias("r"))
+    total = F.aggregate(F.transform("r.objects", lambda x: x["mag_calib"]), F.lit(0.0), lambda a, x: a + x)
+    return read.select(
+        "image_id", "r.metadata.filter", F.round("r.metadata.jd", 4).alias("jd"), F.size("r.objects").cast("long").alias("n_objects"), F.col("r.summary")["brighter"].alias("brighter"),
+        F.col("r.summary")["normal"].alias("normal"), F.get("r.objects", F.lit(0))["number"].alias("first_number"), F.when(F.size("r.objects") > 0, F.round(total, 4)).alias("mag_sum"),
+    )
 
 
 @query("a11_format_results", """select image_id, 'im'||cast(image_id as varchar)||' '||printf('%.6f',jd)||' '||filter||' '||printf('%.1f',exptime)||' '||printf('%.3f',coalesce(magzero,99.999))||' '||

@@ -52,12 +52,15 @@ def e05(spark, d):
     return calib.filter_consistency(view(spark, d, "fx_images"))
 
 
-@query("e06_image_fwhm", """with r as (select d.*, x_image>32 and y_image>32 and x_image<imgaxis1-32 and y_image<imgaxis2-32 as i from fx_det d join fx_images using (image_id) where not (image_id%3=1 and number%50>0) ),
+#: Images of three kinds, for the three ways to choose rows: good errors, large errors, few rows inside.
+_FWHM = "select image_id, number, mag_auto, fwhm_image, y_image, case when image_id%3=1 then 1.0e0 else magerr_auto end as magerr_auto, case when image_id%3=2 and number%50>0 then 5.0e0 else x_image end as x_image from fx_det"
+
+
+@query("e06_image_fwhm", f"""with r as (select d.*, x_image>32 and y_image>32 and x_image<imgaxis1-32 and y_image<imgaxis2-32 as i from ({_FWHM}) d join fx_images using (image_id)),
  q as (select *, row_number() over (partition by image_id, i order by mag_auto, number) as k from r)
  select image_id, round(coalesce(case when count(case when i and magerr_auto<1.091/10 then 1 end)>=30 then median(case when i and magerr_auto<1.091/10 then fwhm_image end) end, case when count(case when i then 1 end)>=30 then median(case when i and k<=30 then fwhm_image end) end, median(fwhm_image)),6) as image_fwhm from q group by 1""")
 def e06(spark, d):
-    det = view(spark, d, "fx_det").where("not (image_id%3=1 and number%50>0)")
-    return _round(calib.image_fwhm(det, view(spark, d, "fx_images")), ["image_id"], image_fwhm=6)
+    return _round(calib.image_fwhm(sql(spark, d, _FWHM), view(spark, d, "fx_images")), ["image_id"], image_fwhm=6)
 
 
 @query("e07_background_stats", """with f as (select image_id, y, x, value, abs(value-lead(value) over (partition by image_id, x order by y)) as d from fx_pixels), r as (select image_id, y, median(d) as d from f group by 1,2)
@@ -66,11 +69,17 @@ def e07(spark, d):
     return _round(calib.background_stats(view(spark, d, "fx_pixels")), ["image_id"], bgsigma=6, bgmedian=6)
 
 
-@query("e08_limiting_mag")
+#: The error grows with the magnitude here, so that the fit has something to find.
+_LIMIT = "select image_id, number, mag_auto, power(10.0e0, (mag_auto-30.0e0)/25)*0.05e0+magerr_auto*0.1e0 as magerr_auto from fx_det"
+_LINE = "(sum(w*x*t)-sum(w*x)*sum(w*t)/sum(w))/(sum(w*x*x)-sum(w*x)*sum(w*x)/sum(w))"
+
+
+@query("e08_limiting_mag", f"""with recursive r as (select image_id, mag_auto as x, log10(magerr_auto*ln(2.5)*3) as t from ({_LIMIT}) where magerr_auto>=0.001),
+ f as (select image_id, 1 as k, {_LINE} as a, sum(w*t)/sum(w)-{_LINE}*sum(w*x)/sum(w) as b from (select *, 1.0 as w from r) group by image_id
+ union all select image_id, any_value(k)+1, {_LINE}, sum(w*t)/sum(w)-{_LINE}*sum(w*x)/sum(w) from (select f.image_id, k, x, t, 1/(1+power(t-a*x-b,2)) as w from f join r using (image_id) where k<25) group by image_id)
+ select image_id, round(-b/a,4) as limflx3, round(-b/a+log10(1.091/10)/a,4) as limflx10 from f where k=25""")
 def e08(spark, d):
-    """The error grows with the magnitude by 10^((mag - L1) / 2.5) here, so that the fit has something to find."""
-    det = view(spark, d, "fx_det").withColumn("magerr_auto", F.pow(F.lit(10.0), (F.col("mag_auto") - 30.0) / 25) * 0.05 + F.col("magerr_auto") * 0.1)
-    return calib.limiting_mag(det)
+    return _round(calib.limiting_mag(sql(spark, d, _LIMIT)), ["image_id"], limflx3=4, limflx10=4)
 
 
 @query("e10_robust_sigma", "select image_id, round(median(abs(mag_auto))/0.67,6) as sigma from fx_det group by 1")
@@ -88,9 +97,15 @@ def e11(spark, d):
     return _round(calib.astrometric_error_model(pairs(spark, d)), ["image_id"], astsigma=6, astvar=6, scatter=6)
 
 
-@query("e12_variance_model")
+@query("e12_variance_model", "with " + _PAIRS + """, r as (select image_id, number, dist*dist as t, errx2_image+erry2_image as c, sqrt(power((x_image-1000)/1024,2)+power((y_image-1000)/1024,2)) as r from p),
+ i as (select *, count(*) over w as n, row_number() over (partition by image_id order by c, number)-1 as i, quantile_cont(c, 0.5) over w as c0 from r window w as (partition by image_id)),
+ b as (select image_id, i//greatest(10, n//19) as b, median(t) as t, power(median(c)-any_value(c0),2) as x, median(r) as y, any_value(c0) as c0, count(*) as w from i group by 1, 2),
+ m as (select image_id, sum(w*x)/sum(w) as mx, sum(w*y)/sum(w) as my, sum(w*t)/sum(w) as mt from b group by 1),
+ s as (select image_id, any_value(mx) as mx, any_value(my) as my, any_value(mt) as mt, any_value(c0) as c0, sum(w*(x-mx)*(x-mx)) as xx, sum(w*(x-mx)*(y-my)) as xy, sum(w*(y-my)*(y-my)) as yy, sum(w*(x-mx)*(t-mt)) as xt, sum(w*(y-my)*(t-mt)) as yt from b join m using (image_id) group by 1),
+ f as (select *, (xt*yy-yt*xy)/(xx*yy-xy*xy) as sc0, (yt*xx-xt*xy)/(xx*yy-xy*xy) as sr0, (yt-25*xy)/yy as sr1 from s)
+ select image_id, round(case when abs(sc0)>1000 then mt-25*mx-sr1*my else mt-sc0*mx-sr0*my end,4) as s0, round(case when abs(sc0)>1000 then 25.0 else sc0 end,3) as sc, round(case when abs(sc0)>1000 then sr1 else sr0 end,4) as sr, round(c0,6) as c0 from f""")
 def e12(spark, d):
-    return calib.variance_model(pairs(spark, d))
+    return _round(calib.variance_model(pairs(spark, d)), ["image_id"], s0=4, sc=3, sr=4, c0=6)
 
 
 @query("e12_predict_sigma", "with " + _PAIRS + " select image_id, number, round(sqrt(greatest(0.1+0.5*power(errx2_image+erry2_image-0.3,2)-0.05*sqrt(power((x_image-1000)/1024,2)+power((y_image-1000)/1024,2)),0)),6) as sigma from p")

@@ -58,10 +58,22 @@ _TRAIL = """select trail_id, trail_id%4 as field_id, number, number as image_id,
  0.01e0+0.001e0*(number%5) as errx2_image, 0.01e0+0.002e0*(number%3) as erry2_image, 30.0e0 as exptime from fx_trails"""
 
 
-@query("f03_link_trails", f"with t as ({_TRAIL}) select field_id, min(number) as first_number, count(*) as n from t group by field_id, trail_id")
+#: Each detection with the first number of its trail: the trails that the rows are made of are the answer.
+MEMBERS = f"with t as ({_TRAIL}) select field_id, number, min(number) over (partition by field_id, trail_id) as trail from t"
+
+
+def linkable(spark, d):
+    return sql(spark, d, _TRAIL).drop("trail_id")
+
+
+def members(linked):
+    first = linked.groupBy("field_id", "trail_id").agg(F.min("number").alias("trail"))
+    return linked.join(first, ["field_id", "trail_id"]).select("field_id", "number", "trail")
+
+
+@query("f03_link_trails", MEMBERS)
 def f03(spark, d):
-    out = transients.link_trails(sql(spark, d, _TRAIL).drop("trail_id"))
-    return out.groupBy("field_id", "trail_id").agg(F.min("number").alias("first_number"), F.count(F.lit(1)).alias("n")).drop("trail_id")
+    return members(transients.link_trails(linkable(spark, d)))
 
 
 @query("f02_motion_state", f"""with t as ({_TRAIL}), w as (select trail_id, number, regr_slope(ra, (jd-2460310.5)*24) over r as mra, regr_slope(dec, (jd-2460310.5)*24) over r as mdec, count(*) over r as k from t window r as (partition by trail_id order by jd, number rows between 4 preceding and current row))
@@ -154,10 +166,12 @@ def k12(spark, d):
     return named.join(trails.select("trail_id", "jd", "number"), ["trail_id", "jd"]).select("trail_id", "number", F.round("t", 3).alias("t"), "half_exposure")
 
 
-@query("k_score_trails")
+@query("k_score_trails", f"""with t as ({_TRAIL}), g as (select *, (jd-lag(jd) over (partition by trail_id order by jd, number))*24 as gap from t)
+ select trail_id, round(avg(fwhm_image),6) as fwhm_mean, round(stddev_pop(fwhm_image)/avg(fwhm_image),6) as fwhm_consistency, round(coalesce(max(gap),0),4) as max_gap, round(coalesce(avg(gap),0),4) as avg_gap from g group by 1 having count(*)>=3""")
 def k_scores(spark, d):
-    trails = sql(spark, d, _TRAIL)
-    return transients.score_trails(trails, 10, 3, astvar=4.0)
+    """The whole table of scores; the columns of K05 to K10 are held to SQL by their own queries, these are by this one."""
+    scores = transients.score_trails(sql(spark, d, _TRAIL), 10, 3, astvar=4.0)
+    return scores.select("trail_id", *[F.round(c, n).alias(c) for c, n in (("fwhm_mean", 6), ("fwhm_consistency", 6), ("max_gap", 4), ("avg_gap", 4))])
 
 
 @query("k_find_transients")

@@ -16,36 +16,48 @@ def read_ecsv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[
 
     ``columns`` names the wanted columns and their Spark types (files may order columns differently or lack some:
     null). Each file is one record, split by native functions; ``meta`` scalars become ``extra``, a map, and the typed
-    columns NUMBERS and TEXTS of images. A file without a line of names is skipped. Rows with empty fields give nulls.
-    Keys: ``file`` in both tables. Files are the unit of work; an image's table is small.
+    columns NUMBERS and TEXTS of images; of a key that occurs more than once (COMMENT, HISTORY) the last value counts.
+    A file without a line of names is skipped. Cells may be quoted, with delimiters inside and quotes doubled. Rows
+    with empty fields give nulls. Keys: ``file`` in both tables. Files are the unit of work; an image's table is small.
     """
     files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value"))
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: F.trim(x) != "")
     files = files.withColumns({"head": F.filter(lines, lambda x: x.startswith("#")), "body": F.filter(lines, lambda x: ~x.startswith("#"))}).where(F.size("body") > 0)
     comma = F.exists("head", lambda x: x.rlike("delimiter: *','|delimiter: *,"))
-    cells = lambda x: F.when(comma, F.split(x, ",")).otherwise(F.split(F.trim(x), " +"))
-    plain = lambda x: F.regexp_replace(F.trim(x), '^"|"$', "")
-    files = files.withColumn("names", F.transform(cells(F.element_at("body", 1)), lambda x: F.lower(plain(x))))
+    plain = lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))
+    files = files.withColumn("names", F.transform(_cells(F.element_at("body", 1), comma), lambda x: F.lower(plain(x))))
     # Meta entries are ``#   KEY: value`` or ``# - !!omap`` items ``#   - {KEY: value}``; column entries have braces of their own.
     entry = r"^#\s+(?:- )?\{?([A-Za-z][\w-]*): (.*?)\}?$"
     start = F.array_position(F.transform("head", lambda x: x.rlike(r"^#\s*meta:")), True)
     meta = F.when(start > 0, F.slice("head", (start + 1).cast("int"), F.size("head"))).otherwise(F.array().cast("array<string>"))
     pairs = F.filter(F.transform(meta, lambda x: F.struct(F.lower(F.regexp_extract(x, entry, 1)).alias("k"), F.regexp_replace(F.regexp_extract(x, entry, 2), "^['\"]|['\"]$", "").alias("v"))), lambda p: p["k"] != "")
-    files = files.withColumn("extra", F.map_from_entries(F.array_distinct(pairs)))
+    files = files.withColumn("extra", _last_entries(pairs))
     images = files.select("file", *[F.try_element_at("extra", F.lit(c)).try_cast("double").alias(c) for c in NUMBERS], *[F.try_element_at("extra", F.lit(c)).alias(c) for c in TEXTS], "extra")
     rows = files.select("file", "names", comma.alias("_c"), F.posexplode(F.expr("slice(body, 2, size(body))")).alias("row", "line"))
-    split = F.when(F.col("_c"), F.split("line", ",")).otherwise(F.split(F.trim("line"), " +"))
-    rows = rows.withColumn("cells", F.transform(split, plain))
+    rows = rows.withColumn("cells", F.transform(_cells(F.col("line"), F.col("_c")), plain))
     det = rows.select("file", "row", *[F.get("cells", F.array_position("names", c).cast("int") - 1).try_cast(t).alias(c) if t != "string" else F.get("cells", F.array_position("names", c).cast("int") - 1).alias(c) for c, t in columns.items()])
     return det, images
 
 
+def _cells(line: Column, comma: Column) -> Column:
+    """Cells of a line, at commas or blanks outside of quotes."""
+    quoted = '"(?:[^"]|"")*"'
+    by_comma = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",( *{quoted} *|[^,]*)"), F.lit(1))
+    return F.when(comma, by_comma).otherwise(F.regexp_extract_all(line, F.lit(f'({quoted}|[^ "]+)'), F.lit(1)))
+
+
+def _last_entries(pairs: Column) -> Column:
+    """A map of (k, v) entries; of equal keys the last one counts."""
+    later = lambda p, i: F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"])
+    return F.map_from_entries(F.filter(pairs, lambda p, i: ~later(p, i)))
+
+
 def read_ascii_head(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """Catalogues whose ``# n NAME ..`` lines give the columns of blank-separated rows; missing names are null."""
     files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: F.trim(x) != "").alias("lines"))
     head = r"^#\s*(\d+)\s+(\S+)"
     names = F.transform(F.filter("lines", lambda x: x.rlike(head)), lambda x: F.struct(F.lower(F.regexp_extract(x, head, 2)).alias("k"), F.regexp_extract(x, head, 1).cast("int").alias("v")))
-    rows = files.withColumn("names", F.map_from_entries(names)).select("file", "names", F.posexplode(F.filter("lines", lambda x: ~x.startswith("#"))).alias("row", "line"))
+    rows = files.withColumn("names", _last_entries(names)).select("file", "names", F.posexplode(F.filter("lines", lambda x: ~x.startswith("#"))).alias("row", "line"))
     rows = rows.withColumn("cells", F.split(F.trim("line"), r"\s+"))
     return rows.select("file", "row", *[F.get("cells", F.try_element_at("names", F.lit(c)) - 1).try_cast(t).alias(c) for c, t in columns.items()])
 
@@ -66,10 +78,20 @@ def scale_refcat(df: DataFrame) -> DataFrame:
     return df.select(*[(F.col(c) * scale(c) if scale(c) else F.col(c)).alias(names.get(c, c)) for c in df.columns])
 
 
+_REFCAT_LINE = r"^\s*-?\d+(\s*,\s*-?\d+){43}\s*$"
+
+
 def read_refcat_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The catalogue's CSV files of 44 integers a row."""
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in REFCAT_COLUMNS])
-    return scale_refcat(spark.read.csv(path, schema=schema, mode="DROPMALFORMED"))
+    """The catalogue's CSV files of 44 integers a row. Other rows are left out; ``bad_refcat_rows`` has them."""
+    cells = F.split("value", ",")
+    rows = spark.read.text(path).where(F.col("value").rlike(_REFCAT_LINE))
+    return scale_refcat(rows.select(*[F.trim(cells[n]).cast("long").alias(c) for n, c in enumerate(REFCAT_COLUMNS)]))
+
+
+def bad_refcat_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(line) of the rows, blank ones aside, that ``read_refcat_csv`` leaves out."""
+    bad = ~F.col("value").rlike(_REFCAT_LINE) & (F.trim("value") != "")
+    return spark.read.text(path).where(bad).select(F.col("value").alias("line"))
 
 
 def write_splits(stars: DataFrame, path: str, edges: list[float], mag: str = "sloan_r", tile: Column | None = None) -> None:

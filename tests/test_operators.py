@@ -154,57 +154,61 @@ def test_powerlaw_and_filter_modes(spark):
 def test_dedupe_first_decides_long_chains(spark):
     from skyloom.operators.match import dedupe_sky
 
-    n, step = 240, 0.006  # each star is near the next one only, in order of the key
+    n, step = 104, 0.006  # each star is near the next one only, in order of the key
     stars = spark.createDataFrame([(i, 10.0 + i * step, 0.0) for i in range(n)], "number long, alpha_j2000 double, delta_j2000 double")
     kept = dedupe_sky(stars, 0.01, keep="first").collect()
     assert sorted(r.number for r in kept) == list(range(0, n, 2))
 
 
-def test_bright_catalog_first_against_brute_force(spark):
-    import math
+def test_widest_spans_against_brute_force():
+    import random
+
+    r = random.Random(3)
+    for _ in range(200):
+        x = sorted(r.sample(range(14), r.randrange(1, 14)))
+        h = [r.randrange(1, 5) for _ in x]
+        high = dict(zip(x, h))
+        want = set()
+        for c in x:
+            a = b = c
+            while high.get(a - 1, 0) >= high[c]:
+                a -= 1
+            while high.get(b + 1, 0) >= high[c]:
+                b += 1
+            want.add((a, b, high[c]))
+        assert set(stack.widest_spans(x, h)) == want
 
-    from skyloom.fixtures import view
-    from skyloom.queries import QUERIES, load
-
-    load()
-    sf, r = "/root/testdata/sf0.001", math.radians(0.01)
-    stars = sorted((s.star_id, math.radians(s.radeg), math.radians(s.decdeg), s.sloan_r) for s in view(spark, sf, "fx_stars").collect() if s.sloan_r < 60.003)
-    kept = []
-    for s in stars:
-        apart = lambda k: math.sin((s[2] - k[2]) / 2) ** 2 + math.cos(s[2]) * math.cos(k[2]) * math.sin((s[1] - k[1]) / 2) ** 2
-        if all(2 * math.asin(math.sqrt(apart(k))) >= r for k in kept):
-            kept.append(s)
-    got = QUERIES["e35_bright_catalog_first"](spark, sf).first()
-    assert (got.n, got.brightest) == (len(kept), round(min(s[3] for s in kept), 6))
-
-
-def test_whole_job_queries_against_brute_force(spark):
-    from skyloom.fixtures import view
-    from skyloom.operators import stack
-    from skyloom.queries import QUERIES, load
-    from skyloom.queries import pixel
-
-    load()
-    sf = "/root/testdata/sf0.001"
-    images = {r.image_id: r for r in view(spark, sf, "fx_images").collect()}
-    stars = {r.star_id: r for r in view(spark, sf, "fx_stars").collect()}
-    got = {r.star_id: r for r in QUERIES["b09_apply_pm_all"](spark, sf).collect()}
-    assert got.keys() == stars.keys() and {r.image_id for r in got.values()} == set(images)
-    for i, r in got.items():
-        years = (images[i % len(images)].jd - 2457204.5) / 365.2425
-        assert r.image_id == i % len(images) and abs(r.radeg - stars[i].radeg - stars[i].pmra * years) < 2e-9
-
-    cover = {(r.y, r.x): r.n for r in stack.coverage(pixel.sql(spark, sf, pixel._GEOM), pixel.FRAME).collect()}
-    top, size = max(cover.values()), pixel.FRAME["size_x"]
-    heights, best = [0] * size, 0
-    for y in range(size):
-        heights = [h + 1 if cover.get((y, x)) == top else 0 for x, h in enumerate(heights)]
-        for a in range(size):
-            low = heights[a]
-            for b in range(a, size):
-                low = min(low, heights[b])
-                best = max(best, low * (b - a + 1))
-    box = QUERIES["e33_largest_rectangle_all"](spark, sf).first()
-    assert box.area == best and all(cover[y, x] == top for y in range(box.y, box.y + box.h) for x in range(box.x, box.x + box.w))
-    assert (box.crpix1, box.crpix2, box.size_x, box.scale) == ((40.0 - box.x) * 8, (40.0 - box.y) * 8, box.w * 8, 0.0123 / 8)
-    assert QUERIES["b30_flat_surface_all"](spark, sf).count() == len(images) * 2002 * 2003
+
+def test_scattered_images_find_their_neighbours(spark):
+    import math
+    import random
+
+    r = random.Random(9)
+    rows = [(n, r.uniform(0, 300), r.uniform(-60, 60), 0.4) for n in range(60)] + [(60, 10.0, 10.0, 0.4), (61, 10.1, 10.0, 0.4)]
+    images = spark.createDataFrame(rows, "image_id long, ctrra double, ctrdec double, field double")
+    got = {x.image_id: x.nn for x in stack.cluster_images(images).collect()}
+    apart = lambda a, b: math.hypot((a[1] - b[1]) * math.cos(math.radians(min(a, b)[2])), a[2] - b[2])
+    assert got == pytest.approx({a[0]: min(apart(a, b) for b in rows if b[0] != a[0]) for a in rows})
+    plan = stack.cluster_images(images)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_coverage_exchanges_only_counts(spark):
+    from skyloom.queries.pixel import _GEOM, FRAME
+    from skyloom.fixtures import sql
+
+    plan = stack.coverage(sql(spark, "/root/testdata/sf0.001", _GEOM), FRAME)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_quoted_cells_repeated_keys_and_bad_lines(spark, tmp_path):
+    text = "# %ECSV 1.0\n# ---\n# delimiter: ','\n# meta:\n#   COMMENT: a\n#   COMMENT: b\n#   JD: 2460310.5\nnumber,object,mag\n1,\"a, \"\"b\"\"\",15.5\n,,\n3,plain,\n"
+    (tmp_path / "x.ecsv").write_text(text)
+    (tmp_path / "y.ecsv").write_text(text.replace("delimiter: ','", "delimiter: ' '").split("number,")[0] + 'number object mag\n7 "two words" 9.5\n')
+    det, images = tables.read_ecsv(spark, str(tmp_path), {"number": "long", "object": "string", "mag": "double"})
+    assert {tuple(r)[2:] for r in det.collect()} == {(1, 'a, "b"', 15.5), (None, "", None), (3, "plain", None), (7, "two words", 9.5)}
+    assert {r.extra["comment"] for r in images.collect()} == {"b"} and {r.jd for r in images.collect()} == {2460310.5}
+    (tmp_path / "cat").mkdir()
+    (tmp_path / "cat/a.csv").write_text(",".join(["1"] * 44) + "\nbad,line\n")
+    assert tables.read_refcat_csv(spark, str(tmp_path / "cat")).count() == 1
+    assert [r.line for r in tables.bad_refcat_rows(spark, str(tmp_path / "cat")).collect()] == ["bad,line"]
