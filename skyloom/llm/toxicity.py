@@ -26,9 +26,8 @@ class Settings:
     dimensions: int = 8
     sizes: tuple[int, ...] = (3, 4, 5)  #: bytes of an n-gram
     per_class: int = 2500  #: labelled documents of each class that training reads at most
-    bag_bytes: int = 1 << 28  #: of the sampled documents' bags that reach the driver at most, in order of a hash of ids
+    bag_bytes: int = 1 << 28  #: of the sampled documents' bags that reach the driver at most, by a hash of ids
     epochs: int = 12
-    batch: int = 8  #: documents of a training step
     rate: float = 0.5
     scale: float = 60.0  #: of the mean vector: a few words among hundreds must move the logits
     decay: float = 1e-4
@@ -66,7 +65,7 @@ def features(texts: pa.Array, s: Settings) -> tuple[list[np.ndarray], list[np.nd
 
 
 def train(buckets: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
-    """Joint training of vectors and softmax by Adagrad, a few documents a step. Returns the n-grams' weights (vector . softmax) and the bias."""
+    """Joint training of vectors and softmax by Adagrad. Returns the n-grams' weights (vector . softmax) and the bias."""
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1, 1, (1 << s.bits, s.dimensions)).astype(np.float32) / s.dimensions
     soft = (rng.normal(size=(s.dimensions, 2)) * 0.5).astype(np.float32)
@@ -75,36 +74,28 @@ def train(buckets: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, s:
     if len(set(y.tolist())) < 2:  # nothing to tell apart
         return np.zeros(1 << s.bits, np.float32), (4.0 if len(y) and y[0] else -4.0)
     share = np.bincount(y, minlength=2) / len(y)
-    x = np.concatenate([c * np.float32(s.scale / max(1.0, c.sum())) for c in counts])
-    b, size = np.concatenate(buckets), np.array([len(c) for c in counts])
-    begin = np.concatenate(([0], np.cumsum(size)[:-1]))
-    weight = (0.5 / share[y]).astype(np.float32)
+    bags = [(b, c * np.float32(s.scale / max(1.0, c.sum()))) for b, c in zip(buckets, counts)]
     for epoch in range(s.epochs):
         rate = np.float32(s.rate * (1 - epoch / s.epochs))
-        for docs in np.array_split(rng.permutation(len(y)), max(1, len(y) // s.batch)):
-            n, m = size[docs], len(docs)
-            row = np.repeat(np.arange(m), n)
-            at = np.repeat(begin[docs] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            own, xs = b[at], x[at]
-            v = vectors[own]
-            mean = np.zeros((m, s.dimensions), np.float32)
-            some = n > 0
-            if some.any():
-                mean[some] = np.add.reduceat(xs[:, None] * v, (np.cumsum(n) - n)[some])
+        for i in rng.permutation(len(bags)):
+            b, x = bags[i]
+            own = vectors[b]
+            mean = x @ own
             z = mean @ soft + bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(m), y[docs]] -= 1
-            p *= weight[docs][:, None]
-            grad = xs[:, None] * (p @ soft.T)[row] + np.float32(s.decay) * v
-            np.add.at(gv, own, (grad * grad).mean(1))
-            np.subtract.at(vectors, own, rate * grad / np.sqrt(gv[own])[:, None])
-            grad = mean.T @ p
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            p[y[i]] -= 1
+            p *= np.float32(0.5 / share[y[i]])
+            grad = np.outer(x, soft @ p) + np.float32(s.decay) * own
+            square = gv[b] + np.einsum("ij,ij->i", grad, grad) / np.float32(s.dimensions)
+            gv[b] = square
+            grad *= (rate / np.sqrt(square))[:, None]
+            vectors[b] = own - grad
+            grad = np.outer(mean, p)
             gs += grad * grad
             soft -= rate * np.float32(0.1) * grad / np.sqrt(gs)
-            grad = p.sum(0)
-            gb += grad * grad
-            bias -= rate * np.float32(0.1) * grad / np.sqrt(gb)
+            gb += p * p
+            bias -= rate * np.float32(0.1) * p / np.sqrt(gb)
     return vectors @ (soft[:, 1] - soft[:, 0]) * np.float32(s.scale), float(bias[1] - bias[0])
 
 
@@ -132,8 +123,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remaind
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")  # 2 * per_class ids at most
     found = staged(rows.mapInArrow(bags, "doc_id long, y int, b binary, c binary"), "bags")
-    size = F.sum(F.length("b") + F.length("c")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "y", F.xxhash64("b")))
-    kept = found.withColumn("size", size).where(F.col("size") <= s.bag_bytes).drop("size")  # of some thousand rows
+    sizes = found.groupBy("doc_id").agg(F.sum(F.length("b") + F.length("c")).alias("n"), F.max("y").alias("y"))
+    upto = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")  # per_class rows at most
+    kept = sizes.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") <= s.bag_bytes // 2).select("doc_id")
+    kept = found.join(F.broadcast(kept), "doc_id")
     return kept.toPandas().sort_values(["doc_id", "b"], kind="stable")
 
 
@@ -141,9 +134,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None
     """Score every whole text; learn from labelled rows that are not held out.
 
     Returns per row: doc_id, held_out, score, predicted (1 if score >= ``threshold``). The sample of labelled rows is
-    bounded by ``Settings.per_class`` and ``bag_bytes``. Nulls: a null text is empty; an empty text has the model's bias as its score; a
-    null id is never held out. Without labels of both classes the score is one constant. Repeated rows are scored
-    each. Other columns are ignored. An empty table gives no rows.
+    bounded by ``Settings.per_class`` and ``bag_bytes`` (half for each class). Nulls: a null text is empty; an empty
+    text has the model's bias as its score; a null id is never held out. Without labels of both classes the score is
+    one constant. Repeated rows are scored each. Other columns are ignored. An empty table gives no rows.
     """
     s = settings or Settings()
     rows = sample(docs, labels, "toxic", modulus, remainder, s)
