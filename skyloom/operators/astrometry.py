@@ -264,6 +264,8 @@ def select_projection(pairs: DataFrame, images: DataFrame, projections: tuple[st
         return pd.DataFrame([[pdf["image_id"].iloc[0], proj, *[p[c] for c in params], *[p.get(c) for c in terms], chi2, ndf, chi2 / ndf if ndf > 0 else None]], columns=names)
 
     kinds = {"image_id": T.LongType(), "astndf": T.LongType(), "proj": T.StringType()}
+    # Few bytes, much work: a fixed number of partitions keeps AQE from putting all images into one task.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "image_id")
     found = rows.groupBy("image_id").applyInPandas(run, T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names]))
     out = images.drop("proj", *terms, "astchi2", "astndf", "astwssr").join(found, "image_id", "left")
     return out.withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in params}).drop(*[f"_{c}" for c in params])
