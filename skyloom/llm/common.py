@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..staging import delete, discard, shared_dir, staged  # noqa: F401
+from ..staging import delete, discard, new_path, shared_dir, staged  # noqa: F401
 
 U64 = np.uint64
 #: Characters that separate words: space and \t \n \x0b \x0c \r.
