@@ -24,70 +24,83 @@ QUALITY = 0.5
 BROADCAST_IDS = 4_000_000
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of its own for each row as doc_id and the row's id as ``_own_id``.
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it a name that ``df`` lacks."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, a key of its own for each row, and that column's name.
 
     The key is the id where that names one row. Of the rows of a repeated id one keeps it; the others, and rows of null
     id, are staged and get new numbers beyond all ids, so that every row goes or stays by its own decision.
     """
-    docs = docs.withColumns({"_own_id": F.col("doc_id"), "doc_id": F.col("doc_id").cast("long")})
-    counts = docs.where("doc_id is not null").groupBy("doc_id").count()
-    repeated = staged(counts.where("count > 1").select("doc_id"), "repeated")
+    key = _free(docs, "row_key")
+    docs = docs.withColumn(key, F.col("doc_id").cast("long"))
+    ids = docs.select(key)
+    counts = ids.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    repeated = staged(counts.where("n > 1").select(key), "repeated")
     n_repeated = repeated.count()
-    low, high, nulls = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    low, high, nulls = ids.agg(F.min(key), F.max(key), F.count_if(F.col(key).isNull())).first()
     if not n_repeated and not nulls:
-        return docs
-    number = F.monotonically_increasing_id()
+        return docs, key
     if high is not None and high >= 1 << 62 and low <= -(1 << 62):  # no room on either side of the ids
-        return staged(docs.withColumn("doc_id", number), "keyed")
+        return staged(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
     repeated = F.broadcast(repeated) if n_repeated <= BROADCAST_IDS else repeated
-    odd = docs.where("doc_id is null").unionByName(docs.join(repeated, "doc_id", "left_semi"))
-    odd = staged(odd.withColumn("_number", number), "odd-ids")
-    first = odd.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "_number")).alias("m"))
-    odd = odd.join(first.select(F.col("m._number").alias("_number"), F.lit(True).alias("_first")), "_number", "left")
-    new = F.lit(high + 1 if high is not None else 0) + F.col("_number") if high is None or high < 1 << 62 else F.lit(low - 1) - F.col("_number")
-    odd = odd.withColumn("doc_id", F.when(F.col("_first"), F.col("doc_id")).otherwise(new))
-    rest = docs.where("doc_id is not null").join(repeated, "doc_id", "left_anti")
-    return rest.select(docs.columns).unionByName(odd.select(docs.columns))
-
-
-def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``_keyed`` whose keys are not in ``dropped(doc_id)``, with their own ids."""
-    dropped = staged(dropped.select("doc_id").distinct(), "dropped")
+    number = _free(docs, "row_number")
+    odd = docs.where(F.col(key).isNull()).unionByName(docs.join(repeated, key, "left_semi"))
+    odd = staged(odd.withColumn(number, F.monotonically_increasing_id()), "odd-ids")
+    keeps = _free(odd, "keeps_id")
+    first = odd.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col(number).alias("n"))).alias("m"))
+    odd = odd.join(first.select(F.col("m.n").alias(number), F.lit(True).alias(keeps)), number, "left")
+    new = F.lit(high + 1 if high is not None else 0) + F.col(number) if high is None or high < 1 << 62 else F.lit(low - 1) - F.col(number)
+    odd = odd.withColumn(key, F.when(F.col(keeps), F.col(key)).otherwise(new)).drop(number, keeps)
+    return docs.where(F.col(key).isNotNull()).join(repeated, key, "left_anti").unionByName(odd), key
+
+
+def _texts(keyed: DataFrame, key: str) -> DataFrame:
+    """What the operators read: each row's key as its doc_id, and its text."""
+    return keyed.select(F.col(key).alias("doc_id"), "text")
+
+
+def _without(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose keys are not in ``dropped(doc_id)``, without the key."""
+    dropped = staged(dropped.select(F.col("doc_id").alias(key)).distinct(), "dropped")
     few = dropped.count() <= BROADCAST_IDS
-    columns = [c for c in keyed.columns if c != "_own_id"]
-    left = keyed.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti")
-    return left.withColumn("doc_id", F.col("_own_id")).select(columns)
+    return keyed.join(F.broadcast(dropped) if few else dropped, key, "left_anti").drop(key)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier scores at QUALITY or more. A null or empty text is scored as one of no words; each row
     of a repeated or null id is scored by its own text; other columns, whatever their names, are kept as they are; an
     empty table stays empty."""
-    keyed = _keyed(docs)
-    scores = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), rows=keyed)
-    return _without(keyed, scores.where(F.col("score") < QUALITY))
+    keyed, key = _keyed(docs)
+    scores = score_quality(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"), rows=_texts(keyed, key))
+    return _without(keyed, key, scores.where(F.col("score") < QUALITY))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each text (blanks aside): the longest, then that of smallest key. Null and empty texts are one text.
     Rows of a repeated or null id are rows of their own, so wholly repeated rows leave one; an empty table stays empty."""
-    keyed = _keyed(docs)
-    return _without(keyed, exact_dedup(keyed).where("not kept"))
+    keyed, key = _keyed(docs)
+    return _without(keyed, key, exact_dedup(_texts(keyed, key)).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near duplicates, that of smallest key. Texts without words are all kept; rows of a
     repeated or null id are rows of their own; an empty table stays empty."""
-    keyed = _keyed(docs)
-    return _without(keyed, near_duplicates(keyed, k=5, percent=80).where("not kept"))
+    keyed, key = _keyed(docs)
+    return _without(keyed, key, near_duplicates(_texts(keyed, key), k=5, percent=80).where("not kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that share no passage with the benchmark. Null and empty texts share none; each row of a repeated or null
     id is decided by its own text; an empty table, or an empty benchmark, drops nothing."""
-    keyed = _keyed(docs)
-    return _without(keyed, contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    keyed, key = _keyed(docs)
+    return _without(keyed, key, contaminated(_texts(keyed, key), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
