@@ -597,6 +597,27 @@ def test_pipeline_stages_on_odd_tables(spark, odd, tmp_path):
         assert stage(spark, more.limit(0), str(tmp_path)).count() == 0, name
 
 
+def test_pipeline_stages_keep_the_values_of_other_columns(spark, tmp_path):
+    """Columns with any names the stages could use come out as they went in, beside null and repeated ids."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame([(i, 1, 0) for i in range(9)] + [(40, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "no such passage in any of these texts")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    ids = [None, None, 1, 1, 1, 2, 3, None, 4, 4]
+    texts = [prose(i, 30) for i in range(len(ids))]
+    texts[9] = texts[8]  # exact and near dedup leave one of the two
+    names = ["_number", "_first", "_own_id", "_d", "row_key", "_row_key", "ROW_NUMBER", "keeps_id", "n", "m", "h", "count", "a.b", "kept", "score"]
+    rows = [(i, t, *[f"{name} {at}" for name in names]) for at, (i, t) in enumerate(zip(ids, texts))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{name}` string" for name in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns, name
+        found = collections.Counter(tuple(r) for r in got.collect())
+        lost = collections.Counter(rows) - found
+        assert not found - collections.Counter(rows), name
+        want = 1 if name in ("exact_dedup", "near_dedup") else 0
+        assert len(lost) == want and all(r[1] == texts[8] for r in lost), name
+
+
 def test_language_model_on_repeated_rows(spark):
     same = spark.createDataFrame([(None, "a b c d")] * 40 + [(1, "a b x")], "doc_id long, text string")
     got = language_model.backoff_scores(same, order=3, chunk_bytes=20).collect()
