@@ -56,6 +56,22 @@ def factor(df: DataFrame, term: str, mag: str = "mag_auto") -> Column:
     return out
 
 
+def term_columns(terms: list[str]) -> set[str]:
+    """Names of the columns that terms read, apart from the magnitude."""
+    out: set[str] = set()
+    for term in terms:
+        base, n = split_term(term)
+        out |= {"image_id"} if n is not None else set()
+        if base in ("SX", "SY", "SXY"):
+            out |= {"cat_x", "cat_y"}
+        elif base in ("XC", "SC"):
+            out |= {"color1", "color2", "color3"}
+        elif base in NONLINEAR or "R" in base:
+            out |= {"coord_x", "coord_y"}
+        out |= {LETTERS[letter] for letter in base[1:] if letter in LETTERS and base not in NONLINEAR}
+    return out
+
+
 def is_linear(term: str) -> bool:
     return split_term(term)[0] not in NONLINEAR
 

@@ -129,6 +129,7 @@ def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str]
     shared, own = shared or ["crpix1", "crpix2"], own or LINEAR
     params, g, start = [*shared, *own], len(shared), images
     k, size = len(params), g * g + g
+    pairs = staged(pairs.select(*[c for c in ("image_id", "radeg", "decdeg", "x_image", "y_image", "image_dxy") if c in pairs.columns]), "pairs")  # each step reads them
     for _ in range(steps):
         rows, wcs = _rows(pairs, images)
 
@@ -176,6 +177,8 @@ def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str]
 PV_TERMS = [f"pv2_{n}" for n in range(2, 8)]
 #: A fit of a smaller chi2 per degree of freedom is exact; no test says anything about it.
 EXACT = 1e-12
+#: Refits of a trial projection without its outliers.
+REFITS = 2
 
 
 class _Image:
@@ -185,15 +188,38 @@ class _Image:
         self.pdf, self.steps, self.alpha = pdf, steps, alpha
 
     def fit(self, start: dict[str, float], params: list[str], proj: str) -> tuple[dict[str, float], float, int]:
-        p, last = dict(start), math.inf
+        """A fit of all pairs, plain and then robust, and REFITS fits of the pairs within 3 sqrt(scatter^2 + image_dxy^2
+        variance) of the one before: the scatter is the median residual over 0.67, the variance that of the residuals
+        over image_dxy squared (at least 1), both of the model itself. A model is so judged without its own outliers."""
+        ra, dec, at = self.pdf["radeg"].to_numpy(float), self.pdf["decdeg"].to_numpy(float), self.pdf[["x_image", "y_image"]].to_numpy(float).T
+        dxy = self.pdf["image_dxy"].to_numpy(float) if "image_dxy" in self.pdf else np.ones(len(ra))
+        p, pdf, kept = self._steps(dict(start), self.pdf, params, proj, False), self.pdf, np.ones(len(ra), bool)
+        for n in range(1 + REFITS):
+            r = np.hypot(*(at - np.stack(project(p, proj, ra, dec))))
+            seen = kept & np.isfinite(r)
+            if not seen.any():
+                break
+            floor, variance = np.median(r[seen]) / 0.67, max((np.median(r[seen] / dxy[seen]) / 0.67) ** 2, 1.0)
+            new = r < 3 * np.sqrt(floor * floor + dxy * dxy * variance)
+            if 2 * new.sum() <= len(params) or (new == kept).all():
+                break
+            if not n:  # there are outliers: they have drawn the plain fit
+                p = self._steps(p, self.pdf, params, proj, True)
+                continue
+            kept, pdf = new, self.pdf[new]
+            p = self._steps(p, pdf, params, proj, False)
+        _, _, chi2, rx, _ = normal(pdf, p, [], proj, False)
+        return p, chi2 if len(rx) else math.inf, 2 * len(rx) - len(params)
+
+    def _steps(self, p: dict[str, float], pdf: pd.DataFrame, params: list[str], proj: str, robust: bool) -> dict[str, float]:
+        last = math.inf
         for _ in range(self.steps):
-            a, b, chi2, *_ = normal(self.pdf, p, params, proj, False)
-            if abs(last - chi2) <= 1e-9 * chi2:
+            a, b, chi2, *_ = normal(pdf, p, params, proj, robust)
+            if abs(last - chi2) <= 1e-9 * chi2 or chi2 <= EXACT * len(pdf):
                 break
             last = chi2
-            p.update({c: p[c] + v for c, v in zip(params, solve(a, b)[0])})
-        _, _, chi2, rx, _ = normal(self.pdf, p, [], proj, False)
-        return p, chi2 if np.isfinite(rx).all() else math.inf, 2 * len(rx) - len(params)
+            p = {**p, **{c: p[c] + v for c, v in zip(params, solve(a, b)[0])}}
+        return p
 
     def better(self, small: tuple, large: tuple, k: int) -> bool:
         """F test: do the ``k`` further parameters of the larger model pay?"""
@@ -245,7 +271,7 @@ def select_projection(pairs: DataFrame, images: DataFrame, projections: tuple[st
     """Images with the projection of least chi2 per degree of freedom (ties: first in the list) as ``proj``, its
     fitted ``params`` (default CRVAL and CD), pv2_1 .. pv2_7 (null where it has none), astchi2, astndf, astwssr.
 
-    AZP fits mu (pv2_1, from 0.1; no tilt). ZPN chooses its terms stepwise by F tests of one parameter; without terms it
+    Every trial is refitted without its own outliers (``_Image.fit``). AZP fits mu (pv2_1, from 0.1; no tilt). ZPN chooses its terms stepwise by F tests of one parameter; without terms it
     is ARC. CRPIX, where ``params`` has it, is fitted only if an F test of both together says so, else it keeps its
     value. All of an image's fits run where its pairs are, after one shuffle. Images with fewer pairs than parameters
     keep theirs, with null ``proj``.

@@ -13,11 +13,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.response import eval_response, factor, is_linear, split_term
+from ..functions.response import eval_response, factor, is_linear, split_term, term_columns
 from ..staging import discard, staged
+from .quantile import exact_quantile
 
 
 @dataclass
@@ -74,15 +76,21 @@ def _weight(err: str, robust: Column | None = None) -> Column:
     return w if robust is None else w * robust
 
 
+def _narrow(pairs: DataFrame, terms: list[str], y: str, mag: str, err: str, mask: Column | None = None) -> DataFrame:
+    """The few columns that a fit of ``terms`` reads, staged, as each step reads them anew; ``mask`` comes as _mask."""
+    wanted = {"image_id", y, mag, err} | term_columns(terms)
+    columns = [F.col(c) for c in pairs.columns if c in wanted]
+    return staged(pairs.select(*columns, *([F.coalesce(mask, F.lit(False)).alias("_mask")] if mask is not None else [])), "pairs")
+
+
 def _statistics(fit: Fit, rows: DataFrame, err: str, k: int) -> Fit:
-    r = F.col("_r")
-    s = rows.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.pow(r / F.col(err), F.lit(2))).alias("wssr"),
-        F.stddev_pop(r / F.col(err)).alias("v"), (F.median(F.abs(r)) / 0.67).alias("s"),
-    ).first()
+    """Fills in what residuals ``_r`` say. The scatter is an exact median that no task gathers the residuals for."""
+    values = staged(rows.select(F.abs("_r").alias("r"), (F.col("_r") / F.col(err)).alias("q")), "residuals")
+    s = values.agg(F.count(F.lit(1)).alias("n"), F.sum(F.pow("q", F.lit(2))).alias("wssr"), F.stddev_pop("q").alias("v")).first()
     fit.ndf = int(s.n) - k
-    fit.wssr, fit.variance, fit.sigma = float(s.wssr or 0), float(s.v or 0), float(s.s or 0)
+    fit.wssr, fit.variance, fit.sigma = float(s.wssr or 0), float(s.v or 0), (exact_quantile(values, F.col("r")) or 0.0) / 0.67
     fit.wssrndf = fit.wssr / fit.ndf if fit.ndf > 0 else float("nan")
+    discard(values)
     return fit
 
 
@@ -94,7 +102,8 @@ def fit_photometry(pairs: DataFrame, terms: list[str], fixed: dict[str, float] |
     Returns a Fit: errors are roots of the diagonal of the inverse normal matrix, NDF = n - k.
     """
     fixed, values = dict(fixed or {}), {t: float((init or {}).get(t, 0.0)) for t in terms}
-    rows = pairs if mask is None else pairs.where(mask)
+    narrow = None if hasattr(pairs, "_staged") else _narrow(pairs, [*terms, *fixed], y, mag, err, mask)
+    rows = narrow.where("_mask") if narrow is not None and mask is not None else narrow if narrow is not None else pairs if mask is None else pairs.where(mask)
     linear = all(is_linear(t) for t in terms)
     once = linear and not robust
     errors: dict[str, float] = {}
@@ -140,7 +149,10 @@ def fit_photometry(pairs: DataFrame, terms: list[str], fixed: dict[str, float] |
                 break
     out = Fit(values, errors, fixed=fixed)
     rest = eval_response(rows, out.model, mag, out="_m").withColumn("_r", F.col(y) - F.col("_m"))
-    return _statistics(out, rest, err, len(terms))
+    _statistics(out, rest, err, len(terms))
+    if narrow is not None:
+        discard(narrow)
+    return out
 
 
 def fit_per_image(pairs: DataFrame, common: list[str], per_image: list[str], y: str = "cat_mag", mag: str = "mag_auto", err: str = "dy") -> Fit:
@@ -151,6 +163,7 @@ def fit_per_image(pairs: DataFrame, common: list[str], per_image: list[str], y:
     """
     names, g = [*common, *per_image], len(common)
     k = len(names)
+    pairs = _narrow(pairs, names, y, mag, err)
     xs = [factor(pairs, t, mag) for t in names]
     sums = pairs.groupBy("image_id").agg(*moments(xs, F.col(y) - F.col(mag), _weight(err)))
     sums = staged(sums, "moments")
@@ -191,15 +204,17 @@ def fit_per_image(pairs: DataFrame, common: list[str], per_image: list[str], y:
     value = F.col(mag) + sum((fit.values[t] * factor(pairs, t, mag) for t in common), F.lit(0.0))
     value = value + sum((F.element_at("_own", t) * factor(pairs, t, mag) for t in per_image), F.lit(0.0))
     images = sums.count()
-    return _statistics(fit, rows.withColumn("_r", F.col(y) - value), err, g + images * len(per_image))
+    _statistics(fit, rows.withColumn("_r", F.col(y) - value), err, g + images * len(per_image))
+    discard(pairs)
+    return fit
 
 
 def fit_clipped(pairs: DataFrame, terms: list[str], rounds: int = 3, mask: Column | None = None, **options) -> tuple[Fit, Column]:
     """Refits at most ``rounds`` times on rows with abs(residual) < 3 sqrt(WSSR/NDF) * err, a mask that is
     recomputed on all rows each time; stops when chi2 per degree of freedom is not better. Returns fit and mask."""
     y, mag, err = options.get("y", "cat_mag"), options.get("mag", "mag_auto"), options.get("err", "dy")
-    pairs = staged(pairs, "pairs")  # each round reads them twice
-    best = fit_photometry(pairs, terms, mask=mask, **options)
+    pairs = _narrow(pairs, [*terms, *(options.get("fixed") or {})], y, mag, err, mask)
+    best = fit_photometry(pairs, terms, mask=F.col("_mask") if mask is not None else None, **options)
     kept = mask if mask is not None else F.lit(True)
     for _ in range(rounds):
         residual = (F.col(y) - response_column(pairs, best.model, mag)) / F.col(err)
@@ -246,51 +261,140 @@ def _beta(x: float, a: float, b: float) -> float:
     return front * value
 
 
+@dataclass
+class _Trial:
+    """A set of terms with its fit (coefficients, chi2 per degree of freedom, degrees of freedom) and the cut that the
+    rows of the fit passed: (coefficients, limit), None for all rows."""
+
+    terms: list[str]
+    beta: np.ndarray | None = None
+    wssrndf: float = math.inf
+    ndf: int = 0
+    cut: tuple[np.ndarray, float] | None = None
+    done: bool = False
+
+    @property
+    def wssr(self) -> float:
+        return self.wssrndf * self.ndf
+
+
+class _Trials:
+    """Clipped fits of many sets of terms at once: a clip step of all of them is one pass over the rows, which sums up
+    each trial's moments under its own mask."""
+
+    def __init__(self, rows: DataFrame, every: list[str], y: str, mag: str, err: str):
+        xs = [factor(rows, t, mag).cast("double") for t in every]
+        self.every, self.k = every, len(every)
+        self.table = rows.select(F.array(*xs, (F.col(y) - F.col(mag)).cast("double"), F.col(err).cast("double")).alias("v"))
+        self.all = self._pass([(None, None)])[0]
+
+    def _pass(self, cuts: list[tuple]) -> list[tuple[np.ndarray, np.ndarray, int, int]]:
+        """For each (cut, cut before): the moments of (x, t) by the fit's weights, those by the errors' squares, and
+        how many rows the two cuts treat differently, and how many pass."""
+        k, size = self.k, (self.k + 1) ** 2
+
+        def sums(batches):
+            total, counts = np.zeros((len(cuts), 2 * size + 1)), np.zeros(len(cuts))
+            for batch in batches:
+                v = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k + 2)
+                v = v[np.isfinite(v).all(axis=1) & (v[:, -1] > 0)]
+                z, e = v[:, :-1], v[:, -1]
+                passes = lambda cut: np.abs(z[:, -1] - z[:, :-1] @ cut[0]) / e < cut[1] if cut is not None else np.ones(len(z), bool)  # noqa: B023,E731
+                for n, (cut, before) in enumerate(cuts):
+                    mask = passes(cut)
+                    a, w = z[mask], e[mask]
+                    total[n, :size] += (a.T @ (a / w[:, None] ** 5)).ravel()
+                    total[n, size : 2 * size] += (a.T @ (a / w[:, None] ** 2)).ravel()
+                    total[n, -1] += np.count_nonzero(mask != passes(before))
+                    counts[n] += int(mask.sum())
+            yield pd.DataFrame({"n": np.repeat(np.arange(len(cuts)), 2 * size + 2), "i": np.tile(np.arange(2 * size + 2), len(cuts)), "v": np.column_stack((total, counts)).ravel()})
+
+        out = np.zeros((len(cuts), 2 * size + 2))
+        parts = self.table.mapInArrow(lambda batches: (pa.RecordBatch.from_pandas(p, preserve_index=False) for p in sums(batches)), "n long, i long, v double")
+        for row in parts.groupBy("n", "i").agg(F.sum("v").alias("v")).collect():  # trials x moments
+            out[row.n, row.i] = row.v
+        return [(m[:size].reshape(k + 1, k + 1), m[size : 2 * size].reshape(k + 1, k + 1), int(m[-2]), int(m[-1])) for m in out]
+
+    def _fit(self, trial: _Trial, moments: tuple) -> tuple[np.ndarray, float, int]:
+        a, b, _, n = moments
+        at = [self.every.index(t) for t in trial.terms]
+        beta = np.zeros(self.k)
+        if at:
+            beta[at] = solve(a[np.ix_(at, at)], a[at, -1])[0]
+        full = np.append(-beta, 1.0)
+        ndf = n - len(at)
+        return beta, max(float(full @ b @ full), 0.0) / ndf if ndf > 0 else math.inf, ndf
+
+    def run(self, sets: list[list[str]], steps: int = 3) -> list[_Trial]:
+        """The trials of ``sets``, each fitted up to ``steps`` times on the rows within 3 sqrt(chi2 / NDF) errors of its
+        fit before; a trial is done when its rows stay the same or chi2 / NDF is not less."""
+        trials = [_Trial(terms) for terms in sets]
+        for t in trials:
+            t.beta, t.wssrndf, t.ndf = self._fit(t, self.all)
+        for _ in range(steps - 1):
+            open_ = [t for t in trials if not t.done]
+            if not open_:
+                break
+            cuts = [((t.beta, 3 * math.sqrt(t.wssrndf) if math.isfinite(t.wssrndf) else math.inf), t.cut) for t in open_]
+            for t, (cut, _), moments in zip(open_, cuts, self._pass(cuts)):
+                if not moments[2]:
+                    t.done = True
+                    continue
+                before = t.wssrndf
+                t.cut = cut
+                t.beta, t.wssrndf, t.ndf = self._fit(t, moments)
+                t.done = not t.wssrndf < before
+        for t in trials:
+            if not t.done:  # the rows that the last fit would go on with
+                t.cut = (t.beta, 3 * math.sqrt(t.wssrndf) if math.isfinite(t.wssrndf) else math.inf)
+        return trials
+
+
 def stepwise(pairs: DataFrame, candidates: list[str], always: list[str], init: dict[str, float] | None = None, alpha: float = 0.05, rounds: int = 100, y: str = "cat_mag", mag: str = "mag_auto", err: str = "dy") -> tuple[Fit, list[str]]:
     """Chooses terms: starts from ``always`` and the candidates with initial values, adds the candidate with the
     best F value and drops the one with the least while the F test (``alpha``, one parameter) says so; always-terms
     stay. Ties: first in the list.
 
-    A round is one aggregate: the moment matrix of all candidates under the running mask, of which each trial is a
-    sub-matrix; then the chosen model renews the mask (3 sigma, ANDed to the running one). The last fit is clipped.
+    Every trial model is clipped on its own (see ``_Trials``), so a term that only follows a few outliers gains nothing
+    by it. All additions of a round take two passes over the staged columns, all removals two more, whatever their
+    number; the unclipped moments are one pass for all rounds. The last fit is on the rows that the cuts of all chosen
+    models leave, without further clipping.
     """
     every = [*always, *[c for c in candidates if c not in always]]
-    chosen = [*always, *[c for c in candidates if c in (init or {}) and c not in always]]
-    mask = F.lit(True)
-
-    def matrices(m: Column):
-        rows = pairs.where(m)
-        xs = [factor(rows, t, mag) for t in every]
-        return unpack(rows.agg(*moments(xs, F.col(y) - F.col(mag), F.pow(F.col(err), F.lit(-2)))).first().m, len(every))
-
-    def chi2(parts, terms: list[str]) -> float:
-        a, b, tt, _ = parts
-        at = [every.index(t) for t in terms]
-        if not at:
-            return tt
-        beta, _ = solve(a[np.ix_(at, at)], b[at])
-        return max(float(tt - b[at] @ beta), 0.0)
-
+    rows = _narrow(pairs, every, y, mag, err)
+    trials = _Trials(rows, every, y, mag, err)
+    best = trials.run([list(always)])[0]
+    cuts = [best.cut]
+    warm = [c for c in candidates if c in (init or {}) and c not in always]
+    if warm:
+        best = trials.run([[*always, *warm]])[0]
+        cuts = [best.cut]
+    f_of = lambda small, large: (small.wssr - large.wssr) / max(large.wssrndf, 1e-300) if large.ndf > 0 else 0.0
+    pays = lambda small, large: f_of(small, large) > 0 and f_pvalue(f_of(small, large), 1, large.ndf) < alpha
     for _ in range(rounds):
-        parts, changed = matrices(mask), False
-        n = parts[3]
-        f_of = lambda small, large: (chi2(parts, small) - chi2(parts, large)) / max(chi2(parts, large) / max(n - len(large), 1), 1e-300)
-        trials = {c: f_of(chosen, [*chosen, c]) for c in every if c not in chosen}
-        if trials:
-            best = max(trials, key=trials.get)
-            if f_pvalue(trials[best], 1, n - len(chosen) - 1) < alpha:
-                chosen, changed = [*chosen, best], True
-        drops = {c: f_of([t for t in chosen if t != c], chosen) for c in chosen if c not in always}
-        if drops:
-            least = min(drops, key=drops.get)
-            if f_pvalue(drops[least], 1, n - len(chosen)) >= alpha:
-                chosen, changed = [t for t in chosen if t != least], True
+        changed = False
+        more = trials.run([[*best.terms, c] for c in every if c not in best.terms])
+        more = [t for t in more if pays(best, t)]
+        if more:
+            base = best
+            best, changed = max(more, key=lambda t: f_of(base, t)), True
+            cuts.append(best.cut)
+        less = trials.run([[t for t in best.terms if t != c] for c in best.terms if c not in always])
+        full = best
+        less = [t for t in less if f_of(t, full) > 0 and not pays(t, full)]
+        if less:
+            best, changed = min(less, key=lambda t: f_of(t, full)), True
+            cuts.append(best.cut)
         if not changed:
             break
-        fit = fit_photometry(pairs, chosen, y=y, mag=mag, err=err, mask=mask)
-        residual = (F.col(y) - response_column(pairs, fit.model, mag)) / F.col(err)
-        mask = mask & (F.abs(residual) < 3 * math.sqrt(max(fit.wssrndf, 1e-12)))
-    return fit_clipped(pairs, chosen, mask=mask, y=y, mag=mag, err=err)[0], chosen
+    mask = F.lit(True)
+    for cut in cuts:
+        if cut is not None and math.isfinite(cut[1]):
+            model = {t: float(b) for t, b in zip(every, cut[0]) if b}
+            mask = mask & (F.abs(F.col(y) - response_column(rows, model, mag)) / F.col(err) < float(cut[1]))
+    fit = fit_photometry(rows, best.terms, y=y, mag=mag, err=err, mask=mask)
+    discard(rows)
+    return fit, best.terms
 
 
 def effective_zeropoint(fit: Fit, images: DataFrame) -> DataFrame:

@@ -102,6 +102,18 @@ def e17(spark, d):
     return found.select("term", F.round("value", 3).alias("value"))
 
 
+@query("e17_stepwise_clipped", "select * from (values ('P2X', 0.02::double), ('Z', 22.0::double)) v(term, value)")
+def e17_clipped(spark, d):
+    """One pair in 29 is off by 20 either way. On all pairs no term passes the test; on those that each trial keeps one does."""
+    rows = eval_response(pairs(spark, d), {"Z": 22.0, "P2X": 0.02}, out="cat_mag")
+    h = F.xxhash64("image_id", "number")
+    noise = (F.pmod(F.xxhash64("number", "image_id"), F.lit(2001)) - 1000) * 1e-6
+    rows = rows.withColumn("cat_mag", F.col("cat_mag") + noise + F.when(F.pmod(h, F.lit(58)) == 0, 20.0).when(F.pmod(h, F.lit(58)) == 29, -20.0).otherwise(0.0))
+    terms = parse_terms("&Z,.p2", stepwise=True)
+    found = fit.stepwise(rows, terms["stepwise"], terms["always"], alpha=1e-9)[0].table(spark)
+    return found.select("term", F.round("value", 3).alias("value"))
+
+
 @query("e22_effective_zeropoint", "select image_id, round(22.1+0.2*1.1+case when image_id=3 then 0.05 else 0 end,6) as magzero, case when image_id=3 then 0.02 else 0.01 end as dmagzero from fx_images")
 def e22(spark, d):
     f = fit.Fit({"Z": 22.1, "PA": 0.2, "PX": 0.3, "PC": 0.1, "Z:3": 10.05}, {"Z": 0.01, "Z:3": 0.02})
