@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..fixtures import sql, view
 from ..functions import bands
 from ..operators import calib, filterdim, filters, match
-from ..sources import tables
+from ..sources import archive, tables
 from . import query
 
 _V = "cos(radians(decdeg))*cos(radians(radeg)) as x, cos(radians(decdeg))*sin(radians(radeg)) as y, sin(radians(decdeg)) as z"
@@ -217,12 +217,12 @@ def a09(spark, d):
 def a13(spark, d):
     new = sql(spark, d, "select image_id, jd, concat(image_id, '.fits') as fitsfile, case when image_id%3=1 then 20 else 5 end as mtime from fx_images")
     old = sql(spark, d, "select concat(image_id, '.fits') as fitsfile, 10 as mtime from fx_images where image_id%3>0")
-    return tables.incremental(new, old).select("image_id", "ym")
+    return archive.incremental(new, old).select("image_id", "ym")
 
 
 @query("a13_quality_gate", "select image_id from fx_images where astsigma<0.225")
 def a13_gate(spark, d):
-    return tables.quality_gate(view(spark, d, "fx_images"), 0.225).select("image_id")
+    return archive.quality_gate(view(spark, d, "fx_images"), 0.225).select("image_id")
 
 
 @query("a14_split_rejected", "select image_id, image_id%6<=4 and image_id%4<2 as accepted from fx_images")

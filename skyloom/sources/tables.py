@@ -154,14 +154,6 @@ def require_all(images: DataFrame, results: DataFrame) -> DataFrame:
     return images
 
 
-def write_catalog(det: DataFrame, images: DataFrame, path: str) -> None:
-    """Detections and images as two Parquet tables under ``path``, both partitioned by the image's month."""
-    ym = F.date_format(F.timestamp_seconds((F.col("jd") - 2440587.5) * 86400), "yyMM")
-    im = images.withColumn("ym", ym)
-    im.write.partitionBy("ym").mode("append").parquet(f"{path}/images")
-    det.join(im.select("image_id", "ym"), "image_id").repartition("ym", F.pmod("image_id", F.lit(32))).sortWithinPartitions("ym", "image_id", "number").write.partitionBy("ym").mode("append").parquet(f"{path}/detections")
-
-
 REGION_HEADER = "# Region file format: DS9 version 4.1\nfk5"
 
 
@@ -233,23 +225,6 @@ def response_string(model: DataFrame, images: DataFrame) -> DataFrame:
     return out.select("image_id", F.concat_ws(",", F.concat(F.lit("FILTER="), F.col("phfilter")), F.concat(F.lit("SCHEMA="), F.col("phschema")), F.array_join(F.transform(F.sort_array(parts), lambda p: p["s"]), ",")).alias("response"))
 
 
-def month_of(jd: Column) -> Column:
-    """YYMM of a JD (UTC)."""
-    return F.date_format(F.timestamp_seconds((jd - 2440587.5) * 86400), "yyMM")
-
-
-def incremental(new_images: DataFrame, archive: DataFrame, key: str = "fitsfile", modified: str = "mtime") -> DataFrame:
-    """Images that the archive lacks, or has from before the source's last change; adds ym."""
-    old = archive.groupBy(key).agg(F.max(modified).alias("_old"))
-    rows = new_images.join(old, key, "left").where(F.col("_old").isNull() | (F.col(modified) > F.col("_old"))).drop("_old")
-    return rows.withColumn("ym", month_of(F.col("jd")))
-
-
-def quality_gate(images: DataFrame, max_astsigma: float) -> DataFrame:
-    """Images whose astsigma is below the limit."""
-    return images.where(F.col("astsigma") < max_astsigma)
-
-
 def split_rejected(images: DataFrame, reject: float, max_error: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): rejected are those of wssrndf > reject or a zeropoint error of at least max_error, or
     without either number."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import headers, response
 from skyloom.operators import calib, filters, fit, match, stack, transients
-from skyloom.sources import tables
+from skyloom.sources import archive, tables
 from skyloom.streaming.link import link_trails_stream
 
 
@@ -124,7 +124,7 @@ def test_models_and_catalogs(spark, tmp_path):
     assert {r.term: r.fixed for r in tables.load_model(spark, str(tmp_path / "m")).collect()} == {"Z": False, "PX": True}
     images = spark.createDataFrame([(1, 2460310.5), (2, 2460350.5)], "image_id long, jd double")
     det = spark.createDataFrame([(1, 1), (2, 1)], "image_id long, number long")
-    tables.write_catalog(det, images, str(tmp_path / "cat"))
+    archive.write_catalog(det, images, str(tmp_path / "cat"))
     assert {(r.image_id, r.ym) for r in spark.read.parquet(str(tmp_path / "cat/detections")).collect()} == {(1, 2401), (2, 2402)}
     with pytest.raises(ValueError):
         tables.require_all(spark.createDataFrame([("a/x.fits",)], "fitsfile string"), spark.createDataFrame([("y.fits",)], "file string"))
