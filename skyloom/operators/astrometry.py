@@ -34,6 +34,10 @@ def project(p: dict[str, float], proj: str, ra: np.ndarray, dec: np.ndarray) ->
     sc, ss = -np.cos(d) * np.sin(a), np.sin(d) * math.cos(d0) - np.cos(d) * math.sin(d0) * np.cos(a)
     sinu = np.hypot(sc, ss)
     u = np.arctan2(sinu, cosu)
+    if proj == "SZP":
+        mu, phi, theta = p.get("pv2_1", 0.0), math.radians(p.get("pv2_2", 0.0)), math.radians(p.get("pv2_3", 90.0))
+        xp, yp, zp, s = -mu * math.cos(theta) * math.sin(phi), mu * math.cos(theta) * math.cos(phi), mu * math.sin(theta) + 1, 1.0 - cosu
+        return _pixels(p, np.degrees((zp * ss - xp * s) / (zp - s)), np.degrees(-(zp * sc + yp * s) / (zp - s)))
     if proj == "TAN":
         ratio = 1 / np.where(cosu > 0, cosu, np.nan)
     else:
@@ -48,7 +52,10 @@ def project(p: dict[str, float], proj: str, ra: np.ndarray, dec: np.ndarray) ->
         else:
             raise ValueError(f"no fit of {proj}")
         ratio = r / np.where(sinu > 0, sinu, 1.0)
-    x, y = np.degrees(-ratio * sc), np.degrees(ratio * ss)
+    return _pixels(p, np.degrees(-ratio * sc), np.degrees(ratio * ss))
+
+
+def _pixels(p: dict[str, float], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     det = p["cd1_1"] * p["cd2_2"] - p["cd2_1"] * p["cd1_2"]
     return p["crpix1"] + (p["cd2_2"] * x - p["cd1_2"] * y) / det, p["crpix2"] + (p["cd1_1"] * y - p["cd2_1"] * x) / det
 

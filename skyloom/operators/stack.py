@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -10,9 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.astrom import pix2world, world2pix
 from ..functions.headers import powerlaw_mag
 from ..staging import staged
+from .astrometry import project
 from .match import range_join
 
 
@@ -117,26 +118,70 @@ def reference_frame(images: DataFrame, sampling: int = 8, least: int = 64) -> Da
     return out.select("crval1", "crval2", "scale", "size_x", "size_y", (F.col("size_x") / 2).alias("crpix1"), (F.col("size_y") / 2).alias("crpix2"))
 
 
+#: Cells of the grid that one numpy step projects.
+STEP_CELLS = 1 << 18
+
+
+def _covered(image: dict[str, float], frame: dict[str, float], proj: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, first columns, columns past the last) of the runs of cells that an image covers, in blocks of rows."""
+    scale, crval1, d0 = math.radians(float(frame["scale"])), float(frame["crval1"]), math.radians(float(frame["crval2"]))
+    grid = {**{c: float(frame[c]) for c in ("crval1", "crval2", "crpix1", "crpix2")}, "cd1_1": float(frame["scale"]), "cd1_2": 0.0, "cd2_1": 0.0, "cd2_2": float(frame["scale"])}
+    gx, gy = (float(v[0]) for v in project(grid, "TAN", np.array([image["ctrra"]]), np.array([image["ctrdec"]])))
+    reach = math.ceil(image["diagonal"] / 2 / float(frame["scale"])) + 1
+    if not (math.isfinite(gx) and math.isfinite(gy)):
+        return
+    x0, x1 = max(math.floor(gx - reach), 0), min(math.ceil(gx + reach), int(frame["size_x"]) - 1)
+    y0, y1 = max(math.floor(gy - reach), 0), min(math.ceil(gy + reach), int(frame["size_y"]) - 1)
+    if x0 > x1:
+        return
+    columns = (np.arange(x0, x1 + 1) - grid["crpix1"]) * scale
+    block = max(1, STEP_CELLS // len(columns))
+    for first in range(y0, y1 + 1, block):
+        rows = np.arange(first, min(first + block, y1 + 1))
+        u, v = columns[None, :], ((rows - grid["crpix2"]) * scale)[:, None]
+        a = np.degrees(np.arctan2(u, math.cos(d0) - v * math.sin(d0))) + crval1
+        d = np.degrees(np.arcsin(np.clip((math.sin(d0) + v * math.cos(d0)) / np.sqrt(1 + u * u + v * v), -1, 1)))
+        px, py = project(image, proj, a, d)
+        inside = (px >= 0) & (px <= image["imgaxis1"]) & (py >= 0) & (py <= image["imgaxis2"])
+        edge = np.diff(np.pad(inside, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        at, begin = np.nonzero(edge == 1)
+        _, end = np.nonzero(edge == -1)
+        yield rows[at], begin + x0, end + x0
+
+
 def coverage(images: DataFrame, frame: dict[str, float], proj: str = "TAN") -> DataFrame:
     """(y, x, n): number of images that cover each cell of a reference grid (crval1, crval2, scale, size_x,
     size_y, crpix1, crpix2). An image covers a cell whose sky position falls on its pixels. Each image meets only the
-    cells within half its diagonal of its centre, not the whole grid."""
-    scale = float(frame["scale"])
-    wcs = {"crval1": frame["crval1"], "crval2": frame["crval2"], "crpix1": frame["crpix1"], "crpix2": frame["crpix2"], "cd1_1": scale, "cd1_2": 0.0, "cd2_1": 0.0, "cd2_2": scale}
-    rows = images.withColumns({f"_i_{c}": F.col(c) for c in ("crval1", "crval2", "crpix1", "crpix2", "cd1_1", "cd1_2", "cd2_1", "cd2_2")})
-    at = world2pix(rows.withColumns({c: F.lit(float(v)) for c, v in wcs.items()}), "TAN", "ctrra", "ctrdec", ("_gx", "_gy"))
-    reach = F.ceil(F.col("diagonal") / 2 / scale) + 1
-    bound = lambda c, n: (F.greatest(F.floor(F.col(c) - reach), F.lit(0)), F.least(F.ceil(F.col(c) + reach), F.lit(int(n) - 1)))
-    (x0, x1), (y0, y1) = bound("_gx", frame["size_x"]), bound("_gy", frame["size_y"])
-    inside = (x0 <= x1) & (y0 <= y1)
-    cells = at.where(inside).withColumn("y", F.explode(F.sequence(y0, y1))).withColumn("x", F.explode(F.sequence(x0, x1)))
-    # A cell's sky position follows from its place, so nothing is joined and counts combine before the one exchange.
-    sky = pix2world(cells.withColumns({c: F.lit(float(v)) for c, v in wcs.items()}), "TAN", "x", "y", ("_ra", "_dec"))
-    # An explode of one element keeps the two projections apart: as one expression they are too large to be compiled.
-    sky = sky.withColumn("_at", F.explode(F.array(F.struct("_ra", "_dec")))).withColumns({"_ra": F.col("_at._ra"), "_dec": F.col("_at._dec")})
-    back = world2pix(sky.withColumns({c: F.col(f"_i_{c}") for c in wcs}), proj, "_ra", "_dec", ("_px", "_py"))
-    covers = F.col("_px").between(0, F.col("imgaxis1")) & F.col("_py").between(0, F.col("imgaxis2"))
-    return back.where(covers).groupBy("y", "x").agg(F.count(F.lit(1)).alias("n"))
+    cells within half its diagonal of its centre, not the whole grid; images without a position cover none.
+
+    An image gives the ends of its runs of cells in each row of the grid (+1 at the first, -1 past the last), a task
+    adds up those of its images, and the counts are running sums along a row: what is exchanged grows with the edges of
+    images, not with their cells. A row of the grid is as wide as the grid.
+    """
+    wanted = ["ctrra", "ctrdec", "diagonal", "imgaxis1", "imgaxis2", "crval1", "crval2", "crpix1", "crpix2", "cd1_1", "cd1_2", "cd2_1", "cd2_2", *[c for c in images.columns if c.startswith("pv2_")]]
+    width = int(frame["size_x"]) + 1
+
+    def edges(batches):
+        for batch in batches:
+            keys, deltas = [], []
+            for image in batch.to_dict("records"):
+                image = {c: float(v) for c, v in image.items() if v is not None and v == v}
+                if all(c in image for c in wanted[:13]):
+                    for y, begin, end in _covered(image, frame, proj):
+                        keys += [y * width + begin, y * width + end]
+                        deltas += [np.ones(len(y), np.int64), -np.ones(len(y), np.int64)]
+            if keys:
+                key, at = np.unique(np.concatenate(keys), return_inverse=True)
+                total = np.zeros(len(key), np.int64)
+                np.add.at(total, at, np.concatenate(deltas))
+                yield pd.DataFrame({"y": key // width, "x": key % width, "d": total})[total != 0]
+
+    # Few bytes, much work: a fixed number of partitions keeps AQE from putting all images into one task.
+    rows = images.select(*wanted).repartition(int(images.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ends = rows.mapInPandas(edges, "y long, x long, d long").groupBy("y", "x").agg(F.sum("d").alias("d")).where("d <> 0")
+    along = Window.partitionBy("y").orderBy("x")
+    runs = ends.withColumns({"n": F.sum("d").over(along), "_end": F.lead("x").over(along)}).where("n > 0")
+    return runs.select("y", F.explode(F.sequence("x", F.col("_end") - 1)).alias("x"), "n")
 
 
 def largest_rectangle(cov: DataFrame, mode: str = "in") -> DataFrame:

@@ -1,5 +1,6 @@
 """Small hand-made cases: ties, nulls, wrap-around, poles, empty tables; recovery of known fits; plans."""
 
+import math
 import json
 import re
 
@@ -193,12 +194,26 @@ def test_scattered_images_find_their_neighbours(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
-def test_coverage_exchanges_only_counts(spark):
-    from skyloom.queries.pixel import _GEOM, FRAME
-    from skyloom.fixtures import sql
-
-    plan = stack.coverage(sql(spark, "/root/testdata/sf0.001", _GEOM), FRAME)._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and plan.count("Exchange") == 1
+@pytest.mark.parametrize("proj", ["TAN", "ZEA", "ARC", "ZPN", "AZP", "SZP"])
+def test_coverage_against_every_cell(spark, proj):
+    """Edges of runs give what projecting each cell into each image gives; turned images leave runs of any place."""
+    from skyloom.functions import astrom
+
+    frame = {"crval1": 10.0, "crval2": -35.0, "scale": 0.02, "size_x": 40, "size_y": 30, "crpix1": 20.0, "crpix2": 15.0}
+    rows = [(n, 10 + 0.1 * (n % 7) - 0.3, -35 + 0.08 * (n % 5) - 0.2, 200, 120, 100.0, 60.0, 0.002 * c, -0.002 * s, 0.002 * s, 0.002 * c, 0.5, 1.5) for n, (c, s) in enumerate([(math.cos(t), math.sin(t)) for t in range(20)])]
+    rows += [(90, None, -35.0, 200, 120, 100.0, 60.0, 0.002, 0.0, 0.0, 0.002, 0.5, 1.5), (91, 190.0, 35.0, 200, 120, 100.0, 60.0, 0.002, 0.0, 0.0, 0.002, 0.5, 1.5)]
+    names = "image_id long, ctrra double, ctrdec double, imgaxis1 int, imgaxis2 int, crpix1 double, crpix2 double, cd1_1 double, cd1_2 double, cd2_1 double, cd2_2 double, diagonal double, pv2_1 double"
+    images = spark.createDataFrame(rows, names).withColumns({"crval1": F.col("ctrra"), "crval2": F.col("ctrdec")})
+    if proj == "ZPN":
+        images = images.withColumn("pv2_3", F.lit(0.4))
+    grid = spark.range(40).withColumnRenamed("id", "x").crossJoin(spark.range(30).withColumnRenamed("id", "y"))
+    wcs = {"crval1": 10.0, "crval2": -35.0, "crpix1": 20.0, "crpix2": 15.0, "cd1_1": 0.02, "cd1_2": 0.0, "cd2_1": 0.0, "cd2_2": 0.02}
+    sky = astrom.pix2world(grid.withColumns({c: F.lit(v) for c, v in wcs.items()}), "TAN", "x", "y", ("ra", "dec")).select("x", "y", "ra", "dec")
+    back = astrom.world2pix(sky.crossJoin(images.where("ctrra < 100")), proj, "ra", "dec", ("px", "py"))
+    want = back.where(F.col("px").between(0, F.col("imgaxis1")) & F.col("py").between(0, F.col("imgaxis2"))).groupBy("y", "x").count()
+    cov = stack.coverage(images, frame, proj)
+    assert sorted((r.y, r.x, r.n) for r in cov.collect()) == sorted((r.y, r.x, r["count"]) for r in want.collect())
+    assert "Join" not in cov._jdf.queryExecution().executedPlan().toString()
 
 
 def test_quoted_cells_repeated_keys_and_bad_lines(spark, tmp_path):
