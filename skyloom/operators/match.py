@@ -3,13 +3,14 @@ the catalogue side is posted in its 3 x 3 neighbourhood, and the equi-join on th
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.astrom import separation
-from ..staging import discard, staged
+from ..staging import staged
+from .components import connected_components
 
 
 def finite(c: Column) -> Column:
@@ -151,29 +152,36 @@ def dedupe_sky(df: DataFrame, r: float, keep: str = "last", key: str = "number",
     """Of rows of one group nearer than r degrees, ``keep='last'`` drops each that has a later one (by the key)
     nearby; ``keep='first'`` keeps, in order of the key, each that has no kept one nearby.
 
-    The greedy form is a fix-point on the close pairs alone: a row without undecided earlier neighbours stays and its
-    later neighbours go, until no pair is undecided. It takes as many rounds as the longest chain of rows that decide
-    each other; each ends in a staged table.
+    The greedy form is decided inside each connected component of close pairs, in order of the key: rows of different
+    components decide nothing of each other. A component's pairs stream through one task, which holds the keys that it
+    has dropped; so a chain of any length takes the few joins of its component, not a job a step.
     """
     pairs = close_pairs(df, r, key, rd, by)
     on = lambda k: [F.col(f"_d.{c}") == df[c] for c in by] + [F.col(f"_d.{k}") == df[key]]
     if keep == "last":
         return df.join(pairs.select(*by, "k1").distinct().alias("_d"), on("k1"), "left_anti")
-    rounds = [staged(pairs.withColumn("gone", F.lit(False)), "close-pairs")]
-    while True:
-        left = rounds[-1].where("not gone").drop("gone")
-        undecided = left.select(*by, F.col("k2").alias("k1")).distinct()
-        out = left.join(undecided, [*by, "k1"], "left_anti").select(*by, "k2").distinct()
-        if left.isEmpty():
-            break
-        rest = left.join(out, [*by, "k2"], "left_anti").join(out.withColumnRenamed("k2", "k1"), [*by, "k1"], "left_anti")
-        rounds.append(staged(rest.withColumn("gone", F.lit(False)).unionByName(out.withColumns({"k1": F.col("k2"), "gone": F.lit(True)})), "close-pairs"))
-        if len(rounds) == 20:  # what is gone in all of them, and what is left in the last
-            many = staged(reduce(DataFrame.unionByName, [x.where("gone") for x in rounds]).unionByName(rounds[-1].where("not gone")), "close-pairs")
-            discard(*rounds)
-            rounds = [many]
-    gone = reduce(DataFrame.unionByName, [x.where("gone") for x in rounds])
-    return df.join(gone.select(*by, "k2").distinct().alias("_d"), on("k2"), "left_anti")
+    # Equal hashes of two nodes would only put their components into one.
+    pairs = staged(pairs.withColumns({"_a": F.xxhash64(*by, "k1"), "_b": F.xxhash64(*by, "k2")}), "close-pairs")
+    part = connected_components(pairs, "_a", "_b").withColumnRenamed("node", "_b")
+    rows = pairs.join(part, "_b").select("component", *by, "k1", "k2")
+    ordered = rows.repartition("component").sortWithinPartitions("component", *by, "k2", "k1")
+    schema = T.StructType([*[rows.schema[c] for c in by], rows.schema["k2"]])
+
+    def decide(batches):
+        now, gone = None, set()
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                if row[0] != now:
+                    now, gone = row[0], set()
+                group, k1, k2 = row[1:-2], row[-2], row[-1]
+                if (*group, k1) not in gone and (*group, k2) not in gone:
+                    gone.add((*group, k2))
+                    out.append((*group, k2))
+            yield pd.DataFrame(out, columns=schema.names)
+
+    gone = staged(ordered.mapInPandas(decide, schema), "dropped")
+    return df.join(gone.alias("_d"), on("k2"), "left_anti")
 
 
 def find_target(det: DataFrame, targets: DataFrame, r: float) -> DataFrame:

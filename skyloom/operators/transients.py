@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import staged
 from .calib import robust_sigma
+from .components import connected_components
 from .filters import inside_frame
 from .match import dedupe_sky, unmatched, veto_phases
 
@@ -120,7 +122,7 @@ class _Trails:
 
     def __init__(self, last: dict[int, list[tuple]]):
         self.points = {k: list(v) for k, v in last.items()}
-        self.a = np.zeros((max(64, 2 * len(last)), 7))  # jd, ra, dec, motion ra, motion dec, scatter, detections
+        self.a = np.zeros((max(64, 2 * len(last), max(last, default=0) + 1), 7))  # jd, ra, dec, motion ra, motion dec, scatter, detections
         for k in self.points:
             self._renew(k)
 
@@ -144,14 +146,15 @@ class _Trails:
         self._renew(k)
 
 
-def link_rows(pdf: pd.DataFrame, state: dict | None = None, base: float = 3.6, widest: float = 30.0) -> tuple[pd.DataFrame, dict]:
-    """Links one field's candidates, in order of (jd, image_id, number), to trails; see ``link_trails``. ``state`` is
-    what an earlier call returned: next trail number, newest jd, and the last five detections of each trail."""
-    state = state or {"next": 0, "trails": {}, "jd": -math.inf}
+def link_rows(pdf: pd.DataFrame, state: dict | None = None, base: float = 3.6, widest: float = 30.0, max_gap: float | None = None, motion: bool = False) -> tuple[pd.DataFrame, dict]:
+    """Links candidates of one field, in order of (jd, image_id, number), to trails; see ``link_trails``. ``state`` is
+    what an earlier call returned: next trail number, (jd, image_id) of the newest image, and the last five detections
+    of each trail. ``motion`` adds what a row's trail is after it: _n detections, _mra, _mdec (degrees an hour), _sc."""
+    state = state or {"next": 0, "trails": {}, "at": (-math.inf, 0)}
     pdf = pdf.sort_values(["jd", "image_id", "number"], kind="stable")
     trails, n = _Trails(state["trails"]), state["next"]
     jd, image, ra, dec = (pdf[c].to_numpy() for c in ("jd", "image_id", "ra", "dec"))
-    ids = np.zeros(len(pdf), np.int64)
+    ids, after = np.zeros(len(pdf), np.int64), np.zeros((len(pdf), 4))
     starts = np.flatnonzero(np.concatenate(([True], (jd[1:] != jd[:-1]) | (image[1:] != image[:-1])))) if len(pdf) else []
     for first, end in zip(starts, [*starts[1:], len(pdf)]):
         known = n  # predictions are made before any candidate of the image is assigned
@@ -159,6 +162,9 @@ def link_rows(pdf: pd.DataFrame, state: dict | None = None, base: float = 3.6, w
         gap = (jd[first] - a[:, 0]) * 24
         x, y = a[:, 1] + a[:, 3] * gap, a[:, 2] + a[:, 4] * gap
         radius = np.where(a[:, 6] >= 2, np.minimum(base + a[:, 5] * gap, widest), base)
+        if max_gap is not None:
+            radius[gap > max_gap] = -1.0  # gone
+        radius[a[:, 6] == 0] = -1.0  # numbers of trails that the state no longer holds
         for at in range(first, end):
             k = -1
             if known:
@@ -172,23 +178,125 @@ def link_rows(pdf: pd.DataFrame, state: dict | None = None, base: float = 3.6, w
                 k, n = n, n + 1
             trails.add(k, (float(jd[at]), float(ra[at]), float(dec[at])))
             ids[at] = k
-    newest = float(jd[-1]) if len(pdf) else state["jd"]
-    return pdf.assign(trail_id=ids), {"next": n, "trails": trails.points, "jd": newest}
-
-
-def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0) -> DataFrame:
+            after[at] = trails.a[k, [6, 3, 4, 5]]
+    newest = (float(jd[-1]), int(image[-1])) if len(pdf) else state["at"]
+    out = pdf.assign(trail_id=ids)
+    if motion:
+        out = out.assign(_n=after[:, 0].astype(np.int64), _mra=after[:, 1], _mdec=after[:, 2], _sc=after[:, 3])
+    return out, {"next": n, "trails": trails.points, "at": newest}
+
+
+def _flat_cells(rows: DataFrame, ra: str, dec: str, size: float, spread: bool) -> DataFrame:
+    """Adds _band and _col, cells of ``size`` degrees in declination and of at least as much in RA times the cosine of
+    all declinations within a band of the row's. ``spread`` posts each row in all cells that hold positions within
+    ``size`` of it by ``hypot(dRA cos dec, ddec)``, whichever of the two declinations is taken."""
+    width = lambda band: F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.lit(90.0), (F.abs(band + 0.5) + 1.5) * size))), F.lit(1e-6))
+    rows = rows.withColumn("_band", F.floor(F.col(dec) / size))
+    if not spread:
+        return rows.withColumn("_col", F.floor(F.col(ra) / width(F.col("_band"))))
+    rows = rows.withColumn("_band", F.explode(F.sequence(F.col("_band") - 1, F.col("_band") + 1)))
+    # In a band beside the row's, the reach in RA is that of the row's band or this one's, whichever is wider.
+    reach = F.greatest(width(F.col("_band")), width(F.col("_band") - 1), width(F.col("_band") + 1))
+    at = lambda sign: F.floor((F.col(ra) + sign * reach) / width(F.col("_band")))
+    return rows.withColumn("_col", F.explode(F.sequence(at(-1), at(1))))
+
+
+def _link_parts(rows: DataFrame, base: float, widest: float, max_gap: float | None) -> DataFrame:
+    """(_row, _first, _n, _mra, _mdec, _sc): each part's rows linked on their own; _first is the trail's first row."""
+    schema = "_row long, _first long, _n long, _mra double, _mdec double, _sc double"
+    key = ["part", "field"]  # part numbers are hashes: those of two fields could be equal
+    many = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key)
+    alone = rows.join(many, key, "left_anti").select("_row", F.col("_row").alias("_first"), F.lit(1).cast("long").alias("_n"), *[F.lit(0.0).alias(c) for c in ("_mra", "_mdec", "_sc")])
+    ordered = rows.join(many, key, "left_semi").repartition(*key).sortWithinPartitions(*key, "jd", "image_id", "number")
+
+    def link(part: pd.DataFrame) -> pd.DataFrame:
+        done, _ = link_rows(part, None, base, widest, max_gap, motion=True)
+        first = done.groupby("trail_id")["_row"].transform("first")
+        return done.assign(_first=first)[["_row", "_first", "_n", "_mra", "_mdec", "_sc"]]
+
+    def parts(batches):
+        held: list[pd.DataFrame] = []  # the last part of a batch may go on in the next
+        for batch in batches:
+            number, field = batch["part"].to_numpy(), batch["field"].to_numpy()
+            new = np.concatenate(([not held or held[-1]["part"].iloc[-1] != number[0] or held[-1]["field"].iloc[-1] != field[0]], (number[1:] != number[:-1]) | (field[1:] != field[:-1])))
+            cut = np.flatnonzero(new)
+            done = []
+            if held and len(cut):
+                done.append(link(pd.concat([*held, batch.iloc[: cut[0]]], ignore_index=True)))
+                held = []
+            done += [link(batch.iloc[x:y]) for x, y in zip(cut[:-1], cut[1:])]
+            held.append(batch.iloc[cut[-1] :] if len(cut) else batch)
+            if done:
+                yield pd.concat(done, ignore_index=True)
+        if held:
+            yield link(pd.concat(held, ignore_index=True))
+
+    return ordered.mapInPandas(parts, schema).unionByName(alone)
+
+
+def _reached(rows: DataFrame, linked: DataFrame, base: float, widest: float, max_gap: float | None) -> DataFrame:
+    """(a, b): parts of which a moving trail of one comes within its search radius of a candidate of the other, in an
+    image after the row that made the trail move so and not after its next one."""
+    order = Window.partitionBy("_first").orderBy("jd", "image_id")
+    states = linked.join(rows, "_row").withColumns({"_jd1": F.lead("jd").over(order), "_im1": F.lead("image_id").over(order)}).where("_n >= 2")
+    states = states.select("field", F.col("part").alias("_p"), F.col("jd").alias("_jd0"), F.col("image_id").alias("_im0"), "_jd1", "_im1", F.col("ra").alias("_ra0"), F.col("dec").alias("_dec0"), "_mra", "_mdec", "_sc")
+    images = rows.select("field", "image_id", "jd").distinct()
+    later = F.struct("jd", "image_id") > F.struct(F.col("_jd0").alias("jd"), F.col("_im0").alias("image_id"))
+    until = F.col("_jd1").isNull() | (F.struct("jd", "image_id") <= F.struct(F.col("_jd1").alias("jd"), F.col("_im1").alias("image_id")))
+    hours = (F.col("jd") - F.col("_jd0")) * 24
+    seen = states.join(images, "field").where(later & until).withColumn("_h", hours)
+    if max_gap is not None:
+        seen = seen.where(F.col("_h") <= max_gap)
+    seen = seen.withColumns({"_x": F.col("_ra0") + F.col("_mra") * F.col("_h"), "_y": F.col("_dec0") + F.col("_mdec") * F.col("_h"), "_r": F.least(base + F.col("_sc") * F.col("_h"), F.lit(widest))})
+    seen = _flat_cells(seen.where("abs(_y) <= 91 and abs(_x) <= 1e6"), "_x", "_y", widest / 3600, False).select("field", "image_id", "jd", "_band", "_col", "_p", "_x", "_y", "_r")
+    there = _flat_cells(rows, "ra", "dec", widest / 3600, True)  # candidates are fewer than predictions
+    met = seen.join(there, ["field", "image_id", "jd", "_band", "_col"]).where("_p <> part")
+    d = F.hypot((F.col("ra") - F.col("_x")) * F.cos(F.radians("dec")), F.col("dec") - F.col("_y")) * 3600
+    return met.where(d < F.col("_r")).select(F.col("_p").alias("a"), F.col("part").alias("b")).distinct()
+
+
+def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0, max_gap: float | None = None) -> DataFrame:
     """adds trail_id (numbered within the field): in order of (jd, image_id, number), each candidate takes the
     nearest free trail nearer than its search radius (strict), else starts one; a new trail is not seen by other
-    candidates of its image, and a trail takes one candidate of an image. ``cand(field_id, image_id, number, jd, ra,
-    dec, ..)``.
-
-    Linking is ordered within a field, so a field is one group; candidates (uncatalogued, deduped) of a field are few.
-    Split very large fields into parts farther apart than ``widest`` before the call.
+    candidates of its image, and a trail takes one candidate of an image. A trail not seen for more than ``max_gap``
+    hours (none: any time) takes no more. ``cand(field_id, image_id, number, jd, ra, dec, ..)``; candidates without a
+    position are trails of their own.
+
+    A field is not one group. Candidates are first parted where no resting trail reaches from one part to another
+    (components of occupied cells of ``base``), and the parts are linked on their own. Then the predictions of all
+    moving trails are compared with the candidates of other parts, image by image; parts that meet are joined and
+    linked again, until none meet. What is left is the answer of the whole field, as no trail of a part has come
+    within reach of another part's candidate. Only parts of more than one candidate go through Python.
     """
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType([*cand.schema.fields, StructField("trail_id", LongType())])
-    return cand.groupBy("field_id").applyInPandas(lambda pdf: link_rows(pdf, None, base, widest)[0], schema)
+    taken = {c.lower() for c in cand.columns}
+    name = "_row"
+    while name in taken:
+        name = "_" + name
+    table = staged(cand.withColumn(name, F.monotonically_increasing_id()), "candidates")
+    field = F.when(F.col("field_id").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("field_id").cast("string")))
+    rows = table.select(F.col(name).alias("_row"), field.alias("field"), "image_id", "number", "jd", *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in ("ra", "dec")])
+    rows = _flat_cells(rows, "ra", "dec", base / 3600, False).withColumn("_cell", F.xxhash64("field", "_band", "_col"))
+    rows = staged(rows.withColumn("_cell", F.when(F.col("_col").isNotNull(), F.col("_cell"))), "cells")
+    held = rows.where("_cell is not null").groupBy("field", "_band", "_col", "_cell").agg(F.min("ra").alias("ra"), F.max("ra").alias("_ra2"), F.min("dec").alias("dec"))
+    beside = _flat_cells(held.select("field", F.col("_cell").alias("_from"), "ra", "dec"), "ra", "dec", base / 3600, True)
+    far = _flat_cells(held.select("field", F.col("_cell").alias("_from"), F.col("_ra2").alias("ra"), "dec"), "ra", "dec", base / 3600, True)
+    met = beside.unionByName(far).join(held.select("field", "_band", "_col", "_cell"), ["field", "_band", "_col"])
+    cells = connected_components(met.select(F.col("_from").alias("a"), F.col("_cell").alias("b")))
+    parts = rows.join(cells.withColumnRenamed("node", "_cell"), "_cell", "left")
+    parts = staged(parts.select("_row", "field", "image_id", "number", "jd", "ra", "dec", F.coalesce("component", -F.col("_row") - 1).alias("part")), "parts")
+    linked = staged(_link_parts(parts, base, widest, max_gap), "linked")
+    while True:
+        met = connected_components(_reached(parts, linked, base, widest, max_gap))
+        if met.isEmpty():
+            break
+        moved = parts.join(met.select(F.col("node").alias("part"), F.col("component").alias("_to")), "part", "left")
+        parts = staged(moved.withColumn("part", F.coalesce("_to", "part")).drop("_to").select(parts.columns), "parts")
+        again = parts.join(met.select(F.col("component").alias("part")).distinct(), "part", "left_semi")
+        linked = staged(linked.join(again.select("_row"), "_row", "left_anti").unionByName(_link_parts(again, base, widest, max_gap)), "linked")
+    order = Window.partitionBy("field").orderBy("jd", "image_id", "number", "_first")
+    firsts = linked.where("_row = _first").join(parts, "_row").select("_first", (F.row_number().over(order) - 1).cast("long").alias("trail_id"))
+    ids = linked.select(F.col("_row").alias(name), "_first").join(firsts, "_first").select(name, "trail_id")
+    return table.join(ids, name).select(*[table[f"`{c}`"] for c in cand.columns], "trail_id")
 
 
 def gaps(trails: DataFrame) -> DataFrame:

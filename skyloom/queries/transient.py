@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..fixtures import sql, view
@@ -67,8 +68,7 @@ def linkable(spark, d):
 
 
 def members(linked):
-    first = linked.groupBy("field_id", "trail_id").agg(F.min("number").alias("trail"))
-    return linked.join(first, ["field_id", "trail_id"]).select("field_id", "number", "trail")
+    return linked.select("field_id", "number", F.min("number").over(Window.partitionBy("field_id", "trail_id")).alias("trail"))
 
 
 @query("f03_link_trails", MEMBERS)
