@@ -153,9 +153,11 @@ def k10(spark, d):
     return transients.object_type(rows).select("trail_id", "object_type")
 
 
-@query("k11_trail_summary", f"with t as ({_TRAIL}), c as (select trail_id, count(*) as n from t group by 1) select count(*) as trails, count(case when n=1 then 1 end) as single, count(case when n>1 then 1 end) as multiple, count(case when n>=3 then 1 end) as three_plus from c")
+@query("k11_trail_summary", f"""with t as ({_TRAIL}), w as (select trail_id, jd, number, regr_slope(ra, (jd-2460310.5)*24) over r as mra, regr_slope(dec, (jd-2460310.5)*24) over r as mdec from t window r as (partition by trail_id order by jd, number rows between 4 preceding and current row)),
+ l as (select *, count(*) over (partition by trail_id) as n, row_number() over (partition by trail_id order by jd desc, number desc) as k from w)
+ select count(*) as trails, count(case when n=1 then 1 end) as single, count(case when n>1 then 1 end) as multiple, count(case when n>=3 then 1 end) as three_plus, count(case when n>1 and 3600*sqrt(coalesce(mra,0)*coalesce(mra,0)+coalesce(mdec,0)*coalesce(mdec,0))>0.005 then 1 end) as moving from l where k=1""")
 def k11(spark, d):
-    return transients.trail_summary(sql(spark, d, _TRAIL)).drop("moving")
+    return transients.trail_summary(sql(spark, d, _TRAIL), 0.005)
 
 
 @query("k12_light_curves", f"with t as ({_TRAIL}) select trail_id, number, round((jd-2460310.5)*86400+15,3) as t, 15.0 as half_exposure from t where trail_id%7 in (0,3)")
@@ -166,15 +168,76 @@ def k12(spark, d):
     return named.join(trails.select("trail_id", "jd", "number"), ["trail_id", "jd"]).select("trail_id", "number", F.round("t", 3).alias("t"), "half_exposure")
 
 
-@query("k_score_trails", f"""with t as ({_TRAIL}), g as (select *, (jd-lag(jd) over (partition by trail_id order by jd, number))*24 as gap from t)
- select trail_id, round(avg(fwhm_image),6) as fwhm_mean, round(stddev_pop(fwhm_image)/avg(fwhm_image),6) as fwhm_consistency, round(coalesce(max(gap),0),4) as max_gap, round(coalesce(avg(gap),0),4) as avg_gap from g group by 1 having count(*)>=3""")
+#: Columns of a score with what both sides print them as: places after the point, or digits.
+_PRINT = {"num": None, "fwhm_mean": 6, "fwhm_consistency": 6, "a0": 6, "d0": 6, "da": "e", "dd": "e", "sa": "e", "sd": "e", "dpos": "e", "sigma": "e", "significance": "e", "mag0": 6, "magvar": "e", "variability": "e", "max_gap": 4, "avg_gap": 4, "ot_ness": "e", "mp_ness": "e", "status": None, "object_type": None}
+
+
+def _score_sql(source: str, weighted: bool, n_images: str) -> str:
+    """All columns of ``score_trails`` for trails of at least three of ``source``'s rows, as CTEs that end in ``z``."""
+    line = lambda c, m, b: f"({c}-{m}-{b}*(h-mh))"
+    ra, dec = line("ra", "ma", "ba"), line("dec", "md", "bd")
+    if weighted:
+        spread = lambda c, p: f"case when num>2 then case when {c}/(num-2)>3 then sqrt({c}/sw*{c}/(num-2)) else sqrt({c}/sw) end else {p} end*3600"
+        rest = f"sum(w*{ra}*{ra}) as ca, sum(w*{dec}*{dec}) as cd, stddev_pop({ra}) as pa, stddev_pop({dec}) as pd"
+        sa, sd, light = spread("ca", "pa"), spread("cd", "pd"), "sqrt(case when c/(n-1)>3 then c/iw*c/(n-1) else c/iw end)"
+        weight, mean = "1/((errx2_image+erry2_image)*4.0)", "sum(mag_calib/(magerr_calib*magerr_calib))/sum(1/(magerr_calib*magerr_calib))"
+    else:
+        rest, sa, sd = f"median(abs({ra})) as ca, median(abs({dec})) as cd", "ca/0.67*3600", "cd/0.67*3600"
+        weight, mean, light = "1.0", "sum(mag_calib*magerr_calib)/sum(magerr_calib)", "sqrt(c/n)"
+    return f"""t as materialized ({source}), s_w as (select *, {weight} as w from t), s_f as (select field_id, min(m) as lo, max(m) as hi from (select field_id, trail_id, min(jd) as m from t group by 1,2) group by 1),
+ s_h as materialized (select s_w.*, (jd-(lo+hi)/2)*24 as h, (hi-lo)*24 as span from s_w join s_f using (field_id)), s_m as (select trail_id, count(*) as num, sum(w) as sw, sum(w*h)/sum(w) as mh, sum(w*ra)/sum(w) as ma, sum(w*dec)/sum(w) as md, any_value(span) as span from s_h group by 1),
+ s_b as (select trail_id, coalesce(sum(w*(h-mh)*(ra-ma))/nullif(sum(w*(h-mh)*(h-mh)),0),0) as ba, coalesce(sum(w*(h-mh)*(dec-md))/nullif(sum(w*(h-mh)*(h-mh)),0),0) as bd from s_h join s_m using (trail_id) group by 1),
+ s_r as (select trail_id, {rest} from s_h join s_m using (trail_id) join s_b using (trail_id) group by 1),
+ s_p as (select trail_id, num, ma-ba*mh as a0, md-bd*mh as d0, ba*3600 as da, bd*3600 as dd, {sa} as sa, {sd} as sd, span from s_m join s_b using (trail_id) join s_r using (trail_id)),
+ s_q as (select *, sqrt(dd*dd+da*da*power(cos(radians(d0)),2))*span as dpos, sqrt(sd*sd+sa*sa*power(cos(radians(d0)),2)) as sigma from s_p),
+ s_0 as (select trail_id, {mean} as mag0 from t group by 1), s_v as (select t.trail_id, any_value(mag0) as mag0, sum(power((mag_calib-mag0)/magerr_calib,2)) as c, sum(1/(magerr_calib*magerr_calib)) as iw, count(*) as n from t join s_0 using (trail_id) group by 1),
+ s_l as (select trail_id, mag0, {light} as magvar, n from s_v where n>=3),
+ s_g as (select trail_id, fwhm_image, (jd-lag(jd) over o)*24 as gap, abs(mag_calib-lag(mag_calib) over o)/sqrt(power(greatest(magerr_calib,0.001),2)+power(greatest(lag(magerr_calib) over o,0.001),2)) as x from t window o as (partition by trail_id order by jd, number)),
+ s_a as (select trail_id, avg(fwhm_image) as fwhm_mean, stddev_pop(fwhm_image)/avg(fwhm_image) as fwhm_consistency, coalesce(max(gap),0) as max_gap, coalesce(avg(gap),0) as avg_gap, sum(x) as x from s_g group by 1),
+ s_x as (select *, case when sigma>0 then dpos/sigma else 0 end as significance, x*n/(n-1)/nullif(magvar,0) as variability from s_q join s_l using (trail_id) join s_a using (trail_id)),
+ s_y as (select *, 10/nullif(significance,0)*magvar/nullif(variability,0) as ot_ness,
+  10.0*case when significance>5 then significance*2 when significance>2 then significance else 1/greatest(0.1,significance) end*case when magvar<1.5 then 4/(magvar+0.1) when magvar<3 then 2/(magvar+0.1) else 1/(magvar*magvar) end
+  *case when max_gap>12 then 1/power(max_gap/12,2) when max_gap>6 then 6/max_gap else 1 end*case when fwhm_consistency<0.1 then 3 when fwhm_consistency<0.2 then 1.5 else 1/(fwhm_consistency*10) end*case when num/({n_images})>0.8 then 2 when num/({n_images})>0.6 then 1.5 else 1 end as mp_ness,
+  (case when significance>5 then 'P' when significance>2 then 'p' else '!' end)||(case when dpos>3*sigma then 'M' when dpos>2*sigma then 'm' else '!' end)||(case when magvar<2 then 'V' when magvar<3 then 'v' else '!' end)||'!' as status from s_x),
+ z as (select *, case when coalesce(ot_ness,0)>10 and coalesce(ot_ness,0)>coalesce(mp_ness,0) then 'OT' when coalesce(mp_ness,0)>10 and coalesce(mp_ness,0)>coalesce(ot_ness,0) then 'MP' when significance>2 then 'MV' else '??' end as object_type from s_y)"""
+
+
+_SHOWN = ", ".join(c if how is None else f"printf('%.4e', {c}+0.0) as {c}" if how == "e" else f"round({c},{how})+0.0 as {c}" for c, how in _PRINT.items())
+
+
+def _shown(scores):
+    shown = [F.col(c) if how is None else F.format_string("%.4e", F.col(c) + 0.0).alias(c) if how == "e" else (F.round(c, how) + 0.0).alias(c) for c, how in _PRINT.items()]
+    shown = [F.when(F.col(c).isNotNull(), x).alias(c) if _PRINT[c] == "e" else x for c, x in zip(_PRINT, shown)]
+    return scores.select("trail_id", *shown)
+
+
+@query("k_score_trails", f"with {_score_sql(_TRAIL, True, '10.0')} select trail_id, {_SHOWN} from z")
 def k_scores(spark, d):
-    """The whole table of scores; the columns of K05 to K10 are held to SQL by their own queries, these are by this one."""
-    scores = transients.score_trails(sql(spark, d, _TRAIL), 10, 3, astvar=4.0)
-    return scores.select("trail_id", *[F.round(c, n).alias(c) for c, n in (("fwhm_mean", 6), ("fwhm_consistency", 6), ("max_gap", 4), ("avg_gap", 4))])
+    """The whole table of scores, each column held."""
+    return _shown(transients.score_trails(sql(spark, d, _TRAIL), 10, 3, astvar=4.0))
 
 
 @query("k_find_transients")
 def k_find(spark, d):
     det = sql(spark, d, "select d.*, mag_auto+22 as mag_calib, magerr_auto as magerr_calib, s.radeg as alpha_j2000, s.decdeg as delta_j2000 from fx_det d join fx_stars s on s.star_id=d.true_star_id")
     return pipelines.find_transients(det, view(spark, d, "fx_stars0"), view(spark, d, "fx_images"), view(spark, d, "fx_cat2"), R, 60.0, 18.0)["scores"]
+
+
+#: Slow movers, one for each nation, in the images of a field; their pixels fall anywhere, so stars hide some.
+_MOVERS = """select i.image_id, cast(-(n.n_nationkey+1) as bigint) as number, n.n_nationkey as mover, 100.0e0+((n.n_nationkey*7919+i.image_id*10007)%18013)*0.1e0 as x_image, 100.0e0+((n.n_nationkey*104729+i.image_id*5003)%18017)*0.1e0 as y_image,
+ 150.0e0+n.n_nationkey*0.2e0+(i.jd-2460310.5e0)*24*(n.n_nationkey%4)*0.1e0/3600+1.0e-6*((i.image_id*7919+n.n_nationkey)%13) as alpha_j2000, 20.0e0-(i.jd-2460310.5e0)*24*(n.n_nationkey%3)*0.1e0/3600+1.0e-6*((i.image_id*104729+n.n_nationkey)%11) as delta_j2000,
+ 16.0e0+0.01e0*((i.image_id*31+n.n_nationkey)%17) as mag_calib, 0.01e0+0.001e0*(i.image_id%5) as magerr_calib, 0.01e0+0.001e0*(i.image_id%5) as magerr_auto, 2.0e0+0.01e0*((i.image_id+n.n_nationkey)%9) as fwhm_image, 0.01e0 as errx2_image, 0.01e0 as erry2_image
+ from fx_images i join nation n on n.n_nationkey%4=i.field_id"""
+_PLANTED = f"""select c.*, i.field_id, i.jd, alpha_j2000 as ra, delta_j2000 as dec from ({_MOVERS}) c join fx_images i using (image_id) where magerr_auto<1.091/60 and x_image>=32.0 and y_image>=32.0 and x_image<=imgaxis1-32.0 and y_image<=imgaxis2-32.0
+ and not exists (select 1 from fx_stars0 s where power(c.x_image-s.cat_x,2)+power(c.y_image-s.cat_y,2)<=2.003*2.003)
+ and not exists (select 1 from fx_cat2 v where power(c.x_image-v.x,2)+power(c.y_image-v.y,2)<=power(2.003*10/3,2) and (r1<18.0-5 or r1<18.0-1 and power(c.x_image-v.x,2)+power(c.y_image-v.y,2)<=power(2.003*4/3,2) or r1<18.0 and power(c.x_image-v.x,2)+power(c.y_image-v.y,2)<=2.003*2.003))"""
+_FOUND = f"select p.*, field_id||'-'||(dense_rank() over (partition by field_id order by f.jd0, f.image0, f.number0)-1) as trail_id from ({_PLANTED}) p join (select mover, min(jd) as jd0, min(image_id) as image0, max(number) as number0 from ({_PLANTED}) q group by 1) f using (mover)"
+
+
+@query("k_find_planted", f"with {_score_sql(_FOUND, False, '(select count(*) from fx_images)::double')} select trail_id, {_SHOWN} from z")
+def k_planted(spark, d):
+    """The whole run on movers among stars that all have their place in the catalogue: what is found is what was put
+    there, but for what a star hides, with every score."""
+    still = sql(spark, d, "select d.image_id, d.number, s.cat_x as x_image, s.cat_y as y_image, t.radeg as alpha_j2000, t.decdeg as delta_j2000, 15.0e0 as mag_calib, magerr_auto as magerr_calib, magerr_auto, fwhm_image, errx2_image, erry2_image from fx_det d join fx_stars0 s on s.star_id=d.true_star_id join fx_stars t on t.star_id=d.true_star_id")
+    det = still.unionByName(sql(spark, d, _MOVERS).drop("mover"))
+    return _shown(pipelines.find_transients(det, view(spark, d, "fx_stars0"), view(spark, d, "fx_images"), view(spark, d, "fx_cat2"), R, 60.0, 18.0)["scores"])
