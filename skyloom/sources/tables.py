@@ -17,10 +17,11 @@ def read_ecsv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[
     ``columns`` names the wanted columns and their Spark types (files may order columns differently or lack some:
     null). Each file is one record, split by native functions; ``meta`` scalars become ``extra``, a map, and the typed
     columns NUMBERS and TEXTS of images; of a key that occurs more than once (COMMENT, HISTORY) the last value counts.
-    A file without a line of names is skipped. Cells may be quoted, with delimiters inside and quotes doubled. Rows
+    A file without a line of names, or one that cannot be read (an I/O error, a broken gzip), is skipped: see
+    ``skipped_files``. Cells may be quoted, with delimiters inside and quotes doubled. Rows
     with empty fields give nulls. Keys: ``file`` in both tables. Files are the unit of work; an image's table is small.
     """
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value"))
+    files = _texts(spark, path).select(F.input_file_name().alias("file"), F.col("value"))
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: F.trim(x) != "")
     files = files.withColumns({"head": F.filter(lines, lambda x: x.startswith("#")), "body": F.filter(lines, lambda x: ~x.startswith("#"))}).where(F.size("body") > 0)
     comma = F.exists("head", lambda x: x.rlike("delimiter: *','|delimiter: *,"))
@@ -39,6 +40,23 @@ def read_ecsv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[
     return det, images
 
 
+def _texts(spark: SparkSession, path: str) -> DataFrame:
+    """Files as one text each; those that cannot be read give no row."""
+    return spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").text(path, wholetext=True)
+
+
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes, reason) of the files under ``path`` that ``read_ecsv`` leaves out: ``unreadable``, or ``no
+    names`` where there is text but no line of column names. The listing is compared with what was read, so each file
+    that gives no table is named, whatever its fault; files of no bytes hold nothing and are not listed."""
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+    named = F.exists(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("#"))
+    read = _texts(spark, path).select(F.col("_metadata.file_path").alias("file"), named.alias("named"))
+    found = listed.join(read, "file", "left")
+    reason = F.when(F.col("named").isNotNull(), "no names").otherwise("unreadable")
+    return found.where("named is null or not named").select("file", "bytes", reason.alias("reason"))
+
+
 def _cells(line: Column, comma: Column) -> Column:
     """Cells of a line, at commas or blanks outside of quotes."""
     quoted = '"(?:[^"]|"")*"'

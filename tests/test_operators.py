@@ -216,6 +216,22 @@ def test_coverage_against_every_cell(spark, proj):
     assert "Join" not in cov._jdf.queryExecution().executedPlan().toString()
 
 
+def test_unreadable_files_are_skipped_and_named(spark, tmp_path):
+    import gzip
+
+    text = b"# %ECSV 1.0\n# ---\n# meta:\n#   JD: 2460310.5\nnumber x_image\n1 10.5\n2 11.5\n"
+    whole = gzip.compress(text * 50)
+    files = {"a.ecsv": text, "b.ecsv.gz": gzip.compress(text), "cut.ecsv.gz": whole[: len(whole) // 2], "noise.ecsv.gz": bytes(range(256)) * 20, "empty.ecsv": b"", "head.ecsv": b"# %ECSV 1.0\n# meta:\n"}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    det, images = tables.read_ecsv(spark, str(tmp_path), {"number": "long", "x_image": "double"})
+    assert sorted((r.file.rsplit("/", 1)[1], r.number, r.x_image) for r in det.collect()) == [(f, n, 9.5 + n) for f in ("a.ecsv", "b.ecsv.gz") for n in (1, 2)]
+    assert {r.jd for r in images.collect()} == {2460310.5} and images.count() == 2
+    skipped = {r.file.rsplit("/", 1)[1]: (r.bytes, r.reason) for r in tables.skipped_files(spark, str(tmp_path)).collect()}
+    want = {"cut.ecsv.gz": "unreadable", "noise.ecsv.gz": "unreadable", "head.ecsv": "no names"}
+    assert skipped == {f: (len(files[f]), reason) for f, reason in want.items()}
+
+
 def test_quoted_cells_repeated_keys_and_bad_lines(spark, tmp_path):
     text = "# %ECSV 1.0\n# ---\n# delimiter: ','\n# meta:\n#   COMMENT: a\n#   COMMENT: b\n#   JD: 2460310.5\nnumber,object,mag\n1,\"a, \"\"b\"\"\",15.5\n,,\n3,plain,\n"
     (tmp_path / "x.ecsv").write_text(text)

@@ -66,7 +66,7 @@ def test_matches_on_stored_cells(spark, tmp_path, size, r):
 def test_stored_catalogue_is_not_exchanged(spark, tmp_path):
     table = spark.createDataFrame([(n, n * 0.01, 5.0) for n in range(2000)], "star_id long, radeg double, decdeg double")
     index = skycells.CellIndex(spark, "cells_plan", 0.02).write(table, str(tmp_path / "cells"), 8)
-    det = spark.createDataFrame([(n, n * 0.01, 5.0) for n in range(50)], "number long, alpha_j2000 double, delta_j2000 double")
+    det = spark.createDataFrame([(n, n * 0.01, 5.007) for n in range(50)], "number long, alpha_j2000 double, delta_j2000 double")
     plan = index.match(det, 1e-4)._jdf.queryExecution().executedPlan().toString()
     joins = plan[plan.index("SortMergeJoin") :]
     star_side = joins[joins.index("FileScan") - 400 :]
