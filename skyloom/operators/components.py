@@ -31,19 +31,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component) of every node of ``edges``, staged: the component is its least node. Ids are longs. Nodes tied
     to themselves only are their own component; an empty table gives no rows."""
     pairs = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v"))
-    now = staged(pairs.where("u <> v").distinct(), "edges")
+    pairs = staged(pairs.distinct(), "edges")  # what gives them is read once
+    now = pairs.where("u <> v")
     alone = pairs.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
     marks = lambda t: tuple(t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 999_983)).first())
-    seen = marks(now)
-    while True:
-        new = staged(_small_star(_large_star(now)), "edges")
-        discard(now)
-        now, before, seen = new, seen, marks(new)
+    seen, rounds = marks(now), [pairs]
+    while seen[0]:
+        now = staged(_small_star(_large_star(now)), "edges")
+        discard(*rounds[1:])
+        rounds, before, seen = [pairs, now], seen, marks(now)
         if seen == before:
             break
     out = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     tops = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     alone = alone.distinct().join(out.unionByName(tops).select("node"), "node", "left_anti")
     found = staged(out.unionByName(tops).unionByName(alone), "components")
-    discard(now)
+    discard(*rounds)
     return found

@@ -207,7 +207,9 @@ def _link_parts(rows: DataFrame, base: float, widest: float, max_gap: float | No
     key = ["part", "field"]  # part numbers are hashes: those of two fields could be equal
     many = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key)
     alone = rows.join(many, key, "left_anti").select("_row", F.col("_row").alias("_first"), F.lit(1).cast("long").alias("_n"), *[F.lit(0.0).alias(c) for c in ("_mra", "_mdec", "_sc")])
-    ordered = rows.join(many, key, "left_semi").repartition(*key).sortWithinPartitions(*key, "jd", "image_id", "number")
+    # Few bytes, much work: a fixed number of partitions keeps AQE from putting all parts into one task.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.join(many, key, "left_semi").repartition(tasks, *key).sortWithinPartitions(*key, "jd", "image_id", "number")
 
     def link(part: pd.DataFrame) -> pd.DataFrame:
         done, _ = link_rows(part, None, base, widest, max_gap, motion=True)
@@ -234,25 +236,66 @@ def _link_parts(rows: DataFrame, base: float, widest: float, max_gap: float | No
     return ordered.mapInPandas(parts, schema).unionByName(alone)
 
 
+#: Images that a state of a trail may last for its predictions to be made image by image.
+SHORT = 48
+
+
 def _reached(rows: DataFrame, linked: DataFrame, base: float, widest: float, max_gap: float | None) -> DataFrame:
     """(a, b): parts of which a moving trail of one comes within its search radius of a candidate of the other, in an
-    image after the row that made the trail move so and not after its next one."""
-    order = Window.partitionBy("_first").orderBy("jd", "image_id")
-    states = linked.join(rows, "_row").withColumns({"_jd1": F.lead("jd").over(order), "_im1": F.lead("image_id").over(order)}).where("_n >= 2")
-    states = states.select("field", F.col("part").alias("_p"), F.col("jd").alias("_jd0"), F.col("image_id").alias("_im0"), "_jd1", "_im1", F.col("ra").alias("_ra0"), F.col("dec").alias("_dec0"), "_mra", "_mdec", "_sc")
-    images = rows.select("field", "image_id", "jd").distinct()
-    later = F.struct("jd", "image_id") > F.struct(F.col("_jd0").alias("jd"), F.col("_im0").alias("image_id"))
-    until = F.col("_jd1").isNull() | (F.struct("jd", "image_id") <= F.struct(F.col("_jd1").alias("jd"), F.col("_im1").alias("image_id")))
-    hours = (F.col("jd") - F.col("_jd0")) * 24
-    seen = states.join(images, "field").where(later & until).withColumn("_h", hours)
+    image after the row that made the trail move so and not after its next one.
+
+    A state that lasts for few images is compared image by image. One that lasts long is a line on the sky, cut where
+    it leaves the field's candidates and into pieces of ``widest``; each piece meets the candidates about it, of which
+    those of its time count."""
+    order = Window.partitionBy("_first").orderBy("rank")
+    box = rows.groupBy("field").agg(F.max("rank").alias("_last"), F.max("jd").alias("_end"), *[f(c).alias(f"_{n}_{c}") for f, n in ((F.min, "lo"), (F.max, "hi")) for c in ("ra", "dec")])
+    states = linked.join(rows, "_row").withColumns({"_to": F.lead("rank").over(order), "_jd1": F.lead("jd").over(order)}).where("_n >= 2")
+    states = states.join(box, "field").select(
+        "field", F.col("part").alias("_p"), F.col("rank").alias("_from"), F.coalesce("_to", "_last").alias("_to"), F.col("jd").alias("_jd0"), ((F.coalesce("_jd1", "_end") - F.col("jd")) * 24).alias("_h1"),
+        F.col("ra").alias("_ra0"), F.col("dec").alias("_dec0"), "_mra", "_mdec", "_sc", "_lo_ra", "_hi_ra", "_lo_dec", "_hi_dec",
+    )
     if max_gap is not None:
-        seen = seen.where(F.col("_h") <= max_gap)
-    seen = seen.withColumns({"_x": F.col("_ra0") + F.col("_mra") * F.col("_h"), "_y": F.col("_dec0") + F.col("_mdec") * F.col("_h"), "_r": F.least(base + F.col("_sc") * F.col("_h"), F.lit(widest))})
-    seen = _flat_cells(seen.where("abs(_y) <= 91 and abs(_x) <= 1e6"), "_x", "_y", widest / 3600, False).select("field", "image_id", "jd", "_band", "_col", "_p", "_x", "_y", "_r")
-    there = _flat_cells(rows, "ra", "dec", widest / 3600, True)  # candidates are fewer than predictions
-    met = seen.join(there, ["field", "image_id", "jd", "_band", "_col"]).where("_p <> part")
-    d = F.hypot((F.col("ra") - F.col("_x")) * F.cos(F.radians("dec")), F.col("dec") - F.col("_y")) * 3600
-    return met.where(d < F.col("_r")).select(F.col("_p").alias("a"), F.col("part").alias("b")).distinct()
+        states = states.withColumn("_h1", F.least("_h1", F.lit(float(max_gap))))
+    states = staged(states, "states")
+    hours = lambda jd: (jd - F.col("_jd0")) * 24
+    reach = widest / 3600
+    there = rows.where("ra is not null and dec is not null")
+
+    def met(pairs: DataFrame) -> DataFrame:
+        h = hours(F.col("jd"))
+        x, y, r = F.col("_ra0") + F.col("_mra") * h, F.col("_dec0") + F.col("_mdec") * h, F.least(base + F.col("_sc") * h, F.lit(widest))
+        d = F.hypot((F.col("ra") - x) * F.cos(F.radians("dec")), F.col("dec") - y) * 3600
+        good = (F.col("_p") != F.col("part")) & (F.col("rank") > F.col("_from")) & (F.col("rank") <= F.col("_to")) & (d < r)
+        if max_gap is not None:
+            good = good & (h <= max_gap)
+        return pairs.where(good).select(F.col("_p").alias("a"), F.col("part").alias("b"))
+
+    keys = ["field", "_band", "_col"]
+    short = states.where(F.col("_to") - F.col("_from") <= SHORT).withColumn("_rank", F.explode(F.sequence(F.col("_from") + 1, "_to")))
+    times = rows.select("field", F.col("rank").alias("_rank"), F.col("jd").alias("_jd")).distinct()
+    short = short.join(times, ["field", "_rank"]).withColumns({"_x": F.col("_ra0") + F.col("_mra") * hours(F.col("_jd")), "_y": F.col("_dec0") + F.col("_mdec") * hours(F.col("_jd"))})
+    short = _flat_cells(short.where("abs(_y) <= 91 and abs(_x) <= 1e6"), "_x", "_y", reach, False)
+    by_image = _flat_cells(there, "ra", "dec", reach, True).withColumn("_rank", F.col("rank"))
+    found = met(short.join(by_image, [*keys, "_rank"]))
+    # When the line is within the box of the field's candidates, and ``widest`` about it.
+    pole = F.greatest(F.cos(F.radians(F.least(F.greatest(F.abs("_lo_dec"), F.abs("_hi_dec")), F.lit(90.0)))), F.lit(1e-6))
+
+    def within(at: str, speed: str, lo: Column, hi: Column) -> tuple[Column, Column]:
+        moves = F.col(speed) != 0
+        one, two = (F.try_divide(x - F.col(at), F.col(speed)) for x in (lo, hi))
+        rests = F.col(at).between(lo, hi)
+        return F.when(moves, F.least(one, two)).when(rests, F.lit(0.0)).otherwise(F.lit(1e18)), F.when(moves, F.greatest(one, two)).when(rests, F.lit(1e18)).otherwise(F.lit(-1.0))
+
+    (xa, xb), (ya, yb) = within("_ra0", "_mra", F.col("_lo_ra") - reach / pole, F.col("_hi_ra") + reach / pole), within("_dec0", "_mdec", F.col("_lo_dec") - reach, F.col("_hi_dec") + reach)
+    long = states.where(F.col("_to") - F.col("_from") > SHORT).withColumns({"_ha": F.greatest(xa, ya, F.lit(0.0)), "_hb": F.least(xb, yb, F.col("_h1"))}).where("_ha <= _hb")
+    pieces = F.ceil(F.hypot("_mra", "_mdec") * (F.col("_hb") - F.col("_ha")) / reach) + 1
+    long = long.withColumn("_k", pieces).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)))
+    begin = F.col("_ha") + (F.col("_hb") - F.col("_ha")) * F.col("_i") / F.col("_k")
+    long = long.withColumns({"_x": F.col("_ra0") + F.col("_mra") * begin, "_y": F.col("_dec0") + F.col("_mdec") * begin})
+    # A candidate within ``widest`` of a piece is within twice that of where it begins.
+    around = _flat_cells(there, "ra", "dec", 2.0001 * reach, True)
+    found = found.unionByName(met(_flat_cells(long, "_x", "_y", 2.0001 * reach, False).join(around, keys)))
+    return found.distinct()
 
 
 def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0, max_gap: float | None = None) -> DataFrame:
@@ -276,14 +319,15 @@ def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0, max_ga
     field = F.when(F.col("field_id").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("field_id").cast("string")))
     rows = table.select(F.col(name).alias("_row"), field.alias("field"), "image_id", "number", "jd", *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in ("ra", "dec")])
     rows = _flat_cells(rows, "ra", "dec", base / 3600, False).withColumn("_cell", F.xxhash64("field", "_band", "_col"))
-    rows = staged(rows.withColumn("_cell", F.when(F.col("_col").isNotNull(), F.col("_cell"))), "cells")
+    images = rows.select("field", "jd", "image_id").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("field").orderBy("jd", "image_id")).cast("long"))
+    rows = staged(rows.withColumn("_cell", F.when(F.col("_col").isNotNull(), F.col("_cell"))).join(images, ["field", "jd", "image_id"], "left"), "cells")
     held = rows.where("_cell is not null").groupBy("field", "_band", "_col", "_cell").agg(F.min("ra").alias("ra"), F.max("ra").alias("_ra2"), F.min("dec").alias("dec"))
     beside = _flat_cells(held.select("field", F.col("_cell").alias("_from"), "ra", "dec"), "ra", "dec", base / 3600, True)
     far = _flat_cells(held.select("field", F.col("_cell").alias("_from"), F.col("_ra2").alias("ra"), "dec"), "ra", "dec", base / 3600, True)
     met = beside.unionByName(far).join(held.select("field", "_band", "_col", "_cell"), ["field", "_band", "_col"])
     cells = connected_components(met.select(F.col("_from").alias("a"), F.col("_cell").alias("b")))
     parts = rows.join(cells.withColumnRenamed("node", "_cell"), "_cell", "left")
-    parts = staged(parts.select("_row", "field", "image_id", "number", "jd", "ra", "dec", F.coalesce("component", -F.col("_row") - 1).alias("part")), "parts")
+    parts = staged(parts.select("_row", "field", "image_id", "number", "jd", "rank", "ra", "dec", F.coalesce("component", -F.col("_row") - 1).alias("part")), "parts")
     linked = staged(_link_parts(parts, base, widest, max_gap), "linked")
     while True:
         met = connected_components(_reached(parts, linked, base, widest, max_gap))
