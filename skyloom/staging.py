@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: ``spark.checkpoint.dir`` where the session sets it, else a folder in the warehouse; in
-    local mode, where the driver is the only executor, a new temporary folder."""
+    """Folder for staged tables: ``spark.checkpoint.dir`` where the session sets it, else a folder in the warehouse, if
+    that is in a store and not on the driver's disk; in local mode, where the driver is the only executor, a new
+    temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = getattr(spark, "_skyloom_dir", None)
@@ -20,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
             root = tempfile.mkdtemp(prefix="spark-skyloom-")
         else:
             root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+            if not re.match(r"(?!file:)[a-z][a-z0-9+.-]*:", root):
+                raise ValueError(f"{root} is a folder of the driver alone: set spark.checkpoint.dir to one that all executors share")
         spark._skyloom_dir = root
     return root.rstrip("/")
 
