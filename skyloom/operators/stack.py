@@ -230,12 +230,15 @@ def widest_spans(x: np.ndarray, h: np.ndarray) -> list[tuple[int, int, int]]:
     return out + [(a, int(x[-1]), high) for a, high in open_]
 
 
-def cropped_frame(box: DataFrame, frame: dict[str, float], sampling: int = 8) -> DataFrame:
-    """Adds to the rectangle the header of its frame at full resolution: cells are ``sampling`` pixels wide."""
-    at = lambda c, n: (F.lit(float(frame[n])) - F.col(c)) * sampling
+def cropped_frame(box: DataFrame, frame: dict[str, float], sampling: int = 8, zoom: float = 1.0) -> DataFrame:
+    """Adds to the rectangle the header of its frame at full resolution: cells are ``sampling`` pixels wide, and
+    ``zoom`` times as many where the output is to be finer; sizes are whole pixels."""
+    factor = sampling * float(zoom)
+    at = lambda c, n: (F.lit(float(frame[n])) - F.col(c)) * factor
+    size = lambda c: F.floor(F.col(c) * factor)
     return box.withColumns({
-        "crval1": F.lit(float(frame["crval1"])), "crval2": F.lit(float(frame["crval2"])), "scale": F.lit(float(frame["scale"]) / sampling),
-        "crpix1": at("x", "crpix1"), "crpix2": at("y", "crpix2"), "size_x": F.col("w") * sampling, "size_y": F.col("h") * sampling,
+        "crval1": F.lit(float(frame["crval1"])), "crval2": F.lit(float(frame["crval2"])), "scale": F.lit(float(frame["scale"]) / factor),
+        "crpix1": at("x", "crpix1"), "crpix2": at("y", "crpix2"), "size_x": size("w"), "size_y": size("h"),
     })
 
 

@@ -81,14 +81,30 @@ def e32(spark, d):
     return stack.reference_frame(images).select(*[F.round(c, 8).alias(c) for c in ("crval1", "crval2", "scale")], "size_x", "size_y")
 
 
-@query("e33_largest_rectangle", f"""with {_COVERAGE}, f as (select y, x from cov where n=(select max(n) from cov)), b as (select distinct y as y1 from f), r as (select x, y1, y2 from (select distinct x from f), (select b1.y1, b2.y1 as y2 from b b1 join b b2 on b1.y1<=b2.y1)),
+_BOX = f"""{_COVERAGE}, f as (select y, x from cov where n=(select max(n) from cov)), b as (select distinct y as y1 from f), r as (select x, y1, y2 from (select distinct x from f), (select b1.y1, b2.y1 as y2 from b b1 join b b2 on b1.y1<=b2.y1)),
  k as (select r.x, y1, y2 from r join f on f.x=r.x and f.y between y1 and y2 group by 1,2,3 having count(*)=y2-y1+1), o as (select *, x-row_number() over (partition by y1, y2 order by x) as g from k),
- w as (select y1 as y, min(x) as x, count(*) as w, y2-y1+1 as h, y2 from o group by y1, y2, g), m as (select * from w order by w*h desc, y2, x, h desc limit 1)
- select x, y, w, h, w*h as area, 150.0 as crval1, 20.0 as crval2, round(0.0123/8,9) as scale, round((40.0-x)*8,6) as crpix1, round((40.0-y)*8,6) as crpix2, w*8 as size_x, h*8 as size_y from m""")
+ w as (select y1 as y, min(x) as x, count(*) as w, y2-y1+1 as h, y2 from o group by y1, y2, g), m as (select * from w order by w*h desc, y2, x, h desc limit 1)"""
+
+
+def _frame_sql(factor: int) -> str:
+    return f"with {_BOX} select x, y, w, h, w*h as area, 150.0 as crval1, 20.0 as crval2, round(0.0123/{factor},9) as scale, round((40.0-x)*{factor},6) as crpix1, round((40.0-y)*{factor},6) as crpix2, w*{factor} as size_x, h*{factor} as size_y from m"
+
+
+def _frame(spark, d, zoom):
+    box = stack.largest_rectangle(stack.coverage(sql(spark, d, _GEOM), FRAME), "in")
+    return stack.cropped_frame(box, FRAME, zoom=zoom).withColumns({"scale": F.round("scale", 9), "crpix1": F.round("crpix1", 6), "crpix2": F.round("crpix2", 6)})
+
+
+@query("e33_largest_rectangle", _frame_sql(8))
 def e33(spark, d):
     """E33 on E31's coverage by all images: the rectangle and the frame cropped to it."""
-    box = stack.largest_rectangle(stack.coverage(sql(spark, d, _GEOM), FRAME), "in")
-    return stack.cropped_frame(box, FRAME).withColumns({"scale": F.round("scale", 9), "crpix1": F.round("crpix1", 6), "crpix2": F.round("crpix2", 6)})
+    return _frame(spark, d, 1.0)
+
+
+@query("e33_zoomed_frame", _frame_sql(12))
+def e33_zoomed(spark, d):
+    """The same with half as many pixels again."""
+    return _frame(spark, d, 1.5)
 
 
 @query("e34_cluster_images", """with p as (select a.image_id, min(sqrt(power((a.ctrra-b.ctrra)*cos(radians(case when a.image_id<b.image_id then a.ctrdec else b.ctrdec end)),2)+power(a.ctrdec-b.ctrdec,2))) as nn from fx_images a join fx_images b on a.image_id<>b.image_id group by 1),
