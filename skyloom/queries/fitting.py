@@ -195,7 +195,7 @@ def b30(spark, d):
     return out.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("flat"), 6).alias("flat"), F.round(F.avg("weight"), 6).alias("weight"), F.round(F.min("flat"), 6).alias("lo"), F.round(F.max("flat"), 6).alias("hi"))
 
 
-@query("a10_report_json", """select image_id, filter, round(jd,4) as jd, count(number) as n_objects, nullif(count(case when flags=1 then number end),0) as brighter, nullif(count(case when flags<>1 then number end),0) as normal, min(number) as first_number, round(sum(cast(mag_auto+22 as decimal(18,9))),4)::double as mag_sum
+@query("a10_report_json", """select image_id, filter, round(jd,4) as jd, count(number) as n_objects, nullif(count(case when flags=1 then number end),0) as brighter, nullif(count(case when flags<>1 then number end),0) as normal, min(number) as first_number, round(sum(cast(mag_auto+22 as decimal(20,12))),4)::double as mag_sum
  from fx_images left join fx_det using (image_id) group by 1,2,3""")
 def a10(spark, d):
     """The report's text, parsed again."""
@@ -203,8 +203,8 @@ def a10(spark, d):
     report = tables.to_report_json(rows, view(spark, d, "fx_images"))
     kind = "metadata struct<filter:string,jd:double,exptime:double>, summary map<string,long>, objects array<struct<number:long,x_image:double,y_image:double,mag_calib:double,type:string>>"
     read = report.select("image_id", F.from_json("report", kind).alias("r"))
-    exact = lambda x: x["mag_calib"].cast("decimal(18,9)")  # noqa: E731  # a sum of doubles depends on their order
-    total = F.aggregate(F.transform("r.objects", exact), F.lit(0).cast("decimal(38,9)"), lambda a, x: (a + x).cast("decimal(38,9)"))
+    exact = lambda x: x["mag_calib"].cast("decimal(20,12)")  # noqa: E731  # a sum of doubles depends on their order
+    total = F.aggregate(F.transform("r.objects", exact), F.lit(0).cast("decimal(38,12)"), lambda a, x: (a + x).cast("decimal(38,12)"))
     return read.select(
         "image_id", "r.metadata.filter", F.round("r.metadata.jd", 4).alias("jd"), F.size("r.objects").cast("long").alias("n_objects"), F.col("r.summary")["brighter"].alias("brighter"),
         F.col("r.summary")["normal"].alias("normal"), F.get("r.objects", F.lit(0))["number"].alias("first_number"), F.when(F.size("r.objects") > 0, F.round(total, 4).cast("double")).alias("mag_sum"),
