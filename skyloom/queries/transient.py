@@ -169,7 +169,7 @@ def k12(spark, d):
 
 
 #: Columns of a score with what both sides print them as: places after the point, or digits.
-_PRINT = {"num": None, "fwhm_mean": 6, "fwhm_consistency": 6, "a0": 6, "d0": 6, "da": "e", "dd": "e", "sa": "e", "sd": "e", "dpos": "e", "sigma": "e", "significance": "e", "mag0": 6, "magvar": "e", "variability": "e", "max_gap": 4, "avg_gap": 4, "ot_ness": "e", "mp_ness": "e", "status": None, "object_type": None}
+_PRINT = {"num": None, "fwhm_mean": 9, "fwhm_consistency": 9, "a0": 9, "d0": 9, "da": "e", "dd": "e", "sa": "e", "sd": "e", "dpos": "e", "sigma": "e", "significance": "e", "mag0": 9, "magvar": "e", "variability": "e", "max_gap": 4, "avg_gap": 4, "ot_ness": "e", "mp_ness": "e", "status": None, "object_type": None}
 
 
 def _score_sql(source: str, weighted: bool, n_images: str) -> str:
