@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import powerlaw_mag
-from ..staging import staged
+from ..staging import discard, staged
 from .astrometry import project
 from .match import range_join
 
@@ -184,34 +184,72 @@ def coverage(images: DataFrame, frame: dict[str, float], proj: str = "TAN") -> D
     return runs.select("y", F.explode(F.sequence("x", F.col("_end") - 1)).alias("x"), "n")
 
 
-def largest_rectangle(cov: DataFrame, mode: str = "in") -> DataFrame:
+def largest_rectangle(cov: DataFrame, mode: str = "in", tile: int = 512) -> DataFrame:
     """(x, y, w, h, area), one row: the largest rectangle of cells of maximum coverage (``in``) or of any (``out``);
-    ties: smallest bottom row, then left column, then greatest height.
+    ties: smallest bottom row, then left column, then greatest height. Without cells the row is null.
 
     Heights of filled cells above each cell are run lengths per column (gaps and islands). In a row, a rectangle of the
-    height of cell j reaches to the nearest lower cells on both sides; rows are arrays of the grid's width, each of
-    which one pass with a stack of open rectangles goes through.
+    height of cell j reaches to the nearest lower cells on both sides. Rows are cut into tiles of ``tile`` columns, each
+    of which one pass with a stack of open rectangles goes through; rectangles that end inside a tile are done, and the
+    others are rows that neighbouring tiles, then pairs of them and so on, exchange at the boundary between them: no
+    array is wider than a tile, and a step of merging is one window over the rectangles that touch its boundaries.
     """
-    top = cov.agg(F.max("n").alias("_max"))
-    filled = cov.join(F.broadcast(top)).where(F.col("n") == F.col("_max") if mode == "in" else F.col("n") > 0)  # one row
+    cov = staged(cov.select(F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), "n"), "coverage")
+    most, first, last = cov.agg(F.max("n"), F.min("x"), F.max("x")).first()
+    filled = cov.where(F.col("n") == most if mode == "in" else F.col("n") > 0)
     island = F.col("y") - F.row_number().over(Window.partitionBy("x").orderBy("y"))
-    runs = filled.withColumn("_g", island).withColumn("h", F.row_number().over(Window.partitionBy("x", "_g").orderBy("y")))
-    rows = runs.groupBy("y").agg(F.sort_array(F.collect_list(F.struct("x", "h"))).alias("c"))
-    rows = rows.select("y", F.transform("c", lambda p: p["x"].cast("long")).alias("x"), F.transform("c", lambda p: p["h"].cast("long")).alias("h"))
-
-    def reach(batches):
-        for batch in batches:
-            out = [[], [], [], []]
-            for y, x, h in zip(batch["y"], batch["x"], batch["h"]):
-                for left, right, high in widest_spans(x, h):
-                    for column, value in zip(out, (y, left, right - left + 1, high)):
-                        column.append(value)
-            yield pd.DataFrame(dict(zip(("y", "x", "w", "h"), out)), dtype="int64")
-
-    best = rows.mapInPandas(reach, "y long, x long, w long, h long")
-    best = best.withColumn("area", F.col("w") * F.col("h"))
-    one = best.agg(F.min(F.struct((-F.col("area")).alias("a"), "y", "x", (-F.col("h")).alias("h"), "w")).alias("m"))
-    return one.select(F.col("m.x").alias("x"), (F.col("m.y") + F.col("m.h") + 1).alias("y"), F.col("m.w").alias("w"), (-F.col("m.h")).alias("h"), (-F.col("m.a")).alias("area"))
+    runs = filled.withColumn("_g", island).withColumn("h", F.row_number().over(Window.partitionBy("x", "_g").orderBy("y")).cast("long"))
+    # Columns count from 0, so that tiles and pairs of them start at multiples of their width.
+    runs = runs.select("y", (F.col("x") - (first or 0)).alias("x"), "h")
+    rows = runs.groupBy("y", F.floor(F.col("x") / tile).alias("t")).agg(F.sort_array(F.collect_list(F.struct("x", "h"))).alias("c"))
+    rows = rows.select("y", "t", F.col("c.x").alias("x"), F.col("c.h").alias("h"))
+    spans = staged(rows.mapInPandas(partial(_tile_spans, tile=tile), "y long, a long, b long, h long"), "spans")
+    discard(cov)
+    while tile <= (last or 0) - (first or 0):
+        merged = staged(_merge_tiles(spans, tile), "spans")
+        discard(spans)
+        spans, tile = merged, tile * 2
+    one = _largest(spans)
+    return one.select((F.col("a") + (first or 0)).alias("x"), (F.col("y") - F.col("h") + 1).alias("y"), (F.col("b") - F.col("a") + 1).alias("w"), "h", ((F.col("b") - F.col("a") + 1) * F.col("h")).alias("area"))
+
+
+def _tile_spans(batches: Iterator[pd.DataFrame], tile: int) -> Iterator[pd.DataFrame]:
+    """(row, first column, last column, height) of each cell's widest rectangle of its height in its tile: those that
+    touch the tile's sides, and the largest of the others of a batch."""
+    for batch in batches:
+        kept, inner = [], []
+        for y, t, x, h in zip(batch["y"], batch["t"], batch["x"], batch["h"]):
+            for a, b, high in widest_spans(x, h):
+                touches = a == t * tile or b == (t + 1) * tile - 1
+                (kept if touches else inner).append((y, a, b, high))
+        if inner:
+            kept.append(min(inner, key=lambda r: ((r[1] - r[2] - 1) * r[3], r[0], r[1], -r[3])))
+        yield pd.DataFrame(kept, columns=["y", "a", "b", "h"], dtype="int64")
+
+
+def _largest(spans: DataFrame) -> DataFrame:
+    """The largest rectangle, one row; nulls where there are none."""
+    area = (F.col("b") - F.col("a") + 1) * F.col("h")
+    return spans.agg(F.min(F.struct((-area).alias("area"), "y", "a", (-F.col("h")).alias("up"), "b", "h")).alias("m")).select("m.y", "m.a", "m.b", "m.h")
+
+
+def _merge_tiles(spans: DataFrame, tile: int) -> DataFrame:
+    """Rectangles of pairs of tiles from those of each tile: one that touches the boundary goes on as far as the widest
+    of at least its height on the other side. Of rectangles that no longer touch a pair's side the largest is kept."""
+    pair = F.floor(F.col("a") / (2 * tile)) * (2 * tile)
+    rows = spans.withColumn("_at", pair + tile)
+    touches = (F.col("b") == F.col("_at") - 1) | (F.col("a") == F.col("_at"))
+    higher = Window.partitionBy("y", "_at").orderBy("_low").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    left = F.col("a") < F.col("_at")
+    met = rows.where(touches).withColumn("_low", -F.col("h"))
+    met = met.withColumns({
+        "_a": F.least("a", F.min(F.when(left, F.col("a"))).over(higher)), "_b": F.greatest("b", F.max(F.when(~left, F.col("b"))).over(higher)),
+        "_twin": F.max(left).over(Window.partitionBy("y", "_at", "_low")),
+    }).where(left | ~F.col("_twin"))
+    out = met.select("y", F.col("_a").alias("a"), F.col("_b").alias("b"), "h", "_at").unionByName(rows.where(~touches))
+    open_ = (F.col("a") == F.col("_at") - tile) | (F.col("b") == F.col("_at") + tile - 1)
+    done = _largest(out.where(~open_).drop("_at")).where("h is not null")
+    return out.where(open_).drop("_at").unionByName(done)
 
 
 def widest_spans(x: np.ndarray, h: np.ndarray) -> list[tuple[int, int, int]]:

@@ -4,6 +4,7 @@ import math
 import json
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,44 @@ def test_report_and_rectangle(spark):
     assert stack.largest_rectangle(cov, "out").first().area == 20
 
 
+def _largest_by_brute_force(filled):
+    """(x, y, w, h, area) over all rectangles; ties as the operator's."""
+    best = None
+    for y1, x1 in filled:
+        right = None
+        y2 = y1
+        while (y2, x1) in filled:
+            x2 = x1
+            while (y2, x2 + 1) in filled and (right is None or x2 < right):
+                x2 += 1
+            right = x2
+            for x in range(x1, right + 1):
+                w, h = x - x1 + 1, y2 - y1 + 1
+                key = (-w * h, y2, x1, -h)
+                if best is None or key < best[0]:
+                    best = (key, (x1, y1, w, h, w * h))
+            y2 += 1
+    return best[1]
+
+
+@pytest.mark.parametrize("seed,share", [(1, 0.9), (2, 0.7), (3, 0.97)])
+def test_rectangles_over_tiles(spark, seed, share):
+    random = np.random.default_rng(seed)
+    cells = [(y, x - 3, 1) for y in range(14) for x in range(41) if random.random() < share]
+    want = _largest_by_brute_force({(y, x) for y, x, _ in cells})
+    cov = spark.createDataFrame(cells, "y long, x long, n long")
+    for tile in (3, 512):
+        assert tuple(stack.largest_rectangle(cov, tile=tile).first()) == want
+
+
+def test_rectangle_wider_than_tiles(spark):
+    wide = spark.range(20_000).select(F.col("id").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("y"), F.lit(1).alias("n")).where("y < 2 or x between 5000 and 18000")
+    assert tuple(stack.largest_rectangle(wide, tile=2048).first()) == (0, 0, 20_000, 2, 40_000)
+    stairs = spark.range(300).select(F.col("id").alias("x"), F.explode(F.expr("sequence(0L, id)")).alias("y"), F.lit(1).alias("n"))
+    assert tuple(stack.largest_rectangle(stairs.withColumn("y", 299 - F.col("y")), tile=32).first()) == (149, 150, 151, 150, 22_650)
+    assert stack.largest_rectangle(wide.where("n > 1")).first().area is None
+
+
 def test_powerlaw_and_filter_modes(spark):
     assert spark.range(1).select(headers.powerlaw_mag(F.lit(1.0), 1.0, 15.0, 1.0).alias("m")).first().m is None
     scores = spark.createDataFrame([("a", 0.5), ("b", 0.9)], "filter string, score double")
