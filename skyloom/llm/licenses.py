@@ -44,23 +44,36 @@ SENTENCES = {
     "this program is free software": "free",
     "this library is free software": "free",
     "either version # of the license or at your option any later version": "or-later",
+    "either version # or at your option any later version": "or-later",
     "version # of the license": "version-of",
     "this source code form is subject to the terms of the mozilla public license v #": "mpl-line",
     "this source code form is subject to the terms of the mozilla public license version #": "mpl-line",
     "mozilla public license version #": "mpl-title",
     "to the extent possible under law * has waived all copyright and related or neighboring rights to *": "cc-zero-waiver",
+    "cc# # universal": "cc-zero-title",
+    "the artistic license": "artistic-title",
+    "the artistic license #": "artistic-version",
+    "artistic license #": "artistic-version",
+    "python software foundation license version #": "psf-title",
+    "this program bzip# the associated library libbzip# and all documentation are copyright c # # julian r seward": "bzip-title",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "the origin of this software must not be misrepresented": "origin",
+    "altered source versions must be plainly marked as such and must not be misrepresented as being the original software": "altered",
+    "this notice may not be removed or altered from any source distribution": "zlib-notice",
+    "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version # or any later version published by the free software foundation": "gfdl-later",
+    **{f"gnu free documentation license version # {m}": "gfdl-title" for m in ("march #", "november #", "# november #")},
 }
 #: The GNU licences' names in text, and the months that their titles end with.
-GNU = {"AGPL": "gnu affero general public license", "LGPL": "gnu lesser general public license", "GPL": "gnu general public license"}
+GNU = {"AGPL": ["gnu affero general public license"], "LGPL": ["gnu lesser general public license", "gnu library general public license"], "GPL": ["gnu general public license"]}
 _MONTHS = ("# june #", "june #", "# november #", "february #")
 _TERMS = "you can redistribute it and or modify it under the terms of the "
-for _name, _text in GNU.items():
-    _id = _name.lower()
+for _id, _text in [(name.lower(), text) for name, texts in GNU.items() for text in texts]:
     SENTENCES |= {
         f"this work is licensed under the {_text} version #": f"{_id}-line",
         f"{_TERMS}{_text}": f"{_id}-terms",
         f"{_TERMS}{_text} as published by the free software foundation": f"{_id}-terms",
         f"{_TERMS}{_text} as published by the free software foundation either version # of the license or at your option any later version": f"{_id}-later",
+        f"{_TERMS}{_text} as published by the free software foundation either version # or at your option any later version": f"{_id}-later",
         f"{_TERMS}{_text} as published by the free software foundation version # of the license": f"{_id}-version",
         f"{_TERMS}{_text} version # as published by the free software foundation": f"{_id}-version",
         **{f"{_text} version # {m}": f"{_id}-title" for m in _MONTHS},
@@ -75,7 +88,7 @@ for _id, _text in CREATIVE.items():
     }
 #: Licence identifiers that a line may state after ``SPDX-License-Identifier:``; # stands for a version.
 SPDX = [
-    "MIT", "MIT-#", "ISC", "Unlicense", "Apache-#", "BSD-#-Clause", "MPL-#", *[f"{g}-#{e}" for g in GNU for e in ("-only", "-or-later", "")], *[f"CC-{c.upper()}-#" for c in CREATIVE],
+    "MIT", "MIT-#", "ISC", "Unlicense", "Zlib", "Artistic-#", "PSF-#", "Apache-#", "BSD-#-Clause", "MPL-#", *[f"{g}-#{e}" for g in (*GNU, "GFDL") for e in ("-only", "-or-later", "")], *[f"CC-{c.upper()}-#" for c in CREATIVE],
 ]
 SENTENCES |= {f"spdx {x.lower().replace('-', ' ')}": f"spdx-{x.lower().replace('#', 'n')}" for x in SPDX}
 #: In order, each rule consumes the identifiers that it matches: (licence, with # for the version,
@@ -95,6 +108,14 @@ RULES = [
     ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-names"], None),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"], None),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"], None),
+    ("bzip2", ["bzip-title", "bsd-grant", "bsd-source", "origin", "altered"], None),
+    ("bzip2", ["bsd-grant", "bsd-source", "origin", "altered"], None),
+    ("Zlib", ["zlib-grant", "origin", "altered", "zlib-notice"], None),
+    ("Artistic", ["artistic-title"], None),
+    ("Artistic-#", ["artistic-version"], 0),
+    ("PSF-#", ["psf-title"], 0),
+    ("GFDL-#-or-later", ["gfdl-later"], 0),
+    ("GFDL-#", ["gfdl-title"], 0),
 ]
 for _name in GNU:
     _id = _name.lower()
@@ -108,15 +129,15 @@ for _name in GNU:
         ]
     RULES += [(f"{_name}-#", [f"{_id}-line"], 0), (f"{_name}-#", [f"{_id}-title"], 0)]
 RULES += [(f"CC-{_id.upper()}-#", [f"cc-{_id}-line"], 0) for _id in CREATIVE]
-RULES += [("CC0", ["cc-zero-waiver"], None), ("MPL-#", ["mpl-line"], 0), ("MPL-#", ["mpl-title"], 0)]
+RULES += [("CC0", ["cc-zero-waiver"], None), ("CC0", ["cc-zero-title"], None), ("MPL-#", ["mpl-line"], 0), ("MPL-#", ["mpl-title"], 0)]
 #: A text without one of these has none of SENTENCES; it saves normalising all other texts.
-CUE = "(?i)licen[sc]|copyright|permi|redistribut|software|cc by|cc-by"
+CUE = "(?i)licen[sc]|copyright|permi|redistribut|software|cc by|cc-by|cc0|spdx"
 END = r"[.!?;:]+(\s|$)"
 SPDX_LINE = r"spdx-license-identifier:[ \t]*\(?([a-z0-9.+-]+)(?: (?:or|and) ([a-z0-9.+-]+))?\)?"
 #: A normalised text's number and name; its words are parted by a space or, where a line ends, by ``~``.
 _PART = {"#": "[0-9]+(?:_[0-9]+)*", "*": "[a-z0-9_]+(?:[ ~|][a-z0-9_]+){0,9}?[|]?"}
 #: The known sentences, longest first, so that a line that ends within one cuts nothing off it.
-_KNOWN = "|".join("[ ~]".join(_PART.get(w, w) for w in k.split()).replace("[|]?[ ~]", "[ ~|]") for k in sorted(SENTENCES, key=len, reverse=True))
+_KNOWN = "|".join("[ ~]".join(_PART.get(w, w.replace("#", "[0-9]+")) for w in k.split()).replace("[|]?[ ~]", "[ ~|]") for k in sorted(SENTENCES, key=len, reverse=True))
 #: What a name stands in for is cut out of a sentence before it is looked up.
 _NAMES = (("^neither the name of .+? nor ", "neither the name of * nor "), ("^to the extent possible under law .+? has waived ", "to the extent possible under law * has waived "), (" neighboring rights to .+$", " neighboring rights to *"))
 
@@ -140,7 +161,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     A sentence ends at one of ``. ! ? ; :`` before white space (not in ``v. 2.0``) or at an empty line; it may end at
     any other line's end, but a longer known one that goes on over the line's end counts first. Known sentences become
     identifiers with their version; rules are tried in order on the sequence of a document's identifiers (other
-    sentences may lie between), and what a rule matches is not there for later ones. Returns one row per document:
+    sentences may lie between), and what a rule matches is not there for later ones; a GNU licence without a version
+    goes where the document states a version of it. Returns one row per document:
     doc_id, n_sentences (known ones, repeats included), identifiers and licenses (comma-separated; licences in order of
     their rules, with the versions that their sentences state), or null where there are none. Nulls: a null text has
     none. Repeated rows give a row each. Other columns are ignored. An empty table gives no rows. It is one projection:
@@ -168,7 +190,11 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         names = F.transform(versions, lambda v: F.replace(rule["name"], F.lit("#"), v))
         return F.struct(F.regexp_replace(seen["ids"], rule["pattern"], F.lit(",-")).alias("ids"), F.concat(seen["out"], names).alias("out"))
 
-    licenses = F.array_distinct(F.aggregate(rules, F.struct(sequence.alias("ids"), none.alias("out")), apply, lambda x: x["out"]))
+    def explained(out: Column) -> Column:
+        bare = lambda x: x.isin(*GNU) & F.exists(out, lambda y: y.startswith(F.concat(x, F.lit("-"))))
+        return F.filter(out, lambda x: ~bare(x))
+
+    licenses = F.array_distinct(F.aggregate(rules, F.struct(sequence.alias("ids"), none.alias("out")), apply, lambda x: explained(x["out"])))
     rows = rows.withColumn("licenses", F.when(F.col("found").isNotNull(), licenses))
     return rows.select(
         "doc_id",

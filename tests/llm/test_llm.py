@@ -337,6 +337,19 @@ def test_spdx_lines_and_titles(spark):
         "                                 Apache License\n                           Version 2.0, January 2004\n": "Apache-2.0",
         "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions": "MPL-2.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Creative Commons Legal Code\n\nCC0 1.0 Universal\n\n    CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM": "CC0",
+        '\n\t\t\t The "Artistic License"\n\n\t\t\t\tPreamble\n': "Artistic",
+        "                 The Artistic License 2.0\n\n   Copyright (c) 2000-2006": "Artistic-2.0",
+        "                GNU Free Documentation License\n                 Version 1.3, 3 November 2008\n": "GFDL-1.3",
+        "  GNU Free Documentation License\n    Version 1.2, November 2002\n": "GFDL-1.2",
+        "Permission is granted to copy, distribute and/or modify this document\nunder the terms of the GNU Free Documentation License, Version 1.3\nor any later version published by the Free Software Foundation;\nwith no Invariant Sections.": "GFDL-1.3-or-later",
+        "                  GNU LIBRARY GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n": "LGPL-2",
+        "    modify it under the terms. This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Library General Public\nLicense as published by the Free Software Foundation; either\nversion 2 of the License, or (at your option) any later version.": "LGPL-2-or-later",
+        "PYTHON SOFTWARE FOUNDATION LICENSE VERSION 2\n--------------------------------------------\n": "PSF-2",
+        'This program, "bzip2", the associated library "libbzip2", and all\ndocumentation, are copyright (C) 1996-2010 Julian R Seward.  All\nrights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n\n1. Redistributions of source code must retain the above copyright\n   notice, this list of conditions and the following disclaimer.\n\n2. The origin of this software must not be misrepresented; you must\n   not claim that you wrote the original software.\n\n3. Altered source versions must be plainly marked as such, and must\n   not be misrepresented as being the original software.\n': "bzip2",
+        "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not\n   claim that you wrote the original software.\n2. Altered source versions must be plainly marked as such, and must not be\n   misrepresented as being the original software.\n3. This notice may not be removed or altered from any source distribution.": "Zlib",
+        "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 1, or (at your option)\nany later version.\n\nYou can redistribute it and/or modify it under the terms of the GNU General Public License.\n": "GPL-1-or-later",
+        "You can redistribute it and/or modify it under the terms of the GNU General Public License.\n": "GPL",
         "This is free and unencumbered software released into the public domain.\n": "Unlicense",
         "To the extent possible under law, Some One has waived all copyright and related or neighboring rights to\nthis work.": "CC0",
     }
