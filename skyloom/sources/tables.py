@@ -18,11 +18,11 @@ def read_ecsv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[
     null). Each file is one record, split by native functions; ``meta`` scalars become ``extra``, a map, and the typed
     columns NUMBERS and TEXTS of images; of a key that occurs more than once (COMMENT, HISTORY) the last value counts.
     A file without a line of names, or one that cannot be read (an I/O error, a broken gzip), is skipped: see
-    ``skipped_files``. Cells may be quoted, with delimiters inside and quotes doubled. Rows
-    with empty fields give nulls. Keys: ``file`` in both tables. Files are the unit of work; an image's table is small.
+    ``skipped_files``. Cells may be quoted, with delimiters and line ends inside and quotes doubled; a line whose quotes
+    do not close is a row as it stands. Rows with empty fields give nulls. Keys: ``file`` in both tables. Files are the unit of work; an image's table is small.
     """
     files = _texts(spark, path).select(F.input_file_name().alias("file"), F.col("value"))
-    lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: F.trim(x) != "")
+    lines = F.filter(F.regexp_extract_all(F.regexp_replace("value", "\r", ""), F.lit(_RECORD), F.lit(0)), lambda x: F.trim(x) != "")
     files = files.withColumns({"head": F.filter(lines, lambda x: x.startswith("#")), "body": F.filter(lines, lambda x: ~x.startswith("#"))}).where(F.size("body") > 0)
     comma = F.exists("head", lambda x: x.rlike("delimiter: *','|delimiter: *,"))
     plain = lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))
@@ -57,9 +57,13 @@ def skipped_files(spark: SparkSession, path: str) -> DataFrame:
     return found.where("named is null or not named").select("file", "bytes", reason.alias("reason"))
 
 
+#: A comment line; a row up to the first line end outside of quotes; else a line.
+_RECORD = r'(?m)^#[^\n]*|(?=[^\n])[^"\n]*+(?:"[^"]*+"[^"\n]*+)*+(?=\n|\z)|[^\n]+'
+
+
 def _cells(line: Column, comma: Column) -> Column:
     """Cells of a line, at commas or blanks outside of quotes."""
-    quoted = '"(?:[^"]|"")*"'
+    quoted = '"[^"]*+(?:""[^"]*+)*+"'
     by_comma = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",( *{quoted} *|[^,]*)"), F.lit(1))
     return F.when(comma, by_comma).otherwise(F.regexp_extract_all(line, F.lit(f'({quoted}|[^ "]+)'), F.lit(1)))
 

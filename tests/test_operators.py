@@ -278,6 +278,12 @@ def test_quoted_cells_repeated_keys_and_bad_lines(spark, tmp_path):
     det, images = tables.read_ecsv(spark, str(tmp_path), {"number": "long", "object": "string", "mag": "double"})
     assert {tuple(r)[2:] for r in det.collect()} == {(1, 'a, "b"', 15.5), (None, "", None), (3, "plain", None), (7, "two words", 9.5)}
     assert {r.extra["comment"] for r in images.collect()} == {"b"} and {r.jd for r in images.collect()} == {2460310.5}
+    long = "x, " * 9000 + 'y""z'
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines/x.ecsv").write_bytes((text + f'4,"two\n\nlines\n# no comment",2.5\r\n"6","{long}",3.5\n# late\n5,5" tube,1.5').encode())
+    det, images = tables.read_ecsv(spark, str(tmp_path / "lines"), {"number": "long", "object": "string", "mag": "double"})
+    new = {(4, "two\n\nlines\n# no comment", 2.5), (6, long.replace('""', '"'), 3.5), (5, '5" tube', 1.5)}
+    assert {tuple(r)[2:] for r in det.where("number > 3").collect()} == new and det.count() == 6 and images.count() == 1
     (tmp_path / "cat").mkdir()
     (tmp_path / "cat/a.csv").write_text(",".join(["1"] * 44) + "\nbad,line\n")
     assert tables.read_refcat_csv(spark, str(tmp_path / "cat")).count() == 1
