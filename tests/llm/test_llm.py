@@ -498,6 +498,24 @@ def test_classifiers(spark, odd):
         assert {x.score for x in run(odd, labels.limit(0)).collect()} == {run(odd, labels.limit(0)).first().score}
 
 
+def test_quality_hangs_on_words(spark):
+    """Labels that shape, repeats and length say nothing about, on words that no labelled row of training has: they are
+    known by the company that they keep in rows without labels."""
+    r = random.Random(12)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(400)]
+    topics = [(words[:100], words[100:200]), (words[200:300], words[300:])]
+    texts, labels = [], []
+    for n in range(900):
+        seen, unseen = topics[n % 2]
+        held = zlib.crc32(str(n).encode()) % 4 == 2
+        if n < 400:
+            labels.append((n, n % 2))
+        texts.append(" ".join(r.sample((unseen if held else seen) if n < 400 else seen + unseen, 60)))
+    got = {x.doc_id: x for x in quality.score_quality(docs_of(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    held = [n for n in range(400) if got[n].held_out]
+    assert len(held) > 60 and learning.auc(np.array([got[n].score for n in held]), np.array([n % 2 for n in held])) > 0.95
+
+
 def test_toxicity_scores_against_plain_python():
     s = toxicity.Settings(bits=10)
     weights = np.random.default_rng(1).normal(size=1 << s.bits).astype(np.float32)
