@@ -298,18 +298,23 @@ def _reached(rows: DataFrame, linked: DataFrame, base: float, widest: float, max
     return found.distinct()
 
 
-def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0, max_gap: float | None = None) -> DataFrame:
+#: Candidates of a field up to which all of it is linked at once: some seconds of one task.
+WHOLE = 20_000
+
+
+def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0, max_gap: float | None = None, whole: int = WHOLE) -> DataFrame:
     """adds trail_id (numbered within the field): in order of (jd, image_id, number), each candidate takes the
     nearest free trail nearer than its search radius (strict), else starts one; a new trail is not seen by other
     candidates of its image, and a trail takes one candidate of an image. A trail not seen for more than ``max_gap``
     hours (none: any time) takes no more. ``cand(field_id, image_id, number, jd, ra, dec, ..)``; candidates without a
     position are trails of their own.
 
-    A field is not one group. Candidates are first parted where no resting trail reaches from one part to another
+    A field of more than ``whole`` candidates is not one group: they are first parted where no resting trail reaches from one part to another
     (components of occupied cells of ``base``), and the parts are linked on their own. Then the predictions of all
     moving trails are compared with the candidates of other parts, image by image; parts that meet are joined and
     linked again, until none meet. What is left is the answer of the whole field, as no trail of a part has come
-    within reach of another part's candidate. Only parts of more than one candidate go through Python.
+    within reach of another part's candidate; it does not hang on ``whole``. Only parts of more than one candidate go through
+    Python.
     """
     taken = {c.lower() for c in cand.columns}
     name = "_row"
@@ -321,16 +326,23 @@ def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0, max_ga
     rows = _flat_cells(rows, "ra", "dec", base / 3600, False).withColumn("_cell", F.xxhash64("field", "_band", "_col"))
     images = rows.select("field", "jd", "image_id").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("field").orderBy("jd", "image_id")).cast("long"))
     rows = staged(rows.withColumn("_cell", F.when(F.col("_col").isNotNull(), F.col("_cell"))).join(images, ["field", "jd", "image_id"], "left"), "cells")
-    held = rows.where("_cell is not null").groupBy("field", "_band", "_col", "_cell").agg(F.min("ra").alias("ra"), F.max("ra").alias("_ra2"), F.min("dec").alias("dec"))
+    wide = staged(rows.groupBy("field").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > whole).select("field"), "fields")
+    held = rows.where("_cell is not null").join(wide, "field", "left_semi").groupBy("field", "_band", "_col", "_cell").agg(F.min("ra").alias("ra"), F.max("ra").alias("_ra2"), F.min("dec").alias("dec"))
     beside = _flat_cells(held.select("field", F.col("_cell").alias("_from"), "ra", "dec"), "ra", "dec", base / 3600, True)
     far = _flat_cells(held.select("field", F.col("_cell").alias("_from"), F.col("_ra2").alias("ra"), "dec"), "ra", "dec", base / 3600, True)
     met = beside.unionByName(far).join(held.select("field", "_band", "_col", "_cell"), ["field", "_band", "_col"])
-    cells = connected_components(met.select(F.col("_from").alias("a"), F.col("_cell").alias("b")))
-    parts = rows.join(cells.withColumnRenamed("node", "_cell"), "_cell", "left")
-    parts = staged(parts.select("_row", "field", "image_id", "number", "jd", "rank", "ra", "dec", F.coalesce("component", -F.col("_row") - 1).alias("part")), "parts")
+    parted = not wide.isEmpty()
+    if parted:
+        cells = connected_components(met.select(F.col("_from").alias("a"), F.col("_cell").alias("b")))
+        parts = rows.join(cells.withColumnRenamed("node", "_cell"), "_cell", "left")
+    else:
+        parts = rows.withColumn("component", F.lit(None).cast("long"))
+    # Part numbers count within their field only: 0 is all of a field that is linked at once.
+    part = F.coalesce("component", F.when(F.col("_cell").isNotNull(), F.lit(0).cast("long")), -F.col("_row") - 1)
+    parts = staged(parts.select("_row", "field", "image_id", "number", "jd", "rank", "ra", "dec", part.alias("part")), "parts")
     linked = staged(_link_parts(parts, base, widest, max_gap), "linked")
-    while True:
-        met = connected_components(_reached(parts, linked, base, widest, max_gap))
+    while parted:
+        met = connected_components(_reached(parts.join(wide, "field", "left_semi"), linked, base, widest, max_gap))
         if met.isEmpty():
             break
         moved = parts.join(met.select(F.col("node").alias("part"), F.col("component").alias("_to")), "part", "left")

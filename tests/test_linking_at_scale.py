@@ -43,11 +43,11 @@ def whole(rows, **options):
     return out
 
 
-@pytest.mark.parametrize("seed,dec0,max_gap", [(1, 40.0, None), (2, -89.97, None), (3, 0.0, 3.0)])
-def test_parts_give_the_trails_of_the_whole_field(spark, seed, dec0, max_gap):
+@pytest.mark.parametrize("seed,dec0,max_gap,most", [(1, 40.0, None, 0), (2, -89.97, None, 0), (3, 0.0, 3.0, 0), (3, 0.0, 3.0, 10**6)])
+def test_parts_give_the_trails_of_the_whole_field(spark, seed, dec0, max_gap, most):
     rows = sky(seed, dec0=dec0)
     cand = spark.createDataFrame(rows, SCHEMA).withColumns({"part": F.lit(1), "_row": F.lit("x"), "trail": F.col("number") * 2})
-    got = transients.link_trails(cand, max_gap=max_gap)
+    got = transients.link_trails(cand, max_gap=max_gap, whole=most)
     assert got.columns == [*cand.columns, "trail_id"]
     found = got.collect()
     assert {r.number: r.trail_id for r in found} == whole(rows, max_gap=max_gap) and all(r.trail == 2 * r.number and r._row == "x" for r in found)
@@ -56,8 +56,9 @@ def test_parts_give_the_trails_of_the_whole_field(spark, seed, dec0, max_gap):
 
 def test_linking_of_odd_rows(spark):
     rows = [(None, 1, 1, 0.0, 10.0, 0.0), (None, 2, 2, 0.1, 10.0, 0.0), (1, 3, 3, 0.0, None, 0.0), (1, 4, 4, 0.1, None, 0.0), (1, 5, 5, 0.2, float("nan"), 1.0), (1, 6, 6, 0.0, 10.0, 90.0), (1, 7, 7, 0.1, 190.0, 90.0)]
-    got = {r.number: r.trail_id for r in transients.link_trails(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got[1] == got[2] == 0 and got[6] == got[7] and len({got[n] for n in (3, 4, 5, 6)}) == 4
+    for most in (0, 2, 100):  # both fields in parts, one of them, none
+        got = {r.number: r.trail_id for r in transients.link_trails(spark.createDataFrame(rows, SCHEMA), whole=most).collect()}
+        assert got[1] == got[2] == 0 and got[6] == got[7] and len({got[n] for n in (3, 4, 5, 6)}) == 4
     assert transients.link_trails(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
