@@ -104,7 +104,7 @@ def c15(spark, d):
     return filters.subsample(view(spark, d, "fx_det"), 20, 7).select("image_id", "number")
 
 
-@query("c16_tiles_rect", """with f as (select image_id as field_id, (image_id*37.3)%360.0 as ra0, ((image_id*11.7)%120.0)-60.0 as dec0, 1.31 as da, 0.87 as dd from fx_images),
+@query("c16_tiles_rect", """with f as (select image_id as field_id, (image_id*37.3e0)%360.0e0 as ra0, ((image_id*11.7e0)%120.0e0)-60.0e0 as dec0, 1.31e0 as da, 0.87e0 as dd from fx_images),
  t as (select i.i, j.j from (select unnest(range(0,360)) as i) i, (select unnest(range(0,180)) as j) j),
  p as (select f.*, radians(ra0) as a, radians(dec0) as d from f),
  m0 as (select field_id, i, j from p join t on abs(j-90-dec0)<4 where exists (select 1 from (values (0,0),(0,1),(1,0),(1,1)) c(u,v) where
