@@ -164,7 +164,7 @@ def h04(spark, d):
     return calib.drop_keys(view(spark, d, "fx_det").select("image_id", "number"), view(spark, d, "fx_images").where("image_id%3=0").select("image_id"))
 
 
-@query("j01_closest_filter", "select image_id, case when image_id%5=4 then null when w<5485 then 'Sloan_g' when w<6840 then 'Sloan_r' else 'Sloan_i' end as closest from (select image_id, 4003+(image_id*37)%4000 as w from fx_images)")
+@query("j01_closest_filter", "select image_id, case when image_id%5=4 then null when w<=5490 then 'Sloan_g' when w<=6845 then 'Sloan_r' else 'Sloan_i' end as closest from (select image_id, 4003+(image_id*37)%4000 as w from fx_images)")
 def j01(spark, d):
     rows = sql(spark, d, "select image_id, case when image_id%5<>4 then 4003+(image_id*37)%4000 end as target_wl from fx_images")
     three = filterdim.filters_dim(spark, "atlas").where(F.col("filter_name").isin("Sloan_g", "Sloan_r", "Sloan_i"))

@@ -30,3 +30,10 @@ def same(spark, sf, name):
 def test_fields_are_placed_in_doubles(spark, images):
     """2800 * 11.7 is 32,760 in decimals and less in doubles, so the field lies at dec -60 or just under 60."""
     same(spark, images([0, 7, 2800]), "c16_tiles_rect")
+
+
+def test_closest_filter_between_wavelengths(spark, images):
+    """Wavelengths on both sides of the middles of g, r (5490) and r, i (6845), and on them, where the first filter counts."""
+    ids = [k for k in range(12000) if k % 5 != 4 and 4003 + k * 37 % 4000 in (5484, 5485, 5487, 5489, 5490, 5491, 6839, 6840, 6843, 6844, 6845, 6846)]
+    assert len(ids) > 24
+    same(spark, images(ids), "j01_closest_filter")
