@@ -11,11 +11,12 @@ from ..staging import staged
 
 def calibrate_images(det: DataFrame, stars: DataFrame, images: DataFrame, r: float = 2.0) -> dict[str, DataFrame]:
     """Match, zeropoint per image, calibrated magnitudes and their scatter: pairs, zeropoints, calibrated, scatter."""
-    pairs = staged(match.make_pairs(det, stars, images, r), "pairs")  # read twice below
-    zero = calib.zeropoints(pairs, images)
+    pairs = match.make_pairs(det, stars, images, r)
+    mags = staged(pairs.select("image_id", "cat_mag", "mag_auto"), "magnitudes")  # read twice below
+    zero = calib.zeropoints(mags, images)
     model = zero.select("image_id", F.col("zeropoint").alias("magzero"), F.lit(0.0).alias("dmagzero"))
     calibrated = fit.calibrate(det, images, model)
-    rest = pairs.join(zero.select("image_id", "zeropoint"), "image_id").withColumn("residual", F.col("cat_mag") - F.col("mag_auto") - F.col("zeropoint"))
+    rest = mags.join(zero.select("image_id", "zeropoint"), "image_id").withColumn("residual", F.col("cat_mag") - F.col("mag_auto") - F.col("zeropoint"))
     scatter = rest.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_pairs"), F.first("zeropoint").alias("zeropoint"), calib.robust_sigma(F.col("residual")).alias("sigma"))
     return {"pairs": pairs, "zeropoints": zero, "calibrated": calibrated, "scatter": scatter}
 

@@ -42,3 +42,23 @@ def test_posted_side_is_never_broadcast(spark):
 @pytest.mark.parametrize("name", ["a15_diagnostics", "d01_match_radius", "d02_make_pairs", "d03_filter_by_object_radius", "d04_unmatched", "d05_veto_phases", "d07_dedupe_last", "k01_classify", "k04_candidates", "d14_dynamic_maglim", "d14_match_to_limit", "d_sky_join_wrap", "e01_zeropoints", "e02_rough_zeropoint", "e03_filter_scores", "e03_zeropoints_all", "e11_astrometric_error_model", "e12_variance_model"])
 def test_queries_do_not_broadcast_postings(spark, name):
     assert not broadcasts_posted(_plan(QUERIES[name](spark, SF)))
+
+
+def test_pairs_are_ranked_where_they_are_joined(spark):
+    """No exchange lies above the join: pairs outnumber detections, and grow with the density of stars."""
+    det = spark.range(40).selectExpr("id % 3 as image_id", "id as number", "id * 0.7e0 as x_image", "id * 0.3e0 as y_image")
+    stars = spark.range(60).selectExpr("id as star_id", "id * 0.5e0 as cat_x", "id * 0.2e0 as cat_y")
+    for keys in ((), ("image_id",)):
+        given = stars if not keys else stars.crossJoin(spark.range(3).selectExpr("id as image_id"))
+        near = match.match_radius(det, given, 2.0, keys)
+        lines = _plan(near).splitlines()
+        join = next(n for n, x in enumerate(lines) if "SortMergeJoin" in x)
+        assert not any("Exchange" in x for x in lines[:join])
+        want = {}
+        for d in det.collect():
+            found = sorted((((d.x_image - s.cat_x) ** 2 + (d.y_image - s.cat_y) ** 2) ** 0.5, s.star_id) for s in stars.collect())
+            want[d.image_id, d.number] = [i for x, i in found if x <= 2.0]
+        got = {}
+        for r in near.orderBy("rank").collect():
+            got.setdefault((r.image_id, r.number), []).append(r.star_id)
+        assert got == {k: v for k, v in want.items() if v}
