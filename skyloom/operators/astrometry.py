@@ -1,5 +1,5 @@
 """Projection fits for all images of a survey at once. The pairs of an image are one bounded group (what one image
-holds); its Gauss-Newton steps run where they are, after one shuffle. Parameters shared by all images are found from
+holds); its Gauss-Newton steps run where they are, after one shuffle, those of all images of a batch together. Parameters shared by all images are found from
 per-image normal equations, of which only a small reduced system is summed."""
 
 from __future__ import annotations
@@ -28,15 +28,15 @@ def _pv_step(name: str, proj: str) -> float:
 
 
 def project(p: dict[str, float], proj: str, ra: np.ndarray, dec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pixels of sky positions, as ``world2pix`` gives them, for arrays of one image."""
-    a, d, d0 = np.radians(ra - p["crval1"]), np.radians(dec), math.radians(p["crval2"])
-    cosu = np.sin(d) * math.sin(d0) + np.cos(d) * math.cos(d0) * np.cos(a)
-    sc, ss = -np.cos(d) * np.sin(a), np.sin(d) * math.cos(d0) - np.cos(d) * math.sin(d0) * np.cos(a)
+    """Pixels of sky positions, as ``world2pix`` gives them; parameters are numbers, or arrays with a value a position."""
+    a, d, d0 = np.radians(ra - p["crval1"]), np.radians(dec), np.radians(p["crval2"])
+    cosu = np.sin(d) * np.sin(d0) + np.cos(d) * np.cos(d0) * np.cos(a)
+    sc, ss = -np.cos(d) * np.sin(a), np.sin(d) * np.cos(d0) - np.cos(d) * np.sin(d0) * np.cos(a)
     sinu = np.hypot(sc, ss)
     u = np.arctan2(sinu, cosu)
     if proj == "SZP":
-        mu, phi, theta = p.get("pv2_1", 0.0), math.radians(p.get("pv2_2", 0.0)), math.radians(p.get("pv2_3", 90.0))
-        xp, yp, zp, s = -mu * math.cos(theta) * math.sin(phi), mu * math.cos(theta) * math.cos(phi), mu * math.sin(theta) + 1, 1.0 - cosu
+        mu, phi, theta = p.get("pv2_1", 0.0), np.radians(p.get("pv2_2", 0.0)), np.radians(p.get("pv2_3", 90.0))
+        xp, yp, zp, s = -mu * np.cos(theta) * np.sin(phi), mu * np.cos(theta) * np.cos(phi), mu * np.sin(theta) + 1, 1.0 - cosu
         return _pixels(p, np.degrees((zp * ss - xp * s) / (zp - s)), np.degrees(-(zp * sc + yp * s) / (zp - s)))
     if proj == "TAN":
         ratio = 1 / np.where(cosu > 0, cosu, np.nan)
@@ -48,7 +48,7 @@ def project(p: dict[str, float], proj: str, ra: np.ndarray, dec: np.ndarray) ->
         elif proj == "ZPN":
             r = sum(p.get(f"pv2_{n}", 1.0 if n == 1 else 0.0) * u**n for n in range(10))
         elif proj == "AZP":
-            r = (p.get("pv2_1", 0.0) + 1) * sinu / (p.get("pv2_1", 0.0) + cosu + sc * math.tan(math.radians(p.get("pv2_2", 0.0))))
+            r = (p.get("pv2_1", 0.0) + 1) * sinu / (p.get("pv2_1", 0.0) + cosu + sc * np.tan(np.radians(p.get("pv2_2", 0.0))))
         else:
             raise ValueError(f"no fit of {proj}")
         ratio = r / np.where(sinu > 0, sinu, 1.0)
@@ -78,6 +78,88 @@ def normal(pdf: pd.DataFrame, p: dict[str, float], params: list[str], proj: str,
     return np.einsum("iam,jam,m->ij", j, j, w), np.einsum("iam,am,m->i", j, r, w), float(((r * r).sum(0) * w).sum()), r[0], r[1]
 
 
+def _pv_default(name: str, proj: str) -> float:
+    """What ``project`` takes for a PV term that an image lacks."""
+    return {("ZPN", "pv2_1"): 1.0, ("SZP", "pv2_3"): 90.0}.get((proj, name), 0.0)
+
+
+class _Block:
+    """The pairs of many images, sorted by image, and their parameters ``p``, an array with a value an image each. Left
+    out are images with too few pairs for ``params`` and those that lack one of them or of the plain WCS."""
+
+    def __init__(self, pdf: pd.DataFrame, wcs: list[str], params: list[str], proj: str):
+        ids, first, n = np.unique(pdf["image_id"].to_numpy(), return_index=True, return_counts=True)
+        start = {c: pdf[c].to_numpy(float, na_value=np.nan)[first] for c in wcs}
+        keep = 2 * n > len(params)
+        for c in {*params, *WCS}:
+            keep &= np.isfinite(start[c]) if c in start else c not in params
+        pdf = pdf[np.repeat(keep, n)]
+        self.ids, self.n, self.proj = ids[keep], n[keep], proj
+        self.p = {c: np.where(np.isnan(v[keep]), _pv_default(c, proj), v[keep]) if c not in WCS else v[keep] for c, v in start.items()}
+        self.at = np.repeat(np.arange(len(self.ids)), self.n)
+        self.first = np.cumsum(self.n) - self.n
+        self.ra, self.dec, self.x, self.y = (pdf[c].to_numpy(float, na_value=np.nan) for c in ("radeg", "decdeg", "x_image", "y_image"))
+        self.w = 1 / pdf["image_dxy"].to_numpy(float, na_value=np.nan) ** 2 if "image_dxy" in pdf else np.ones(len(pdf))
+
+    def sums(self, v: np.ndarray) -> np.ndarray:
+        """Sums of the last axis by image."""
+        return np.add.reduceat(v, self.first, axis=-1)
+
+    def normal(self, params: list[str], robust: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For every image what ``normal`` gives for one; pairs without a residual have a residual of nan."""
+        p = {c: v[self.at] for c, v in self.p.items()}
+        pixels = lambda q: np.stack(project(q, self.proj, self.ra, self.dec))
+        r = np.stack([self.x, self.y]) - pixels(p)
+        good = np.isfinite(r).all(0)
+        j = np.zeros((len(params), 2, len(self.ra)))
+        for n, name in enumerate(params):
+            h = STEPS.get(name) or _pv_step(name, self.proj)
+            j[n] = (pixels({**p, name: p[name] + h}) - pixels({**p, name: p[name] - h})) / (2 * h)
+        w = self.w / (1 + (r * r).sum(0) * self.w) if robust else self.w
+        k, m = len(params), len(self.ids)
+        jg, rg, wg = np.where(good, j, 0.0), np.where(good, r, 0.0), np.where(good, w, 0.0)
+        a, b = np.zeros((m, k, k)), np.zeros((m, k))
+        for i in range(k):
+            for l in range(i, k):
+                a[:, i, l] = a[:, l, i] = self.sums((jg[i] * jg[l]).sum(0) * wg)
+            b[:, i] = self.sums((jg[i] * rg).sum(0) * wg)
+        return a, b, self.sums((rg * rg).sum(0) * wg), np.where(good, r[0], np.nan), np.where(good, r[1], np.nan)
+
+
+def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``solve`` for a stack of systems, without the covariances."""
+    scale = 1 / np.sqrt(np.maximum(np.einsum("mii->mi", a), 1e-300))
+    scaled = a * scale[:, :, None] * scale[:, None, :]
+    plain = np.linalg.cond(scaled) < 1e12
+    inverse = np.empty_like(a)
+    inverse[plain] = np.linalg.inv(scaled[plain])
+    if not plain.all():
+        inverse[~plain] = np.linalg.pinv(scaled[~plain], rcond=1e-12)
+    return np.einsum("mij,mj->mi", inverse, b * scale) * scale
+
+
+def _by_blocks(rows: DataFrame, run, schema) -> DataFrame:
+    """``run`` over the rows of whole images, as many as an Arrow batch has. Few bytes, much work: a fixed number of
+    partitions keeps AQE from putting all images into one task."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def blocks(batches):
+        held: list[pd.DataFrame] = []  # the last image of a batch may go on in the next
+        for batch in batches:
+            ids = batch["image_id"].to_numpy()
+            cut = int(np.searchsorted(ids, ids[-1]))
+            if held and (cut or held[-1]["image_id"].iloc[-1] != ids[0]):
+                yield run(pd.concat([*held, batch.iloc[:cut]], ignore_index=True))
+                held = []
+            elif cut:
+                yield run(batch.iloc[:cut])
+            held.append(batch.iloc[cut:])
+        if held:
+            yield run(pd.concat(held, ignore_index=True))
+
+    return rows.repartition(tasks, "image_id").sortWithinPartitions("image_id").mapInPandas(blocks, schema)
+
+
 def _rows(pairs: DataFrame, images: DataFrame) -> tuple[DataFrame, list[str]]:
     wcs = [c for c in images.columns if c in WCS or c.startswith("pv2_")]
     keep = [c for c in ("image_id", "radeg", "decdeg", "x_image", "y_image", "image_dxy") if c in pairs.columns]
@@ -97,21 +179,25 @@ def fit_astrometry(pairs: DataFrame, images: DataFrame, params: list[str] | None
     rows, wcs = _rows(pairs, images)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = _start(pdf, wcs)
-        if 2 * len(pdf) <= len(params) or any(c not in p for c in params):
+        block = _Block(pdf, wcs, params, proj)
+        if not len(block.ids):
             return pd.DataFrame(columns=names)
         for _ in range(steps):
-            a, b, *_ = normal(pdf, p, params, proj, robust)
-            delta, _ = solve(a, b)
-            p.update({c: p[c] + v for c, v in zip(params, delta)})
-        _, _, chi2, rx, ry = normal(pdf, p, [], proj, False)
-        ndf = 2 * len(rx) - len(params)
-        return pd.DataFrame([[pdf["image_id"].iloc[0], *[p[c] for c in params], chi2, ndf, chi2 / ndf if ndf > 0 else None, float(np.median(np.hypot(rx, ry)) / 0.67)]], columns=names)
+            a, b, *_ = block.normal(params, robust)
+            for c, v in zip(params, _solved(a, b).T):
+                block.p[c] = block.p[c] + v
+        _, _, chi2, rx, ry = block.normal([], False)
+        r = np.hypot(rx, ry)
+        found = block.sums(np.isfinite(r).astype(np.int64))
+        ndf = 2 * found - len(params)
+        scatter = [float(np.median(x[np.isfinite(x)]) / 0.67) if n else math.nan for x, n in zip(np.split(r, block.first[1:]), found)]
+        wssr = np.where(ndf > 0, chi2 / np.maximum(ndf, 1), np.nan)
+        return pd.DataFrame({"image_id": block.ids, **{f"_{c}": block.p[c] for c in params}, "astchi2": chi2, "astndf": ndf, "astwssr": wssr, "astscatt": scatter})
 
     names = ["image_id", *[f"_{c}" for c in params], "astchi2", "astndf", "astwssr", "astscatt"]
     kinds = {"image_id": T.LongType(), "astndf": T.LongType()}
     schema = T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names])
-    found = rows.groupBy("image_id").applyInPandas(run, schema)
+    found = _by_blocks(rows, run, schema).withColumn("astwssr", F.nanvl("astwssr", F.lit(None).cast("double")))
     out = images.drop("astchi2", "astndf", "astwssr", "astscatt").join(found, "image_id", "left")
     return out.withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in params}).drop(*[f"_{c}" for c in params])
 
@@ -141,13 +227,13 @@ def fit_astrometry_shared(pairs: DataFrame, images: DataFrame, shared: list[str]
         rows, wcs = _rows(pairs, images)
 
         def equations(pdf: pd.DataFrame) -> pd.DataFrame:
-            p = _start(pdf, wcs)
-            if 2 * len(pdf) <= k or any(c not in p for c in params):
+            block = _Block(pdf, wcs, params, proj)
+            if not len(block.ids):
                 return pd.DataFrame(columns=["image_id", "a", "b"])
-            a, b, *_ = normal(pdf, p, params, proj, False)
-            return pd.DataFrame({"image_id": [pdf["image_id"].iloc[0]], "a": [a.ravel().tolist()], "b": [b.tolist()]})
+            a, b, *_ = block.normal(params, False)
+            return pd.DataFrame({"image_id": block.ids, "a": list(a.reshape(len(a), -1)), "b": list(b)})
 
-        sums = rows.groupBy("image_id").applyInPandas(equations, "image_id long, a array<double>, b array<double>")
+        sums = _by_blocks(rows, equations, "image_id long, a array<double>, b array<double>")
         sums = staged(sums, "equations")
 
         def reduce(batches):

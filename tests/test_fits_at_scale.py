@@ -79,3 +79,36 @@ def test_projection_trials_leave_their_outliers_out(spark):
     got = {r.image_id: r for r in out.collect()}
     assert {i: r.proj for i, r in got.items()} == {0: "TAN", 1: "ZEA"}
     assert all(abs(r.crval1 - 150) < 1e-3 and r.astwssr < 5 for r in got.values())
+
+
+def test_projections_of_many_images_in_one_block(spark):
+    """Images of few pairs are fitted together, not in a call each: each comes out as from its own steps, whatever the
+    batches cut; an image without a start value and one with too few pairs keep theirs."""
+    rng = np.random.default_rng(5)
+    wcs = {"crval1": 150.0, "crval2": 20.0, "crpix1": 1000.0, "crpix2": 1000.0, "cd1_1": -0.003, "cd1_2": 0.0, "cd2_1": 0.0, "cd2_2": 0.003}
+    parts, images = [], []
+    for image in range(60):
+        n = 2 if image == 7 else 12 + image % 9
+        ra, dec = 150 + rng.uniform(-3, 3, n), 20 + rng.uniform(-3, 3, n)
+        x, y = astrometry.project(wcs, "TAN", ra, dec)
+        dxy = rng.uniform(0.05, 0.3, n)
+        parts.append(pd.DataFrame({"image_id": image, "radeg": ra, "decdeg": dec, "x_image": x + rng.normal(0, 1, n) * dxy, "y_image": y + rng.normal(0, 1, n) * dxy, "image_dxy": dxy}))
+        images.append({"image_id": image, **wcs, "crval1": 150 + 1e-3 * image, "cd1_1": None if image == 5 else -0.003})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        pairs = spark.createDataFrame(pd.concat(parts))
+        out = astrometry.fit_astrometry(pairs, spark.createDataFrame(images, "image_id long, " + ", ".join(f"{c} double" for c in wcs)), steps=3, robust=True)
+        got = {r.image_id: r for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    assert got[5].astchi2 is None and got[7].astchi2 is None and got[7].crval1 == 150.007
+    for image in set(range(60)) - {5, 7}:
+        p = {k: v for k, v in images[image].items() if k != "image_id"}
+        for _ in range(3):
+            a, b, *_ = astrometry.normal(parts[image], p, astrometry.LINEAR, "TAN", True)
+            p |= {c: p[c] + v for c, v in zip(astrometry.LINEAR, fit.solve(a, b)[0])}
+        _, _, chi2, rx, ry = astrometry.normal(parts[image], p, [], "TAN", False)
+        r = got[image]
+        assert all(abs(r[c] - p[c]) < 1e-9 for c in astrometry.LINEAR) and abs(r.astchi2 - chi2) < 1e-6 * chi2 and r.astndf == 2 * len(rx) - 6
+        assert abs(r.astwssr - chi2 / r.astndf) < 1e-6 and abs(r.astscatt - np.median(np.hypot(rx, ry)) / 0.67) < 1e-6
