@@ -21,9 +21,8 @@ def read_ecsv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[
     ``skipped_files``. Cells may be quoted, with delimiters and line ends inside and quotes doubled; a line whose quotes
     do not close is a row as it stands. Rows with empty fields give nulls. Keys: ``file`` in both tables. Files are the unit of work; an image's table is small.
     """
-    files = _texts(spark, path).select(F.input_file_name().alias("file"), F.col("value"))
-    lines = F.filter(F.regexp_extract_all(F.regexp_replace("value", "\r", ""), F.lit(_RECORD), F.lit(0)), lambda x: F.trim(x) != "")
-    files = files.withColumns({"head": F.filter(lines, lambda x: x.startswith("#")), "body": F.filter(lines, lambda x: ~x.startswith("#"))}).where(F.size("body") > 0)
+    files = _lines(_texts(spark, path), F.regexp_extract_all(F.regexp_replace("value", "\r", ""), F.lit(_RECORD), F.lit(0)))
+    files = files.withColumns({"head": F.filter("lines", lambda x: x.startswith("#")), "body": F.filter("lines", lambda x: ~x.startswith("#"))}).where(F.size("body") > 0)
     comma = F.exists("head", lambda x: x.rlike("delimiter: *','|delimiter: *,"))
     plain = lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))
     files = files.withColumn("names", F.transform(_cells(F.element_at("body", 1), comma), lambda x: F.lower(plain(x))))
@@ -40,6 +39,12 @@ def read_ecsv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[
     return det, images
 
 
+def _lines(texts: DataFrame, lines: Column) -> DataFrame:
+    """(file, lines): the lines of each text that are not blank. A generator gives them, through which neither filters
+    nor later columns are merged: a text is split once, not once for each of them."""
+    return texts.select(F.input_file_name().alias("file"), F.explode(F.array(F.filter(lines, lambda x: F.trim(x) != ""))).alias("lines"))
+
+
 def _texts(spark: SparkSession, path: str) -> DataFrame:
     """Files as one text each; those that cannot be read give no row."""
     return spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").text(path, wholetext=True)
@@ -76,7 +81,7 @@ def _last_entries(pairs: Column) -> Column:
 
 def read_ascii_head(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """Catalogues whose ``# n NAME ..`` lines give the columns of blank-separated rows; missing names are null."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: F.trim(x) != "").alias("lines"))
+    files = _lines(spark.read.text(path, wholetext=True), F.split(F.regexp_replace("value", "\r", ""), "\n"))
     head = r"^#\s*(\d+)\s+(\S+)"
     names = F.transform(F.filter("lines", lambda x: x.rlike(head)), lambda x: F.struct(F.lower(F.regexp_extract(x, head, 2)).alias("k"), F.regexp_extract(x, head, 1).cast("int").alias("v")))
     rows = files.withColumn("names", _last_entries(names)).select("file", "names", F.posexplode(F.filter("lines", lambda x: ~x.startswith("#"))).alias("row", "line"))

@@ -4,6 +4,7 @@ import pytest
 
 from skyloom.operators import match
 from skyloom.queries import QUERIES, load
+from skyloom.sources import tables
 
 SF = "/root/testdata/sf0.001"
 load()
@@ -62,3 +63,12 @@ def test_pairs_are_ranked_where_they_are_joined(spark):
         for r in near.orderBy("rank").collect():
             got.setdefault((r.image_id, r.number), []).append(r.star_id)
         assert got == {k: v for k, v in want.items() if v}
+
+
+def test_texts_are_split_once(spark, tmp_path):
+    """Neither the filter nor the later columns of a reader split a text again."""
+    (tmp_path / "x.ecsv").write_text("# %ECSV 1.0\n# ---\n# meta:\n#   JD: 1.5\nnumber\n1\n2\n")
+    det, images = tables.read_ecsv(spark, str(tmp_path), {"number": "long"})
+    assert [r.number for r in det.orderBy("row").collect()] == [1, 2] and images.first().jd == 1.5
+    for df in (det, images):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(regexp_replace(value") == 1
