@@ -53,6 +53,9 @@ DUCKDB = {
     select user_id as trail_id, event_id as number, 2460310.5e0+date_diff('microsecond', timestamp '2024-01-01 00:00:00', ts)/86400000000.0e0 as jd, value, event_type from events
     """,
 }
+#: Spark's hints of views. A star table of a few MB of Parquet holds a million rows: Spark would take it for small, and the
+#: driver would build a broadcast of hundreds of MB. So it is dealt by star like the detections, of which it has few.
+HINTS = {"fx_det": "shuffle_hash(fx_stars)"}
 
 
 def _needed(sql: str) -> list[str]:
@@ -65,6 +68,11 @@ def _needed(sql: str) -> list[str]:
     return [name for name in VIEWS if name in found]
 
 
+def _hinted(name: str) -> str:
+    text = VIEWS[name]
+    return text.replace("select ", f"select /*+ {HINTS[name]} */ ", 1) if name in HINTS else text
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a DataFrame over the tables in ``sf_dir``."""
     return sql(spark, sf_dir, f"select * from {name}")
@@ -76,7 +84,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """A Spark SQL select over tables and fixture views."""
-    ctes = [f"{name} as ({VIEWS[name]})" for name in _needed(text)]
+    ctes = [f"{name} as ({_hinted(name)})" for name in _needed(text)]
     body = " ".join([text, *ctes])
     tables = {t: table(spark, sf_dir, t) for t in TABLES if re.search(rf"\b{t}\b", body)}
     for t in tables:

@@ -239,12 +239,12 @@ _PAIR = "d.*, s.star_id, s.cat_x, s.cat_y, s.sloan_g-s.sloan_r as color1, s.sloa
 @query("b26_eval_response", f"""select image_id, number, round(mag_auto+22.1-0.02*x+0.03*y+0.004*x*y+0.001*(x*x+y*y)*(x*x+y*y)+0.05*color1+0.01*sin(pi()*(cat_x-floor(cat_x)))+case when image_id=3 then 0.1*x else 0 end+0.4*color2
  +0.02*exp(-(x*x+y*y)*25/10)+0.01*(exp(sqrt((x*x+y*y)/2))/(sqrt((x*x+y*y)/2)+1)-1)+0.001*q/(1+0.01*q*q+1e-10),6) as mag_model from (select *, coord_x as x, coord_y as y, -(mag_auto+10)-2.0 as q from (select {_PAIR}))""")
 def b26(spark, d):
-    return rounded(response.eval_response(sql(spark, d, f"select {_PAIR}"), MODEL), "mag_model", keep=("image_id", "number"))
+    return rounded(response.eval_response(sql(spark, d, f"select /*+ shuffle_hash(s) */ {_PAIR}"), MODEL), "mag_model", keep=("image_id", "number"))
 
 
 @query("b28_apply_spatial", f"select image_id, number, round(mag_auto-0.020317*coord_x+0.030713*coord_y+0.5*0.01*(image_id%3)*coord_x*coord_x,6) as mag_flat from (select {_PAIR})")
 def b28(spark, d):
-    rows = sql(spark, d, f"select {_PAIR}").withColumn("response", F.format_string("FILTER=Sloan_r,SCHEMA=SloanJ,Z=22.5,PX=-0.020317,PY=0.030713,P2X=%.4f", 0.5 * 0.01 * (F.col("image_id") % 3)))
+    rows = sql(spark, d, f"select /*+ shuffle_hash(s) */ {_PAIR}").withColumn("response", F.format_string("FILTER=Sloan_r,SCHEMA=SloanJ,Z=22.5,PX=-0.020317,PY=0.030713,P2X=%.4f", 0.5 * 0.01 * (F.col("image_id") % 3)))
     rows = rows.withColumn("terms", response.response_terms(F.col("response")))
     return rounded(response.eval_response(rows, "terms", out="mag_flat", skip=("Z", "XC", "SC")), "mag_flat", keep=("image_id", "number"))
 
