@@ -130,9 +130,13 @@ def monomials(order: int, letters: str) -> list[str]:
 
 
 def response_terms(text: Column) -> Column:
-    """Map term -> value of a RESPONSE string ``FILTER=..,SCHEMA=..,Z=..,PX=..`` (numbers only)."""
+    """Map term -> value of a RESPONSE string ``FILTER=..,SCHEMA=..,Z=..,PX=..`` (numbers only).
+
+    Names of filters and schemas are not tried as numbers: each such cast would throw in Java, which costs more than the
+    rest. Of letters only I (Infinity) and N (NaN) can begin a number."""
     pairs = F.str_to_map(text, F.lit(","), F.lit("="))
-    return F.map_filter(F.transform_values(pairs, lambda _, v: v.try_cast("double")), lambda _, v: v.isNotNull())
+    number = lambda v: F.when(~v.rlike(r"^\s*[A-HJ-MO-Za-hj-mo-z_]"), v.try_cast("double"))
+    return F.map_filter(F.transform_values(pairs, lambda _, v: number(v)), lambda _, v: v.isNotNull())
 
 
 def parse_terms(text: str, stepwise: bool = False) -> dict[str, list[str]]:
