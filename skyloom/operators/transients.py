@@ -355,11 +355,26 @@ def link_trails(cand: DataFrame, base: float = 3.6, widest: float = 30.0, max_ga
     return table.join(ids, name).select(*[table[f"`{c}`"] for c in cand.columns], "trail_id")
 
 
+def _whole_trail():
+    """The rows of a trail: once they are together and sorted (``_in_time``), all of K05-K09 reads them there."""
+    return Window.partitionBy("trail_id")
+
+
+def _in_time():
+    return _whole_trail().orderBy("jd", "number")
+
+
+def _gap_rows(trails: DataFrame) -> DataFrame:
+    return trails.withColumn("_g", (F.col("jd") - F.lag("jd").over(_in_time())) * 24)
+
+
+def _gap_sums() -> list[Column]:
+    return [F.coalesce(F.max("_g"), F.lit(0.0)).alias("max_gap"), F.coalesce(F.avg("_g"), F.lit(0.0)).alias("avg_gap")]
+
+
 def gaps(trails: DataFrame) -> DataFrame:
     """(trail_id, max_gap, avg_gap) between detections in hours, 0 for one detection."""
-    order = Window.partitionBy("trail_id").orderBy("jd", "number")
-    rows = trails.withColumn("_g", (F.col("jd") - F.lag("jd").over(order)) * 24)
-    return rows.groupBy("trail_id").agg(F.coalesce(F.max("_g"), F.lit(0.0)).alias("max_gap"), F.coalesce(F.avg("_g"), F.lit(0.0)).alias("avg_gap"))
+    return _gap_rows(trails).groupBy("trail_id").agg(*_gap_sums())
 
 
 def _inflated(chi2: Column, w: Column, n: Column, k: int, plain: Column) -> Column:
@@ -369,74 +384,104 @@ def _inflated(chi2: Column, w: Column, n: Column, k: int, plain: Column) -> Colu
     return F.when(n > k, F.sqrt(F.when(reduced > 3.0, variance * reduced).otherwise(variance))).otherwise(plain)
 
 
-def mag_stats(trails: DataFrame, legacy: bool = False) -> DataFrame:
-    """(trail_id, mag0, magvar, num): inverse-variance mean and spread, inflated for chi2 > 3; ``legacy`` weighs by
-    the errors and gives the root mean square of the normalised residuals."""
+def _light_rows(trails: DataFrame, legacy: bool) -> DataFrame:
     e, m = F.col("magerr_calib"), F.col("mag_calib")
     w = e if legacy else 1 / (e * e)
-    mean = trails.groupBy("trail_id").agg((F.sum(m * w) / F.sum(w)).alias("mag0"))
-    rows = trails.join(mean, "trail_id").withColumn("_r", m - F.col("mag0"))
-    r = F.col("_r")
+    rows = trails.where("trail_id is not null").withColumn("mag0", F.sum(m * w).over(_whole_trail()) / F.sum(w).over(_whole_trail()))
+    return rows.withColumn("_r", m - F.col("mag0"))
+
+
+def _light_sums(legacy: bool) -> list[Column]:
+    e, r = F.col("magerr_calib"), F.col("_r")
     if legacy:
-        return rows.groupBy("trail_id").agg(F.first("mag0").alias("mag0"), F.sqrt(F.avg(r / e * r / e)).alias("magvar"), F.count(F.lit(1)).alias("num"))
-    sums = rows.groupBy("trail_id").agg(F.first("mag0").alias("mag0"), F.sum(w * r * r).alias("c"), F.sum(w).alias("w"), F.stddev_pop("_r").alias("s"), F.count(F.lit(1)).alias("num"))
-    return sums.select("trail_id", "mag0", _inflated(F.col("c"), F.col("w"), F.col("num"), 1, F.col("s")).alias("magvar"), "num")
+        return [F.first("mag0").alias("mag0"), F.sqrt(F.avg(r / e * r / e)).alias("magvar"), F.count(F.lit(1)).alias("_n")]
+    w, n = 1 / (e * e), F.count(F.lit(1))
+    return [F.first("mag0").alias("mag0"), _inflated(F.sum(w * r * r), F.sum(w), n, 1, F.stddev_pop(r)).alias("magvar"), n.alias("_n")]
+
+
+def mag_stats(trails: DataFrame, legacy: bool = False) -> DataFrame:
+    """(trail_id, mag0, magvar, num): inverse-variance mean and spread, inflated for chi2 > 3; ``legacy`` weighs by
+    the errors and gives the root mean square of the normalised residuals."""
+    return _light_rows(trails, legacy).groupBy("trail_id").agg(*_light_sums(legacy)).withColumnRenamed("_n", "num")
+
+
+def _step_rows(trails: DataFrame) -> DataFrame:
+    rows = trails.withColumn("_e", F.greatest("magerr_calib", F.lit(0.001)))
+    rows = rows.withColumns({"_m2": F.lag("mag_calib").over(_in_time()), "_e2": F.lag("_e").over(_in_time())})
+    return rows.withColumn("_v", F.abs(F.col("mag_calib") - F.col("_m2")) / F.sqrt(F.col("_e") * F.col("_e") + F.col("_e2") * F.col("_e2")))
+
+
+def _variability(steps: Column, n: Column, magvar: Column) -> Column:
+    return F.try_divide(steps * n, (n - 1) * magvar)
 
 
 def variability(trails: DataFrame, stats: DataFrame) -> DataFrame:
     """(trail_id, variability): sum of abs(m_i - m_i+1) / sqrt(e_i^2 + e_i+1^2) in order of time, errors of at
     least 0.001, times n / (n - 1) over magvar; null for one detection."""
-    order = Window.partitionBy("trail_id").orderBy("jd", "number")
-    e = F.greatest("magerr_calib", F.lit(0.001))
-    rows = trails.withColumn("_e", e).withColumns({"_m2": F.lag("mag_calib").over(order), "_e2": F.lag("_e").over(order)})
-    step = F.abs(F.col("mag_calib") - F.col("_m2")) / F.sqrt(F.col("_e") * F.col("_e") + F.col("_e2") * F.col("_e2"))
-    sums = rows.withColumn("_s", step).groupBy("trail_id").agg(F.sum("_s").alias("s"), F.count(F.lit(1)).alias("n"))
-    value = F.try_divide(F.col("s") * F.col("n"), (F.col("n") - 1) * F.col("magvar"))
+    sums = _step_rows(trails).groupBy("trail_id").agg(F.sum("_v").alias("s"), F.count(F.lit(1)).alias("n"))
+    value = _variability(F.col("s"), F.col("n"), F.col("magvar"))
     return sums.join(stats.select("trail_id", "magvar"), "trail_id").select("trail_id", value.alias("variability"))
 
 
-def motion_fit(trails: DataFrame, astvar: float | None = None, span: str = "field") -> DataFrame:
-    """(trail_id, num, a0, d0, da, dd, sa, sd, dpos, sigma, significance): lines RA(t), Dec(t) about the middle of
-    the span, slopes in arcsec/h, scatters in arcsec.
-
-    With ``astvar`` > 0 points weigh 1 / ((errx2 + erry2) astvar) and scatters are weighted, inflated for chi2 > 3;
-    else they are medians of absolute residuals over 0.67. The span is that of the first detections of all trails of
-    the field (``span='field'``, column field_id if present) or of the trail itself. ``significance`` is dpos / sigma,
-    0 where sigma is 0."""
-    weighted = astvar is not None and astvar > 0
+def _motion_rows(trails: DataFrame, astvar: float | None, span: str, rows: DataFrame | None = None) -> DataFrame:
+    """``rows`` (``trails`` with further columns) with _in, null for rows of no field, and residuals about the lines. The
+    span's ends are a row a field, and so broadcast: a join on the field would put all of a field in one task."""
     field = ["field_id"] if "field_id" in trails.columns else []
+    rows = (trails if rows is None else rows).where("trail_id is not null")
     if span == "field":
         first = trails.groupBy(*field, "trail_id").agg(F.min("jd").alias("_f"))
-        ends = Window.partitionBy(*field) if field else Window.partitionBy(F.lit(1))
-        if field:
-            limits = first.groupBy(*field).agg(F.min("_f").alias("_lo"), F.max("_f").alias("_hi"))
-            rows = trails.join(limits, field)
-        else:
-            limits = first.agg(F.min("_f").alias("_lo"), F.max("_f").alias("_hi"))
-            rows = trails.join(F.broadcast(limits))  # one row
+        limits = first.groupBy(*field).agg(F.min("_f").alias("_lo"), F.max("_f").alias("_hi"), F.count(F.lit(1)).alias("_in"))
+        rows = rows.join(F.broadcast(limits), field, "left") if field else rows.join(F.broadcast(limits))
     else:
-        rows = trails.join(trails.groupBy("trail_id").agg(F.min("jd").alias("_lo"), F.max("jd").alias("_hi")), "trail_id")
-    w = 1 / ((F.col("errx2_image") + F.col("erry2_image")) * float(astvar)) if weighted else F.lit(1.0)
-    rows = rows.withColumns({"_t": (F.col("jd") - (F.col("_lo") + F.col("_hi")) / 2) * 24, "_w": w})
+        rows = rows.withColumns({"_lo": F.min("jd").over(_whole_trail()), "_hi": F.max("jd").over(_whole_trail()), "_in": F.lit(1)})
+    w = 1 / ((F.col("errx2_image") + F.col("erry2_image")) * float(astvar)) if astvar else F.lit(1.0)
+    here = lambda c: F.when(F.col("_in").isNotNull(), c)
+    rows = rows.withColumns({"_t": (F.col("jd") - (F.col("_lo") + F.col("_hi")) / 2) * 24, "_w": here(w)})
     # Moments about the trail's own mean time and position keep the sums well conditioned.
-    means = rows.groupBy("trail_id").agg(*[(F.sum(F.col("_w") * F.col(c)) / F.sum("_w")).alias(f"_m{n}") for c, n in (("_t", "t"), ("ra", "ra"), ("dec", "dec"))], F.sum("_w").alias("_sw"), F.count(F.lit(1)).alias("num"))
-    rows = rows.join(means, "trail_id").withColumns({"_dt": F.col("_t") - F.col("_mt"), "_dra": F.col("ra") - F.col("_mra"), "_ddec": F.col("dec") - F.col("_mdec")})
-    slope = lambda c: F.coalesce(F.try_divide(F.sum(F.col("_w") * F.col("_dt") * F.col(c)), F.sum(F.col("_w") * F.col("_dt") * F.col("_dt"))), F.lit(0.0))
-    slopes = rows.groupBy("trail_id").agg(slope("_dra").alias("_bra"), slope("_ddec").alias("_bdec"))
-    rows = rows.join(slopes, "trail_id").withColumns({"_rra": F.col("_dra") - F.col("_bra") * F.col("_dt"), "_rdec": F.col("_ddec") - F.col("_bdec") * F.col("_dt")})
-    keep = [F.first(c).alias(c) for c in ("num", "_mt", "_mra", "_mdec", "_bra", "_bdec", "_lo", "_hi", "_sw")]
+    total = lambda c: F.sum(c).over(_whole_trail())
+    rows = rows.withColumns({f"_m{n}": total(F.col("_w") * F.col(c)) / total("_w") for c, n in (("_t", "t"), ("ra", "ra"), ("dec", "dec"))})
+    rows = rows.withColumns({"_dt": F.col("_t") - F.col("_mt"), "_dra": here(F.col("ra") - F.col("_mra")), "_ddec": here(F.col("dec") - F.col("_mdec"))})
+    slope = lambda c: F.coalesce(F.try_divide(total(F.col("_w") * F.col("_dt") * F.col(c)), total(F.col("_w") * F.col("_dt") * F.col("_dt"))), F.lit(0.0))
+    rows = rows.withColumns({"_bra": slope("_dra"), "_bdec": slope("_ddec")})
+    return rows.withColumns({"_rra": F.col("_dra") - F.col("_bra") * F.col("_dt"), "_rdec": F.col("_ddec") - F.col("_bdec") * F.col("_dt")})
+
+
+def _motion_sums(weighted: bool) -> list[Column]:
+    n, sw = F.count("_in"), F.sum("_w")
+    means = [F.first(c).alias(c) for c in ("_mt", "_mra", "_mdec", "_bra", "_bdec")]
+    ends = [F.first(c, ignorenulls=True).alias(c) for c in ("_lo", "_hi")]
     if weighted:
-        agg = rows.groupBy("trail_id").agg(*keep, *[F.sum(F.col("_w") * F.col(c) * F.col(c)).alias(f"{c}_c") for c in ("_rra", "_rdec")], *[F.stddev_pop(c).alias(f"{c}_s") for c in ("_rra", "_rdec")])
-        sa, sd = (_inflated(F.col(f"{c}_c"), F.col("_sw"), F.col("num"), 2, F.col(f"{c}_s")) for c in ("_rra", "_rdec"))
+        spread = lambda c: _inflated(F.sum(F.col("_w") * F.col(c) * F.col(c)), sw, n, 2, F.stddev_pop(c))
     else:
-        agg = rows.groupBy("trail_id").agg(*keep, *[robust_sigma(F.col(c)).alias(f"{c}_s") for c in ("_rra", "_rdec")])
-        sa, sd = F.col("_rra_s"), F.col("_rdec_s")
-    out = agg.select("trail_id", "num", (F.col("_mra") - F.col("_bra") * F.col("_mt")).alias("a0"), (F.col("_mdec") - F.col("_bdec") * F.col("_mt")).alias("d0"), (F.col("_bra") * 3600).alias("da"), (F.col("_bdec") * 3600).alias("dd"), (sa * 3600).alias("sa"), (sd * 3600).alias("sd"), ((F.col("_hi") - F.col("_lo")) * 24).alias("_span"))
+        spread = lambda c: robust_sigma(F.col(c))
+    return [n.alias("num"), *means, *ends, (spread("_rra") * 3600).alias("sa"), (spread("_rdec") * 3600).alias("sd")]
+
+
+def _motion(sums: DataFrame) -> DataFrame:
+    """Lines, distance moved and significance of the sums of trails; trails without a row in a field are left out."""
+    span = (F.col("_hi") - F.col("_lo")) * 24
+    out = sums.where("num > 0").withColumns({"a0": F.col("_mra") - F.col("_bra") * F.col("_mt"), "d0": F.col("_mdec") - F.col("_bdec") * F.col("_mt"), "da": F.col("_bra") * 3600, "dd": F.col("_bdec") * 3600})
     c2 = F.pow(F.cos(F.radians("d0")), F.lit(2))
-    out = out.withColumns({"dpos": F.sqrt(F.col("dd") * F.col("dd") + F.col("da") * F.col("da") * c2) * F.col("_span"), "sigma": F.sqrt(F.col("sd") * F.col("sd") + F.col("sa") * F.col("sa") * c2)}).drop("_span")
+    out = out.withColumns({"dpos": F.sqrt(F.col("dd") * F.col("dd") + F.col("da") * F.col("da") * c2) * span, "sigma": F.sqrt(F.col("sd") * F.col("sd") + F.col("sa") * F.col("sa") * c2)})
     return out.withColumn("significance", F.when(F.col("sigma") > 0, F.col("dpos") / F.when(F.col("sigma") > 0, F.col("sigma"))).otherwise(F.lit(0.0)))
 
 
+_MOTION = ("num", "a0", "d0", "da", "dd", "sa", "sd", "dpos", "sigma", "significance")
+
+
+def motion_fit(trails: DataFrame, astvar: float | None = None, span: str = "field") -> DataFrame:
+    """(trail_id, num, a0, d0, da, dd, sa, sd, dpos, sigma, significance): lines RA(t), Dec(t) about the middle of
+    the span, slopes in arcsec/h, scatters in arcsec.
+
+    With ``astvar`` > 0 points weigh 1 / ((errx2 + erry2) astvar) and scatters are weighted, inflated for chi2 > 3;
+    else they are medians of absolute residuals over 0.67. The span is that of the first detections of all trails of
+    the field (``span='field'``, column field_id if present) or of the trail itself. ``significance`` is dpos / sigma,
+    0 where sigma is 0."""
+    astvar = astvar if astvar is not None and astvar > 0 else None
+    sums = _motion_rows(trails, astvar, span).groupBy("trail_id").agg(*_motion_sums(astvar is not None))
+    return _motion(sums).select("trail_id", *_MOTION)
+
+
 def status_flags(df: DataFrame) -> DataFrame:
     """Adds status, four letters: P/p significant motion (> 5, > 2), M/m motion over 3 or 2 sigma, V/v magnitude
     variance below 2 or 3, ``!`` otherwise."""
@@ -472,13 +517,18 @@ def object_type(df: DataFrame) -> DataFrame:
 
 
 def score_trails(trails: DataFrame, n_images: int, min_found: int = 3, astvar: float | None = None, span: str = "field") -> DataFrame:
-    """One row per trail of at least ``min_found`` detections with motion, light and type."""
-    counts = trails.groupBy("trail_id").agg(F.count(F.lit(1)).alias("_c"), F.avg("fwhm_image").alias("fwhm_mean"), F.stddev_pop("fwhm_image").alias("_s")).where(F.col("_c") >= min_found)
-    counts = counts.select("trail_id", "fwhm_mean", F.when(F.col("fwhm_mean") > 0, F.col("_s") / F.when(F.col("fwhm_mean") > 0, F.col("fwhm_mean"))).otherwise(F.lit(1.0)).alias("fwhm_consistency"))
-    motion = motion_fit(trails, astvar, span)  # the span is that of all trails
-    stats = mag_stats(trails, legacy=not astvar)
-    rows = counts.join(motion, "trail_id").join(stats.drop("num"), "trail_id").join(variability(trails, stats), "trail_id").join(gaps(trails), "trail_id")
-    return object_type(mp_ness(ot_ness(status_flags(rows)), n_images))
+    """One row per trail of at least ``min_found`` detections with motion, light and type. The rows of
+    a trail are brought together and sorted once for all of it; the span is that of all trails."""
+    weighted = astvar is not None and astvar > 0
+    rows = _light_rows(_step_rows(_gap_rows(trails)), legacy=not astvar)
+    rows = _motion_rows(trails, astvar if weighted else None, span, rows)
+    sums = rows.groupBy("trail_id").agg(F.avg("fwhm_image").alias("fwhm_mean"), F.stddev_pop("fwhm_image").alias("_fs"), F.sum("_v").alias("_v"), *_motion_sums(weighted), *_light_sums(not astvar), *_gap_sums())
+    found = _motion(sums.where(F.col("_n") >= min_found)).withColumns({
+        "fwhm_consistency": F.when(F.col("fwhm_mean") > 0, F.col("_fs") / F.when(F.col("fwhm_mean") > 0, F.col("fwhm_mean"))).otherwise(F.lit(1.0)),
+        "variability": _variability(F.col("_v"), F.col("_n"), F.col("magvar")),
+    })
+    shown = found.select("trail_id", "fwhm_mean", "fwhm_consistency", *_MOTION, "mag0", "magvar", "variability", "max_gap", "avg_gap")
+    return object_type(mp_ness(ot_ness(status_flags(shown)), n_images))
 
 
 def trail_summary(trails: DataFrame, fast: float = 5.0) -> DataFrame:
