@@ -144,8 +144,9 @@ def early(images: DataFrame, events: DataFrame, days: float = 0.5) -> DataFrame:
 
 
 def subsample(pairs: DataFrame, n: int, seed: int = 0, by: str = "image_id", key: str = "number") -> DataFrame:
-    """At most n rows per image in a fixed pseudo-random order of the key (the same rows on every run)."""
-    order = F.md5(F.concat_ws("/", F.col(by).cast("string"), F.col(key).cast("string"), F.lit(str(seed))))
+    """At most n rows per image in a fixed pseudo-random order of the key (the same rows on every run). Digests are
+    sorted as bytes, in the order of their hex text at half its size."""
+    order = F.unhex(F.md5(F.concat_ws("/", F.col(by).cast("string"), F.col(key).cast("string"), F.lit(str(seed)))))
     return pairs.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(order, key))).where(F.col("_r") <= n).drop("_r")
 
 
