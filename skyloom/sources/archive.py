@@ -18,8 +18,6 @@ from ..staging import delete, discard, staged
 
 #: Superseded copies up to which their list is broadcast: 1 M are about 50 MB.
 BROADCAST_COPIES = 1_000_000
-#: Buckets of images within a month's files.
-BUCKETS = 32
 
 
 def month_of(jd: Column) -> Column:
@@ -33,7 +31,8 @@ def write_catalog(det: DataFrame, images: DataFrame, path: str, version: str = "
     An image that the archive has already is replaced if the new ``version`` (a number or time; 0 without that column,
     or where it is null) is at least that of the copy, so the same batch again changes nothing and a stale one does not
     come through. Of rows of one image in a batch the greatest version counts. Images and detections of null image_id
-    are not archived; ``ym``, ``batch`` and ``archive_version`` are the archive's own columns.
+    are not archived; ``ym``, ``batch`` and ``archive_version`` are the archive's own columns. Detections are dealt by
+    ranges of a month's images, taken from ``images`` alone, so that a task writes files of few months.
     """
     batch = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     own = ("ym", "batch", "archive_version")
@@ -42,26 +41,20 @@ def write_catalog(det: DataFrame, images: DataFrame, path: str, version: str = "
     rows = plain.where("image_id is not null").withColumns({"archive_version": value, "ym": month_of(F.col("jd")), "batch": F.lit(batch)})
     whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     newest = rows.groupBy("image_id").agg(F.max_by(whole, F.struct("archive_version", F.xxhash64(whole))).alias("r")).select("r.*")
-    newest = staged(newest.select(rows.columns), "images")
-    parts = det.drop(*own).join(newest.select("image_id", "ym", "batch"), "image_id").repartition("ym", F.pmod("image_id", F.lit(BUCKETS)))
-    parts.sortWithinPartitions("ym", "image_id", "number").write.partitionBy("ym", "batch").mode("append").parquet(f"{path}/detections")
-    newest.write.partitionBy("ym", "batch").mode("append").parquet(f"{path}/images")  # from here on the batch counts
+    n = int(det.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = newest.select(rows.columns).repartitionByRange(n, "ym", "image_id").withColumn("_range", F.spark_partition_id())
+    newest = staged(ranged.coalesce(max(n // 16, 1)), "images")  # ranges are many for so small a table
+    parts = det.drop(*own).join(newest.select("image_id", "ym", "batch", "_range"), "image_id").repartition("_range").drop("_range")
+    parts.write.partitionBy("ym", "batch").mode("append").parquet(f"{path}/detections")
+    newest.drop("_range").write.partitionBy("ym", "batch").mode("append").parquet(f"{path}/images")  # from here on the batch counts
     discard(newest)
     return batch
 
 
-def _versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """All copies of images, and (image_id, batch) of the newest of each."""
+def _read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(detections, images) in the newest versions, and (image_id, batch) of superseded copies, staged."""
     copies = spark.read.parquet(f"{path}/images").withColumns({c: F.col(c).cast("string") for c in ("ym", "batch")})
-    newest = copies.groupBy("image_id").agg(F.max(F.struct("archive_version", "batch")).alias("m"))
-    return copies, newest.select("image_id", F.col("m.batch").alias("batch"))
-
-
-def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(detections, images) of the archive, each image in its newest version: greatest version, then latest
-    batch. The detections are not shuffled for it unless more than BROADCAST_COPIES copies are superseded: without any
-    there is no join but that on the batches that count."""
-    copies, newest = _versions(spark, path)
+    newest = copies.groupBy("image_id").agg(F.max(F.struct("archive_version", "batch")).alias("m")).select("image_id", F.col("m.batch").alias("batch"))
     images = copies.join(newest, ["image_id", "batch"], "left_semi")
     det = spark.read.parquet(f"{path}/detections").withColumns({c: F.col(c).cast("string") for c in ("ym", "batch")})
     det = det.join(copies.select("batch").distinct(), "batch", "left_semi")
@@ -69,16 +62,21 @@ def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     n = old.count()
     if n:
         det = det.join(F.broadcast(old) if n <= BROADCAST_COPIES else old, ["image_id", "batch"], "left_anti")
-    return det, images
+    return det, images, old
+
+
+def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(detections, images) of the archive, each image in its newest version: greatest version, then latest
+    batch. The detections are not shuffled for it unless more than BROADCAST_COPIES copies are superseded: without any
+    there is no join but that on the batches that count."""
+    return _read(spark, path)[:2]
 
 
 def compact_catalog(spark: SparkSession, path: str) -> list[str]:
     """Writes what is current of batches with superseded images as a new batch and deletes those batches, whose
     names it returns. Not while others read or write."""
-    det, images = read_catalog(spark, path)
-    copies, newest = _versions(spark, path)
-    old = copies.join(newest, ["image_id", "batch"], "left_anti").select("batch").distinct()
-    names = sorted(row.batch for row in old.collect())  # batches, not images
+    det, images, old = _read(spark, path)
+    names = sorted(row.batch for row in old.select("batch").distinct().collect())  # batches, not images
     if not names:
         return []
     kept = images.where(F.col("batch").isin(names))
