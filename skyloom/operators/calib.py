@@ -23,23 +23,30 @@ def rough_zeropoint(pairs: DataFrame, images: DataFrame, mag: str = "cat_mag") -
     return images.select("image_id").join(z, "image_id", "left").select("image_id", F.coalesce("z", F.lit(0.0)).alias("zeropoint"))
 
 
-def _by_filter(pairs: DataFrame, filters: list[str]) -> DataFrame:
-    return pairs.select("image_id", "mag_auto", *filters).unpivot(["image_id", "mag_auto"], filters, "filter", "cat_mag").where("cat_mag is not null")
-
-
 def zeropoints_all(pairs: DataFrame, filters: list[str]) -> DataFrame:
     """(image_id, filter, zeropoint, n, correlation) for every candidate filter: the correlation of the stars
-    within 3 MAD of the median difference, 0 for fewer than 5 stars (before or after) and where it is undefined."""
-    long = _by_filter(pairs, filters).withColumn("d", F.col("cat_mag") - F.col("mag_auto"))
-    mid = long.groupBy("image_id", "filter").agg(F.median("d").alias("zeropoint"), F.count(F.lit(1)).alias("n"))
-    off = long.join(mid, ["image_id", "filter"]).withColumn("off", F.abs(F.col("d") - F.col("zeropoint")))
-    mad = off.groupBy("image_id", "filter").agg(F.median("off").alias("mad"))
-    good = off.join(mad, ["image_id", "filter"]).where(F.col("off") < 3 * F.col("mad"))
-    spread = (F.stddev_pop("cat_mag") > 0) & (F.stddev_pop("mag_auto") > 0)
-    corr = good.groupBy("image_id", "filter").agg(F.when(spread, F.corr("cat_mag", "mag_auto")).alias("c"), F.count(F.lit(1)).alias("k"))
-    out = mid.join(corr, ["image_id", "filter"], "left")
-    value = F.when((F.col("n") >= 5) & (F.col("k") >= 5), F.coalesce(F.nanvl("c", F.lit(0.0)), F.lit(0.0))).otherwise(F.lit(0.0))
-    return out.select("image_id", "filter", "zeropoint", "n", value.alias("correlation"))
+    within 3 MAD of the median difference, 0 for fewer than 5 stars (before or after), where it is undefined and for
+    rows of no image.
+
+    An image's pairs are brought together once, with a column for each filter, and all steps are windows and sums there:
+    only the results, a row an image, are turned to rows by filter."""
+    image = Window.partitionBy("image_id")
+    rows = pairs.select("image_id", F.col("mag_auto").alias("_m"), *[F.col(f).alias(f"_c{k}") for k, f in enumerate(filters)])
+    d, off = ({k: F.col(c.format(k)) for k in range(len(filters))} for c in ("_d{}", "_o{}"))
+    rows = rows.withColumns({f"_d{k}": F.col(f"_c{k}") - F.col("_m") for k in d})
+    rows = rows.withColumns({f"_z{k}": F.median(d[k]).over(image) for k in d})
+    rows = rows.withColumns({f"_o{k}": F.abs(d[k] - F.col(f"_z{k}")) for k in d})
+    rows = rows.withColumns({f"_a{k}": F.median(off[k]).over(image) for k in d})
+    sums = []
+    for k in d:
+        good = off[k] < 3 * F.col(f"_a{k}")
+        c, m = (F.when(good, F.col(x)) for x in (f"_c{k}", "_m"))
+        correlation = F.try_divide(F.covar_pop(c, m), F.stddev_pop(c) * F.stddev_pop(m))  # corr itself fails where one of them is constant
+        sums += [F.first(f"_z{k}").alias(f"z{k}"), F.count(f"_c{k}").alias(f"n{k}"), F.count_if(good).alias(f"k{k}"), correlation.alias(f"r{k}")]
+    found = rows.groupBy("image_id").agg(*sums)
+    value = lambda k: F.when(F.col("image_id").isNotNull() & (F.col(f"n{k}") >= 5) & (F.col(f"k{k}") >= 5), F.coalesce(F.nanvl(f"r{k}", F.lit(0.0)), F.lit(0.0))).otherwise(F.lit(0.0))
+    each = F.array(*[F.struct(F.lit(f).alias("filter"), F.col(f"z{k}").alias("zeropoint"), F.col(f"n{k}").alias("n"), value(k).alias("correlation")) for k, f in enumerate(filters)])
+    return found.select("image_id", F.inline(each)).where("n > 0")
 
 
 def filter_scores(per_image: DataFrame) -> DataFrame:

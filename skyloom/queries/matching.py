@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixtures import sql, view
+from ..fixtures import BY_STAR, sql, view
 from ..operators import calib, match
 from ..plans import pipelines
 from . import query
@@ -17,7 +17,7 @@ R = 2.003
 
 
 def pairs(spark, d):
-    return match.make_pairs(view(spark, d, "fx_det"), view(spark, d, "fx_stars"), view(spark, d, "fx_images"), R)
+    return match.make_pairs(view(spark, d, "fx_det", BY_STAR), view(spark, d, "fx_stars"), view(spark, d, "fx_images"), R)
 
 
 @query("d01_match_radius", "with " + _NEAR.format(r="20.003") + " select image_id, number, star_id, round(dist,6) as dist, row_number() over (partition by image_id, number order by dist, star_id) as rank from n")
