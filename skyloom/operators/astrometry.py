@@ -130,11 +130,17 @@ def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``solve`` for a stack of systems, without the covariances."""
     scale = 1 / np.sqrt(np.maximum(np.einsum("mii->mi", a), 1e-300))
     scaled = a * scale[:, :, None] * scale[:, None, :]
-    plain = np.linalg.cond(scaled) < 1e12
-    inverse = np.empty_like(a)
-    inverse[plain] = np.linalg.inv(scaled[plain])
-    if not plain.all():
-        inverse[~plain] = np.linalg.pinv(scaled[~plain], rcond=1e-12)
+    inverse, plain = np.empty_like(a), np.zeros(len(a), bool)
+    try:  # the condition by column sums is at least that of ``solve`` over the number of columns, and cheap
+        inverse = np.linalg.inv(scaled)
+        plain = np.abs(scaled).sum(1).max(1) * np.abs(inverse).sum(1).max(1) < 1e12 / (4 * max(a.shape[1], 1))
+    except np.linalg.LinAlgError:
+        pass
+    rest = np.flatnonzero(~plain)
+    sound = np.linalg.cond(scaled[rest]) < 1e12
+    inverse[rest[sound]] = np.linalg.inv(scaled[rest[sound]])
+    if not sound.all():
+        inverse[rest[~sound]] = np.linalg.pinv(scaled[rest[~sound]], rcond=1e-12)
     return np.einsum("mij,mj->mi", inverse, b * scale) * scale
 
 
@@ -274,118 +280,287 @@ EXACT = 1e-12
 REFITS = 2
 
 
-class _Image:
-    """Fits of one image's pairs. A model is (parameters, chi2, degrees of freedom)."""
+#: Columns of a parameter table.
+NAMES = [*WCS, *[f"pv2_{n}" for n in range(1, 8)]]
+AT = {name: n for n, name in enumerate(NAMES)}
+PV = [AT[t] for t in PV_TERMS]
+#: Cells of the arrays that one step fits together: what an image lacks of the pairs of the block's largest is padding.
+CELLS = 1 << 15
 
-    def __init__(self, pdf: pd.DataFrame, steps: int, alpha: float):
-        self.pdf, self.steps, self.alpha = pdf, steps, alpha
 
-    def fit(self, start: dict[str, float], params: list[str], proj: str) -> tuple[dict[str, float], float, int]:
-        """A fit of all pairs, plain and then robust, and REFITS fits of the pairs within 3 sqrt(scatter^2 + image_dxy^2
-        variance) of the one before: the scatter is the median residual over 0.67, the variance that of the residuals
-        over image_dxy squared (at least 1), both of the model itself. A model is so judged without its own outliers."""
-        ra, dec, at = self.pdf["radeg"].to_numpy(float), self.pdf["decdeg"].to_numpy(float), self.pdf[["x_image", "y_image"]].to_numpy(float).T
-        dxy = self.pdf["image_dxy"].to_numpy(float) if "image_dxy" in self.pdf else np.ones(len(ra))
-        p, pdf, kept = self._steps(dict(start), self.pdf, params, proj, False), self.pdf, np.ones(len(ra), bool)
-        for n in range(1 + REFITS):
-            r = np.hypot(*(at - np.stack(project(p, proj, ra, dec))))
-            seen = kept & np.isfinite(r)
-            if not seen.any():
-                break
-            floor, variance = np.median(r[seen]) / 0.67, max((np.median(r[seen] / dxy[seen]) / 0.67) ** 2, 1.0)
-            new = r < 3 * np.sqrt(floor * floor + dxy * dxy * variance)
-            if 2 * new.sum() <= len(params) or (new == kept).all():
-                break
-            if not n:  # there are outliers: they have drawn the plain fit
-                p = self._steps(p, self.pdf, params, proj, True)
-                continue
-            kept, pdf = new, self.pdf[new]
-            p = self._steps(p, pdf, params, proj, False)
-        _, _, chi2, rx, _ = normal(pdf, p, [], proj, False)
-        return p, chi2 if len(rx) else math.inf, 2 * len(rx) - len(params)
-
-    def _steps(self, p: dict[str, float], pdf: pd.DataFrame, params: list[str], proj: str, robust: bool) -> dict[str, float]:
-        last = math.inf
+def _plane(p: np.ndarray, proj: str, a: np.ndarray, sd: np.ndarray, cd: np.ndarray) -> tuple:
+    """Of positions at ``a`` = RA - CRVAL1 (radians), what ``project`` makes of them before CD: x, y (degrees), and
+    their derivatives by CRVAL1, CRVAL2 and the terms of the projection, as name -> (dx, dy)."""
+    d0 = np.radians(p[:, AT["crval2"], None])
+    sd0, cd0, sa, ca = np.sin(d0), np.cos(d0), np.sin(a), np.cos(a)
+    c, sc, ss = sd * sd0 + cd * cd0 * ca, -cd * sa, sd * cd0 - cd * sd0 * ca
+    by, slope_sc = {}, 0.0  # derivatives of ratio by terms, and by sc
+    if proj == "TAN":
+        ratio = 1 / np.where(c > 0, c, np.nan)
+        slope = -ratio * ratio
+    elif proj == "ZEA":
+        ratio = np.sqrt(2 / (1 + c))
+        slope = -ratio / (2 * (1 + c))
+    elif proj == "AZP":
+        mu, tilt = p[:, AT["pv2_1"], None], np.tan(np.radians(p[:, AT["pv2_2"], None]))
+        below = mu + c + sc * tilt
+        ratio = (mu + 1) / below
+        slope, slope_sc, by["pv2_1"] = -ratio / below, -ratio / below * tilt, 1 / below - ratio / below
+    else:  # ZPN, and ARC, which is its first term
+        sinu = np.hypot(sc, ss)
+        u, far = np.arctan2(sinu, c), sinu > 1e-6
+        over = 1 / np.where(far, sinu, 1.0)
+        r = steep = 0.0
+        for n in range(7, 0, -1):
+            k = p[:, AT[f"pv2_{n}"], None]
+            r, steep = (r + k) * u, steep * u + n * k
+        ratio = np.where(far, r * over, p[:, AT["pv2_1"], None])
+        slope = np.where(far, (r * c - steep * sinu) * over**3, 0.0)
+        power = u * over
+        for t in PV_TERMS:
+            power = power * u
+            by[t] = power
+    rad, deg = math.pi / 180, 180 / math.pi
+    moves = {"crval1": (cd * cd0 * sa, cd * ca, -cd * sd0 * sa), "crval2": (ss, 0.0, -c)}  # of c, sc, ss
+    out = {}
+    for name, (dc, dsc, dss) in moves.items():
+        step = slope * dc + slope_sc * dsc
+        out[name] = (-(step * sc + ratio * dsc) * rad * deg, (step * ss + ratio * dss) * rad * deg)
+    return -ratio * sc * deg, ratio * ss * deg, out | {t: (-v * sc * deg, v * ss * deg) for t, v in by.items()}
+
+
+class _Images:
+    """Fits of the pairs of many images at once, a row of each array an image. A model of them is (table of
+    parameters, chi2, degrees of freedom); what is fitted of an image is a row of a mask over ``NAMES``."""
+
+    def __init__(self, pdf: pd.DataFrame, n: np.ndarray, steps: int, alpha: float):
+        """``pdf`` holds the images' pairs one after the other, ``n`` of each."""
+        self.steps, self.alpha = steps, alpha
+        self.there = np.arange(n.max())[None, :] < n[:, None]
+
+        def spread(v: np.ndarray, fill: float) -> np.ndarray:
+            out = np.full(self.there.shape, fill)
+            out[self.there] = v
+            return out
+
+        column = lambda c: pdf[c].to_numpy(float, na_value=np.nan)
+        self.ra, dec = spread(np.radians(column("radeg")), np.nan), spread(np.radians(column("decdeg")), np.nan)
+        self.sd, self.cd = np.sin(dec), np.cos(dec)
+        self.x, self.y = spread(column("x_image"), np.nan), spread(column("y_image"), np.nan)
+        self.dxy = spread(column("image_dxy") if "image_dxy" in pdf else np.ones(len(pdf)), 1.0)
+        self.w = 1 / self.dxy**2
+
+    def _residuals(self, at: np.ndarray, p: np.ndarray, proj: str, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Residuals (image, axis, pair) of the images ``at`` and the derivatives (name, image, axis, pair) of pixels."""
+        x, y, by = _plane(p, proj, self.ra[at] - np.radians(p[:, AT["crval1"], None]), self.sd[at], self.cd[at])
+        c11, c12, c21, c22 = (p[:, AT[c], None] for c in ("cd1_1", "cd1_2", "cd2_1", "cd2_2"))
+        det = c11 * c22 - c21 * c12
+        pixels = lambda x, y: ((c22 * x - c12 * y) / det, (c11 * y - c21 * x) / det)
+        q, s = pixels(x, y)
+        r = np.stack([self.x[at] - p[:, AT["crpix1"], None] - q, self.y[at] - p[:, AT["crpix2"], None] - s], 1)
+        j = np.zeros((len(names), *r.shape))
+        for n, name in enumerate(names):
+            if name in by:
+                j[n, :, 0], j[n, :, 1] = pixels(*by[name])
+            elif name.startswith("crpix"):
+                j[n, :, int(name[-1]) - 1] = 1.0
+            elif name.startswith("cd"):
+                v = q if name[-1] == "1" else s
+                j[n, :, 0], j[n, :, 1] = pixels(-v, 0.0) if name[2] == "1" else pixels(0.0, -v)
+        return r, j
+
+    def _steps(self, at: np.ndarray, p: np.ndarray, kept: np.ndarray, mask: np.ndarray, proj: str, robust: bool) -> np.ndarray:
+        p, todo, last = p.copy(), np.arange(len(at)), np.full(len(at), np.inf)
         for _ in range(self.steps):
-            a, b, chi2, *_ = normal(pdf, p, params, proj, robust)
-            if abs(last - chi2) <= 1e-9 * chi2 or chi2 <= EXACT * len(pdf):
+            fitted = np.flatnonzero(mask[todo].any(0))
+            r, j = self._residuals(at[todo], p[todo], proj, [NAMES[n] for n in fitted])
+            good = np.isfinite(r).all(1) & kept[todo]
+            r = np.where(good[:, None], r, 0.0)
+            w = self.w[at[todo]]
+            w = np.where(good, w / (1 + (r * r).sum(1) * w) if robust else w, 0.0)
+            chi2 = ((r * r).sum(1) * w).sum(1)
+            go = ~((np.abs(last[todo] - chi2) <= 1e-9 * chi2) | (chi2 <= EXACT * kept[todo].sum(1)))
+            if not go.any():
                 break
-            last = chi2
-            p = {**p, **{c: p[c] + v for c, v in zip(params, solve(a, b)[0])}}
+            last[todo] = chi2
+            todo, r, w, good = todo[go], r[go], w[go], good[go]
+            own = mask[todo][:, fitted]
+            j = np.where(good[:, None], j[:, go], 0.0).transpose(1, 0, 2, 3).reshape(len(todo), len(fitted), -1) * own[:, :, None]
+            weighed = j * np.concatenate([w, w], 1)[:, None, :]
+            a, b = weighed @ j.transpose(0, 2, 1), (weighed @ r.reshape(len(todo), -1, 1))[:, :, 0]
+            a[:, np.arange(len(fitted)), np.arange(len(fitted))] += ~own  # what is not fitted has a step of 0
+            sound = np.isfinite(a).all((1, 2)) & np.isfinite(b).all(1)
+            step = np.zeros_like(b)
+            step[sound] = _solved(a[sound], b[sound])
+            p[todo[:, None], fitted] += step
         return p
 
-    def better(self, small: tuple, large: tuple, k: int) -> bool:
+    def fit(self, at: np.ndarray, start: np.ndarray, mask: np.ndarray, proj: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A fit of all pairs of the images ``at``, plain and then robust, and REFITS fits of the pairs within
+        3 sqrt(scatter^2 + image_dxy^2 variance) of the one before: the scatter is the median residual over 0.67, the
+        variance that of the residuals over image_dxy squared (at least 1), both of the model itself. A model is so
+        judged without its own outliers."""
+        k, kept = mask.sum(1), self.there[at].copy()
+        p = self._steps(at, start, kept, mask, proj, False)
+        todo = np.arange(len(at))
+        for n in range(1 + REFITS):
+            r = np.hypot(*self._residuals(at[todo], p[todo], proj, [])[0].transpose(1, 0, 2))
+            seen, dxy = kept[todo] & np.isfinite(r), self.dxy[at[todo]]
+            floor, variance = _medians(r, seen) / 0.67, np.maximum((_medians(r / dxy, seen) / 0.67) ** 2, 1.0)
+            new = self.there[at[todo]] & (r < 3 * np.sqrt(floor[:, None] ** 2 + dxy * dxy * variance[:, None]))
+            go = seen.any(1) & (2 * new.sum(1) > k[todo]) & (new != kept[todo]).any(1)
+            todo, new = todo[go], new[go]
+            if not len(todo):
+                break
+            if n:  # else there are outliers: they have drawn the plain fit
+                kept[todo] = new
+            p[todo] = self._steps(at[todo], p[todo], kept[todo], mask[todo], proj, not n)
+        r = self._residuals(at, p, proj, [])[0]
+        good = np.isfinite(r).all(1) & kept
+        found = good.sum(1)
+        chi2 = np.where(good, (r * r).sum(1) * self.w[at], 0.0).sum(1)
+        return p, np.where(found > 0, chi2, np.inf), 2 * found - k
+
+    def better(self, small: tuple, large: tuple, k: int) -> np.ndarray:
         """F test: do the ``k`` further parameters of the larger model pay?"""
-        (_, c1, _), (_, c2, n) = small, large
-        if n <= 0 or not math.isfinite(c2):
-            return False
-        return c1 > EXACT * n and f_pvalue((c1 - c2) / k / max(c2 / n, 1e-300), k, n) < self.alpha
-
-    def polynomial(self, start: dict[str, float], params: list[str]) -> tuple[tuple, list[str]]:
-        """Terms of ZPN, added and dropped one at a time while the F test says so."""
-        chosen: list[str] = []
-        best = self.fit(start, params, "ZPN")
-        # Each trial starts from the best model so far, with new terms at 0.
-        model = lambda terms: self.fit({**{k: v for k, v in best[0].items() if k not in PV_TERMS or k in terms}, **{t: 0.0 for t in terms if t not in best[0]}}, [*params, *terms], "ZPN")
-        for _ in range(2 * len(PV_TERMS)):
-            more = [(t, model([*chosen, t])) for t in PV_TERMS if t not in chosen]
-            more = [(t, m) for t, m in more if self.better(best, m, 1)]
-            if more:
-                term, best = min(more, key=lambda x: x[1][1])
-                chosen.append(term)
-            less = [(t, model([c for c in chosen if c != t])) for t in chosen]
-            less = [(t, m) for t, m in less if not self.better(m, best, 1)]
-            if less and best[1] > EXACT * best[2]:
-                term, best = min(less, key=lambda x: x[1][1])
-                chosen.remove(term)
-            elif not more:
+        pays = [
+            n > 0 and math.isfinite(c2) and c1 > EXACT * n and f_pvalue((c1 - c2) / k / max(c2 / n, 1e-300), k, n) < self.alpha
+            for c1, c2, n in zip(small[1].tolist(), large[1].tolist(), large[2].tolist())
+        ]
+        return np.array(pays, bool)
+
+    def polynomial(self, start: np.ndarray, mask: np.ndarray) -> tuple[tuple, np.ndarray]:
+        """Terms of ZPN, added and dropped one at a time while the F test says so: models, and masks of the terms."""
+        every = np.arange(len(start))
+        best, chosen, todo = self.fit(every, start, mask, "ZPN"), np.zeros((len(start), len(PV)), bool), every
+
+        def model(at: np.ndarray, terms: np.ndarray) -> tuple:
+            """A trial starts from the best model so far, with new terms at 0."""
+            p, fitted = best[0][at].copy(), mask[at].copy()
+            p[:, PV] = np.where(terms, p[:, PV], 0.0)
+            fitted[:, PV] = terms
+            return self.fit(at, p, fitted, "ZPN")
+
+        def trials(todo: np.ndarray, add: bool) -> tuple[np.ndarray, np.ndarray]:
+            """The trial of least chi2 of each image that adds a term or drops one: where there is one, and its term."""
+            least, term, found = np.full(len(start), np.inf), np.full(len(start), -1), {}
+            for t in range(len(PV)):
+                at = todo[chosen[todo, t] != add]
+                if not len(at):
+                    continue
+                terms = chosen[at].copy()
+                terms[:, t] = add
+                m, now = model(at, terms), tuple(v[at] for v in best)
+                takes = self.better(now, m, 1) if add else ~self.better(m, now, 1)
+                takes &= (m[1] < least[at]) | (term[at] < 0)
+                term[at[takes]], least[at[takes]] = t, m[1][takes]
+                for i in np.flatnonzero(takes):
+                    found[at[i]] = tuple(v[i] for v in m)
+            return term, found
+
+        def take(at: np.ndarray, term: np.ndarray, found: dict, add: bool) -> None:
+            for i in at:
+                for v, new in zip(best, found[i]):
+                    v[i] = new
+                chosen[i, term[i]] = add
+
+        for _ in range(2 * len(PV)):
+            more, found = trials(todo, True)
+            added = todo[more[todo] >= 0]
+            take(added, more, found, True)
+            less, found = trials(todo, False)
+            dropped = todo[(less[todo] >= 0) & (best[1][todo] > EXACT * best[2][todo])]
+            take(dropped, less, found, False)
+            todo = np.union1d(added, dropped)
+            if not len(todo):
                 break
         return best, chosen
 
-    def projection(self, start: dict[str, float], params: list[str], proj: str) -> tuple[tuple, str]:
-        """Best model of a projection and its name; CRPIX, where it is to be fitted, is held if a test says it may."""
+    def projection(self, start: np.ndarray, params: list[str], proj: str) -> tuple[tuple, np.ndarray]:
+        """Best models of a projection, and masks of the terms of ZPN; CRPIX, where it is to be fitted, is held if a
+        test says it may."""
+        start = start.copy()
+        start[:, AT["pv2_1"]] = {"ZPN": 1.0, "ARC": 1.0, "AZP": 0.1}.get(proj, 0.0)
 
-        def fitted(names: list[str]) -> tuple[tuple, list[str]]:
+        def fitted(names: list[str]) -> tuple[tuple, np.ndarray]:
+            mask = np.zeros(start.shape, bool)
+            mask[:, [AT[c] for c in names]] = True
             if proj == "ZPN":
-                return self.polynomial({**start, "pv2_1": 1.0}, names)
-            if proj == "AZP":
-                return self.fit({**start, "pv2_1": 0.1, "pv2_2": 0.0}, [*names, "pv2_1"], proj), ["pv2_1"]
-            return self.fit(start, names, proj), []
+                return self.polynomial(start, mask)
+            mask[:, AT["pv2_1"]] = proj == "AZP"
+            return self.fit(np.arange(len(start)), start, mask, proj), np.zeros((len(start), len(PV)), bool)
 
         best, terms = fitted(params)
         if "crpix1" in params and "crpix2" in params:
-            held = fitted([c for c in params if c not in ("crpix1", "crpix2")])
-            if not self.better(held[0], best, 2):
-                best, terms = held
-        return best, "ARC" if proj == "ZPN" and not terms else proj
+            held, its = fitted([c for c in params if c not in ("crpix1", "crpix2")])
+            hold = ~self.better(held, best, 2)
+            for v, new in zip((*best, terms), (*held, its)):
+                v[hold] = new[hold]
+        return best, terms
+
+
+def _medians(v: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Medians by row of the values that are ``seen``; of none nan."""
+    n, v = seen.sum(1), np.sort(np.where(seen, v, np.inf), 1)
+    at = np.arange(len(v))
+    return np.where(n > 0, (v[at, np.maximum(n - 1, 0) // 2] + v[at, np.minimum(n // 2, v.shape[1] - 1)]) / 2, np.nan)
 
 
 def select_projection(pairs: DataFrame, images: DataFrame, projections: tuple[str, ...] = ("TAN", "ZEA", "AZP", "ZPN"), params: list[str] | None = None, alpha: float = 0.05, steps: int = 8) -> DataFrame:
     """Images with the projection of least chi2 per degree of freedom (ties: first in the list) as ``proj``, its
     fitted ``params`` (default CRVAL and CD), pv2_1 .. pv2_7 (null where it has none), astchi2, astndf, astwssr.
 
-    Every trial is refitted without its own outliers (``_Image.fit``). AZP fits mu (pv2_1, from 0.1; no tilt). ZPN chooses its terms stepwise by F tests of one parameter; without terms it
+    Every trial is refitted without its own outliers (``_Images.fit``). AZP fits mu (pv2_1, from 0.1; no tilt). ZPN chooses its terms stepwise by F tests of one parameter; without terms it
     is ARC. CRPIX, where ``params`` has it, is fitted only if an F test of both together says so, else it keeps its
-    value. All of an image's fits run where its pairs are, after one shuffle. Images with fewer pairs than parameters
+    value. All fits of an image run where its pairs are, after one shuffle, those of the images of a batch together:
+    a trial is one for all of them that still make it. Images with fewer pairs than parameters
     keep theirs, with null ``proj``.
     """
     params = params or LINEAR
+    if unknown := set(projections) - {"TAN", "ZEA", "AZP", "ZPN", "ARC"}:
+        raise ValueError(f"no choice of {sorted(unknown)}")
     rows, wcs = _rows(pairs, images.drop(*[c for c in images.columns if c.startswith("pv2_")]))
     terms = ["pv2_1", *PV_TERMS]
     names = ["image_id", "proj", *[f"_{c}" for c in params], *terms, "astchi2", "astndf", "astwssr"]
 
+    def chosen(pdf: pd.DataFrame, ids: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        first = np.cumsum(n) - n
+        start = np.zeros((len(ids), len(NAMES)))
+        for c in WCS:
+            start[:, AT[c]] = pdf[c].to_numpy(float, na_value=np.nan)[first]
+        block = _Images(pdf, n, steps, alpha)
+        with np.errstate(all="ignore"):  # trials may leave the sky
+            models = [block.projection(start, params, proj) for proj in projections]
+        out = []
+        for i, image in enumerate(ids):
+            score = [round(float(m[1][i] / m[2][i]), 9) if m[2][i] > 0 else math.inf for m, _ in models]
+            k = min(range(len(models)), key=score.__getitem__)
+            proj, ((p, chi2, ndf), its) = projections[k], models[k]
+            pv = dict.fromkeys(terms)
+            if proj in ("AZP", "ZPN"):
+                pv["pv2_1"] = p[i, AT["pv2_1"]]
+                pv |= {"pv2_2": 0.0} if proj == "AZP" else {t: p[i, AT[t]] for t, has in zip(PV_TERMS, its[i]) if has}
+            name = "ARC" if proj == "ZPN" and not its[i].any() else proj
+            out.append([image, name, *[p[i, AT[c]] for c in params], *pv.values(), chi2[i], ndf[i], chi2[i] / ndf[i] if ndf[i] > 0 else None])
+        return pd.DataFrame(out, columns=names)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        start, image = _start(pdf, wcs), _Image(pdf, steps, alpha)
-        if 2 * len(pdf) <= len(params) + 1 or any(c not in start for c in params):
-            return pd.DataFrame(columns=names)
-        models = [image.projection(start, params, proj) for proj in projections]
-        (p, chi2, ndf), proj = min(models, key=lambda m: round(m[0][1] / m[0][2], 9) if m[0][2] > 0 else math.inf)
-        return pd.DataFrame([[pdf["image_id"].iloc[0], proj, *[p[c] for c in params], *[p.get(c) for c in terms], chi2, ndf, chi2 / ndf if ndf > 0 else None]], columns=names)
+        ids, first, n = np.unique(pdf["image_id"].to_numpy(), return_index=True, return_counts=True)
+        keep = 2 * n > len(params) + 1
+        for c in WCS:
+            keep &= np.isfinite(pdf[c].to_numpy(float, na_value=np.nan)[first])
+        done = [pd.DataFrame(columns=names)]
+        order = np.flatnonzero(keep)
+        order = order[np.argsort(n[order], kind="stable")]  # images of like numbers of pairs together: little padding
+        while len(order):
+            some = order[: max(1, int(CELLS // n[order[: max(1, CELLS // n[order[0]])][-1]]))]
+            order = order[len(some) :]
+            at = np.concatenate([np.arange(first[i], first[i] + n[i]) for i in some])
+            done.append(chosen(pdf.iloc[at], ids[some], n[some]))
+        return pd.concat(done[1:] or done, ignore_index=True)
 
     kinds = {"image_id": T.LongType(), "astndf": T.LongType(), "proj": T.StringType()}
-    # Few bytes, much work: a fixed number of partitions keeps AQE from putting all images into one task.
-    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "image_id")
-    found = rows.groupBy("image_id").applyInPandas(run, T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names]))
+    found = _by_blocks(rows, run, T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names]))
     out = images.drop("proj", *terms, "astchi2", "astndf", "astwssr").join(found, "image_id", "left")
     return out.withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in params}).drop(*[f"_{c}" for c in params])
 
