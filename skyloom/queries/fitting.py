@@ -191,8 +191,8 @@ def e23(spark, d):
  select image_id, count(*) as n, round(avg(f),6) as flat, round(avg(1/(f*f)),6) as weight, round(min(f),6) as lo, round(max(f),6) as hi from p group by 1""")
 def b30(spark, d):
     """Every pixel of every image's flat, summed up per image."""
-    out = stack.flat_surface(view(spark, d, "fx_images"), {"Z": 22.0, "PX": -0.02, "PY": 0.03})
-    return out.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("flat"), 6).alias("flat"), F.round(F.avg("weight"), 6).alias("weight"), F.round(F.min("flat"), 6).alias("lo"), F.round(F.max("flat"), 6).alias("hi"))
+    out = stack.flat_statistics(view(spark, d, "fx_images"), {"Z": 22.0, "PX": -0.02, "PY": 0.03})
+    return out.select("image_id", "n", *[F.round(c, 6).alias(c) for c in ("flat", "weight", "lo", "hi")])
 
 
 @query("a10_report_json", """select image_id, filter, round(jd,4) as jd, count(number) as n_objects, nullif(count(case when flags=1 then number end),0) as brighter, nullif(count(case when flags<>1 then number end),0) as normal, min(number) as first_number, round(sum(cast(mag_auto+22 as decimal(20,12))),4)::double as mag_sum
